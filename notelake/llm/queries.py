@@ -6,18 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, licenses, minhash, mixing
+from . import chat, licenses, lines, minhash, mixing, pieces, quality, simhash, warc
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def _on(table: str, f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: f(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
+def model_path(name: str = "piece_bpe_32k.model") -> str:
+    """Where the vocabulary file is on this machine and on every executor."""
+    import public_tokenizers
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_license_scan": _on("documents", licenses.digest),
-    "op6_chat_format": _on("conversations", chat.digest),
-    "op8_fingerprints": _on("documents", minhash.digest),
-    "op10_source_mix": _on("documents", mixing.mix),
+    return public_tokenizers.path(name)
+
+
+def _on(f: Callable[..., DataFrame], *tables: str) -> Query:
+    return lambda spark, sf_dir: f(*[spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables])
+
+
+QUERIES: dict[str, Query] = {
+    "op2_license_scan": _on(licenses.digest, "documents"),
+    "op3_line_dedup": _on(lines.digest, "documents"),
+    "op4_simhash": _on(simhash.digest, "documents"),
+    "op5_warc": _on(warc.digest, "pages"),
+    "op6_chat_format": _on(chat.digest, "conversations"),
+    "op7_sentencepiece": _on(lambda docs: pieces.digest(docs, model_path()), "documents"),
+    "op8_fingerprints": _on(minhash.digest, "documents"),
+    "op9_quality": _on(quality.digest, "documents", "labels"),
+    "op10_source_mix": _on(mixing.mix, "documents"),
 }
 
 SQL: dict[str, str] = {"op6_chat_format": chat.ORACLE}
