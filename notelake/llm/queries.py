@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, licenses, lines, minhash, mixing, pieces, quality, simhash, warc
+from . import chat, licenses, lines, minhash, mixing, pieces, quality, search, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ def _on(f: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_top_k_search": _on(search.digest, "documents"),
     "op2_license_scan": _on(licenses.digest, "documents"),
     "op3_line_dedup": _on(lines.digest, "documents"),
     "op4_simhash": _on(simhash.digest, "documents"),
