@@ -35,7 +35,7 @@ def period_of_day(hour: Column) -> Column:
 
 def zone_offset(lon: Column) -> Column:
     """Whole hours from UTC by longitude, within -12 .. 14; 0 where unknown."""
-    return F.coalesce(F.least(F.greatest(F.round(lon / 15), F.lit(-12.0)), F.lit(14.0)), F.lit(0.0)).cast("int")
+    return F.when(lon.isNull(), 0).otherwise(F.least(F.greatest(F.round(lon / 15), F.lit(-12.0)), F.lit(14.0)).cast("int"))
 
 
 def zone_name(offset: Column) -> Column:

@@ -16,9 +16,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Words and token pairs whose results a worker keeps.
-WORDS_KEPT, PAIRS_KEPT = 400_000, 400_000
-#: Characters from a place on that are searched for the longest piece: more than any piece has.
-LONGEST = 64
+WORDS_KEPT, PAIRS_KEPT = 250_000, 400_000
 #: Rows of an output batch.
 BATCH = 1000
 
@@ -43,16 +41,24 @@ class Pieces:
         self.texts = [" \u2047 " if model.is_unknown(i) else p.replace(SPACE, " ") if p in self.ids else "" for i, p in enumerate(self.names)]
         self.table, self.is_byte = np.array(self.texts, dtype=object), np.array([i in self.bytes for i in range(len(self.names))])
         self.automaton = ahocorasick.Automaton()
-        for p in self.ids:
+        self.best: dict[str, str] = {"": ""}  # the longest piece that begins a beginning of a piece
+        self.shorter: dict[str, str] = {}
+        for p in sorted(self.ids):  # what begins a piece comes before it
             self.automaton.add_word(p, len(p))
+            for k in range(1, len(p)):
+                self.best.setdefault(p[:k], self.best[p[: k - 1]])
+            inner = self.best[p[:-1]] or (p[0] if len(p) > 1 else "")
+            if inner:
+                self.shorter[p] = inner
+            self.best[p] = p
         self.automaton.make_automaton()
-        if max(map(len, self.ids)) > LONGEST:
-            raise ValueError(f"a piece has more than {LONGEST} characters")
+        self.widest = max(map(len, self.ids))
+        self.pairs: dict[tuple[str, str], bool] = {}
         # no piece goes on after a space that follows something else, so no merge crosses the start of a run of spaces
         apart = all(SPACE not in p.lstrip(SPACE) for p in self.ids)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else "(?s).+").findall
-        self.word = lru_cache(WORDS_KEPT)(self._word)
-        self.fits = lru_cache(PAIRS_KEPT)(self._fits)
+        self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.word, self.part = lru_cache(WORDS_KEPT)(self._word), lru_cache(WORDS_KEPT)(self._part)
 
     def merged(self, text: str) -> list[str]:
         """Merge characters pair by pair, best rank first and leftmost among equals. For short strings only."""
@@ -65,52 +71,62 @@ class Pieces:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def _fits(self, left: str, right: str) -> bool:
+    def fits(self, left: str, right: str) -> bool:
         """May `right` follow `left`? Only if merging both anew gives just these two; left may be empty."""
-        return self.merged(left + right) == ([left, right] if left else [right])
+        if len(self.pairs) > PAIRS_KEPT:
+            self.pairs.clear()
+        ok = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+        return ok
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word, as the bytes of an array of int32.
-
-        The leftmost longest matches are the encoding if each fits the one before; else backtracking finds it.
-        """
-        at, before, out = 0, "", []
-        for last, size in self.automaton.iter_long(word):
-            piece = word[at : last + 1]
-            if len(piece) != size or not self.fits(before, piece):
-                break
-            out.append(self.raw[piece])
-            before, at = piece, last + 1
-        return b"".join(out) if at == len(word) else b"".join(map(self.raw_of, self.backtracked(word)))
-
-    def backtracked(self, word: str) -> list[str]:
-        """At each place the longest piece is tried first, then shorter ones. A piece stands if it fits the one before it.
+    def longest(self, word: str, at: int) -> str:
+        """The longest piece that begins at a place, or the character there."""
+        tail = word[at : at + self.widest]
+        return self.best[tail[: self.automaton.longest_prefix(tail)]] or tail[0]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word, as the bytes of an array of int32; it is cut where no piece holds the two characters together."""
+        parts, at = [], 0
+        for k in range(1, len(word)):
+            if word[k - 1 : k + 1] not in self.joined:
+                parts.append(self.part(word[at:k]))
+                at = k
+        parts.append(self.part(word[at:]))
+        return b"".join(parts)
+
+    def _part(self, word: str) -> bytes:
+        """Ids of a part of a word.
+
+        At each place the longest piece is tried first, then shorter ones. A piece stands if it fits the one before it.
         If none does, the place is marked as failed and the last piece gives way. The pieces up to a place are the only
         encoding of what they cover, so a failed place fails for good: each is visited once.
         """
-        failed, taken, at, before = bytearray(len(word) + 1), [], 0, ""
-        size = self.automaton.longest_prefix(word[:LONGEST]) or 1
-        while at < len(word):
-            piece = word[at : at + size]
-            while size and (failed[at + size] or not (piece in self.raw or size == 1) or not self.fits(before, piece)):
-                size -= 1
-                piece = piece[:-1]
-            if size:
-                taken.append(before := piece)
-                at += size
-                size = self.automaton.longest_prefix(word[at : at + LONGEST]) or 1
+        pairs, shorter, failed = self.pairs, self.shorter, 0
+        taken, at, before, end = [], 0, "", len(word)
+        piece: str | None = self.longest(word, 0)
+        while at < end:
+            while piece:
+                if not (failed and failed >> at + len(piece) & 1):
+                    ok = pairs.get((before, piece))
+                    if ok or ok is None and self.fits(before, piece):
+                        break
+                piece = shorter.get(piece)
+            if piece:
+                taken.append(piece)
+                at += len(piece)
+                before = piece
+                if at < end:
+                    piece = self.longest(word, at)
             else:
-                failed[at] = 1
-                size = len(taken.pop())
-                at -= size
-                size -= 1
+                failed |= 1 << at
+                last = taken.pop()
+                at -= len(last)
                 before = taken[-1] if taken else ""
-        return taken
+                piece = shorter.get(last)
+        return b"".join([self.raw.get(p) or self.raw_of(p) for p in taken])
 
     def raw_of(self, piece: str) -> bytes:
-        """A piece's id, or those of the bytes of a character that has none."""
-        return self.raw.get(piece) or array("i", [self.byte_ids[b] for b in piece.encode("utf-8", "replace")]).tobytes()
+        """The ids of the bytes of a character that is no piece."""
+        return array("i", [self.byte_ids[b] for b in piece.encode("utf-8", "replace")]).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:

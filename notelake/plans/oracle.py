@@ -27,7 +27,7 @@ j AS (SELECT c.note_id, c.seq, c.action, c.created_at AS action_at, coalesce(c.i
   FROM comments c JOIN notes n USING (note_id) LEFT JOIN texts t ON t.note_id = c.note_id AND t.seq = c.seq
   QUALIFY row_number() OVER (PARTITION BY c.note_id, c.created_at ORDER BY c.seq) = 1),
 g AS (SELECT *, CAST(action_at AS DATE) AS action_date, CAST(isodow(action_at) * 100 + hour(action_at) AS INTEGER) AS action_how,
-  CAST(coalesce(least(greatest(round(longitude / 15), -12), 14), 0) AS INTEGER) AS zone,
+  CASE WHEN longitude IS NULL THEN 0 ELSE CAST(least(greatest(round(longitude / 15), -12), 14) AS INTEGER) END AS zone,
   CASE WHEN latitude IS NULL OR latitude BETWEEN -10 AND 10 THEN 0
        WHEN latitude > 10 THEN CASE WHEN month(action_at) BETWEEN 3 AND 5 THEN 1 WHEN month(action_at) BETWEEN 6 AND 8 THEN 2 WHEN month(action_at) BETWEEN 9 AND 11 THEN 3 ELSE 4 END
        ELSE CASE WHEN month(action_at) BETWEEN 3 AND 5 THEN 4 WHEN month(action_at) BETWEEN 6 AND 8 THEN 3 WHEN month(action_at) BETWEEN 9 AND 11 THEN 2 ELSE 1 END END AS season,
