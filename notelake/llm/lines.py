@@ -33,54 +33,57 @@ def _shape(h: Column) -> Column:
     for total in (n, n - 1):  # as the shorter or equal line, and as the longer by one word
         cut = F.floor(total / 2).cast("int")
         keys += [half("first", total, F.lit(1), cut), half("last", total, n - (total - cut) + 1, total - cut)]
-    return F.struct(n.alias("n"), F.xxhash64(F.lit(1), h).alias("h1"), F.xxhash64(F.lit(2), h).alias("h2"), F.when(n >= LEAST, F.array(*keys)).alias("halves"))
+    return F.struct(n.alias("n"), F.xxhash64(F.lit(1), h).alias("h1"), F.xxhash64(F.lit(2), h).alias("h2"), F.when(n >= LEAST, F.array_distinct(F.array(*keys))).alias("halves"))
 
 
-def _near(distinct: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+def _near(all_lines: DataFrame, distinct: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(h1, h2) of the lines that lie within one word of an earlier line.
 
     Only lines that share a half with another line can be near one, so others emit nothing. The rest emit the hash of each
     variant with one word left out. Lines of equal length are near if they are equal but for the word at the same place; of
     unequal length, if a variant of the longer is the shorter. Of each key only the earliest line counts, so that no
-    pairs within a key are made. What a line finds is verified word by word.
+    pairs within a key are made. What a line finds is verified word by word. Keys are first counted by one hash, so that
+    only keys of several lines are joined.
     """
-    keyed = distinct.where("halves IS NOT NULL").select("h1", "h2", F.explode(F.array_distinct("halves")).alias("half"))
-    shared = keyed.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("half")
-    again = keyed.join(shared, "half").select("h1", "h2").distinct()
+    keyed = all_lines.where("halves IS NOT NULL").select("h1", "h2", F.explode("halves").alias("half"))
+    halves = stored(keyed.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("half"), "halves")
+    again = keyed.join(small(halves, LOOKED_UP), "half").select("h1", "h2").distinct()
     live = stored(distinct.join(again, ["h1", "h2"], "left_semi").select("h1", "h2", "n", "at"), "live")
-    spots = live.select(F.col("at.doc_id").alias("_doc"), F.col("at.mark").alias("_mark"), F.col("at.no").alias("_no"), "h1", "h2", "n", "at")
+    spots = live.select(F.col("at.doc_id").alias("_doc"), F.col("at.mark").alias("_mark"), F.col("at.no").alias("_no"), "h1", "h2", "n")
     text_rows = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.posexplode(F.split(F.col(text), "\n")).alias("no", "line"))
     met = text_rows.join(small(spots, LOOKED_UP), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark")) & (F.col("no") == F.col("_no")))
-    lines = stored(met.select("h1", "h2", "n", "at", _hashed(words(F.col("line"), SPACE_GAP)).alias("h")).dropDuplicates(["h1", "h2"]), "near-lines")
+    lines = stored(met.select("h1", "h2", "n", _hashed(words(F.col("line"), SPACE_GAP)).alias("h")).dropDuplicates(["h1", "h2"]), "near-lines")
 
     # rolling hashes: the xor of (place, word) up to a word, and the same with the words moved one place ahead
-    w = lines.select("h1", "h2", "n", "at", F.posexplode("h").alias("i", "w"))
+    w = lines.repartition("h1", "h2").select("h1", "h2", "n", F.posexplode("h").alias("i", "w"))
     own = lambda salt, place: F.xxhash64(F.lit(salt), place, F.col("w"))
     w = w.select("*", *[own(s, F.col("i") - moved).alias(f"_{s}{moved}") for s in (1, 2) for moved in (0, 1)])
-    line = Window.partitionBy("h1", "h2")
-    upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    w = w.select("h1", "h2", "n", "at", "i", *[F.bit_xor(f"_{s}{moved}").over(upto).alias(f"p{s}{moved}") for s in (1, 2) for moved in (0, 1)], "_10", "_20")
-    whole = stored(w.where("i = n - 1").select("h1", "h2", "n", "at", F.col("p10").alias("f1"), F.col("p20").alias("f2"), F.col("p11").alias("m1"), F.col("p21").alias("m2")), "whole")
-    v = w.join(whole.select("h1", "h2", "m1", "m2"), ["h1", "h2"]).select(
-        "h1", "h2", "n", "at", "i",
-        *[F.col(f"p{s}0").bitwiseXOR(F.col(f"_{s}0")).bitwiseXOR(F.col(f"m{s}")).bitwiseXOR(F.col(f"p{s}1")).alias(f"v{s}") for s in (1, 2)],
-    )
+    line = Window.partitionBy("h1", "h2").orderBy("i")
+    upto, back = line.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("h1", "h2")
+    total = lambda c: F.bit_xor(c).over(back)
+    before = lambda s: F.bit_xor(f"_{s}0").over(upto).bitwiseXOR(F.col(f"_{s}0"))
+    after = lambda s: total(f"_{s}1").bitwiseXOR(F.bit_xor(f"_{s}1").over(upto))
+    v = w.select("h1", "h2", "n", "i", *[before(s).bitwiseXOR(after(s)).alias(f"v{s}") for s in (1, 2)], *[F.when(F.col("i") == 0, total(f"_{s}0")).alias(f"f{s}") for s in (1, 2)])
     v = stored(v, "variants")
+    at = lambda of, name: live.select(F.col("h1").alias(f"{of}1"), F.col("h2").alias(f"{of}2"), F.col("at").alias(name))
     me = F.struct("at", "h1", "h2")
     # one word changed: equal length, place and variant
     key = ["n", "i", "v1", "v2"]
-    firsts = v.groupBy(*key).agg(F.min(me).alias("first"), F.count("*").alias("k")).where("k > 1").drop("k")
-    changed = v.join(firsts, key).where("first.at < at").select("h1", "h2", "first")
+    once = v.withColumn("key", F.xxhash64(*key))
+    twice = stored(once.groupBy("key").count().where("count > 1").select("key"), "keys")
+    several = once.join(small(twice, LOOKED_UP), "key").select("h1", "h2", *key).join(at("h", "at"), ["h1", "h2"])
+    firsts = several.groupBy(*key).agg(F.min(me).alias("first"))
+    changed = several.join(firsts, key).where("first.at < at").select("h1", "h2", "first")
     # one word left out: a variant of the longer is the shorter line
-    short = whole.select(F.col("f1").alias("v1"), F.col("f2").alias("v2"), (F.col("n") + 1).alias("n"), me.alias("short"))
-    pairs = stored(v.join(short, ["v1", "v2", "n"]).select("h1", "h2", me.alias("long"), "short"), "pairs")
-    longer = pairs.where("short.at < long.at").select("h1", "h2", F.col("short").alias("first"))
-    shorter = pairs.where("long.at < short.at").groupBy("short").agg(F.min("long").alias("first")).select("short.h1", "short.h2", "first")
-    found = changed.unionByName(longer).unionByName(shorter).groupBy("h1", "h2").agg(F.collect_set("first").alias("firsts")).select("h1", "h2", F.explode("firsts").alias("first"))
+    short = v.where("i = 0").select(F.col("f1").alias("v1"), F.col("f2").alias("v2"), (F.col("n") + 1).alias("n"), F.col("h1").alias("s1"), F.col("h2").alias("s2"))
+    pairs = v.join(small(stored(short, "short"), LOOKED_UP), ["v1", "v2", "n"]).select("h1", "h2", "s1", "s2").distinct()
+    pairs = stored(pairs.join(at("h", "at"), ["h1", "h2"]).join(at("s", "short_at"), ["s1", "s2"]), "pairs")
+    longer = pairs.where("short_at < at").select("h1", "h2", F.struct(F.col("short_at").alias("at"), F.col("s1").alias("h1"), F.col("s2").alias("h2")).alias("first"))
+    shorter = pairs.where("at < short_at").groupBy("s1", "s2").agg(F.min(me).alias("first")).select(F.col("s1").alias("h1"), F.col("s2").alias("h2"), "first")
+    found = changed.unionByName(longer).unionByName(shorter).select("h1", "h2", F.col("first.h1").alias("g1"), F.col("first.h2").alias("g2")).distinct()
 
     a, b = lines.select("h1", "h2", F.col("h").alias("x")), lines.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("h").alias("y"))
-    tried = found.select("h1", "h2", F.col("first.h1").alias("g1"), F.col("first.h2").alias("g2")).join(a, ["h1", "h2"]).join(b, ["g1", "g2"])
-    return tried.where(within_one(F.col("x"), F.col("y"))).select("h1", "h2").distinct()
+    return found.join(a, ["h1", "h2"]).join(b, ["g1", "g2"]).where(within_one(F.col("x"), F.col("y"))).select("h1", "h2").distinct()
 
 
 def within_one(x: Column, y: Column) -> Column:
@@ -107,8 +110,8 @@ def dropped(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     all_lines = stored(_lines(docs, text), "lines")
     at = F.struct("doc_id", "mark", "no").alias("at")
-    distinct = stored(all_lines.groupBy("h1", "h2", "n").agg(F.min(at).alias("at"), F.count("*").alias("copies"), F.first("halves").alias("halves")), "distinct-lines")
-    near = _near(distinct, docs, text).withColumn("near", F.lit(True))
+    distinct = stored(all_lines.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.count("*").alias("copies"), F.max("n").alias("n")), "distinct-lines")
+    near = _near(all_lines, distinct, docs, text).withColumn("near", F.lit(True))
     told = distinct.join(near, ["h1", "h2"], "left").where("copies > 1 OR near").select("h1", "h2", F.col("at").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
     gone = all_lines.join(told, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "mark", "no") != F.col("first")))
     return gone.groupBy("doc_id", "mark").agg(F.collect_set("no").alias("drops"))
