@@ -59,7 +59,8 @@ def write(found: DataFrame, path: str) -> None:
 def _segments(spark: SparkSession, path: str) -> DataFrame:
     """The bytes between magics, in the order of the file within each split."""
     raw = spark.read.option("lineSep", MAGIC).text(path)
-    return raw.select(F.col("value").cast("binary").alias("seg"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+    where = F.col("_metadata")
+    return raw.select(F.col("value").cast("binary").alias("seg"), where["file_path"].alias("path"), where["file_block_start"].alias("block"), where["file_size"].alias("length"))
 
 
 def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes]]]:
@@ -196,16 +197,18 @@ def _stitched(spark: SparkSession, path: str, bases: DataFrame, cut: DataFrame,
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p, block, segs in _splits(batches):
-            at = 0
+            at = 0  # the file's last segment has no magic after it: pieces end with the file
             for seg in segs:
                 whole = seg + MAGIC.encode()
                 yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([block], pa.int64()), pa.array([at], pa.int64()), pa.array([whole], pa.binary())], names=["path", "block", "at", "tile"])
                 at += len(seg) + size
 
+    files = _segments(spark, path).select("path", "length").distinct()
     placed = _segments(spark, path).mapInArrow(tiles, "path string, block long, at long, tile binary").join(small(bases), ["path", "block"]).withColumn("from", F.col("at") + F.col("base"))
-    met = placed.join(small(cut), "path").where((F.col("from") < F.col("hi")) & (F.col("from") + F.octet_length("tile") > F.col("lo")))
+    due = stored(cut.join(files, "path").withColumn("end", F.least("hi", "length")), "due")
+    met = placed.join(small(due), "path").where((F.col("from") < F.col("hi")) & (F.col("from") + F.octet_length("tile") > F.col("lo")))
     skip = F.greatest(F.col("lo") - F.col("from"), F.lit(0))
-    piece = F.substring(F.col("tile"), (skip + 1).cast("int"), (F.least(F.col("hi") - F.col("from"), F.octet_length("tile")) - skip).cast("int"))
+    piece = F.substring(F.col("tile"), (skip + 1).cast("int"), (F.least(F.col("end") - F.col("from"), F.octet_length("tile")) - skip).cast("int"))
     parts = met.groupBy("path", "offset", "size", "header").agg(F.array_sort(F.collect_list(F.struct("from", piece.alias("piece")))).alias("parts"))
     body = parts.withColumn("body", F.aggregate("parts", F.lit("").cast("binary"), lambda a, x: F.concat(a, x.piece))).where(F.octet_length("body") == F.col("size"))
 
