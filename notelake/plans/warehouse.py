@@ -14,8 +14,16 @@ from ..sources import notes
 AS_OF = date(2024, 1, 31)
 
 
+#: Facts that are kept for the session's other queries, by application, folder and day.
+_KEPT: dict[tuple[str, str, date], DataFrame] = {}
+
+
 class Warehouse:
-    """Base tables, facts, tags and status of a folder. Frames are plans; nothing runs before an action."""
+    """Base tables, facts, tags and status of a folder. Frames are plans; nothing runs before an action.
+
+    Facts are built once for a session and folder and kept by Spark in memory, then on disk, as the marts all read them;
+    lost parts are built again. A load that is to outlive the session writes them with operators.facts.write.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: date = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
@@ -29,7 +37,10 @@ class Warehouse:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return facts.facts(self.base)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.as_of)
+        if key not in _KEPT:
+            _KEPT[key] = facts.facts(self.base).persist()
+        return _KEPT[key]
 
     @cached_property
     def tags(self) -> DataFrame:
