@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Words and token pairs whose results a worker keeps.
-WORDS_KEPT, PAIRS_KEPT = 250_000, 400_000
+WORDS_KEPT, PAIRS_KEPT = 120_000, 200_000
 #: Rows of an output batch.
-BATCH = 1000
+BATCH = 500
 
 
 class Pieces:
@@ -144,6 +144,9 @@ class Pieces:
             parts[shown[0]] = parts[shown[0]][1:]
         return "".join(parts)
 
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+        return pa.array([self.decode(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string())
+
 
 def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
     """Starts and ends of the runs of true values."""
@@ -174,13 +177,15 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", to: str = "ids", end: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, path: str, text: str = "text", to: str = "ids", end: bool = True, back: str | None = None) -> DataFrame:
     """The rows with the ids of the whole text in column `to` (array<int>), as sentencepiece's encode() gives them.
 
-    With `end`, the model's end id follows. A null or empty text has no other ids. Other columns stay; one of the name
-    `to` is replaced. The file at `path` must be there on every executor.
+    With `end`, the model's end id follows. A null or empty text has no other ids. With `back`, the same pass decodes the ids to
+    text in that column, as decoded() does. Other columns stay; those of the new names are replaced. The file at `path` must
+    be there on every executor.
     """
-    docs = docs.drop(to) if to in docs.columns else docs
+    new = [to, *([back] if back else [])]
+    docs = docs.drop(*[c for c in new if c in docs.columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(path)
@@ -190,10 +195,14 @@ def encoded(docs: DataFrame, path: str, text: str = "text", to: str = "ids", end
                 batch = whole.slice(at, BATCH)
                 got = [p.encode(t) + tail for t in batch.column(text).to_pylist()]
                 ends = np.cumsum([0, *map(len, got)], dtype=np.int64) // 4
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(got), np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, to])
+                flat = np.frombuffer(b"".join(got), np.int32)
+                made = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
+                if back:
+                    made.append(p.decode_all(flat, ends))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *new])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(to, T.ArrayType(T.IntegerType()))]))
+    kinds = [T.StructField(to, T.ArrayType(T.IntegerType())), *([T.StructField(back, T.StringType())] if back else [])]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *kinds]))
 
 
 def decoded(docs: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -206,8 +215,7 @@ def decoded(docs: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
                 col = batch.column(ids)
-                flat, ends = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
-                texts = pa.array([p.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+                texts = p.decode_all(col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy())
                 yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, to])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(to, T.StringType())]))
@@ -215,5 +223,5 @@ def decoded(docs: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """doc_id with the count and digests of encoding and decoding back."""
-    both = decoded(encoded(docs.select("doc_id", "text"), path).drop("text"), path)
+    both = encoded(docs.select("doc_id", "text"), path, back="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -251,6 +251,8 @@ def test_sentencepiece(spark, corpus):
         ids = model.encode(t or "", add_eos=True)
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(model.decode(ids).encode()).hexdigest()))
     assert got == sorted(want)
+    two = pieces.decoded(pieces.encoded(frame(spark, rows), model_path()).drop("text"), model_path()).select("doc_id", F.sha2("decoded", 256))
+    assert sorted(map(tuple, two.collect())) == sorted((i, d) for i, _, _, d in want)
     assert pieces.digest(frame(spark, []), model_path()).count() == 0
 
 
