@@ -47,8 +47,8 @@ def held_out() -> Column:
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """note_id, prediction, confidence."""
-    out = model.transform(rows)
+    """note_id, prediction, confidence, by the model's steps after the indexing of the target, which the rows lack."""
+    out = PipelineModel(model.stages[1:]).transform(rows)
     return out.select("note_id", "prediction", F.array_max(vector_to_array("probability")).alias("confidence"))
 
 
