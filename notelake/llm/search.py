@@ -13,12 +13,16 @@ from .common import WORD_GAP, ascii_lower, stored, words
 
 K1, B = 1.2, 0.75
 #: Documents of a shard, about, and of a block of it.
-SHARD, BLOCK = 12_288, 128
+SHARD, BLOCK = 8_192, 128
 #: Terms in more than this share of a shard's documents are kept as dense rows with block maxima.
-DENSE = 1 / 24
+DENSE = 1 / 16
 #: Most terms of the queries that are sent out at once, about, and queries scored together.
-TERMS_AT_ONCE, QUERIES_AT_ONCE = 2_000_000, 128
+TERMS_AT_ONCE, QUERIES_AT_ONCE = 2_000_000, 64
 
+#: One of LATER shards is searched first, for floors.
+LATER = 8
+
+_FOUND = "key long, doc_id long, score double"
 _INDEX = "shard int, n long, words long, ids binary, lengths binary, terms binary, starts binary, docs binary, tfs binary, same binary"
 
 
@@ -35,7 +39,13 @@ def build(docs: DataFrame, text: str = "text", shard: int = SHARD) -> DataFrame:
     count = max(1, -(-docs.count() // shard))
     rows = docs.select("doc_id", terms_of(F.col(text)).alias("terms"))
     rows = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(count)).cast("int").alias("shard"), "doc_id", "terms")
-    return stored(rows.groupBy("shard").applyInPandas(_built, _INDEX), "index")
+    return stored(rows.repartitionById(count, F.col("shard")).mapInPandas(_shards, _INDEX), "index")
+
+
+def _shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A partition is a shard."""
+    if got := [f for f in frames if len(f)]:
+        yield _built(pd.concat(got))
 
 
 def _built(rows: pd.DataFrame) -> pd.DataFrame:
@@ -48,39 +58,55 @@ def _built(rows: pd.DataFrame) -> pd.DataFrame:
     # documents of like words and length stand together, which makes block maxima tight
     lengths = np.array([len(t) for t in unique], np.int64)
     flat = np.concatenate(unique) if unique else np.empty(0, np.int64)
+    del texts, unique
     terms, own = np.unique(flat, return_inverse=True)
-    doc = np.repeat(np.arange(len(unique)), lengths)
-    del flat, texts
+    own = own.astype(np.int32)
+    del flat
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     total = np.bincount(own, minlength=len(terms))
     top = np.argsort(-total, kind="stable")[:64]
     slot = np.full(len(terms), -1)
     slot[top] = np.arange(len(top))
     seen = slot[own] >= 0
-    mix = np.zeros((len(unique), max(len(top), 1)))
+    mix = np.zeros((len(lengths), max(len(top), 1)))
     np.add.at(mix, (doc[seen], slot[own[seen]]), 1)
     mix /= np.maximum(lengths, 1)[:, None]
-    seeds = mix[lengths.argsort(kind="stable")[:: max(1, len(unique) // 6)][:6]] if len(unique) else mix
-    kind = ((mix[:, None, :] - seeds[None, :, :]) ** 2).sum(axis=2).argmin(axis=1) if len(unique) else np.empty(0, int)
-    place = np.empty(len(unique), np.int64)
-    place[np.lexsort((lengths, kind))] = np.arange(len(unique))
-    key, tf = np.unique(own.astype(np.int64) * max(len(unique), 1) + place[doc], return_counts=True)
-    at, docs = np.divmod(key, max(len(unique), 1))
+    seeds = mix[lengths.argsort(kind="stable")[:: max(1, len(lengths) // 6)][:6]] if len(lengths) else mix
+    kind = ((mix[:, None, :] - seeds[None, :, :]) ** 2).sum(axis=2).argmin(axis=1) if len(lengths) else np.empty(0, int)
+    place = np.empty(len(lengths), np.int64)
+    place[np.lexsort((lengths, kind))] = np.arange(len(lengths))
+    key = own.astype(np.int64)
+    key *= max(len(lengths), 1)
+    key += place[doc]
+    del own, doc
+    key, tf = np.unique(key, return_counts=True)
+    at, docs = np.divmod(key, max(len(lengths), 1))
     starts = np.searchsorted(at, np.arange(len(terms) + 1))
-    ordered = np.empty(len(unique), np.int64)
+    ordered = np.empty(len(lengths), np.int64)
     ordered[place] = lengths
     return pd.DataFrame([{
         "shard": int(rows["shard"].iloc[0]), "n": len(ids), "words": int(lengths[same].sum()), "ids": ids.tobytes(), "lengths": ordered.tobytes(), "terms": terms.tobytes(),
-        "starts": starts.astype(np.int64).tobytes(), "docs": docs.astype(np.int32).tobytes(), "tfs": tf.astype(np.int32).tobytes(), "same": place[same].astype(np.int32).tobytes(),
+        "starts": starts.astype(np.int64).tobytes(), "docs": docs.astype(_small(len(lengths))).tobytes(), "tfs": tf.astype(_small(tf.max(initial=0) + 1)).tobytes(), "same": place[same].astype(np.int32).tobytes(),
     }])
 
 
+def _small(count: int) -> type:
+    return np.uint16 if count <= 2**16 else np.int32
+
+
+def _postings(row) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and counts of a shard's postings, of whichever width they were written in."""
+    n = int(np.frombuffer(row.starts, np.int64)[-1])
+    return tuple(np.frombuffer(x, np.uint16 if len(x) == 2 * n else np.int32).astype(np.int32) for x in (row.docs, row.tfs))
+
+
 def _frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Shards -> (term, df): in how many of the shard's rows, copies included, a term is."""
     for frame in frames:
         for row in frame.itertuples():
             copies = np.bincount(np.frombuffer(row.same, np.int32), minlength=len(row.lengths) // 8)
             terms, starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int64)
-            sums = np.concatenate([[0], np.cumsum(copies[np.frombuffer(row.docs, np.int32)])])
+            sums = np.concatenate([[0], np.cumsum(copies[_postings(row)[0]])])
             df = sums[starts[1:]] - sums[starts[:-1]]
             for i in range(0, len(terms), 50_000):
                 yield pd.DataFrame({"term": terms[i : i + 50_000], "df": df[i : i + 50_000]})
@@ -93,7 +119,7 @@ class Shard:
         self.ids, self.same = np.frombuffer(row.ids, np.int64), np.frombuffer(row.same, np.int32)
         lengths = np.frombuffer(row.lengths, np.int64)
         self.terms, self.starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int64)
-        self.docs, tf = np.frombuffer(row.docs, np.int32), np.frombuffer(row.tfs, np.int32)
+        self.docs, tf = _postings(row)
         self.n = len(lengths)
         norm = K1 * (1 - B + B * lengths / average)
         self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
@@ -102,78 +128,82 @@ class Shard:
         often = np.flatnonzero(df > self.n * DENSE)
         self.slot = np.full(len(self.terms), -1)
         self.slot[often] = np.arange(len(often))
-        self.dense = np.zeros((len(often), self.blocks * BLOCK), np.float32)
+        self.dense = np.zeros((self.blocks * BLOCK, len(often)), np.float32)
         for k, t in enumerate(often):
             a, b = self.starts[t : t + 2]
-            self.dense[k, self.docs[a:b]] = self.impact[a:b]
-        self.most = self.dense.reshape(len(often), self.blocks, BLOCK).max(axis=2)
+            self.dense[self.docs[a:b], k] = self.impact[a:b]
+        self.most = self.dense.reshape(self.blocks, BLOCK, len(often)).max(axis=1)
         order = np.argsort(self.docs, kind="stable")
-        self.by_doc = order.astype(np.int32)
         self.doc_starts = np.searchsorted(self.docs[order], np.arange(self.n + 1))
-        self.term_of = np.repeat(np.arange(len(self.terms), dtype=np.int32), df)
+        self.own_terms, self.own_impact = np.repeat(np.arange(len(self.terms), dtype=np.int32), df)[order], self.impact[order]
         rows = np.argsort(self.same, kind="stable")
         self.rows, self.row_starts = rows, np.searchsorted(self.same[rows], np.arange(self.n + 1))
 
-    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[int, list[tuple[float, int]]]]:
-        """The k best rows of each query (key, terms, weights), exactly.
+    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int, floors: np.ndarray | None = None) -> Iterator[tuple[int, list[tuple[float, int]]]]:
+        """The k best rows of each query (key, terms, weights), exactly; with floors, only of those that reach theirs.
 
         Postings of rarer terms are added up first. With block maxima of the frequent terms they bound every block; blocks
         that can't reach the k-th best of some documents scored in full are skipped. What is left is scored in full, and the
         best anew in double precision.
         """
-        wide = self.blocks * BLOCK
-        score = np.full((len(queries), wide), -1.0)
-        weight = np.zeros((len(queries), len(self.dense)), np.float32)
-        floor, used = np.full(len(queries), np.inf), []
-        for q, (_, terms, ws) in enumerate(queries):
-            at = np.searchsorted(self.terms, terms)
-            hit = at < len(self.terms)
-            hit[hit] = self.terms[at[hit]] == terms[hit]
-            at, ws = at[hit], ws[hit]
-            used.append((at, ws))
-            if not len(at):
-                continue
-            often = self.slot[at]
-            weight[q, often[often >= 0]] = ws[often >= 0]
-            rare, w = at[often < 0], ws[often < 0]
-            a, b = self.starts[rare], self.starts[rare + 1]
-            if len(rare):
-                docs = np.concatenate([self.docs[x:y] for x, y in zip(a, b, strict=True)])
-                parts = np.concatenate([self.impact[x:y] for x, y in zip(a, b, strict=True)]) * np.repeat(w, b - a)
-                score[q] = np.bincount(docs, weights=parts, minlength=wide)
-            else:
-                score[q] = 0
-            score[q, self.n :] = -1
-            some = np.argpartition(-score[q], min(4 * k, self.n - 1))[: 4 * k]
+        wide, count = self.blocks * BLOCK, len(queries)
+        of = np.repeat(np.arange(count), [len(t) for _, t, _ in queries])
+        terms, ws = np.concatenate([t for _, t, _ in queries]), np.concatenate([w for _, _, w in queries])
+        at = np.searchsorted(self.terms, terms)
+        hit = at < len(self.terms)
+        hit[hit] = self.terms[at[hit]] == terms[hit]
+        of, at, ws = of[hit], at[hit], ws[hit]
+        edges = np.searchsorted(of, np.arange(count + 1))
+        often = self.slot[at]
+        weight = np.zeros((count, self.dense.shape[1]), np.float32)
+        weight[of[often >= 0], often[often >= 0]] = ws[often >= 0]
+        # the postings of all rarer terms of these queries, one after the other
+        rare = often < 0
+        first = self.starts[at[rare]]
+        size = self.starts[at[rare] + 1] - first
+        place = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+        cell = np.repeat(of[rare] * wide, size) + self.docs[place]
+        score = np.bincount(cell, weights=self.impact[place] * np.repeat(ws[rare], size), minlength=count * wide).astype(float, copy=False).reshape(count, wide)
+        del place, cell
+        score[:, self.n :] = -1
+        floor = np.full(count, np.inf)
+        copies = np.minimum(np.diff(self.row_starts), k)
+        few = min(4 * k, self.n - 1)
+        for q in np.flatnonzero(np.diff(edges)):
+            some = np.argpartition(-score[q], few)[: 4 * k]
             some = some[some < self.n]
-            full = score[q, some] + weight[q] @ self.dense[:, some]
-            full = np.sort(np.repeat(full, np.minimum(np.diff(self.row_starts)[some], k)))
+            full = np.sort(np.repeat(score[q, some] + self.dense[some] @ weight[q], copies[some]))
             floor[q] = full[-k] * (1 - 1e-4) if len(full) >= k else 0.0
-        bound = score.reshape(len(queries), self.blocks, BLOCK).max(axis=2) + weight @ self.most.reshape(len(self.dense), self.blocks)
+            if floors is not None:
+                floor[q] = max(floor[q], floors[q] * (1 - 1e-4))
+        bound = score.reshape(count, self.blocks, BLOCK).max(axis=2) + weight @ self.most.T
         for block in range(self.blocks):
             part = slice(block * BLOCK, (block + 1) * BLOCK)
             live = bound[:, block] * (1 + 1e-4) >= floor
             if live.any():
-                score[live, part] += weight[live] @ self.dense[:, part]
+                score[live, part] += weight[live] @ self.dense[part].T
             score[~live, part] = -1
         score[:, self.n :] = -1
         whole = np.zeros(len(self.terms))
         for q, (key, _, _) in enumerate(queries):
-            at, ws = used[q]
-            if not len(at):
+            own_at, own_ws = at[edges[q] : edges[q + 1]], ws[edges[q] : edges[q + 1]]
+            if not len(own_at):
                 continue
             good = np.flatnonzero((score[q] >= floor[q]) & (score[q] > 0))
-            if len(good) > 4 * k:
-                kth = -np.partition(-score[q, good], k)[k]
-                good = good[score[q, good] >= min(kth, score[q, good].max()) * (1 - 1e-4)]
-            whole[at] = ws
-            found = []
-            for d in good:
-                own = self.by_doc[self.doc_starts[d] : self.doc_starts[d + 1]]
-                parts = whole[self.term_of[own]] * self.impact[own]
-                s = float(parts[parts != 0].sum())
-                found += [(-s, int(self.ids[r])) for r in self.rows[self.row_starts[d] : self.row_starts[d + 1]][:k]]
-            whole[at] = 0
+            if len(good) > k:
+                kth = -np.partition(-score[q, good], k - 1)[k - 1]
+                good = good[score[q, good] >= kth * (1 - 1e-4)]
+            if not len(good):
+                yield key, []
+                continue
+            whole[own_at] = own_ws
+            first = self.doc_starts[good]
+            size = self.doc_starts[good + 1] - first
+            ahead = np.cumsum(size) - size
+            own = np.arange(size.sum()) + np.repeat(first - ahead, size)
+            exact = np.add.reduceat(whole[self.own_terms[own]] * self.own_impact[own], ahead)  # in the order of the terms: equal texts get equal sums
+            found = [(-float(s), int(self.ids[r])) for s, d in zip(exact, good, strict=True) for r in self.rows[self.row_starts[d] : self.row_starts[d + 1]][:k]]
+            whole[own_at] = 0
             yield key, sorted(found)[:k]
 
 
@@ -192,7 +222,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, text: str = "text",
     asked = asked.select("query_id", F.xxhash64("terms").alias("key"), "terms")
     names = stored(asked.select("query_id", "key"), "names")
     counts = asked.dropDuplicates(["key"]).select("key", F.explode("terms").alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
-    df = index.select("lengths", "terms", "starts", "docs", "same").mapInPandas(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    df = index.select("lengths", "terms", "starts", "docs", "tfs", "same").mapInPandas(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     n = float(total["n"] or 0)
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = counts.join(df, "term").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("term", (F.col("tf") * idf).alias("weight")))).alias("t"))
@@ -203,21 +233,29 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, text: str = "text",
     found = None
     for part in range(parts):
         block = ready.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == part).toPandas()  # about TERMS_AT_ONCE terms
-        sent = spark.sparkContext.broadcast([(int(a), np.asarray(t, np.int64), np.asarray(w, float)) for a, t, w in block.itertuples(index=False)])
-        own = index.mapInPandas(_searcher(sent, average, k), "key long, doc_id long, score double")
+        asked_now = [(int(a), np.asarray(t, np.int64), np.asarray(w, float)) for a, t, w in block.itertuples(index=False)]
+        sent = spark.sparkContext.broadcast(asked_now)
+        early = stored(index.where(F.col("shard") % LATER == 0).mapInPandas(_searcher(sent, average, k), _FOUND), "early")
+        # the k-th best of the first shards is a floor for the others, which then give little more than what counts
+        floors = early.groupBy("key").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).where(F.size("s") >= k).select("key", F.get("s", F.lit(k - 1)).alias("floor"))
+        known = {r["key"]: r["floor"] for r in floors.collect()}  # a number for each query of the block
+        at = spark.sparkContext.broadcast(np.array([known.get(q[0], 0.0) for q in asked_now]))
+        own = early.unionByName(index.where(F.col("shard") % LATER != 0).mapInPandas(_searcher(sent, average, k, at), _FOUND))
         found = own if found is None else found.unionByName(own)
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "doc_id"))
     best = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return names.join(best, "key").select("query_id", "rank", F.when(F.col("doc_id") != -(2**63), F.col("doc_id")).alias("doc_id"), "score")
 
 
-def _searcher(sent, average: float, k: int):
+def _searcher(sent, average: float, k: int, at=None):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
                 shard, queries = Shard(row, average), sent.value
+                floors = None if at is None else at.value
                 for i in range(0, len(queries) if shard.n else 0, QUERIES_AT_ONCE):
-                    got = [(key, d, -s) for key, rows in shard.search(queries[i : i + QUERIES_AT_ONCE], k) for s, d in rows]
+                    part = slice(i, i + QUERIES_AT_ONCE)
+                    got = [(key, d, -s) for key, rows in shard.search(queries[part], k, None if floors is None else floors[part]) for s, d in rows]
                     yield pd.DataFrame(got, columns=["key", "doc_id", "score"])
 
     return run
