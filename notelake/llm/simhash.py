@@ -212,21 +212,35 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = WIDTH, rad
     document for the component; null ids never name one unless they are alone. No rows give no rows.
     """
     rows = stored(fingerprints(docs.select("doc_id", text), text, "fp", width).select("doc_id", "fp"), "fingerprints")
-    firsts = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(firsts.select("fp"), radius))
-    named = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = _rooted(rows, radius)
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of = named.select("fp", "root").join(ids, "root").select("fp", "component_id")
     return rows.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(rows: DataFrame, radius: int) -> DataFrame:
+    """Stored rows (doc_id, fp) -> each distinct fp with its smallest doc_id (`first`) and the smallest fp of its component (`root`)."""
+    firsts = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    roots = components(links(firsts.select("fp"), radius))
+    return firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """near_duplicates() with the fingerprint as 16 hexadecimal digits."""
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The documents less the near-duplicates: of each component, the row of the smallest doc_id (one of equal rows)."""
-    named = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    met = docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return met.dropDuplicates(["doc_id"])
+    """The documents less the near-duplicates: of each component, one row, that of the smallest doc_id.
+
+    Null ids come last, and rows of one id go by a hash of the row, so that reruns agree. Rows of one id (or of none)
+    in different components all stay.
+    """
+    cols = [F.col(c) for c in docs.columns]
+    keyed = docs.withColumn("_row", F.xxhash64(*cols, *[c.isNull() for c in cols]))
+    rows = stored(fingerprints(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "fp"), "fingerprints")
+    of = _rooted(rows, RADIUS).select("fp", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = rows.join(of, "fp").groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._row").alias("_of"))
+    met = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left_semi")
+    return met.dropDuplicates(["doc_id", "_row"]).drop("_row")

@@ -159,6 +159,16 @@ def test_simhash(spark, corpus):
     assert {r.doc_id for r in simhash.kept(frame(spark, rows)).collect()} == set(least.values())
 
 
+def test_simhash_keeps_one_row_of_each_component(spark):
+    texts = [prose(60, random.Random(k)) for k in range(6)]
+    rows = [(None, texts[0], "x"), (None, texts[1], "x"), (None, texts[1], "y"), (7, texts[2], "x"), (7, texts[3], "x"), (7, texts[3], "x"), (None, texts[4], "x"), (9, texts[4], "x"), (8, texts[5], None)]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in simhash.kept(docs).collect()]
+    assert sorted((r[:2] for r in got), key=str) == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4]), (8, texts[5])], key=str)
+    assert sorted(got, key=str) == sorted((tuple(r) for r in simhash.kept(docs.repartition(5)).collect()), key=str)
+    assert simhash.kept(docs).columns == docs.columns
+
+
 def test_simhash_blocks(spark):
     rnd = random.Random(2)
     fps = list({0x0F0F0F0F0F0F0F0F ^ sum(1 << b for b in rnd.sample(range(16), 2)) for _ in range(60)} | {rnd.getrandbits(63) for _ in range(60)})
