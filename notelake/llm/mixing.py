@@ -49,25 +49,33 @@ def targets(by_source: DataFrame, share: float = 1.5, most: float = 2.0, weights
 
 
 def schedule(spark: SparkSession, goals: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Slots of the mix: slot, source, rank of the slot within the source.
+    """Slots of the mix: slot, source, rank of the slot within the source, and its words.
 
     Slot k of n takes the source whose stretch of cumulative target holds the golden-ratio point of k. Ranks come
-    from counts per run of slots and a window within the run, so that no source's slots meet in one task.
+    from counts per run of slots and a window within the run, so that no source's slots meet in one task. A slot has
+    `block` words, a source's last one what remains of its target (to the nearest word). Slots beyond the target go;
+    a source that got too few has the others after the last slot.
     """
+    goals = goals.withColumn("goal", F.round("target").cast("long"))
     edge = Window.orderBy(F.col("source").asc_nulls_last())
-    reach = goals.select("source", F.sum("target").over(edge.rowsBetween(Window.unboundedPreceding, 0)).alias("hi"), F.sum("target").over(Window.partitionBy()).alias("all"))
+    reach = goals.select("source", "goal", F.sum("target").over(edge.rowsBetween(Window.unboundedPreceding, 0)).alias("hi"), F.sum("target").over(Window.partitionBy()).alias("all"))
     reach = reach.withColumn("lo", F.lag("hi", 1, 0.0).over(edge))
-    cut = reach.agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "source"))).alias("reach"), F.max("all").alias("all"))
-    n = cut.select(F.coalesce(F.ceil(F.col("all") / block), F.lit(0)).alias("n")).first()["n"]
+    n = reach.agg(F.coalesce(F.ceil(F.max("all") / block), F.lit(0)).alias("n")).first()["n"]
     slots = spark.range(0, n).withColumnRenamed("id", "slot")
     point = (F.col("slot") % F.lit(2**31)) * F.lit(GOLDEN) % F.lit(2**32) / F.lit(float(2**32))
     placed = slots.withColumn("point", point).join(F.broadcast(reach.where("hi > lo")), (F.col("point") * F.col("all") >= F.col("lo")) & (F.col("point") * F.col("all") < F.col("hi")))
-    placed = placed.select("slot", "source", F.floor(F.col("slot") / RUN).alias("run"))
+    placed = placed.select("slot", "source", "goal", F.floor(F.col("slot") / RUN).alias("run"))
     counts = placed.groupBy("source", "run").agg(F.count("*").alias("n"))
     ahead = counts.withColumn("ahead", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     within = F.row_number().over(Window.partitionBy("source", "run").orderBy("slot")) - 1
     a, b = placed.withColumn("within", within).alias("a"), ahead.alias("b")
-    return a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.run") == F.col("b.run"))).select("a.slot", "a.source", (F.col("ahead") + F.col("within")).alias("rank"))
+    ranked = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.run") == F.col("b.run"))).select("a.slot", "a.source", "a.goal", (F.col("ahead") + F.col("within")).alias("rank"))
+    g, c = goals.select("source", "goal").alias("g"), counts.groupBy("source").agg(F.sum("n").alias("have")).alias("c")
+    short = g.join(c, F.col("g.source").eqNullSafe(F.col("c.source")), "left").select("g.source", "g.goal", F.coalesce("have", F.lit(0)).alias("have")).where(F.col("have") * block < F.col("goal"))
+    more = short.select("source", "goal", F.explode(F.sequence(F.col("have"), F.ceil(F.col("goal") / block) - 1)).alias("rank"))
+    more = more.select((F.row_number().over(Window.orderBy("rank", F.col("source").asc_nulls_last())) - 1 + F.lit(n)).cast("long").alias("slot"), "source", "goal", "rank")
+    words = F.least(F.lit(block), F.col("goal") - F.col("rank") * block).cast("long")
+    return ranked.unionByName(more).select("slot", "source", "rank", words.alias("words")).where("words > 0")
 
 
 def _places(sized: DataFrame) -> DataFrame:
@@ -82,28 +90,21 @@ def _places(sized: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: the words the mix takes of each document.
 
-    Every source's documents are shuffled (by hash) and laid end to end, then cut into blocks of `block` words. The
-    source's slots of the schedule, by rank, take its blocks in turn, from the first again after the last; a last
-    short block ends a pass. `taken` counts a document's words in the blocks that slots took. A source never takes
-    more than `most` passes. Nulls: a null text has size 0, a null source is a source, a null doc_id is an id.
-    Documents without words get taken 0; no rows give no rows. Repeated rows count apart, each with its place.
+    Every source's documents are shuffled (by hash) and laid end to end, over and over, then cut into blocks of
+    `block` words. The source's slots of the schedule, by rank, take its blocks in turn; a block goes on over the end
+    of a pass, and the last one is as long as what remains of the target. `taken` counts a document's words in the
+    blocks that slots took: over a source they sum to its target, to the nearest word, so at most to `most` passes.
+    Nulls: a null text has size 0, a null source is a source, a null doc_id is an id. Documents without words get
+    taken 0; no rows give no rows. Repeated rows count apart, each with its place.
     """
     spark = docs.sparkSession
     sized = stored(sizes(docs), "mix-sizes")
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = stored(targets(by_source, share, most, weights), "mix-targets")
-    ranks = schedule(spark, goals, block)
-    a, b = goals.alias("a"), ranks.alias("b")
-    blocks = F.ceil(F.col("source_size") / block)
-    dealt = (
-        a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")), "left")
-        .select("a.*", "b.rank")
-        .where(F.col("rank").isNull() | (F.col("rank") < most * blocks))
-        .groupBy("source", "source_size", "target")
-        .agg(F.count("rank").alias("slots"))
-    )
-    whole = F.when(blocks > 0, F.floor(F.col("slots") / blocks)).otherwise(F.lit(0))
-    dealt = dealt.withColumn("passes", whole).withColumn("cut", F.least((F.col("slots") - F.col("passes") * blocks) * block, F.col("source_size")))
+    a, b = goals.alias("a"), schedule(spark, goals, block).groupBy("source").agg(F.sum("words").alias("words")).alias("b")
+    dealt = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.source", "a.source_size", "a.target", F.coalesce("words", F.lit(0)).alias("words"))
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(F.lit(0))
+    dealt = dealt.withColumn("passes", whole).withColumn("cut", F.col("words") - F.col("passes") * F.col("source_size"))
     p, q = _places(sized).alias("p"), small(dealt).alias("q")
     part = F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), F.col("cut")) - F.least(F.col("start"), F.col("cut")))
     return p.join(q, F.col("p.source").eqNullSafe(F.col("q.source"))).select(

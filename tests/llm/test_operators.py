@@ -341,3 +341,20 @@ def test_mixing(spark):
     assert mixing.mix(docs.where("false")).count() == 0
     out = mixing.rendered(docs)
     assert out.columns == docs.columns and out.where("doc_id = 2000").count() == 0
+
+
+def test_mixing_reaches_small_targets(spark):
+    sizes = {"big": 60000} | {f"s{n}-{k}": n for n in (1, 40, 130, 300) for k in range(15)}
+    rows = [(k, " ".join(["w"] * min(40, size - at)), s) for k, (s, size, at) in enumerate((s, size, at) for s, size in sizes.items() for at in range(0, size, 40))]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    taken, target = defaultdict(int), {}
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 0.5 + 1e-6 for s in sizes)
+    goals = spark.createDataFrame(list(target.items()), "source string, target double")
+    slots = mixing.schedule(spark, goals).collect()
+    assert len({r.slot for r in slots}) == len(slots)
+    for s in sizes:
+        own = sorted((r.rank, r.words) for r in slots if r.source == s)
+        assert [k for k, _ in own] == list(range(len(own))) and all(w == mixing.BLOCK for _, w in own[:-1])
