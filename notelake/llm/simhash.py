@@ -27,17 +27,24 @@ PAIRWISE = 12
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def fingerprint(text: str | None, width: int = WIDTH) -> int:
-    """Signed 64 bits. A bit is 1 if it is set in over half the shingles' XXH64 (seed 42); no words: zero."""
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
+    """XXH64 (seed 42) of the shingles in their order; fewer words: one shingle of them all; none: none."""
     ws = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
     if not ws:
-        return 0
+        return np.empty(0, "<u8")
     line = b" ".join(ws)
     ends = np.cumsum([len(w) + 1 for w in ws])
     starts = [0, *ends[: max(len(ws) - width, 0)].tolist()]
     stops = (ends[min(width, len(ws)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(line[a:b], 42) for a, b in zip(starts, stops, strict=True)], dtype="<u8")
+    return np.array([digest(line[a:b], 42) for a, b in zip(starts, stops, strict=True)], dtype="<u8")
+
+
+def fingerprint(text: str | None, width: int = WIDTH) -> int:
+    """Signed 64 bits. A bit is 1 if it is set in over half the shingles' XXH64 (seed 42); no words: zero."""
+    h = shingles(text, width)
+    if not len(h):
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, len(h), 4096):
         counts += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -233,14 +240,24 @@ def digest(docs: DataFrame) -> DataFrame:
 def kept(docs: DataFrame) -> DataFrame:
     """The documents less the near-duplicates: of each component, one row, that of the smallest doc_id.
 
-    Null ids come last, and rows of one id go by a hash of the row, so that reruns agree. Rows of one id (or of none)
-    in different components all stay.
+    Two texts are linked if their fingerprints are within the radius, as in near_duplicates(), or if their five-word
+    shingles have a Jaccard similarity of 0.8 or more (alike.py). Null ids come last, and rows of one id go by a hash
+    of the row, so that reruns agree. Rows of one id (or of none) in different components all stay.
     """
+    from . import alike
+
     cols = [F.col(c) for c in docs.columns]
     keyed = docs.withColumn("_row", F.xxhash64(*cols, *[c.isNull() for c in cols]))
-    rows = stored(fingerprints(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "fp"), "fingerprints")
-    of = _rooted(rows, RADIUS).select("fp", "root")
+    rows = stored(alike.sketched(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "sketch.*"), "sketches")
+    nodes = stored(rows.groupBy("node").agg(F.min("_row").alias("_row"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+    alikes = alike.links(nodes, keyed.select("_row", "text"))
+    of = _rooted(rows, RADIUS).select("fp", F.col("root").alias("group"))
+    # a group of fingerprints is linked by its smallest node
+    grouped = rows.join(of, "fp").select("doc_id", "_row", "node", "group")
+    tied = grouped.join(grouped.groupBy("group").agg(F.min("node").alias("a")), "group").select("a", F.col("node").alias("b")).distinct()
+    roots = components(alikes.unionByName(tied)).withColumnRenamed("root", "_root")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    first = rows.join(of, "fp").groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._row").alias("_of"))
+    named = grouped.join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))
+    first = named.groupBy("_root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._row").alias("_of"))
     met = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left_semi")
     return met.dropDuplicates(["doc_id", "_row"]).drop("_row")

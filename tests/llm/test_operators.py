@@ -169,6 +169,28 @@ def test_simhash_keeps_one_row_of_each_component(spark):
     assert simhash.kept(docs).columns == docs.columns
 
 
+def test_simhash_stage_drops_similar_texts(spark):
+    rnd, rows, want = random.Random(11), [], set()
+    sets = lambda ws: {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
+    likeness = lambda a, b: len(sets(a) & sets(b)) / len(sets(a) | sets(b))
+    for k in range(60):
+        a = [f"w{rnd.randrange(10**6)}" for _ in range(rnd.randrange(200, 400))]
+        least = (0.8, 0.85, 0.9, 0.3)[k % 4]
+        b = list(a)
+        while True:
+            at = rnd.randrange(len(a))
+            after = [*b[:at], f"x{rnd.randrange(10**6)}", *b[at + 1 :]]
+            if likeness(a, after) < least:
+                break
+            b = after
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+        want |= {2 * k} if likeness(a, b) >= 0.8 else {2 * k, 2 * k + 1}
+    hub = [f"h{j}" for j in range(300)]
+    for k in range(40):  # one large group: its members are at 0.93 or more to each other
+        rows.append((1000 + k, " ".join([*hub[: 6 * k], f"y{k}", *hub[6 * k + 1 :]])))
+    assert {r.doc_id for r in simhash.kept(frame(spark, rows)).collect()} == want | {1000}
+
+
 def test_simhash_blocks(spark):
     rnd = random.Random(2)
     fps = list({0x0F0F0F0F0F0F0F0F ^ sum(1 << b for b in rnd.sample(range(16), 2)) for _ in range(60)} | {rnd.getrandbits(63) for _ in range(60)})
