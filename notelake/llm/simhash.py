@@ -237,27 +237,31 @@ def digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def kept(docs: DataFrame) -> DataFrame:
+def kept(docs: DataFrame, least: float | None = None) -> DataFrame:
     """The documents less the near-duplicates: of each component, one row, that of the smallest doc_id.
 
-    Two texts are linked if their fingerprints are within the radius, as in near_duplicates(), or if their five-word
-    shingles have a Jaccard similarity of 0.8 or more (alike.py). Null ids come last, and rows of one id go by a hash
+    Two texts are linked if their fingerprints are within the radius, as in near_duplicates(), or, with `least`, if
+    their five-word shingles have that Jaccard similarity or more (alike.py). Null ids come last, and rows of one id go by a hash
     of the row, so that reruns agree. Rows of one id (or of none) in different components all stay.
     """
     from . import alike
 
     cols = [F.col(c) for c in docs.columns]
     keyed = docs.withColumn("_row", F.xxhash64(*cols, *[c.isNull() for c in cols]))
-    rows = stored(alike.sketched(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "sketch.*"), "sketches")
-    nodes = stored(rows.groupBy("node").agg(F.min("_row").alias("_row"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
-    alikes = alike.links(nodes, keyed.select("_row", "text"))
-    of = _rooted(rows, RADIUS).select("fp", F.col("root").alias("group"))
-    # a group of fingerprints is linked by its smallest node
-    grouped = rows.join(of, "fp").select("doc_id", "_row", "node", "group")
-    tied = grouped.join(grouped.groupBy("group").agg(F.min("node").alias("a")), "group").select("a", F.col("node").alias("b")).distinct()
-    roots = components(alikes.unionByName(tied)).withColumnRenamed("root", "_root")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    named = grouped.join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))
+    if least is None:
+        rows = stored(fingerprints(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "fp"), "fingerprints")
+        named = rows.join(_rooted(rows, RADIUS).select("fp", F.col("root").alias("_root")), "fp")
+    else:
+        rows = stored(alike.sketched(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "sketch.*"), "sketches")
+        nodes = stored(rows.groupBy("node").agg(F.min("_row").alias("_row"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+        alikes = alike.links(nodes, keyed.select("_row", "text"), least=least)
+        of = _rooted(rows, RADIUS).select("fp", F.col("root").alias("group"))
+        # a group of fingerprints is linked by its smallest node
+        grouped = rows.join(of, "fp").select("doc_id", "_row", "node", "group")
+        tied = grouped.join(grouped.groupBy("group").agg(F.min("node").alias("a")), "group").select("a", F.col("node").alias("b")).distinct()
+        roots = components(alikes.unionByName(tied)).withColumnRenamed("root", "_root")
+        named = grouped.join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))
     first = named.groupBy("_root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._row").alias("_of"))
     met = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left_semi")
     return met.dropDuplicates(["doc_id", "_row"]).drop("_row")

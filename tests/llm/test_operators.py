@@ -188,7 +188,7 @@ def test_simhash_stage_drops_similar_texts(spark):
     hub = [f"h{j}" for j in range(300)]
     for k in range(40):  # one large group: its members are at 0.93 or more to each other
         rows.append((1000 + k, " ".join([*hub[: 6 * k], f"y{k}", *hub[6 * k + 1 :]])))
-    assert {r.doc_id for r in simhash.kept(frame(spark, rows)).collect()} == want | {1000}
+    assert {r.doc_id for r in simhash.kept(frame(spark, rows), 0.8).collect()} == want | {1000}
 
 
 def test_simhash_blocks(spark):
