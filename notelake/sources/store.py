@@ -7,11 +7,27 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Folders that are already marked to go when their application ends.
+_MARKED: set[str] = set()
+
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; only where that is unset, as in tests, under a local folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """A new path under spark.checkpoint.dir, in a folder of this application that is deleted when its driver ends.
+
+    Only on a local master, as in tests, may the setting be absent: then a local folder is set. Elsewhere that is an error.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="notelake-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="notelake-"))
+        base = context.getCheckpointDir()
+    own = f"{base.rstrip('/')}/notelake-{context.applicationId}"
+    if own not in _MARKED:
+        path = context._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _MARKED.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
