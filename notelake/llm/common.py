@@ -1,31 +1,23 @@
-"""Shared helpers: the shared scratch folder, size-checked broadcasts and text expressions."""
+"""Shared helpers: stored frames, size-checked and salted joins, free column names and text expressions."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import folder
+
 #: Most rows of a side that is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+#: Parts that the rows of one key are dealt to in a shuffled join.
+SALTS = 8
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
-
-    Only where the setting is absent, as in tests, a local folder is set as Spark's checkpoint folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="notelake-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
+    return folder(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -35,9 +27,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Has the stored frame at most `rows` rows?"""
+    return df.limit(rows + 1).count() <= rows
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if the stored frame holds at most `rows` rows; else leave it to a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if is_small(df, rows) else df
+
+
+def looked_up(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+    """Join with a stored frame that has one row for each key (not null).
+
+    It is broadcast if it is small. Else both sides are shuffled, the rows of each key in `salts` parts, so that a key that holds
+    a third of all rows doesn't meet in one task.
+    """
+    if is_small(right, rows):
+        return left.join(F.broadcast(right), on, how)
+    (salt,) = free([*left.columns, *right.columns], "salt")
+    dealt = left.withColumn(salt, (F.monotonically_increasing_id() % salts).cast("int"))
+    return dealt.join(right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [*on, salt], how).drop(salt)
+
+
+def free(taken: Iterable[str], *names: str) -> list[str]:
+    """The names with as many underscores ahead as it takes to clash with none of the taken ones, whatever their case."""
+    seen, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in seen:
+            name = f"_{name}"
+        seen.add(name.lower())
+        out.append(name)
+    return out
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

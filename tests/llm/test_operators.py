@@ -1,12 +1,15 @@
 """Each operator against a plain version on small fixtures: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import gzip
 import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -251,14 +254,46 @@ def test_warc(spark, tmp_path):
 
 def test_warc_payloads_and_cut_files(spark, tmp_path):
     path = str(tmp_path / "w")
-    warc.write(warc.records(spark.createDataFrame([(1, "u", "päge"), (2, "u", "")], "page_id long, url string, html string").coalesce(1)), path)
+    warc.write(warc.records(spark.createDataFrame([(1, "http://x/WARC/1.1\r\n", "päge"), (2, "u", "")], "page_id long, url string, html string").coalesce(1)), path)
     got = {r.payload.decode() for r in warc.read(spark, path).collect()}
     assert got == {"päge", ""}
     part = next(p for p in (tmp_path / "w").iterdir() if p.suffix == ".txt" and p.stat().st_size)
     whole = part.read_bytes()
-    (tmp_path / "cut").mkdir()
+    for folder in ("cut", "old", "zip", "other"):
+        (tmp_path / folder).mkdir()
     (tmp_path / "cut" / "a.warc").write_bytes(whole[:-6])
     assert warc.read(spark, str(tmp_path / "cut")).count() == 1
+    (tmp_path / "old" / "a.warc").write_bytes(whole.replace(b"WARC/1.1\r\nWARC-Type", b"WARC/1.0\r\nWARC-Type"))
+    assert {r.payload.decode() for r in warc.read(spark, str(tmp_path / "old")).collect()} == got
+    records = [b"WARC/1." + r for r in whole.split(b"WARC/1.") if r.startswith(b"1\r\nWARC-Type")]
+    (tmp_path / "zip" / "a.warc.gz").write_bytes(gzip.compress(whole[: len(whole) // 2]) + gzip.compress(whole[len(whole) // 2 :]))
+    assert len(records) == 2 and {r.payload.decode() for r in warc.read(spark, str(tmp_path / "zip")).collect()} == got
+    (tmp_path / "other" / "a.warc").write_bytes(b"no archive")
+    with pytest.raises(Exception, match="doesn't begin with a record"):
+        warc.read(spark, str(tmp_path / "other")).count()
+
+
+def test_warc_past_the_broadcast(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"{i} WARC/1.1\r\n" * 40) for i in range(60)], "page_id long, url string, html string").coalesce(1)
+    warc.write(warc.records(pages), str(tmp_path / "w"))
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        assert {r.payload.decode() for r in warc.read(spark, str(tmp_path / "w"), splits=0).collect()} == {r.html for r in pages.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", saved[1])
+
+
+def test_warc_candidates_hold_no_payloads():
+    fake = b"1\r\nContent-Length: 2000000\r\n\r\n" + b"x" * 950
+    one = pa.RecordBatch.from_pydict({"seg": [b""] + [fake] * 2000, "path": ["p"] * 2001, "block": pa.array([0] * 2001, pa.int64())})
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in warc._offsets(iter([one])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2001 and peak < 10 << 20
 
 
 def test_chat(spark):
