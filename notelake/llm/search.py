@@ -1,4 +1,4 @@
-"""Exact BM25 top-k: inverted indexes by shard with block-max pruning, merged with global statistics."""
+"""Exact BM25 top-k: inverted indexes by shard with block-max WAND pruning, merged with global statistics."""
 
 from __future__ import annotations
 
@@ -12,18 +12,25 @@ from pyspark.sql import functions as F
 from .common import WORD_GAP, ascii_lower, stored, words
 
 K1, B = 1.2, 0.75
-#: Documents of a shard, about, and of a block of it.
-SHARD, BLOCK = 8_192, 128
-#: Terms in more than this share of a shard's documents are kept as dense rows with block maxima.
+#: Bytes of text and rows of a shard, about (a word has a byte and a gap), and documents of a block of it.
+SHARD, SHARD_ROWS, BLOCK = 16 << 20, 50_000, 128
+#: Cells of the sketches by which documents of like words are put into the same blocks.
+SKETCH = 128
+#: Terms in more than this share of a shard's documents are added up as dense rows, block by block.
 DENSE = 1 / 16
-#: Most terms of the queries that are sent out at once, about, and queries scored together.
-TERMS_AT_ONCE, QUERIES_AT_ONCE = 2_000_000, 64
-
+#: Most terms of the queries that meet a shard at once, about, and queries scored together.
+TERMS_AT_ONCE, QUERIES_AT_ONCE = 1_000_000, 64
+#: Blocks of a query, by falling bound, that are scored in the first wave, and how much longer each next one is.
+WAVE, GROWTH = 2, 3
+#: Slack for sums in single precision; what is found is scored anew in double precision.
+SLACK = 1e-4
 #: One of LATER shards is searched first, for floors.
 LATER = 8
 
 _FOUND = "key long, doc_id long, score double"
 _INDEX = "shard int, n long, words long, ids binary, lengths binary, terms binary, starts binary, docs binary, tfs binary, same binary"
+_SEALED = f"{_INDEX}, average double, entries binary, blocks binary, firsts binary, most binary"
+_BLOCKS = "keys binary, ends binary, terms binary, weights binary, floors binary"
 
 
 def terms_of(text: Column) -> Column:
@@ -31,15 +38,23 @@ def terms_of(text: Column) -> Column:
     return F.transform(words(ascii_lower(text), WORD_GAP), lambda w: F.xxhash64(w))
 
 
-def build(docs: DataFrame, text: str = "text", shard: int = SHARD) -> DataFrame:
-    """The index, one row per shard: postings by term, and which rows are copies of which.
+def build(docs: DataFrame, text: str = "text", shard: int = SHARD) -> tuple[DataFrame, int, float]:
+    """The index, one row per shard, with the count of all rows and their mean length in words.
 
-    Rows of equal words share their postings. Null texts are empty; they are counted, but found by no query.
+    A shard has postings by term, which rows are copies of which, and, for each term, the greatest impact in every block of
+    documents. Rows are dealt to shards evenly whatever their ids, in shards of bounded text. Rows of equal words share
+    their postings. Null texts are empty; they are counted, but found by no query.
     """
-    count = max(1, -(-docs.count() // shard))
-    rows = docs.select("doc_id", terms_of(F.col(text)).alias("terms"))
-    rows = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(count)).cast("int").alias("shard"), "doc_id", "terms")
-    return stored(rows.repartitionById(count, F.col("shard")).mapInPandas(_shards, _INDEX), "index")
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")).first()
+    count = max(1, -(-size["bytes"] // shard), -(-size["n"] // SHARD_ROWS))
+    rows = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("doc_id"), terms_of(F.col(text)).alias("terms"))
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(count)).cast("int").alias("shard"), "doc_id", "terms")
+    open_ = stored(rows.repartitionById(count, F.col("shard")).mapInPandas(_shards, _INDEX), "postings")
+    total = open_.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    n = total["n"] or 0
+    average = max((total["words"] or 0) / max(n, 1), 1e-9)
+    sealed = open_.withColumn("average", F.lit(average)).mapInPandas(_sealed, _SEALED)
+    return stored(sealed, "index"), n, average
 
 
 def _shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -49,13 +64,12 @@ def _shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _built(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("doc_id", kind="stable", na_position="first")
-    ids = rows["doc_id"].fillna(-(2**63)).to_numpy(dtype=np.int64)
+    rows = rows.sort_values("doc_id", kind="stable")
+    ids = rows["doc_id"].to_numpy(dtype=np.int64)
     texts = [np.asarray(t, dtype=np.int64) for t in rows["terms"]]
     first: dict[bytes, int] = {}
     same = np.array([first.setdefault(np.sort(t).tobytes(), len(first)) for t in texts], np.int32)
     unique = [texts[i] for i in np.unique(same, return_index=True)[1]]
-    # documents of like words and length stand together, which makes block maxima tight
     lengths = np.array([len(t) for t in unique], np.int64)
     flat = np.concatenate(unique) if unique else np.empty(0, np.int64)
     del texts, unique
@@ -63,18 +77,9 @@ def _built(rows: pd.DataFrame) -> pd.DataFrame:
     own = own.astype(np.int32)
     del flat
     doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-    total = np.bincount(own, minlength=len(terms))
-    top = np.argsort(-total, kind="stable")[:64]
-    slot = np.full(len(terms), -1)
-    slot[top] = np.arange(len(top))
-    seen = slot[own] >= 0
-    mix = np.zeros((len(lengths), max(len(top), 1)))
-    np.add.at(mix, (doc[seen], slot[own[seen]]), 1)
-    mix /= np.maximum(lengths, 1)[:, None]
-    seeds = mix[lengths.argsort(kind="stable")[:: max(1, len(lengths) // 6)][:6]] if len(lengths) else mix
-    kind = ((mix[:, None, :] - seeds[None, :, :]) ** 2).sum(axis=2).argmin(axis=1) if len(lengths) else np.empty(0, int)
+    # documents of like words and length stand together, which makes block maxima tight
     place = np.empty(len(lengths), np.int64)
-    place[np.lexsort((lengths, kind))] = np.arange(len(lengths))
+    place[np.lexsort((lengths, _kinds(doc, own, terms, len(lengths))))] = np.arange(len(lengths))
     key = own.astype(np.int64)
     key *= max(len(lengths), 1)
     key += place[doc]
@@ -90,6 +95,24 @@ def _built(rows: pd.DataFrame) -> pd.DataFrame:
     }])
 
 
+def _kinds(doc: np.ndarray, own: np.ndarray, terms: np.ndarray, count: int) -> np.ndarray:
+    """A number for each document, equal for documents of like words: the nearest of a centre for each block, by words of weight in SKETCH cells."""
+    if not count:
+        return np.empty(0, int)
+    weight = np.log(1 + count / np.maximum(np.bincount(own, minlength=len(terms)), 1)) * np.where(terms & 1, 1.0, -1.0)
+    cell = ((terms >> 1) % SKETCH).astype(np.int32)
+    sketch = np.bincount(doc * np.int64(SKETCH) + cell[own], weights=weight[own], minlength=count * SKETCH).reshape(count, SKETCH).astype(np.float32)
+    sketch /= np.maximum(np.sqrt((sketch**2).sum(axis=1, keepdims=True)), 1e-9)
+    centres = sketch[:: max(1, count * 2 // (3 * max(1, count // BLOCK)))]
+    for _ in range(3):
+        kind = (sketch @ centres.T).argmax(axis=1)
+        order = np.argsort(kind, kind="stable")
+        at = np.unique(kind[order], return_index=True)[1]
+        centres = np.add.reduceat(sketch[order], at, axis=0)
+        centres /= np.maximum(np.sqrt((centres**2).sum(axis=1, keepdims=True)), 1e-9)
+    return (sketch @ centres.T).argmax(axis=1)
+
+
 def _small(count: int) -> type:
     return np.uint16 if count <= 2**16 else np.int32
 
@@ -100,6 +123,30 @@ def _postings(row) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.frombuffer(x, np.uint16 if len(x) == 2 * n else np.int32).astype(np.int32) for x in (row.docs, row.tfs))
 
 
+def _impact(row) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of a shard's postings, and what each adds to a score for a weight of one."""
+    docs, tf = _postings(row)
+    norm = K1 * (1 - B + B * np.frombuffer(row.lengths, np.int64) / row.average)
+    return docs, tf * (K1 + 1) / (tf + norm[docs])
+
+
+def _sealed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds the entries: the runs of a term's postings in one block, with the greatest impact of each, rounded up."""
+    for frame in frames:
+        for row in frame.itertuples(index=False):
+            docs, impact = _impact(row)
+            starts, blocks = np.frombuffer(row.starts, np.int64), docs // BLOCK
+            edge = np.ones(len(docs), bool)
+            edge[1:] = blocks[1:] != blocks[:-1]
+            edge[starts[:-1]] = True
+            entries = np.flatnonzero(edge)
+            most = np.maximum.reduceat(impact, entries) if len(entries) else impact
+            yield pd.DataFrame([row._asdict() | {
+                "entries": np.append(entries, len(docs)).astype(np.int64).tobytes(), "blocks": blocks[entries].astype(np.int32).tobytes(),
+                "firsts": np.searchsorted(entries, starts).astype(np.int64).tobytes(), "most": np.nextafter(most.astype(np.float32), np.float32(np.inf)).tobytes(),
+            }])
+
+
 def _frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Shards -> (term, df): in how many of the shard's rows, copies included, a term is."""
     for frame in frames:
@@ -113,40 +160,43 @@ def _frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Shard:
-    """One shard's index, ready for search."""
+    """One shard's index, ready for search. `scored` of the `met` pairs of a query and a block were looked into."""
 
-    def __init__(self, row, average: float):
+    def __init__(self, row):
         self.ids, self.same = np.frombuffer(row.ids, np.int64), np.frombuffer(row.same, np.int32)
-        lengths = np.frombuffer(row.lengths, np.int64)
         self.terms, self.starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int64)
-        self.docs, tf = _postings(row)
-        self.n = len(lengths)
-        norm = K1 * (1 - B + B * lengths / average)
-        self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
+        self.docs, self.impact = _impact(row)
+        self.entries, self.firsts = np.frombuffer(row.entries, np.int64), np.frombuffer(row.firsts, np.int64)
+        self.of, self.most = np.frombuffer(row.blocks, np.int32), np.frombuffer(row.most, np.float32)
+        self.n = len(row.lengths) // 8
         self.blocks = -(-self.n // BLOCK)
+        self.met = self.scored = 0
         df = np.diff(self.starts)
         often = np.flatnonzero(df > self.n * DENSE)
         self.slot = np.full(len(self.terms), -1)
         self.slot[often] = np.arange(len(often))
         self.dense = np.zeros((self.blocks * BLOCK, len(often)), np.float32)
+        self.peaks = np.zeros((self.blocks, len(often)), np.float32)
         for k, t in enumerate(often):
             a, b = self.starts[t : t + 2]
             self.dense[self.docs[a:b], k] = self.impact[a:b]
-        self.most = self.dense.reshape(self.blocks, BLOCK, len(often)).max(axis=1)
-        order = np.argsort(self.docs, kind="stable")
-        self.doc_starts = np.searchsorted(self.docs[order], np.arange(self.n + 1))
+            a, b = self.firsts[t : t + 2]
+            self.peaks[self.of[a:b], k] = self.most[a:b]
+        order = np.argsort(self.docs.astype(np.uint16), kind="stable") if self.n <= 2**16 else np.argsort(self.docs, kind="stable")
+        self.doc_starts = np.concatenate([[0], np.cumsum(np.bincount(self.docs, minlength=self.n))])
         self.own_terms, self.own_impact = np.repeat(np.arange(len(self.terms), dtype=np.int32), df)[order], self.impact[order]
-        rows = np.argsort(self.same, kind="stable")
-        self.rows, self.row_starts = rows, np.searchsorted(self.same[rows], np.arange(self.n + 1))
+        self.rows = np.argsort(self.same, kind="stable")
+        self.row_starts = np.searchsorted(self.same[self.rows], np.arange(self.n + 1))
 
-    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int, floors: np.ndarray | None = None) -> Iterator[tuple[int, list[tuple[float, int]]]]:
-        """The k best rows of each query (key, terms, weights), exactly; with floors, only of those that reach theirs.
+    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int, floors: np.ndarray) -> Iterator[tuple[int, list[tuple[float, int]]]]:
+        """The k best rows of each query (key, terms, weights) of those that reach its floor, exactly.
 
-        Postings of rarer terms are added up first. With block maxima of the frequent terms they bound every block; blocks
-        that can't reach the k-th best of some documents scored in full are skipped. What is left is scored in full, and the
-        best anew in double precision.
+        The sum of its terms' block maxima bounds every block of a query. Blocks are taken in waves by falling bound, and
+        the k-th best score so far is the bar: a block whose bound is below it is passed over with all its postings. In a
+        block that is looked into, the postings of the rarer terms are added first; with the block maxima of the frequent terms
+        they bound it anew before the frequent terms are added. What reaches the bar is scored in double precision.
         """
-        wide, count = self.blocks * BLOCK, len(queries)
+        count = len(queries)
         of = np.repeat(np.arange(count), [len(t) for _, t, _ in queries])
         terms, ws = np.concatenate([t for _, t, _ in queries]), np.concatenate([w for _, _, w in queries])
         at = np.searchsorted(self.terms, terms)
@@ -157,110 +207,153 @@ class Shard:
         often = self.slot[at]
         weight = np.zeros((count, self.dense.shape[1]), np.float32)
         weight[of[often >= 0], often[often >= 0]] = ws[often >= 0]
-        # the postings of all rarer terms of these queries, one after the other
         rare = often < 0
-        first = self.starts[at[rare]]
-        size = self.starts[at[rare] + 1] - first
-        place = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-        cell = np.repeat(of[rare] * wide, size) + self.docs[place]
-        score = np.bincount(cell, weights=self.impact[place] * np.repeat(ws[rare], size), minlength=count * wide).astype(float, copy=False).reshape(count, wide)
-        del place, cell
-        score[:, self.n :] = -1
-        floor = np.full(count, np.inf)
+        entry, size = _ranges(self.firsts[at[rare]], self.firsts[at[rare] + 1])
+        query, load = np.repeat(of[rare], size), np.repeat(ws[rare], size)
+        cell = query * self.blocks + self.of[entry]
+        frequent = weight @ self.peaks.T
+        bound = np.bincount(cell, weights=self.most[entry] * load, minlength=count * self.blocks).reshape(count, self.blocks) + frequent
+        bound *= 1 + SLACK
+        by_bound = np.argsort(-bound, axis=1)
+        bar = floors * (1 - SLACK)
+        pools: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in queries]
+        kept = [np.empty(0)] * count
         copies = np.minimum(np.diff(self.row_starts), k)
-        few = min(4 * k, self.n - 1)
-        for q in np.flatnonzero(np.diff(edges)):
-            some = np.argpartition(-score[q], few)[: 4 * k]
-            some = some[some < self.n]
-            full = np.sort(np.repeat(score[q, some] + self.dense[some] @ weight[q], copies[some]))
-            floor[q] = full[-k] * (1 - 1e-4) if len(full) >= k else 0.0
-            if floors is not None:
-                floor[q] = max(floor[q], floors[q] * (1 - 1e-4))
-        bound = score.reshape(count, self.blocks, BLOCK).max(axis=2) + weight @ self.most.T
-        for block in range(self.blocks):
-            part = slice(block * BLOCK, (block + 1) * BLOCK)
-            live = bound[:, block] * (1 + 1e-4) >= floor
-            if live.any():
-                score[live, part] += weight[live] @ self.dense[part].T
-            score[~live, part] = -1
-        score[:, self.n :] = -1
+        rows = np.arange(count)[:, None]
+        self.met += count * self.blocks
+        low, high = 0, WAVE
+        while low < self.blocks:
+            wave = by_bound[:, low:high]
+            good = (bound[rows, wave] >= bar[:, None]) & (bound[rows, wave] > 0)
+            low, high = high, high * GROWTH
+            if not good.any():
+                break
+            qs, bs = np.nonzero(good)[0], wave[good]
+            self.scored += len(qs)
+            pair = np.full(count * self.blocks, -1)
+            pair[qs * self.blocks + bs] = np.arange(len(qs))
+            mine = pair[cell]
+            live = np.flatnonzero(mine >= 0)
+            place, width = _ranges(self.entries[entry[live]], self.entries[entry[live] + 1])
+            inner = np.repeat(mine[live] * BLOCK, width) + self.docs[place] % BLOCK
+            score = np.bincount(inner, weights=self.impact[place] * np.repeat(load[live], width), minlength=len(qs) * BLOCK).astype(float, copy=False).reshape(-1, BLOCK)
+            still = np.flatnonzero((score.max(axis=1) + frequent[qs, bs]) * (1 + SLACK) >= bar[qs])
+            still = still[np.argsort(bs[still], kind="stable")]
+            for part in np.split(still, np.flatnonzero(np.diff(bs[still])) + 1):
+                if len(part):
+                    block = slice(bs[part[0]] * BLOCK, (bs[part[0]] + 1) * BLOCK)
+                    score[part] += weight[qs[part]] @ self.dense[block].T
+            still = np.sort(still)
+            hot, column = np.nonzero((score[still] >= bar[qs[still], None]) & (score[still] > 0))
+            values, docs, whose = score[still[hot], column], bs[still[hot]] * BLOCK + column, qs[still[hot]]
+            parts = np.searchsorted(whose, np.arange(count + 1))
+            for q in np.flatnonzero(np.diff(parts)):
+                d, v = docs[parts[q] : parts[q + 1]], values[parts[q] : parts[q + 1]]
+                pools[q].append((d, v))
+                best = np.concatenate([kept[q], np.repeat(v, copies[d])])
+                if len(best) >= k:
+                    best = -np.partition(-best, k - 1)[:k]
+                    bar[q] = max(bar[q], best[k - 1] * (1 - SLACK))
+                kept[q] = best
         whole = np.zeros(len(self.terms))
         for q, (key, _, _) in enumerate(queries):
-            own_at, own_ws = at[edges[q] : edges[q + 1]], ws[edges[q] : edges[q + 1]]
-            if not len(own_at):
-                continue
-            good = np.flatnonzero((score[q] >= floor[q]) & (score[q] > 0))
-            if len(good) > k:
-                kth = -np.partition(-score[q, good], k - 1)[k - 1]
-                good = good[score[q, good] >= kth * (1 - 1e-4)]
+            good = np.concatenate([d[v >= bar[q]] for d, v in pools[q]]) if pools[q] else np.empty(0, int)
             if not len(good):
                 yield key, []
                 continue
-            whole[own_at] = own_ws
-            first = self.doc_starts[good]
-            size = self.doc_starts[good + 1] - first
+            good.sort()
+            own_at = at[edges[q] : edges[q + 1]]
+            whole[own_at] = ws[edges[q] : edges[q + 1]]
+            own, size = _ranges(self.doc_starts[good], self.doc_starts[good + 1])
             ahead = np.cumsum(size) - size
-            own = np.arange(size.sum()) + np.repeat(first - ahead, size)
             exact = np.add.reduceat(whole[self.own_terms[own]] * self.own_impact[own], ahead)  # in the order of the terms: equal texts get equal sums
             found = [(-float(s), int(self.ids[r])) for s, d in zip(exact, good, strict=True) for r in self.rows[self.row_starts[d] : self.row_starts[d + 1]][:k]]
             whole[own_at] = 0
             yield key, sorted(found)[:k]
 
 
-def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, text: str = "text", query_id: str = "query_id", query: str = "query") -> DataFrame:
+def _ranges(first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after the other, and the size of each."""
+    size = after - first
+    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size), size
+
+
+def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Queries (key, terms, weights, floor) -> blocks of about TERMS_AT_ONCE terms, a row each."""
+    held, size = [], 0
+
+    def row() -> pd.DataFrame:
+        terms, weights = [np.asarray(r.terms, np.int64) for r in held], [np.asarray(r.weights, float) for r in held]
+        return pd.DataFrame([{
+            "keys": np.array([r.key for r in held], np.int64).tobytes(), "ends": np.cumsum([len(t) for t in terms]).astype(np.int64).tobytes(),
+            "terms": np.concatenate(terms).tobytes(), "weights": np.concatenate(weights).tobytes(), "floors": np.array([r.floor for r in held], float).tobytes(),
+        }])
+
+    for frame in frames:
+        for r in frame.itertuples(index=False):
+            held.append(r)
+            size += len(r.terms)
+            if size >= TERMS_AT_ONCE:
+                yield row()
+                held, size = [], 0
+    if held:
+        yield row()
+
+
+def _searcher(k: int):
+    """A mapInPandas body over rows of a shard and a block of queries."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = shard = None
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if row.shard != number:
+                    number, shard = row.shard, Shard(row)
+                keys, ends = np.frombuffer(row.keys, np.int64).tolist(), np.frombuffer(row.ends, np.int64)[:-1]
+                asked = list(zip(keys, np.split(np.frombuffer(row.q_terms, np.int64), ends), np.split(np.frombuffer(row.weights, float), ends), strict=True))
+                floors = np.frombuffer(row.floors, float)
+                for i in range(0, len(asked) if shard.n else 0, QUERIES_AT_ONCE):
+                    part = slice(i, i + QUERIES_AT_ONCE)
+                    got = [(key, d, -s) for key, rows in shard.search(asked[part], k, floors[part]) for s, d in rows]
+                    yield pd.DataFrame(got, columns=["key", "doc_id", "score"])
+
+    return run
+
+
+def _searched(index: DataFrame, queries: DataFrame, k: int, parts: int) -> DataFrame:
+    """Every shard meets every block of the query set; neither is shuffled or sent to the driver: tasks read both from the shared folder."""
+    blocks = stored(queries.coalesce(parts).mapInPandas(_packed, _BLOCKS), "blocks").withColumnRenamed("terms", "q_terms")
+    return index.crossJoin(blocks.hint("shuffle_replicate_nl")).mapInPandas(_searcher(k), _FOUND)
+
+
+def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, text: str = "text", query_id: str = "query_id", query: str = "query", shard: int = SHARD) -> DataFrame:
     """query_id, rank (from 1), doc_id, score: the k documents of highest BM25 score for each query, and no others.
 
     Scores use the document frequencies, count and mean length of all documents; a query's repeated words count as often.
     Equal scores go by doc_id. Documents that share no word with a query aren't found; queries without words, null or
-    empty, find nothing. Equal queries are searched once. Terms are told apart by 64-bit hashes. Queries go out in blocks of about
-    TERMS_AT_ONCE terms, each a bounded broadcast; no rows give no rows. A null doc_id counts as the smallest.
+    empty, find nothing. Equal queries are searched once. Terms are told apart by 64-bit hashes. The stated query set goes over the
+    shards in blocks of about TERMS_AT_ONCE terms. One of LATER shards is searched first: the k-th best there is a floor for the others,
+    which then give little more than what counts. No rows give no rows. A null doc_id counts as the smallest.
     """
-    spark = docs.sparkSession
-    index = build(docs, text)
-    total = index.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    index, n, _ = build(docs, text, shard)
     asked = queries.select(F.col(query_id).alias("query_id"), F.array_sort(terms_of(F.col(query))).alias("terms")).where(F.size("terms") > 0)
     asked = asked.select("query_id", F.xxhash64("terms").alias("key"), "terms")
     names = stored(asked.select("query_id", "key"), "names")
     counts = asked.dropDuplicates(["key"]).select("key", F.explode("terms").alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
     df = index.select("lengths", "terms", "starts", "docs", "tfs", "same").mapInPandas(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    n = float(total["n"] or 0)
-    idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = counts.join(df, "term").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("term", (F.col("tf") * idf).alias("weight")))).alias("t"))
     ready = stored(weighed.select("key", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")), "queries")
-    size = ready.agg(F.sum(F.size("terms")).alias("s")).first()["s"] or 0
-    parts = max(1, -(-size // TERMS_AT_ONCE))
-    average = max((total["words"] or 0) / max(n, 1), 1e-9)
-    found = None
-    for part in range(parts):
-        block = ready.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == part).toPandas()  # about TERMS_AT_ONCE terms
-        asked_now = [(int(a), np.asarray(t, np.int64), np.asarray(w, float)) for a, t, w in block.itertuples(index=False)]
-        sent = spark.sparkContext.broadcast(asked_now)
-        early = stored(index.where(F.col("shard") % LATER == 0).mapInPandas(_searcher(sent, average, k), _FOUND), "early")
-        # the k-th best of the first shards is a floor for the others, which then give little more than what counts
-        floors = early.groupBy("key").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).where(F.size("s") >= k).select("key", F.get("s", F.lit(k - 1)).alias("floor"))
-        known = {r["key"]: r["floor"] for r in floors.collect()}  # a number for each query of the block
-        at = spark.sparkContext.broadcast(np.array([known.get(q[0], 0.0) for q in asked_now]))
-        own = early.unionByName(index.where(F.col("shard") % LATER != 0).mapInPandas(_searcher(sent, average, k, at), _FOUND))
-        found = own if found is None else found.unionByName(own)
+    parts = max(1, -(-(ready.agg(F.sum(F.size("terms")).alias("s")).first()["s"] or 0) // TERMS_AT_ONCE))
+    early = stored(_searched(index.where(F.col("shard") % LATER == 0), ready.withColumn("floor", F.lit(0.0)), k, parts), "early")
+    floors = early.groupBy("key").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).select("key", F.get("s", F.lit(k - 1)).alias("floor"))
+    floored = ready.join(floors, "key", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+    found = early.unionByName(_searched(index.where(F.col("shard") % LATER != 0), floored, k, parts))
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "doc_id"))
     best = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return names.join(best, "key").select("query_id", "rank", F.when(F.col("doc_id") != -(2**63), F.col("doc_id")).alias("doc_id"), "score")
 
 
-def _searcher(sent, average: float, k: int, at=None):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                shard, queries = Shard(row, average), sent.value
-                floors = None if at is None else at.value
-                for i in range(0, len(queries) if shard.n else 0, QUERIES_AT_ONCE):
-                    part = slice(i, i + QUERIES_AT_ONCE)
-                    got = [(key, d, -s) for key, rows in shard.search(queries[part], k, None if floors is None else floors[part]) for s, d in rows]
-                    yield pd.DataFrame(got, columns=["key", "doc_id", "score"])
-
-    return run
-
-
 def digest(docs: DataFrame) -> DataFrame:
     """Every document whose id is divisible by 50 is a query, with its whole text, against all documents."""
     return top_k(docs, docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")))
