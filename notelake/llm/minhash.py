@@ -8,12 +8,13 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_GAP, ascii_lower, let, small, stored, words
+from .common import SPACE_GAP, ascii_lower, free, let, stored, words
 
 #: Bins (a power of two), low-order bits that are kept of each bin's minimum, words of a shingle.
 BINS, BITS, WIDTH = 128, 8, 5
-#: Documents, by doc_id, whose successors are looked up together.
-SPAN = 1024
+#: Bytes of text, about, of a range of documents whose successors are looked up together; most ranges (beyond it they grow), and
+#: documents that are sampled for the bounds of each.
+RANGE, RANGES, SAMPLED = 4 << 20, 50_000, 16
 
 
 def _donors(bins: int) -> list[list[int]]:
@@ -79,21 +80,49 @@ def likeness(a: Column, b: Column, bits: int = BITS) -> Column:
     return F.greatest(F.lit(0.0), (same - chance) / (1 - chance))
 
 
-def successors(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, Window]:
-    """(doc_id, text) with copies, and the window whose lead() is the next row by descending doc_id; after the last, the first.
+_KEY = "struct<some:int,id:bigint,tie:bigint,salt:bigint>"
 
-    Rows are grouped by ranges of doc_id; to each group comes a copy (`_guest`) of the first row of the next one, so that
-    no task sees more than one range. Drop the guests after the window. Null ids come last; equal ids go by text.
+
+def _bounds(keyed: DataFrame, key: str, size: int) -> list[dict]:
+    """The least keys of ranges of about equal size, by a sample of the keys: RANGES * SAMPLED rows at most, about."""
+    total = keyed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    ranges = min(RANGES, -(-total["bytes"] // size))
+    if ranges < 2:
+        return []
+    every = max(1, total["n"] // (ranges * SAMPLED))
+    got = sorted(r[0] for r in keyed.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0).select(key).distinct().collect())
+    return [r.asDict() for r in got[:: max(1, len(got) // ranges)]]
+
+
+def _range_of(key: Column, bounds: list[dict]) -> Column:
+    """The number of the range that holds a key: of the last bound that isn't above it, found in two steps."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, round(len(bounds) ** 0.5))
+    below = lambda array: F.greatest(F.size(F.filter(array, lambda b: b <= key)) - 1, F.lit(0))
+    heads = F.from_json(F.lit(json.dumps(bounds[::step])), f"array<{_KEY}>")  # folded to literals
+    parts = F.from_json(F.lit(json.dumps([bounds[i : i + step] for i in range(0, len(bounds), step)])), f"array<array<{_KEY}>>")
+    return let(below(heads), lambda part: part * step + below(F.get(parts, part)))
+
+
+def successors(docs: DataFrame, size: int = RANGE) -> tuple[DataFrame, Window, str]:
+    """(doc_id, text) with copies, the window whose lead() is the next row by descending doc_id (after the last, the first), and
+    the column that marks copies.
+
+    Null ids come last; equal ids go by a hash of the text, equal rows in any order. Rows are dealt to ranges of about `size`
+    bytes of text, bounded by keys of the table itself, so that none is empty; to each range comes a copy of the greatest row
+    of the one below, so that no task sees more than a range. Drop the copies after the window.
     """
-    placed = docs.withColumn("_group", F.floor(F.coalesce(F.col("doc_id"), F.lit(-(2**62))) / span)).withColumn("_tie", F.xxhash64("text"))
-    tops = placed.groupBy("_group").agg(F.max(F.struct("doc_id", "_tie")).alias("top"))
-    chain = Window.orderBy(F.desc("_group"))
-    ahead = F.coalesce(F.lag("_group").over(chain), F.min("_group").over(Window.partitionBy()))
-    links = stored(tops.select(ahead.alias("_to"), F.col("_group").alias("_from"), F.col("top.doc_id").alias("_id"), F.col("top._tie").alias("_t")), "successors")
-    first = (F.col("_group") == F.col("_from")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_t"))
-    guests = placed.join(small(links), first).select("doc_id", "text", F.col("_to").alias("_group"), "_tie", F.lit(True).alias("_guest")).dropDuplicates(["_group"])
-    both = placed.select("doc_id", "text", "_group", "_tie", F.lit(False).alias("_guest")).unionByName(guests)
-    return both, Window.partitionBy("_group").orderBy("_guest", F.desc_nulls_last("doc_id"), F.desc("_tie"))
+    key, group, guest, top, to = free(docs.columns, "key", "group", "guest", "top", "to")
+    keyed = docs.withColumn(key, F.struct(F.col("doc_id").isNotNull().cast("int").alias("some"), F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("id"), F.xxhash64("text").alias("tie"), F.xxhash64(F.monotonically_increasing_id()).alias("salt")))
+    bounds = _bounds(keyed, key, size)
+    placed = keyed.withColumn(group, _range_of(F.col(key), bounds))
+    own = F.struct(*[F.col(key)[c].alias(c) for c in ("some", "id", "tie")])
+    tops = stored(placed.groupBy(group).agg(F.max(own).alias(top)), "tops")  # a row for each range, RANGES at most, about
+    below = tops.select(F.col(group), F.col(top), F.pmod(F.col(group) + 1, F.lit(max(len(bounds), 1))).alias(to))
+    guests = placed.withColumn(top, own).join(F.broadcast(below), [group, top]).dropDuplicates([group])
+    both = placed.withColumn(guest, F.lit(False)).unionByName(guests.select(*docs.columns, key, F.col(to).alias(group), F.lit(True).alias(guest)))
+    return both, Window.partitionBy(group).orderBy(guest, F.desc(key)), guest
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -102,9 +131,9 @@ def digest(docs: DataFrame) -> DataFrame:
     Null texts count as empty, which fingerprint as zeros. Edited: the last third of the code points (rounded down)
     gives way to as many first ones of the next document by descending doc_id. A sole document is its own next.
     """
-    both, order = successors(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    both, order, guest = successors(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     own = both.withColumn("own", slots(F.col("text")))
-    met = own.select("*", F.lead("text").over(order).alias("next_text"), F.lead("own").over(order).alias("next_own")).where(~F.col("_guest"))
+    met = own.select("*", F.lead("text").over(order).alias("next_text"), F.lead("own").over(order).alias("next_own")).where(~F.col(guest))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
