@@ -1,37 +1,57 @@
-"""Quality classifier by positive-unlabelled learning with the non-negative risk."""
+"""Quality classifier by positive-unlabelled learning: non-negative unbiased risk with an estimated class prior."""
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free, stored
 
-#: Most trusted positives, unlabelled texts and labelled negatives (for the threshold only) that a fit takes, by hash of the id.
-POSITIVES, UNLABELLED, NEGATIVES = 8_000, 12_000, 4_000
+#: Most trusted positives that a fit takes, by hash of the id. The unlabelled part of the risk is over all documents.
+POSITIVES = 8_000
 #: Score at which a document is taken as good.
 CUT = 0.7
 #: Of every FOLDS remainders of the id's CRC-32, HELD is never learnt from.
 FOLDS, HELD = 4, 2
+#: Weight of the squared weights in the risk, and most passes over the unlabelled figures for one minimum.
+RIDGE, PASSES = 1e-3, 15
+#: Thresholds at which shares of positives and of unlabelled texts are compared, and the confidence of the bound on each.
+BINS, DELTA = 400, 0.1
 
-# classes of code points up to 0x2FF: 0 letter or digit, 1 white space, 2 full stop or comma, 3 other sign
-_KIND = np.array([1 if chr(i).isspace() else 0 if chr(i).isalnum() else 2 if chr(i) in ".," else 3 for i in range(0x300)], np.uint8)
-_UPPER = np.array([chr(i).isupper() for i in range(0x300)])
-_DIGIT = np.array([chr(i).isdigit() for i in range(0x300)])
+
+def _kind(point: int) -> tuple[int, bool, bool]:
+    """Class of a code point (0 letter, mark or digit, 1 white space, 2 full stop or comma, 3 other sign); is it upper case; a digit?"""
+    c = chr(point)
+    kind = 1 if c.isspace() else 0 if unicodedata.category(c)[0] in "LNM" else 2 if c in ".," else 3
+    return kind, c.isupper(), c.isdigit()
+
+
+_NEAR = 0x300
+_KIND, _UPPER, _DIGIT = (np.array(column, dtype) for column, dtype in zip(zip(*map(_kind, range(_NEAR)), strict=True), (np.uint8, bool, bool), strict=True))
+_far = lru_cache(100_000)(_kind)
 #: Figures of a text; each counts with its value and, beyond, how far it is from the usual.
 FIGURES = ("signs", "odd_signs", "stops", "distinct", "repeats", "word_length", "lines", "ends", "single", "upper", "digits", "alphabet")
 
 
 def figures(text: str | None) -> list[float]:
-    """FIGURES of the whole text; an empty or null text gives zeros."""
+    """FIGURES of the whole text, letters of every script alike; an empty or null text gives zeros."""
     if not text or text.isspace():
         return [0.0] * len(FIGURES)
-    points = np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), 0x2FF)
-    kind = _KIND[points]
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    kind, upper, digit = (t[np.minimum(points, _NEAR - 1)] for t in (_KIND, _UPPER, _DIGIT))
+    alphabet = np.count_nonzero(np.bincount(points[points < _NEAR], minlength=1))
+    far = np.flatnonzero(points >= _NEAR)
+    if len(far):
+        unique, at = np.unique(points[far], return_inverse=True)
+        kind[far], upper[far], digit[far] = (np.array(v)[at] for v in zip(*[_far(int(p)) for p in unique], strict=True))
+        alphabet += len(unique)
     c, ws = len(points), text.split()
     n = max(len(ws), 1)
     count = np.bincount(kind, minlength=4)
@@ -49,9 +69,9 @@ def figures(text: str | None) -> list[float]:
         text.count("\n") / n,
         float(((kind >= 2) & closed).sum() / n),
         float((~gap & opened & closed).sum() / n),
-        float(_UPPER[points].sum() / c),
-        float(_DIGIT[points].sum() / c),
-        float((np.bincount(points) > 0).sum() / np.log(c + 2)),
+        float(upper.sum() / c),
+        float(digit.sum() / c),
+        float(alphabet / np.log(c + 2)),
     ]
 
 
@@ -63,6 +83,7 @@ class Model:
     scale: np.ndarray
     weights: np.ndarray | None = None
     at: float = 0.0
+    prior: float = 1.0
 
     def inputs(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.centre) / self.scale, -8, 8)
@@ -77,49 +98,108 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.margin(x) - self.at + np.log(CUT / (1 - CUT)), -50, 50)))
 
 
-def learn(positive: np.ndarray, unlabelled: np.ndarray, negative: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05) -> Model:
-    """Minimise prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)) with the logistic loss.
+#: The sum of a function of figures (rows to a vector) over all unlabelled texts.
+Sums = Callable[[Callable[[np.ndarray], np.ndarray]], np.ndarray]
+
+
+def _s(m: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(m, -50, 50)))
+
+
+def _moments(z: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Count, logistic loss of taking rows for positive, its gradient and its Hessian, as one vector of sums."""
+    m = z @ w
+    s = _s(m)
+    return np.concatenate([[len(z), np.logaddexp(0, m).sum()], s @ z, ((z * (s * (1 - s))[:, None]).T @ z).reshape(-1)])
+
+
+def _minimum(model: Model, sums: Sums, share: float, own: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], rest: Callable[[np.ndarray, float], float]) -> np.ndarray:
+    """Newton's minimum of share * (loss of the unlabelled texts as negatives) + own(weights) + ridge.
+
+    A step that doesn't lower this, or that takes `rest` (of the weights and the unlabelled loss) below zero, is halved.
+    """
+    size = 2 * len(model.centre) + 1
+    w, best, least, step = np.zeros(size), np.zeros(size), np.inf, np.zeros(size)
+    for _ in range(PASSES):
+        v = sums(lambda x, w=w: _moments(model.inputs(x), w))
+        n = max(v[0], 1)
+        f, g, h = own(w)
+        value = share * v[1] / n + f + RIDGE / 2 * w @ w
+        if value > least + 1e-12 or rest(w, v[1] / n) < 0:
+            step = step / 2
+            if np.abs(step).max() < 1e-3:
+                break
+        else:
+            best, least = w, value
+            slope = share * v[2 : size + 2] / n + g + RIDGE * w
+            step = -np.linalg.solve(share * v[size + 2 :].reshape(size, size) / n + h + RIDGE * np.eye(size), slope)
+            if -slope @ step < 1e-8:
+                break
+        w = best + step
+    return best
+
+
+def class_prior(held: np.ndarray, above: Callable[[np.ndarray], np.ndarray], total: float) -> float:
+    """Share of positives among unlabelled texts: the best bin's ratio.
+
+    Among the texts above a margin, positives are as frequent as among the positives `held` out of the fit, if no negative is there.
+    So the share of unlabelled texts above it over that of positives bounds the prior; the threshold of the least upper
+    confidence bound is taken. above(thresholds) counts the unlabelled texts at or above each.
+    """
+    cuts = np.unique(np.quantile(held, np.linspace(0, 1, BINS)))
+    q_p = np.array([(held >= c).mean() for c in cuts])
+    q_u = above(cuts) / max(total, 1)
+    width = sum(np.sqrt(np.log(4 / DELTA) / (2 * n)) for n in (len(held), max(total, 1)))
+    best = np.argmin(q_u / q_p + 1.01 * width / q_p)
+    return float(np.clip(q_u[best] / q_p[best], 0.01, 0.99))
+
+
+def learn(positive: np.ndarray, sums: Sums) -> Model:
+    """Minimise the non-negative unbiased risk over trusted positives and all unlabelled texts.
 
-    While the second part is below zero, its gradient is climbed instead, as the non-negative estimator has it. The
-    labelled negatives only set the margin that counts as CUT: that of the best balanced accuracy, or the quantile
-    of the prior if there are none.
+    First half of the positives are told from unlabelled texts; by that margin of the other half the prior is estimated. Then
+    prior * R+(positive) + R-(unlabelled) - prior * R-(positive) is minimised with the logistic loss, its last two parts being
+    kept from falling below zero. Texts of the upper `prior` share of the unlabelled margins score CUT or more.
     """
-    width = max(positive.shape[1] if positive.size else 0, unlabelled.shape[1] if unlabelled.size else 0, len(FIGURES))
-    if not len(positive) or not len(unlabelled):
+    width = len(FIGURES)
+    total = sums(lambda x: np.array([float(len(x))]))[0]
+    if len(positive) < 4 or not total:
         return Model(np.zeros(width), np.ones(width))
     centre = np.median(positive, axis=0)
     spread = np.quantile(np.abs(positive - centre), 0.9, axis=0)
     model = Model(centre, np.where(spread > 1e-9, spread, 1e-3))
-    p, u = model.inputs(positive), model.inputs(unlabelled)
-    w, first, second = np.zeros(p.shape[1]), np.zeros(p.shape[1]), np.zeros(p.shape[1])
-    s = lambda m: 1 / (1 + np.exp(-np.clip(m, -50, 50)))
-    for step in range(1, steps + 1):
-        mp, mu = p @ w, u @ w
-        rest = np.logaddexp(0, mu).mean() - prior * np.logaddexp(0, mp).mean()
-        g_rest = s(mu) @ u / len(u) - prior * (s(mp) @ p) / len(p)
-        g = -g_rest if rest < 0 else prior * ((s(mp) - 1) @ p) / len(p) + g_rest
-        g = g + 1e-4 * w
-        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
-        w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    model.weights = w
-    mp, mu = model.margin(positive), model.margin(unlabelled)
-    if len(negative):
-        mn = model.margin(negative)
-        cuts = np.unique(np.quantile(np.concatenate([mp, mn]), np.linspace(0, 1, 801)))
-        gain = [(mp >= c).mean() + (mn < c).mean() for c in cuts]
-        best = cuts[np.asarray(gain) >= max(gain) - 1e-9]
-        model.at = float(best.mean())
-    else:
-        model.at = float(np.quantile(mu, 1 - prior))
+    p = model.inputs(positive)
+    half = p[::2]
+
+    def against(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        s = _s(-half @ w)
+        return np.logaddexp(0, -half @ w).mean() / 2, -(s @ half) / len(half) / 2, (half * (s * (1 - s))[:, None]).T @ half / len(half) / 2
+
+    model.weights = _minimum(model, sums, 0.5, against, lambda w, u: 0.0)
+
+    def above(cuts: np.ndarray) -> np.ndarray:
+        counts = sums(lambda x: np.bincount(np.searchsorted(cuts, model.margin(x), side="right"), minlength=len(cuts) + 1).astype(float))
+        return counts[1:][::-1].cumsum()[::-1]
+
+    prior = model.prior = class_prior(p[1::2] @ model.weights, above, total)
+    mean, none = p.mean(axis=0), np.zeros((p.shape[1],) * 2)
+    # with the logistic loss, R+(positive) - R-(positive) is the mean margin
+    model.weights = _minimum(model, sums, 1.0, lambda w: (-prior * mean @ w, -prior * mean, none), lambda w, u: u - prior * np.logaddexp(0, p @ w).mean())
+    edges = np.quantile(p @ model.weights, np.linspace(0, 1, BINS))
+    edges = np.unique(np.concatenate([edges, edges[0] - np.geomspace(1e-3, 100, BINS)]))
+    share = above(edges) / total
+    model.at = float(np.interp(prior, share[::-1], edges[::-1]))
     return model
 
 
-def _figures(text: Column) -> Column:
+def figured(docs: DataFrame, to: str = "x") -> DataFrame:
+    """The rows with the figures of the whole text in column `to`."""
+
     @F.pandas_udf("array<double>")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([figures(t) for t in texts])
 
-    return run(text)
+    return docs.withColumn(to, run(F.col("text")))
 
 
 def held_out() -> Column:
@@ -127,22 +207,51 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, negatives: int = NEGATIVES) -> Model:
-    """Learn from the labels of the folds but HELD and from unlabelled texts of those folds.
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.array(column.tolist(), dtype=float).reshape(-1, len(FIGURES))
+
+
+def _summed(rows: DataFrame) -> Sums:
+    """Sums over all rows (x): of each partition a vector, added up by place; only the sum comes to the driver."""
+
+    def sums(body: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for f in frames:
+                if len(f):
+                    v = body(_matrix(f["x"]))
+                    total = v if total is None else total + v
+            if total is not None:
+                yield pd.DataFrame({"i": np.arange(len(total), dtype=np.int32), "v": total})
+
+        out = body(np.zeros((0, len(FIGURES)))).astype(float)
+        for r in rows.select("x").mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+            out[r["i"]] = r["v"]
+        return out
+
+    return sums
 
-    The samples are bounded by the three parameters, smallest hash of the id first; the class prior is the share of
-    label 1 among all labelled rows of those folds. The sampled texts stay on the executors; their figures are fetched.
+
+def fit(rows: DataFrame, labels: DataFrame, positives: int = POSITIVES) -> Model:
+    """Learn from stored figures (doc_id, x) of documents and the label 1 of the folds but HELD; other labels aren't used.
+
+    Positives are bounded by the parameter, smallest hash of the id first, one row for each id however often it is repeated.
+    All documents of those folds are the unlabelled texts; equal figures count once, so that groups of copies, which may hold
+    most rows, don't stand for the rest. Contradicting labels of an id count as 1.
     """
-    marks = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality")).where(~held_out())
-    prior = marks.agg(F.avg("quality").alias("p")).first()["p"]
-    order = [F.xxhash64("doc_id", F.lit("fit")), F.col("doc_id")]
-    pick = [marks.where(F.col("quality") == q).orderBy(*order).limit(n).select("doc_id", F.lit(kind).alias("kind")) for q, n, kind in ((1, positives, 0), (0, negatives, 1))]
-    free = docs.select("doc_id").where(~held_out() & F.col("doc_id").isNotNull()).distinct().orderBy(*order).limit(unlabelled).select("doc_id", F.lit(2).alias("kind"))
-    picked = stored(pick[0].unionByName(pick[1]).unionByName(free), "picked")  # bounded by the parameters
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("kind", "doc_id", _figures(F.col("text")).alias("x"))
-    got = stored(rows, "figures").orderBy("kind", "doc_id").limit(4 * (positives + unlabelled + negatives)).toPandas()
-    part = [np.array(got.loc[got["kind"] == k, "x"].tolist(), dtype=float).reshape(-1, len(FIGURES)) for k in range(3)]
-    return learn(part[0], part[2], part[1], float(prior or 0.0))
+    marks = labels.where(F.col("quality") == 1).select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out()).distinct()
+    picked = marks.orderBy(F.xxhash64("doc_id", F.lit("fit")), "doc_id").limit(positives)  # bounded by the parameter
+    got = rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x")).toPandas().sort_values("doc_id")
+    unlabelled = stored(rows.where(~held_out()).select("x").distinct(), "unlabelled")
+    return learn(np.unique(_matrix(got["x"]), axis=0), _summed(unlabelled))
+
+
+def _scores(model: Model) -> Callable[[Column], Column]:
+    @F.pandas_udf("double")
+    def run(x: pd.Series) -> pd.Series:
+        return pd.Series(model.score(_matrix(x)))
+
+    return run
 
 
 def scored(docs: DataFrame, model: Model, to: str = "score") -> DataFrame:
@@ -157,11 +266,13 @@ def scored(docs: DataFrame, model: Model, to: str = "score") -> DataFrame:
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    rows = scored(docs.select("doc_id", "text"), fit(docs, labels)).select("doc_id", held_out().alias("held_out"), "score")
-    return rows.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    rows = stored(figured(docs.select("doc_id", "text")).select("doc_id", "x"), "figures")
+    out = rows.select("doc_id", held_out().alias("held_out"), _scores(fit(rows, labels))(F.col("x")).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier doesn't reject, with their columns."""
-    good = scored(docs.withColumnRenamed("_score", "_score_") if "_score" in docs.columns else docs, fit(docs, labels), "_score").where(F.col("_score") >= CUT).drop("_score")
-    return good.withColumnRenamed("_score_", "_score") if "_score" in docs.columns else good
+    (score,) = free(docs.columns, "score")
+    rows = stored(figured(docs.select("doc_id", "text")).select("doc_id", "x"), "figures")
+    return scored(docs, fit(rows, labels), score).where(F.col(score) >= CUT).drop(score)
