@@ -12,14 +12,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free, small, stored
 from .components import components
 
 #: Words of a shingle and the most bits in which linked fingerprints differ.
 WIDTH, RADIUS = 4, 4
 #: Distinct fingerprints, smallest hash first, that the partitions and thresholds are fitted to. All are searched.
 SAMPLE = 2000
-#: Rows of a bucket that meet in one task at most, about; larger buckets are dealt to pairs of blocks.
+#: Rows of a bucket that are compared as they are; those of larger buckets are dealt anew by further bits.
 BLOCK = 4096
 #: Groups up to this size are compared pair by pair; in larger ones a search tree of links is kept.
 PAIRWISE = 12
@@ -193,23 +193,49 @@ def linker(radius: int):
     return run
 
 
+def deeper(radius: int):
+    """A mapInPandas body for large buckets: (key, fp, rest) -> the same rows under radius + 1 keys each.
+
+    Rows of a bucket that are within the radius differ in `radius` of the bits `rest` at most, so of radius + 1 parts of these one
+    is equal at least. The key goes on with that part's value, which leaves fewer bits in `rest`.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for rest, rows in frame.groupby("rest", sort=False):
+                bits = [b for b in range(64) if int(rest) >> b & 1]
+                for k in range(min(radius + 1, len(bits))):
+                    mask = np.array(sum(1 << b for b in bits[k :: radius + 1]), np.uint64)
+                    key = (rows["key"].to_numpy().view(np.uint64) + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15) ^ (rows["fp"].to_numpy().view(np.uint64) & mask)
+                    key = (key ^ key >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+                    left = np.array(int(rest) % 2**64 & ~int(mask), np.uint64).view(np.int64)
+                    yield pd.DataFrame({"key": key.view(np.int64), "fp": rows["fp"].to_numpy(), "rest": left})
+
+    return run
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """Distinct fingerprints (fp) -> links (a, b) whose components are those of all pairs within the radius."""
     total = distinct.count()
     got = distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample).toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-    keyed = distinct.mapInPandas(probes(plan(got, total, radius)), "part int, value long, fp long")
-    counts = keyed.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > block)
-    large = stored(counts.select("part", "value", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "buckets")
-    key = F.xxhash64("part", "value")
-    if large.isEmpty():
-        dealt = keyed.select(key.alias("key"), "fp")
-    else:
-        met = keyed.join(large, ["part", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        dealt = met.select("part", "value", "fp", "blocks", own.alias("own")).select("*", other.alias("other")).select(F.when(F.col("blocks") == 1, key).otherwise(F.xxhash64("part", "value", F.least("own", "other"), F.greatest("own", "other"))).alias("key"), "fp")
+    parts = plan(got, total, radius)
+    rests = F.array(*[F.lit(int(np.array(2**64 - 1 - sum(1 << b for b in p), np.uint64).view(np.int64))) for p, _ in parts])
+    keyed = distinct.mapInPandas(probes(parts), "part int, value long, fp long")
+    rows = keyed.select(F.xxhash64("part", "value").alias("key"), "fp", F.get(rests, F.col("part")).alias("rest"))
+    done: DataFrame | None = None
+    while True:
+        # where no bits are left, rows differ in the few probed ones only
+        large = stored(rows.where("rest != 0").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block).select("key"), "buckets")
+        if large.isEmpty():
+            done = rows if done is None else done.unionByName(rows)
+            break
+        hot = (F.col("rest") != 0) & F.col("large")
+        marked = rows.join(small(large.withColumn("large", F.lit(True))), "key", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+        cool = marked.where(~hot).select("key", "fp", "rest")
+        done = cool if done is None else done.unionByName(cool)
+        rows = stored(marked.where(hot).select("key", "fp", "rest").mapInPandas(deeper(radius), "key long, fp long, rest long"), "deeper")
     # rows of two buckets whose hashes are equal are compared in vain, which changes nothing
-    return dealt.repartition("key").sortWithinPartitions("key").mapInPandas(linker(radius), "a long, b long").distinct()
+    return done.select("key", "fp").repartition("key").sortWithinPartitions("key").mapInPandas(linker(radius), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
@@ -247,21 +273,23 @@ def kept(docs: DataFrame, least: float | None = None) -> DataFrame:
     from . import alike
 
     cols = [F.col(c) for c in docs.columns]
-    keyed = docs.withColumn("_row", F.xxhash64(*cols, *[c.isNull() for c in cols]))
+    own, id_, of_ = free(docs.columns, "row", "id", "of")
+    keyed = docs.withColumn(own, F.xxhash64(*cols, *[c.isNull() for c in cols]))
+    texts = keyed.select("doc_id", F.col(own).alias("_row"), "text")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
     if least is None:
-        rows = stored(fingerprints(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "fp"), "fingerprints")
+        rows = stored(fingerprints(texts).select("doc_id", "_row", "fp"), "fingerprints")
         named = rows.join(_rooted(rows, RADIUS).select("fp", F.col("root").alias("_root")), "fp")
     else:
-        rows = stored(alike.sketched(keyed.select("doc_id", "_row", "text")).select("doc_id", "_row", "sketch.*"), "sketches")
+        rows = stored(alike.sketched(texts).select("doc_id", "_row", "sketch.*"), "sketches")
         nodes = stored(rows.groupBy("node").agg(F.min("_row").alias("_row"), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
-        alikes = alike.links(nodes, keyed.select("_row", "text"), least=least)
+        alikes = alike.links(nodes, texts.select("_row", "text"), least=least)
         of = _rooted(rows, RADIUS).select("fp", F.col("root").alias("group"))
         # a group of fingerprints is linked by its smallest node
         grouped = rows.join(of, "fp").select("doc_id", "_row", "node", "group")
         tied = grouped.join(grouped.groupBy("group").agg(F.min("node").alias("a")), "group").select("a", F.col("node").alias("b")).distinct()
         roots = components(alikes.unionByName(tied)).withColumnRenamed("root", "_root")
         named = grouped.join(roots, "node", "left").withColumn("_root", F.coalesce("_root", "node"))
-    first = named.groupBy("_root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._row").alias("_of"))
-    met = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left_semi")
-    return met.dropDuplicates(["doc_id", "_row"]).drop("_row")
+    first = named.groupBy("_root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias(id_), F.col("first._row").alias(of_))
+    met = keyed.join(first, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(of_)), "left_semi")
+    return met.dropDuplicates(["doc_id", own]).drop(own)
