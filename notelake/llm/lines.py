@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_GAP, let, small, stored, words
+from .common import SPACE_GAP, free, let, looked_up, small, stored, words
 
 #: Lines of fewer words have no near copies but exact ones; longer ones may differ by one word put in, left out or changed.
 LEAST = 8
@@ -17,13 +17,13 @@ def _hashed(ws: Column) -> Column:
     return F.transform(ws, lambda w: F.xxhash64(w))
 
 
-def _lines(docs: DataFrame, text: str) -> DataFrame:
+def _lines(docs: DataFrame, text: str, least: int) -> DataFrame:
     """doc_id, mark (hash of the text), no, n words, h1 and h2 (128 bits) and the half keys of every line that has words."""
     split = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.posexplode(F.split(F.col(text), "\n")).alias("no", "line"))
-    return split.select("doc_id", "mark", "no", let(_hashed(words(F.col("line"), SPACE_GAP)), _shape).alias("s")).select("doc_id", "mark", "no", "s.*").where("n > 0")
+    return split.select("doc_id", "mark", "no", let(_hashed(words(F.col("line"), SPACE_GAP)), lambda h: _shape(h, least)).alias("s")).select("doc_id", "mark", "no", "s.*").where("n > 0")
 
 
-def _shape(h: Column) -> Column:
+def _shape(h: Column, least: int) -> Column:
     n = F.size(h)
 
     def half(kind: str, total: Column, first: Column, count: Column) -> Column:
@@ -33,7 +33,7 @@ def _shape(h: Column) -> Column:
     for total in (n, n - 1):  # as the shorter or equal line, and as the longer by one word
         cut = F.floor(total / 2).cast("int")
         keys += [half("first", total, F.lit(1), cut), half("last", total, n - (total - cut) + 1, total - cut)]
-    return F.struct(n.alias("n"), F.xxhash64(F.lit(1), h).alias("h1"), F.xxhash64(F.lit(2), h).alias("h2"), F.when(n >= LEAST, F.array_distinct(F.array(*keys))).alias("halves"))
+    return F.struct(n.alias("n"), F.xxhash64(F.lit(1), h).alias("h1"), F.xxhash64(F.lit(2), h).alias("h2"), F.when(n >= least, F.array_distinct(F.array(*keys))).alias("halves"))
 
 
 def _near(all_lines: DataFrame, distinct: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -47,7 +47,7 @@ def _near(all_lines: DataFrame, distinct: DataFrame, docs: DataFrame, text: str)
     """
     keyed = all_lines.where("halves IS NOT NULL").select("h1", "h2", F.explode("halves").alias("half"))
     halves = stored(keyed.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("half"), "halves")
-    again = keyed.join(small(halves, LOOKED_UP), "half").select("h1", "h2").distinct()
+    again = looked_up(keyed, halves, ["half"], rows=LOOKED_UP).select("h1", "h2").distinct()
     live = stored(distinct.join(again, ["h1", "h2"], "left_semi").select("h1", "h2", "n", "at"), "live")
     spots = live.select(F.col("at.doc_id").alias("_doc"), F.col("at.mark").alias("_mark"), F.col("at.no").alias("_no"), "h1", "h2", "n")
     text_rows = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.posexplode(F.split(F.col(text), "\n")).alias("no", "line"))
@@ -71,12 +71,12 @@ def _near(all_lines: DataFrame, distinct: DataFrame, docs: DataFrame, text: str)
     key = ["n", "i", "v1", "v2"]
     once = v.withColumn("key", F.xxhash64(*key))
     twice = stored(once.groupBy("key").count().where("count > 1").select("key"), "keys")
-    several = once.join(small(twice, LOOKED_UP), "key").select("h1", "h2", *key).join(at("h", "at"), ["h1", "h2"])
-    firsts = several.groupBy(*key).agg(F.min(me).alias("first"))
-    changed = several.join(firsts, key).where("first.at < at").select("h1", "h2", "first")
+    several = looked_up(once, twice, ["key"], rows=LOOKED_UP).select("h1", "h2", *key).join(at("h", "at"), ["h1", "h2"])
+    firsts = stored(several.groupBy(*key).agg(F.min(me).alias("first")), "firsts")
+    changed = looked_up(several, firsts, key).where("first.at < at").select("h1", "h2", "first")
     # one word left out: a variant of the longer is the shorter line
     short = v.where("i = 0").select(F.col("f1").alias("v1"), F.col("f2").alias("v2"), (F.col("n") + 1).alias("n"), F.col("h1").alias("s1"), F.col("h2").alias("s2"))
-    pairs = v.join(small(stored(short, "short"), LOOKED_UP), ["v1", "v2", "n"]).select("h1", "h2", "s1", "s2").distinct()
+    pairs = looked_up(v, stored(short, "short"), ["v1", "v2", "n"], rows=LOOKED_UP).select("h1", "h2", "s1", "s2").distinct()
     pairs = stored(pairs.join(at("h", "at"), ["h1", "h2"]).join(at("s", "short_at"), ["s1", "s2"]), "pairs")
     longer = pairs.where("short_at < at").select("h1", "h2", F.struct(F.col("short_at").alias("at"), F.col("s1").alias("h1"), F.col("s2").alias("h2")).alias("first"))
     shorter = pairs.where("at < short_at").groupBy("s1", "s2").agg(F.min(me).alias("first")).select(F.col("s1").alias("h1"), F.col("s2").alias("h2"), "first")
@@ -101,34 +101,36 @@ def within_one(x: Column, y: Column) -> Column:
     )
 
 
-def dropped(docs: DataFrame, text: str = "text") -> DataFrame:
+def dropped(docs: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
     """doc_id, mark, drops: the numbers (from 0) of the lines of each text that go; texts that keep all are absent.
 
     The order of lines is (doc_id, hash of the text, number). A line goes if an equal one (word for word, whatever the white
-    space) comes before it, or if its first copy lies within one word of a line that comes before that. Lines without words
-    stay. Null ids come first; rows that are equal in id and text are one.
+    space) comes before it, or if its first copy lies within one word of a line that comes before that and both have `least`
+    words or more. Lines without words stay. Null ids come first; rows that are equal in id and text are one.
     """
-    all_lines = stored(_lines(docs, text), "lines")
+    all_lines = stored(_lines(docs, text, least), "lines")
     at = F.struct("doc_id", "mark", "no").alias("at")
     distinct = stored(all_lines.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.count("*").alias("copies"), F.max("n").alias("n")), "distinct-lines")
     near = _near(all_lines, distinct, docs, text).withColumn("near", F.lit(True))
     told = distinct.join(near, ["h1", "h2"], "left").where("copies > 1 OR near").select("h1", "h2", F.col("at").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
-    gone = all_lines.join(told, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "mark", "no") != F.col("first")))
+    met = looked_up(all_lines.select("doc_id", "mark", "no", "h1", "h2"), stored(told, "told"), ["h1", "h2"])
+    gone = met.where(F.col("near") | (F.struct("doc_id", "mark", "no") != F.col("first")))
     return gone.groupBy("doc_id", "mark").agg(F.collect_set("no").alias("drops"))
 
 
-def deduplicated(docs: DataFrame, text: str = "text", keep: str | None = None) -> DataFrame:
+def deduplicated(docs: DataFrame, text: str = "text", keep: str | None = None, least: int = LEAST) -> DataFrame:
     """The rows with the dropped() lines gone from their texts; a text all of whose lines go becomes empty, a null stays.
 
-    With `keep`, a column of that name has the number of lines that stay. Other columns stay as they are.
+    With `keep`, a column of that name has the number of lines that stay; one of that name is replaced. Other columns stay as they are.
     """
-    gone = dropped(docs, text).select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_mark"), F.col("drops").alias("_drops"))
-    met = docs.withColumn("_own", F.xxhash64(text)).join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_mark")), "left")
-    lines = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains("_drops", i))
-    new = F.when(F.col("_drops").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    count = F.when(F.col("_drops").isNull(), F.coalesce(F.size(F.split(F.col(text), "\n")), F.lit(0))).otherwise(F.size(lines))
-    own = [new.alias(c) if c == text else F.col(c) for c in docs.columns]
-    return met.select(*own, *([count.cast("long").alias(keep)] if keep else []))
+    doc, mark, drops, own = free(docs.columns, "doc", "mark", "drops", "own")
+    gone = dropped(docs, text, least).select(F.col("doc_id").alias(doc), F.col("mark").alias(mark), F.col("drops").alias(drops))
+    met = docs.withColumn(own, F.xxhash64(text)).join(gone, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(mark)), "left")
+    lines = F.filter(F.split(F.col(text), "\n"), lambda x, i: ~F.array_contains(drops, i))
+    new = F.when(F.col(drops).isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
+    count = F.when(F.col(drops).isNull(), F.coalesce(F.size(F.split(F.col(text), "\n")), F.lit(0))).otherwise(F.size(lines))
+    columns = [new.alias(c) if c == text else F.col(c) for c in docs.columns if c != keep]
+    return met.select(*columns, *([count.cast("long").alias(keep)] if keep else []))
 
 
 def digest(docs: DataFrame) -> DataFrame:
