@@ -32,14 +32,19 @@ def formatted(turns: DataFrame, start: str = "<|", end: str = "|>\n", stop: str
     """conv_id, n_turns, copies, chat: every maximal conversation in the template, turns in order.
 
     A null role is "unknown", a null text empty; a null conv_id is a conversation of its own. Repeated rows are
-    turns again. No rows give no rows; other columns are left aside.
+    turns again. A mark that begins a turn gets a backslash within it where a role or text holds it, one that ends a role
+    where a role does, so that no text can forge a turn. A conversation is one row of the result and is put together in one
+    task. No rows give no rows; other columns are left aside.
     """
     keep = maximal(turns).alias("k")
     t = turns.select("conv_id", "turn", "role", "text").alias("t")
     # a null id is an id, and sorts as the smallest
     met = t.join(keep, F.col("t.conv_id").eqNullSafe(F.col("k.conv_id")))
     lines = met.groupBy("t.conv_id", "k.n", "k.copies").agg(F.sort_array(F.collect_list(F.struct("t.turn", "t.role", "t.text"))).alias("turns"))
-    one = lambda x: F.concat(F.lit(start), F.coalesce(x.role, F.lit("unknown")), F.lit(end), F.coalesce(x.text, F.lit("")), F.lit(stop))
+    parted = lambda mark: f"{mark[0]}\\{mark[1:]}"
+    safe = lambda c: F.replace(c, F.lit(start), F.lit(parted(start)))
+    role = lambda c: F.replace(safe(c), F.lit(end.strip()), F.lit(parted(end.strip())))
+    one = lambda x: F.concat(F.lit(start), role(F.coalesce(x.role, F.lit("unknown"))), F.lit(end), safe(F.coalesce(x.text, F.lit(""))), F.lit(stop))
     return lines.select("conv_id", F.col("n").cast("long").alias("n_turns"), "copies", F.array_join(F.transform("turns", one), "").alias("chat"))
 
 
@@ -48,8 +53,8 @@ def digest(turns: DataFrame) -> DataFrame:
     return formatted(turns).select("conv_id", "n_turns", "copies", F.length("chat").cast("long").alias("n_chars"), F.sha2("chat", 256).alias("chat_sha256"))
 
 
-ORACLE = """
-WITH t AS (SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+ORACLE = r"""
+WITH t AS (SELECT conv_id, replace(replace(coalesce(role, 'unknown'), '<|', '<\|'), '|>', '|\>') AS role, replace(coalesce(text, ''), '<|', '<\|') AS text,
                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos,
                   count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
 c AS (SELECT *, string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '') OVER (PARTITION BY conv_id ORDER BY pos) AS chat FROM t),
