@@ -15,12 +15,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-#: Words and token pairs whose results a worker keeps.
-WORDS_KEPT, PAIRS_KEPT = 120_000, 200_000
+#: Words and token pairs whose results a worker keeps, and most characters of such a word: some 60 MB at most.
+WORDS_KEPT, PAIRS_KEPT, LONGEST_KEPT = 120_000, 200_000, 48
 #: Rows of an output batch.
 BATCH = 500
 
 
+def _message(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of the fields of a protocol buffer message."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(data):
+        tag = varint()
+        if tag & 7 == 0:
+            yield tag >> 3, varint()
+        else:
+            size = {1: 8, 5: 4}.get(tag & 7) or varint()
+            yield tag >> 3, data[at : at + size]
+            at += size
+
+
+def _refuse_others(model: bytes) -> None:
+    """An error for models that encode in another way: only merge-type ones with byte fallback and plain spaces, without a normaliser, are built here."""
+    parts = list(_message(model))
+    trainer, normalizer = (dict(_message(next((v for n, v in parts if n == k), b""))) for k in (2, 3))
+    if trainer.get(3, 1) != 2:
+        raise ValueError("the model isn't of the merge type")
+    if trainer.get(24, 0) or normalizer.get(2, b"") or not normalizer.get(3, 1) or normalizer.get(4, 1) or not normalizer.get(5, 1):
+        raise ValueError("the model has a normaliser, or treats spaces in another way")
+    if any(dict(_message(v)).get(3, 1) in (4, 5) for n, v in parts if n == 1):
+        raise ValueError("the model has user-defined or unused pieces")
+
+
 class Pieces:
     """Vocabulary of a model file and the encoder of single words over it."""
 
@@ -28,6 +65,7 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        _refuse_others(model.serialized_model_proto())
         self.names = [model.id_to_piece(i) for i in range(len(model))]
         self.bytes = {i: int(p[1:-1], 16) for i, p in enumerate(self.names) if model.is_byte(i)}
         if len(self.bytes) != 256:
@@ -58,7 +96,7 @@ class Pieces:
         apart = all(SPACE not in p.lstrip(SPACE) for p in self.ids)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else "(?s).+").findall
         self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
-        self.word, self.part = lru_cache(WORDS_KEPT)(self._word), lru_cache(WORDS_KEPT)(self._part)
+        self.known, self.known_part = lru_cache(WORDS_KEPT)(self._word), lru_cache(WORDS_KEPT)(self._part)
 
     def merged(self, text: str) -> list[str]:
         """Merge characters pair by pair, best rank first and leftmost among equals. For short strings only."""
@@ -83,6 +121,12 @@ class Pieces:
         tail = word[at : at + self.widest]
         return self.best[tail[: self.automaton.longest_prefix(tail)]] or tail[0]
 
+    def word(self, word: str) -> bytes:
+        return self.known(word) if len(word) <= LONGEST_KEPT else self._word(word)
+
+    def part(self, word: str) -> bytes:
+        return self.known_part(word) if len(word) <= LONGEST_KEPT else self._part(word)
+
     def _word(self, word: str) -> bytes:
         """Ids of a word, as the bytes of an array of int32; it is cut where no piece holds the two characters together."""
         parts, at = [], 0
