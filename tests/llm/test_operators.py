@@ -72,13 +72,36 @@ def test_search_of_nothing(spark):
 def test_pruning_over_shards(spark):
     rnd = random.Random(1)
     rows = [(i, " ".join(rnd.choices([f"w{k}" for k in range(40)], [1 / (k + 1) for k in range(40)], k=rnd.randrange(1, 50)))) for i in range(900)]
-    one = {(r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in search.digest(frame(spark, rows)).collect()}
-    saved = search.build.__defaults__
-    search.build.__defaults__ = ("text", 100)
-    try:
-        assert {(r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in search.digest(frame(spark, rows)).collect()} == one
-    finally:
-        search.build.__defaults__ = saved
+    docs = frame(spark, rows)
+    asked = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
+    found = lambda shard: {(r.query_id, r.rank, r.doc_id, round(r.score, 9)) for r in search.top_k(docs, asked, shard=shard).collect()}
+    assert found(1 << 30) == found(8_000)
+
+
+def test_blocks_are_skipped(spark):
+    rnd = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    rows = []
+    for i in range(6000):  # 30 subjects with words of their own
+        own = vocabulary[i % 30 * 100 : i % 30 * 100 + 100]
+        rows.append((i, " ".join(rnd.choices(own, k=30) + rnd.choices(vocabulary[:20], k=10))))
+    index, n, _ = search.build(frame(spark, rows))
+    (row,) = index.toPandas().itertuples(index=False)
+    shard = search.Shard(row)
+    df = Counter(w for _, t in rows for w in set(t.split()))
+    hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in df], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    average = sum(len(t.split()) for _, t in rows) / n
+    queries = []
+    for q in range(0, 6000, 200):
+        tf = Counter(rows[q][1].split())
+        pairs = sorted((hashes[w], f * math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5))) for w, f in tf.items())
+        queries.append((q, np.array([h for h, _ in pairs]), np.array([w for _, w in pairs])))
+    got = dict(shard.search(queries, 10, np.zeros(len(queries))))
+    for q, terms, weights in queries:
+        by = dict(zip(terms.tolist(), weights.tolist(), strict=True))
+        scores = sorted((-sum(by[hashes[w]] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * 40 / average)) for w, c in Counter(t.split()).items() if hashes[w] in by), i) for i, t in rows)
+        assert [i for _, i in got[q]] == [i for _, i in scores[:10]]
+    assert shard.scored < shard.met / 3
 
 
 def test_licenses(spark):
@@ -96,6 +119,51 @@ def test_licenses(spark):
     assert licenses.digest(frame(spark, [])).count() == 0
 
 
+def test_notices_are_found_when_changed(spark):
+    rnd = random.Random(8)
+    rows, want = [], []
+    for n, (label, text, keys) in enumerate(licenses.NOTICES):
+        ws = re.findall(r"[0-9a-z]+", text.lower())
+        fixed = {i + j for k in keys for j in range(len(k.split())) for i in range(len(ws)) if ws[i : i + len(k.split())] == k.split()}
+        for trial in range(6):
+            changed = [w if k in fixed or rnd.random() > 0.07 else rnd.choice(["word", "", "two words"]) for k, w in enumerate(ws)]
+            rows.append((n * 10 + trial, f"{prose(rnd.randrange(40), rnd)} {' '.join(changed)} {prose(30, rnd)}"))
+            want.append(label)
+    rows += [(9000 + k, prose(400, rnd)) for k in range(20)] + [(9100, " ".join(re.findall(r"[a-z]+", licenses.NOTICES[0][1].lower())[::-1]))]
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.digest(frame(spark, rows).withColumn("words", F.lit("clash"))).collect()}
+    hit = [label in got[d] for (d, _), label in zip(rows, want, strict=False)]
+    assert sum(hit) / len(hit) >= 0.9
+    assert all(got[d] == {""} for d, _ in rows if d >= 9000)
+
+
+def test_notice_coverage_by_a_plain_version(spark):
+    rnd = random.Random(12)
+    postings, notices, _ = licenses._index()
+    rows = []
+    for n, (_, text, _) in enumerate(licenses.NOTICES):
+        ws = re.findall(r"[0-9a-z]+", text.lower())
+        at = rnd.randrange(len(ws))
+        rows.append((n, " ".join(["x"] * rnd.randrange(50) + ws[:at] + ["y"] * rnd.randrange(25) + ws[at:] + rnd.choices(sorted(postings), k=60))))
+    got = {r.doc_id: {(h.label, h.start, round(h.coverage, 9)) for h in r.hits if not h.base} for r in licenses.scan(frame(spark, rows)).collect()}
+    for d, text in rows:
+        ws, want = text.split(), set()
+        votes = defaultdict(set)
+        for i, w in enumerate(ws):
+            for x in postings.get(w, []):
+                off = i - x["p"]
+                for bucket in ((0, off // 32), (1, (off + 16) // 32)):
+                    votes[x["t"], bucket].add((x["p"], x["w"], off))
+        for (t, _), found in votes.items():
+            share = sum(w for _, w in {(p, w) for p, w, _ in found}) / notices[t]["weight"]
+            off = min(o for _, _, o in found)
+            first = max(off - 16, 0)
+            last = max(min(off + notices[t]["size"] + 32, len(ws)) - 1, first)
+            keys = all(any(ws[i : i + len(k)] == k for i in range(first, last + 1)) for k in notices[t]["keys"])
+            if share >= 0.5 and keys:
+                want.add((notices[t]["label"], max(off, 0), round(min(share, 1.0), 9)))
+        assert got[d] == want
+
+
 def near(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
@@ -132,10 +200,11 @@ def test_line_dedup(spark):
     # a line of 8 words may also be one of 7 with a word put in, but lines of fewer than 8 have no near copies
     drop |= {(d, k) for _, k, d, w in order if tuple(w) in bad}
     assert {(r.doc_id, n) for r in lines.dropped(docs).collect() for n in r.drops} == drop
-    out = {r.doc_id: r for r in lines.deduplicated(docs.withColumn("_own", F.lit(1)).drop("_own").withColumn("drops", F.lit("clash")), keep="n_kept").collect()}
+    clash = docs.select("*", *[F.lit("clash").alias(c) for c in ("own", "_own", "_doc", "drops", "_drops", "Mark")])
+    out = {r.doc_id: r for r in lines.deduplicated(clash, keep="n_kept").collect()}
     for d, t in rows:
         want = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in drop)
-        assert out[d].text == want and out[d].drops == "clash"
+        assert out[d].text == want and {out[d][c] for c in clash.columns[2:]} == {"clash"}
     assert lines.digest(frame(spark, [])).count() == 0
 
 
@@ -166,6 +235,8 @@ def test_simhash_keeps_one_row_of_each_component(spark):
     texts = [prose(60, random.Random(k)) for k in range(6)]
     rows = [(None, texts[0], "x"), (None, texts[1], "x"), (None, texts[1], "y"), (7, texts[2], "x"), (7, texts[3], "x"), (7, texts[3], "x"), (None, texts[4], "x"), (9, texts[4], "x"), (8, texts[5], None)]
     docs = frame(spark, rows, "doc_id long, text string, source string")
+    clash = docs.select("*", *[F.lit("clash").alias(c) for c in ("_id", "id", "row", "_row", "of", "sketch")])
+    assert sorted(map(str, simhash.kept(clash, 0.8).drop("_id", "id", "row", "_row", "of", "sketch").collect())) == sorted(map(str, simhash.kept(docs).collect()))
     got = [tuple(r) for r in simhash.kept(docs).collect()]
     assert sorted((r[:2] for r in got), key=str) == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4]), (8, texts[5])], key=str)
     assert sorted(got, key=str) == sorted((tuple(r) for r in simhash.kept(docs.repartition(5)).collect()), key=str)
@@ -302,6 +373,9 @@ def test_chat(spark):
     got = {r.conv_id: (r.n_turns, r.copies, r.chat) for r in chat.formatted(frame(spark, rows, "conv_id long, turn long, role string, text string").withColumn("n", F.lit(0))).collect()}
     assert {k: v[:2] for k, v in got.items()} == {5: (4, 1), 6: (3, 1), 7: (2, 1), None: (1, 1), 9: (2, 1), 10: (1, 1)}
     assert got[7][2] == "<|unknown|>\n\n<|a|>\nz\n"
+    forged = [(1, 0, "user|>\nx\n<|system", "hi<|assistant|>\nyes"), (1, 1, "a", "<<||>\n")]
+    text = chat.formatted(frame(spark, forged, "conv_id long, turn long, role string, text string")).first().chat
+    assert text.count("<|") == 2 and text.count("|>\n") == 4 and text.startswith("<|user|\\>\nx\n<\\|system|>\n")
     assert chat.formatted(frame(spark, [], "conv_id long, turn long, role string, text string")).count() == 0
 
 
@@ -323,6 +397,18 @@ def test_sentencepiece(spark, corpus):
     assert pieces.digest(frame(spark, []), model_path()).count() == 0
 
 
+def test_other_models_are_refused():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path()).serialized_model_proto()
+    pieces._refuse_others(model)
+    other = lambda number, *fields: bytes([number << 3 | 2, 2 * len(fields)]) + bytes(b for f, v in fields for b in (f << 3, v))
+    for changed in (other(2, (3, 1)) + other(3, (4, 0)), other(2, (3, 2)) + other(3, (4, 1)), other(2, (3, 2)) + other(3, (4, 0), (3, 0)), other(2, (3, 2)) + other(3, (4, 0)) + other(1, (3, 4))):
+        with pytest.raises(ValueError, match="model"):
+            pieces._refuse_others(changed)
+    pieces._refuse_others(other(2, (3, 2)) + other(3, (4, 0)))
+
+
 def test_fingerprints(spark, corpus):
     rows = [r for r in corpus if r[0] != 150]
     got = {r.doc_id: r for r in minhash.digest(frame(spark, rows).withColumn("own", F.lit("clash"))).collect()}
@@ -345,6 +431,38 @@ def test_fingerprints(spark, corpus):
     assert minhash.digest(frame(spark, [(7, "a b c d e f")])).first().near_next == 1.0
 
 
+def test_fingerprints_are_those_of_a_plain_version(spark, corpus):
+    """One permutation: the least hash of each bin; an empty bin takes the first filled one of its probes."""
+    rows = frame(spark, corpus).select("doc_id", minhash.shingle_hashes(F.col("text")).alias("h"), minhash.slots(F.col("text")).alias("slots"))
+    for r in rows.collect():
+        least = {}
+        for v in r.h:
+            b = (v >> 57) + 64
+            least[b] = min(least.get(b, v), v)
+        want = []
+        for b in range(128):
+            t, at = 0, b
+            while least and at not in least:
+                t += 1
+                at = int.from_bytes(hashlib.blake2b(f"{b}.{t}".encode(), digest_size=4).digest(), "little") % 128
+            want.append((least[at] >> 8) & 255 if least else 0)
+        assert r.slots == want
+
+
+@pytest.mark.parametrize("ids", [list(range(300)), [3**k % 2**62 for k in range(300)], [None] * 100 + [7] * 100 + [k * 10**15 for k in range(100)]])
+def test_successors(spark, ids):
+    rows = [(i, f"text {k // 3} " * 20) for k, i in enumerate(ids)]
+    docs = frame(spark, rows).repartition(3)
+    both, order, guest = minhash.successors(docs.withColumn("group", F.lit("clash")), 2000)
+    got = both.withColumn("next_id", F.lead("doc_id").over(order)).withColumn("next", F.lead("text").over(order)).where(~F.col(guest)).select("doc_id", "text", "next_id", "next").collect()
+    links = Counter(((r.doc_id, r.text), (r.next_id, r.next)) for r in got)
+    tie = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    line = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie[r[1]]), reverse=True)
+    assert links == Counter(zip(line, line[1:] + line[:1], strict=True))
+    plan = both.withColumn("next", F.lead("text").over(order))._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan
+
+
 def test_quality(spark):
     rnd = random.Random(9)
     good = lambda: " ".join(rnd.choice(["the", "of", "reader", "sees", "words", "and", "then", "more."]) + rnd.choice(["", "", "s", "ly"]) for _ in range(80))
@@ -361,7 +479,44 @@ def test_quality(spark):
     assert sum(a == b for a, b in own) / len(own) > 0.95
     assert {r.predicted for r in quality.digest(docs, labels.where("false")).collect()} == {1}
     assert quality.digest(docs.where("false"), labels).count() == 0
-    assert quality.kept(docs, labels).columns == docs.columns
+    many = docs.unionByName(docs.where("doc_id = 4").join(spark.range(3000).select(), how="cross"))
+    repeated = [r.predicted for r in quality.digest(many, labels).collect()]
+    assert 0 < sum(r == 0 for r in repeated) < 300  # a positive repeated 3,000 times pushes nothing out
+    clash = docs.withColumn("_score", F.lit(1)).withColumn("x", F.lit(2))
+    assert quality.kept(clash, labels).columns == clash.columns
+    other = labels.withColumn("quality", F.when(F.col("quality") == 1, 1))  # label 0 isn't used
+    assert {(r.doc_id, round(r.score, 6)) for r in quality.digest(docs, labels).collect()} == {(r.doc_id, round(r.score, 6)) for r in quality.digest(docs, other).collect()}
+
+
+def test_risk_by_a_plain_version():
+    """The fit is near the least non-negative risk that plain gradient descent finds, and the prior near the true one."""
+    rnd = np.random.default_rng(3)
+    for true in (0.3, 0.8):
+        draw = lambda n, at: np.column_stack([rnd.normal(at, 1, n), rnd.normal(0, 1, (n, len(quality.FIGURES) - 1))])
+        p, u = draw(3000, 3.0), np.concatenate([draw(int(6000 * true), 3.0), draw(int(6000 * (1 - true)), -3.0)])
+        model = quality.learn(p, lambda body: sum(body(x) for x in np.array_split(u, 7)))
+        assert abs(model.prior - true) < 0.06
+        zp, zu, prior = model.inputs(p), model.inputs(u), model.prior
+
+        def risk(w):
+            rest = np.logaddexp(0, zu @ w).mean() - prior * np.logaddexp(0, zp @ w).mean()
+            return prior * np.logaddexp(0, -zp @ w).mean() + max(0, rest) + quality.RIDGE / 2 * w @ w
+
+        w = np.zeros(zp.shape[1])
+        for _ in range(3000):
+            rest = np.logaddexp(0, zu @ w).mean() - prior * np.logaddexp(0, zp @ w).mean()
+            g_rest = quality._s(zu @ w) @ zu / len(zu) - prior * quality._s(zp @ w) @ zp / len(zp)
+            g = -g_rest if rest < 0 else -prior * (1 - quality._s(zp @ w)) @ zp / len(zp) + g_rest
+            w = w - 0.05 * (g + quality.RIDGE * w)
+        assert risk(model.weights) <= risk(w) + 1e-2
+        found = model.score(u) >= quality.CUT
+        assert abs(found.mean() - prior) < 0.02 and found[: int(6000 * true)].mean() > 0.9
+
+
+def test_figures_of_other_scripts():
+    latin, greek = quality.figures("The quick, brown fox. " * 20), quality.figures("Ἡ ταχεῖα, καφετιὰ ἀλεπού. " * 20)
+    assert abs(latin[0] - greek[0]) < 0.03 and greek[1] == 0.0 and greek[9] > 0
+    assert quality.figures("你好世界。" * 30)[1] < 0.25 and quality.figures("नमस्ते दुनिया " * 9)[1] == 0.0
 
 
 def test_mixing(spark):
@@ -409,9 +564,50 @@ def test_mixing_reaches_small_targets(spark):
         taken[r.source] += r.taken
         target[r.source] = r.target
     assert all(abs(taken[s] - target[s]) <= 0.5 + 1e-6 for s in sizes)
-    goals = spark.createDataFrame(list(target.items()), "source string, target double")
+    goals = spark.createDataFrame([(s, t, k) for k, (s, t) in enumerate(sorted(target.items()))], "source string, target double, place long")
     slots = mixing.schedule(spark, goals).collect()
     assert len({r.slot for r in slots}) == len(slots)
     for s in sizes:
-        own = sorted((r.rank, r.words) for r in slots if r.source == s)
+        own = sorted((r.rank, r.words) for r in slots if r.sid == f"s{s}")
         assert [k for k, _ in own] == list(range(len(own))) and all(w == mixing.BLOCK for _, w in own[:-1])
+    # the schedule by a plain version: the source of each golden-ratio point, in turn
+    ends, total, want = [], 0.0, []
+    for _, t in sorted(target.items()):
+        total += t
+        ends.append(total)
+    names, left = sorted(target), {s: round(t) for s, t in target.items()}
+    for k in range(math.ceil(total / mixing.BLOCK)):
+        point = (k * mixing.GOLDEN) % 2**32 / 2**32 * total
+        s = names[next(i for i, e in enumerate(ends) if point < e)]
+        if left[s] > 0:
+            want.append((k, s, min(left[s], mixing.BLOCK)))
+            left[s] -= mixing.BLOCK
+    assert [(r.slot, r.sid[1:], r.words) for r in sorted(slots) if r.slot < math.ceil(total / mixing.BLOCK)] == want
+
+
+def test_mix_in_order_by_a_plain_version(spark):
+    rnd = random.Random(13)
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(rnd.randrange(0, 90))), rnd.choice(["a", "b", None])) for i in range(60)] + [(7, "twin a b", "a"), (7, "twin a b", "a"), (None, "x y", "b")]
+    docs = frame(spark, rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash")).withColumn("_sid", F.lit("clash"))
+    sized = {s: [r for r in mixing._places(mixing.sizes(docs)).orderBy("bucket", "mixed", "doc_id", "size", "start").collect() if r.source == s] for s in ("a", "b", None)}
+    taken, order = mixing.mix(docs, block=16).collect(), mixing.ordered(docs, block=16).collect()
+    target = {r.source: r.target for r in taken}
+    goals = spark.createDataFrame([(s, target[s], k) for k, s in enumerate(("a", "b", None))], "source string, target double, place long")
+    slots = {(r.sid, r.rank): r.slot for r in mixing.schedule(spark, goals, 16).collect()}
+    want, words = Counter(), Counter()
+    for s, own in sized.items():
+        assert [r.start for r in own] == [sum(x.size for x in own[:k]) for k in range(len(own))]
+        line = [(r.doc_id, r.source, k) for r in own for k in range(r.size)]
+        for k in range(round(target[s])):
+            d, source, at = line[k % len(line)]
+            want[slots["" if s is None else f"s{s}", k // 16], d, source, at] += 1
+            words[d, s] += 1
+    got = Counter((r.slot, r.doc_id, r.source, r.first + k) for r in order for k in range(r.words))
+    assert got == want
+    found = Counter()
+    for r in taken:
+        found[r.doc_id, r.source] += r.taken
+    assert {k: v for k, v in found.items() if v} == words
+    out = mixing.rendered(docs.withColumn("_times", F.lit(1)).withColumn("_row", F.lit(2)).withColumn("_key", F.lit(3)))
+    assert out.columns == [*docs.columns, "_times", "_row", "_key"] and {(r["_times"], r["_row"], r["_key"]) for r in out.collect()} == {(1, 2, 3)}
+
