@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Applications in the order in which they are tried, as (name, patterns of SIMILAR TO, platform, category).
+#: Applications in the order in which they are tried, as (name, patterns of SIMILAR TO, platform).
 APPLICATIONS = [
-    ("StreetComplete", ["%via StreetComplete%"], None, "mobile"),
-    ("Maps.me", ["%#mapsme"], None, "mobile"),
-    ("EveryDoor", ["%#EveryDoor"], None, "mobile"),
-    ("OsmAnd", ["%#OsmAnd"], None, "mobile"),
-    ("LocusMap", ["%#LocusMap"], None, "mobile"),
-    ("OrganicMaps", ["%#organicmaps"], None, "mobile"),
-    ("OSM Report", ["%#osmreport"], None, None),
-    ("OrganicMaps android", ["%#organicmaps android"], "android", "mobile"),
-    ("OrganicMaps ios", ["%#organicmaps ios"], "ios", "mobile"),
-    ("OnOSM.org", ["onosm.org %"], "web", None),
-    ("MapComplete", ["%#MapComplete #notes"], "web", None),
-    ("Mapy.cz", ["%#Mapy.cz%", "%#Mapycz%", "#Mapy.cz%", "%#mapycz%"], "web", None),
-    ("msftopenmaps", ["%#msftopenmaps%", "%#MSFTOpenMaps%"], "web", None),
-    ("OnOSM.OSMiranorg", ["onosm.osmiran.org %"], "web", None),
+    ("StreetComplete", ["%via StreetComplete%"], None),
+    ("Maps.me", ["%#mapsme"], None),
+    ("EveryDoor", ["%#EveryDoor"], None),
+    ("OsmAnd", ["%#OsmAnd"], None),
+    ("LocusMap", ["%#LocusMap"], None),
+    ("OrganicMaps", ["%#organicmaps"], None),
+    ("OSM Report", ["%#osmreport"], None),
+    ("OrganicMaps", ["%#organicmaps android"], "android"),
+    ("OrganicMaps", ["%#organicmaps ios"], "ios"),
+    ("OnOSM.org", ["onosm.org %"], "web"),
+    ("MapComplete", ["%#MapComplete #notes"], "web"),
+    ("Mapy.cz", ["%#Mapy.cz%", "%#Mapycz%", "#Mapy.cz%", "%#mapycz%"], "web"),
+    ("msftopenmaps", ["%#msftopenmaps%", "%#MSFTOpenMaps%"], "web"),
+    ("OnOSM.OSMiranorg", ["onosm.osmiran.org %"], "web"),
 ]
 
+#: Letters, marks, digits and the low line, of every script: what tags and mentions are made of.
+WORD = "[\\p{L}\\p{M}\\p{N}_]"
+
 
 def hour_of_week(ts: Column) -> Column:
     """ISO day of the week * 100 + hour."""
@@ -51,23 +54,28 @@ def season(ts: Column, lat: Column) -> Column:
 
 def hashtags(body: Column) -> Column:
     """Tags in order; after a tag one character is passed over, and a bare # ends the list, itself being an empty tag."""
-    found = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit("(?U)#(\\w*)(?:[\\s\\S]|$)"), 1)
+    found = F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(f"#({WORD}*)(?:[\\s\\S]|$)"), 1)
     bare = F.array_position(found, "")
     return F.when(bare > 0, F.slice(found, F.lit(1), bare.cast("int"))).otherwise(found)
 
 
 def application(body: Column) -> Column:
-    """The first application whose pattern the whole body matches; null if none does."""
+    """Name and platform of the first application whose pattern the whole body matches; null if none does."""
     chain = None
-    for name, patterns, _, _ in APPLICATIONS:
+    for name, patterns, kind in APPLICATIONS:
         hit = None
         for p in patterns:
             one = _similar(body, p)
             hit = one if hit is None else hit | one
-        chain = F.when(hit, name) if chain is None else chain.when(hit, name)
+        value = F.struct(F.lit(name).alias("name"), F.lit(kind).cast("string").alias("platform"))
+        chain = F.when(hit, value) if chain is None else chain.when(hit, value)
     return chain
 
 
+def mentions(body: Column) -> Column:
+    return F.coalesce(body.rlike(f"@{WORD}"), F.lit(False))
+
+
 def _similar(body: Column, pattern: str) -> Column:
     text = pattern.strip("%")
     if pattern.startswith("%") and pattern.endswith("%"):
@@ -75,16 +83,12 @@ def _similar(body: Column, pattern: str) -> Column:
     return body.endswith(text) if pattern.startswith("%") else body.startswith(text)
 
 
-def platform(app: Column) -> Column:
-    out = None
-    for name, _, p, _ in APPLICATIONS:
-        if p:
-            out = F.when(app == name, p) if out is None else out.when(app == name, p)
-    return out
+def is_mobile(platform: Column) -> Column:
+    return F.coalesce(platform.isin("android", "ios") | platform.startswith("mobile"), F.lit(False))
 
 
-def category(app: Column) -> Column:
-    return F.when(app.isin([a[0] for a in APPLICATIONS if a[3] == "mobile"]), "mobile")
+def is_desktop(platform: Column) -> Column:
+    return F.coalesce(platform.isin("web", "desktop", "windows", "linux", "macos"), F.lit(False))
 
 
 def version(body: Column) -> Column:

@@ -64,16 +64,54 @@ def mart_log(events: DataFrame) -> DataFrame:
 
 def perf_summary(log: DataFrame, by: list[str]) -> DataFrame:
     """Count, mean, least, most, median and 95th percentile of the duration, and records a second."""
-    p = lambda q: F.percentile("duration", F.lit(q))
-    return log.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg("duration"), 6).alias("mean"), F.min("duration").alias("least"), F.max("duration").alias("most"), F.round(p(0.5), 6).alias("median"), F.round(p(0.95), 6).alias("p95"), F.round(F.sum("records") / F.sum("duration"), 6).alias("per_second"))
-
-
-def perf_slowest(log: DataFrame, kind: str, top: int = 20) -> DataFrame:
-    return log.where(F.col("kind") == kind).orderBy(F.desc("duration"), "log_id").limit(top).select("log_id", "entity_id", "duration")
-
-
-def perf_slow_entities(log: DataFrame, kind: str, over: float) -> DataFrame:
-    return log.where(F.col("kind") == kind).groupBy("entity_id").agg(F.count("*").alias("n"), F.round(F.avg("duration"), 6).alias("mean")).where(F.col("mean") > over)
+    g = log.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg("duration"), 6).alias("mean"), F.min("duration").alias("least"), F.max("duration").alias("most"), F.sum("records").alias("records"), F.round(F.sum("records") / F.nullif(F.sum("duration"), F.lit(0)), 6).alias("per_second"))
+    p = percentiles(log, by, "duration", {"median": 0.5, "p95": 0.95})
+    return g.join(p, by).select(*by, "n", "mean", "least", "most", F.round("median", 6).alias("median"), F.round("p95", 6).alias("p95"), "records", "per_second")
+
+
+def percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float], cells: int = 4096) -> DataFrame:
+    """Exact, interpolated percentiles of a number (not null) in each group, whatever the size of the groups.
+
+    Values are counted, and each group's range is cut into cells. Counts tell which cells hold the places wanted; only these are
+    put in order, each by itself.
+    """
+    counts = df.groupBy(*by, value).agg(F.count("*").alias("_k"))
+    edges = counts.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_k").alias("_n"))
+    wide = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0))
+    placed = counts.join(edges, by).withColumn("_cell", F.coalesce(F.floor((F.col(value) - F.col("_lo")) / wide * cells), F.lit(0)))
+    first = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(*by, "_cell", "_n").agg(F.sum("_k").alias("_size")).withColumn("_start", F.coalesce(F.sum("_size").over(first), F.lit(0)))
+    at = [F.struct(F.lit(name).alias("name"), (F.floor((F.col("_n") - 1) * q) + step).alias("place"), F.lit(step).alias("step"), ((F.col("_n") - 1) * q).alias("exact")) for name, q in shares.items() for step in (0, 1)]
+    wanted = starts.select(*by, "_cell", "_start", F.explode(F.filter(F.array(*at), lambda x: (F.least(x.place, F.col("_n") - 1) >= F.col("_start")) & (F.least(x.place, F.col("_n") - 1) < F.col("_start") + F.col("_size")))).alias("_w"), "_n")
+    inner = Window.partitionBy(*by, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cell = placed.drop("_n").join(wanted.select(*by, "_cell", "_start").distinct(), [*by, "_cell"]).withColumn("_upto", F.col("_start") + F.sum("_k").over(inner))
+    hit = cell.drop("_start").join(wanted.drop("_start"), [*by, "_cell"])
+    place = F.least(F.col("_w.place"), F.col("_n") - 1)
+    hit = hit.where((place < F.col("_upto")) & (place >= F.col("_upto") - F.col("_k")))
+    share = F.col("_w.exact") - F.floor("_w.exact")
+    part = F.when(F.col("_w.step") == 0, 1 - share).otherwise(share)
+    return hit.groupBy(*by).agg(*[F.sum(F.when(F.col("_w.name") == name, part * F.col(value))).alias(name) for name in shares])
+
+
+def within(log: DataFrame, as_of: str, hours: int) -> DataFrame:
+    """Rows of the `hours` before the end of the day as_of."""
+    end = F.lit(as_of).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    return log.where(F.col("start_time") >= end - F.expr(f"INTERVAL {hours} HOUR"))
+
+
+def perf_slowest(log: DataFrame, top: int = 20) -> DataFrame:
+    """The slowest updates of countries and of users, `top` of each."""
+    w = Window.partitionBy("kind").orderBy(F.desc("duration"), "log_id")
+    return log.where(F.col("kind").isin("countries", "users")).withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select("kind", "place", "log_id", "entity_id", "duration", "facts", F.round(F.col("records") / F.nullif(F.col("duration"), F.lit(0)), 2).alias("per_second"))
+
+
+def perf_slow_entities(log: DataFrame, over: dict[str, float]) -> DataFrame:
+    """Entities whose mean duration is above their kind's bound."""
+    g = log.where(F.col("kind").isin(*over)).groupBy("kind", "entity_id").agg(F.count("*").alias("n"), F.round(F.avg("duration"), 6).alias("mean"))
+    bound = F.lit(None).cast("double")
+    for kind, most in over.items():
+        bound = F.when(F.col("kind") == kind, most).otherwise(bound)
+    return g.where(F.col("mean") > bound)
 
 
 def perf_week_compare(log: DataFrame, as_of: str) -> DataFrame:
@@ -88,9 +126,9 @@ def perf_facts_buckets(log: DataFrame) -> DataFrame:
     return log.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.round(F.avg("duration"), 6).alias("mean"), F.round(F.lit(1000.0) * F.sum("duration") / F.sum("facts"), 6).alias("ms_per_fact"))
 
 
-def daily_achievements(f: DataFrame, least: int, top: int = 20) -> DataFrame:
-    """Days on which a user opened or closed `least` notes or more; the newest of each user."""
-    n = f.where(F.col("action").isin("opened", "closed")).groupBy("action_user", "action_date").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+def daily_achievements(f: DataFrame, least: int = 100, top: int = 20) -> DataFrame:
+    """Days on which a user opened `least` notes or more, or closed as many; the newest of each user."""
+    n = f.groupBy("action_user", "action_date").agg(count_of(is_("opened")).alias("opened"), count_of(is_("closed")).alias("closed")).where((F.col("opened") >= least) | (F.col("closed") >= least))
     return n.withColumn("place", F.row_number().over(Window.partitionBy("action_user").orderBy(F.desc("action_date")))).where(F.col("place") <= top)
 
 

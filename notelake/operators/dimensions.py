@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import places
 
 
 def days(first: str, last: str, spark: SparkSession) -> DataFrame:
@@ -27,6 +28,18 @@ def days(first: str, last: str, spark: SparkSession) -> DataFrame:
     )
 
 
+def regions(spark: SparkSession) -> DataFrame:
+    """region, continent: the fixed table."""
+    return spark.createDataFrame(places.REGIONS, "region string, continent string")
+
+
+def located(countries: DataFrame, spark: SparkSession, name: str = "country_name_en") -> DataFrame:
+    """Countries with alpha2, alpha3 and region by their English name, whatever its case; unknown ones: null codes, region Undefined."""
+    known = spark.createDataFrame(places.COUNTRIES, "_name string, alpha2 string, alpha3 string, region string").withColumn("_name", F.lower("_name"))
+    met = countries.join(F.broadcast(known), F.lower(name) == F.col("_name"), "left").drop("_name")
+    return met.withColumn("region", F.coalesce("region", F.lit(places.REGIONS[0][0])))
+
+
 def time_of_week(spark: SparkSession) -> DataFrame:
     """The 168 hours of a week."""
     day, hour = F.floor(F.col("id") / 24).cast("int"), (F.col("id") % 24).cast("int")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from .marts import is_
 
+#: How times are written in documents, to the microsecond.
+JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 #: Rows of a country's CSV file.
 CSV_ROWS = 400_000
 
@@ -22,28 +24,36 @@ def hex_path(user: Column) -> list[Column]:
 
 def documents(mart: DataFrame, key: str) -> DataFrame:
     """key and its JSON document of all columns."""
-    return mart.select(key, F.to_json(F.struct(*mart.columns)).alias("document"))
+    return mart.select(key, F.to_json(F.struct(*mart.columns), JSON).alias("document"))
 
 
-def write_user_documents(mart: DataFrame, path: str, key: str = "action_user") -> None:
+def write_user_documents(mart: DataFrame, path: str, key: str = "user_id") -> None:
     """One line per user, in folders by the hexadecimal digits of the id."""
     rows = documents(mart, key).select(*hex_path(F.col(key)), "document")
     rows.write.mode("overwrite").partitionBy("d1", "d2", "d3").text(path)
 
 
-def index(history: DataFrame, e: str) -> DataFrame:
-    """Summary fields with the place of each entity, most opened first, then most closed."""
-    cols = [e, *[c for c in history.columns if c.startswith(("whole", "year"))]]
-    order = [F.desc_nulls_last("whole_open"), F.desc_nulls_last("whole_closed"), F.col(e)]
-    return history.select(*cols).orderBy(*order)
+def write_country_documents(mart: DataFrame, path: str, key: str = "country_id") -> None:
+    """A folder for each country."""
+    documents(mart, key).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def read_documents(mart: DataFrame, path: str, *folders: str) -> DataFrame:
+    """What the documents under `path` say, with the fields of the mart and the folders that they are in."""
+    text = mart.sparkSession.read.schema(", ".join(["value string", *[f"`{c}` string" for c in folders]])).text(path)
+    return text.select(F.from_json("value", mart.schema, JSON).alias("d"), *[F.col(c).alias(f"in_{c}") for c in folders]).select("d.*", *[f"in_{c}" for c in folders])
+
+
+def schema_text(df: DataFrame) -> str:
+    """Names, types and places of the columns."""
+    return "|".join(f"{c}:{t}:{i}" for i, (c, t) in enumerate(df.dtypes, 1))
 
 
 def metadata(marts: dict[str, DataFrame]) -> DataFrame:
     """name, rows, schema_hash of each mart; the hash is that of its columns' names, types and places."""
     out = None
     for name, df in marts.items():
-        text = ",".join(f"{c}:{t}:{i}" for i, (c, t) in enumerate(df.dtypes, 1))
-        one = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"), F.sha2(F.lit(text), 256).alias("schema_hash"))
+        one = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"), F.sha2(F.lit(schema_text(df)), 256).alias("schema_hash"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -63,6 +73,14 @@ def valid(docs: DataFrame, schema: str, required: list[str]) -> DataFrame:
     return docs.withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
+def publish(docs: DataFrame, path: str) -> bool:
+    """Write documents with `ok` to `path` if every one is valid, else nothing."""
+    if not docs.where("NOT ok").isEmpty():
+        return False
+    docs.select("document").write.mode("overwrite").text(path)
+    return True
+
+
 def stale(entities: DataFrame, published: DataFrame, key: str, as_of: date, days: int) -> DataFrame:
     """key, action: export where missing, older than `days` or flagged; drop what is no entity any more."""
     j = entities.withColumn("_e", F.lit(True)).join(published.withColumn("_p", F.lit(True)), key, "full")

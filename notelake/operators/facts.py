@@ -28,7 +28,16 @@ def joined(base: Base) -> DataFrame:
 
 
 def facts(base: Base) -> DataFrame:
-    """All facts. Of two actions of a note at one time, only that of the lowest sequence is one."""
+    """All facts. Of two actions of a note at one time, only that of the lowest sequence is one; actions before any opening are none."""
+    return _shaped(_marked(base).where(F.col("_open").isNotNull()))
+
+
+def orphans(base: Base) -> DataFrame:
+    """Actions of notes that weren't opened up to them, which are no facts."""
+    return _marked(base).where(F.col("_open").isNull()).select("note_id", "seq", "action", "action_at")
+
+
+def _marked(base: Base) -> DataFrame:
     j = joined(base)
     ties = Window.partitionBy("note_id", "action_at").orderBy("seq")
     j = j.withColumn("_tie", F.row_number().over(ties)).where("_tie = 1").drop("_tie")
@@ -40,10 +49,11 @@ def facts(base: Base) -> DataFrame:
         C.season(F.col("action_at"), F.col("latitude")).alias("season"),
         F.length("body").alias("comment_length"),
         F.coalesce(F.col("body").rlike("https?://"), F.lit(False)).alias("has_url"),
-        F.coalesce(F.col("body").rlike("@\\w+"), F.lit(False)).alias("has_mention"),
+        C.mentions(F.col("body")).alias("has_mention"),
         C.hashtags(F.col("body")).alias("hashtags"),
-        F.when(F.col("action") == "opened", C.application(F.col("body"))).alias("app"),
+        F.when(F.col("action") == "opened", C.application(F.col("body"))).alias("_app"),
     )
+    f = f.withColumn("app", F.col("_app.name")).withColumn("platform", F.col("_app.platform")).drop("_app")
     f = f.withColumn("app_version", F.when(F.col("app").isNotNull(), C.version(F.col("body"))))
     local = F.col("action_at") + F.make_dt_interval(F.lit(0), F.col("zone"))
     f = f.withColumn("local_date", F.to_date(local)).withColumn("local_how", C.hour_of_week(local))
@@ -59,7 +69,7 @@ def _along(f: DataFrame) -> DataFrame:
     is_ = lambda a: F.col("action") == a
     latest = lambda cond, value, w: F.last(F.when(cond, value), ignorenulls=True).over(w)
     closing = F.struct(F.col("action_at").alias("at"), F.col("action_user").alias("user"))
-    f = f.select(
+    return f.select(
         "*",
         F.first(F.when(is_("opened"), F.struct(F.col("action_at").alias("at"), F.col("action_user").alias("user"))), ignorenulls=True).over(upto).alias("_open"),
         latest(is_("closed"), closing, after).alias("_next"),
@@ -67,7 +77,13 @@ def _along(f: DataFrame) -> DataFrame:
         latest(is_("reopened"), F.col("action_date"), upto).alias("_reopen_date"),
         *[F.coalesce(F.sum(is_(a).cast("long")).over(before), F.lit(0)).alias(f"prior_{a}") for a in ("commented", "reopened")],
         F.count("*").over(before).alias("prior_actions"),
-    ).where(F.col("_open").isNotNull())
+    )
+
+
+def _shaped(f: DataFrame) -> DataFrame:
+    """The columns that come from the marks of the note's other actions."""
+    is_ = lambda a: F.col("action") == a
+    upto = Window.partitionBy("note_id").orderBy("action_at", "seq").rowsBetween(Window.unboundedPreceding, 0)
     f = f.withColumn("_days", F.when(~is_("closed"), F.datediff("action_date", "recent_open_date")).otherwise(0))
     running = F.sum("_days").over(upto)
     shut = is_("closed")
@@ -91,17 +107,40 @@ def tags(f: DataFrame) -> DataFrame:
     return f.select("note_id", "seq", "action", "action_user", "opened_user", "country", "days_to_resolution", "comment_length", F.posexplode("hashtags").alias("position", "tag")).where("tag <> ''").withColumn("position", F.col("position") + 1)
 
 
-def orphans(f: DataFrame) -> DataFrame:
-    """Facts without an opening up to them."""
-    return f.where("recent_open_date IS NULL")
+def until(base: Base, mark: Column) -> Base:
+    """The base tables as they were at the mark."""
+    seen = base.note_comments.where(F.col("created_at") <= mark)
+    key = seen.select("note_id", "sequence_action")
+    return Base(base.notes, seen, base.note_comments_text.join(key, ["note_id", "sequence_action"], "left_semi"), base.users, base.countries)
 
 
-def since(f: DataFrame, mark: Column) -> DataFrame:
-    """Facts of the notes that have an action after the mark: what an incremental load replaces."""
-    touched = f.where(F.col("action_at") > mark).select("note_id").distinct()
-    return f.join(touched, "note_id", "left_semi")
+def touched(base: Base, mark: Column) -> Base:
+    """The base tables of the notes that have an action after the mark: only these are built anew."""
+    ids = base.note_comments.where(F.col("created_at") > mark).select("note_id").distinct()
+    own = lambda t: t.join(ids, "note_id", "left_semi")
+    return Base(own(base.notes), own(base.note_comments), own(base.note_comments_text), base.users, base.countries)
 
 
 def write(f: DataFrame, path: str) -> None:
     """Facts by year of the action; only the years at hand are replaced."""
     f.withColumn("action_year", F.year("action_at")).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("action_year").parquet(path)
+
+
+def load(base: Base, path: str, staging: str) -> None:
+    """Load what came after the last fact under `path`, which may be empty or absent only at the first load.
+
+    The notes with new actions are built anew, and the years in which they have facts are rewritten by way of `staging`; other years
+    are neither read nor written. Loads in several steps end at the facts of one load; a load that is run again changes nothing.
+    """
+    spark = base.notes.sparkSession
+    old = spark.read.parquet(path)
+    mark = F.lit(old.agg(F.max("action_at")).first()[0])  # one value
+    part = touched(base, mark)
+    fresh = facts(part).withColumn("action_year", F.year("action_at"))
+    ids = part.note_comments.select("note_id").distinct()
+    years = [r[0] for r in fresh.select("action_year").distinct().collect()]  # a row for each year
+    before = old.where(F.col("action_year").isin(years))
+    rest = before.join(ids, "note_id", "left_anti")
+    rest.select(*fresh.columns).unionByName(fresh).write.mode("overwrite").partitionBy("action_year").parquet(staging)
+    if years:
+        spark.read.parquet(staging).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("action_year").parquet(path)

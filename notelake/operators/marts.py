@@ -27,7 +27,7 @@ def count_of(cond: Column) -> Column:
 
 def with_closing_texts(f: DataFrame) -> DataFrame:
     """Adds `texts`: on closed rows the number of the note's closes that have a text, else 0."""
-    has = is_("closed") & (F.length(F.coalesce("body", F.lit(""))) > 0)
+    has = is_("closed") & (F.col("comment_length") > 0)
     return f.withColumn("texts", F.when(is_("closed"), F.count_if(has).over(Window.partitionBy("note_id"))).otherwise(0))
 
 
@@ -105,10 +105,10 @@ def resolution_by(f: DataFrame, e: str, period: str) -> DataFrame:
 
 def applications(f: DataFrame, e: str) -> DataFrame:
     """Distinct applications, the most used (ties by name), and how many are mobile or for the web."""
-    n = f.where("app IS NOT NULL").groupBy(e, "app").agg(F.count("*").alias("n"))
+    n = f.where("app IS NOT NULL").groupBy(e, "app", "platform").agg(F.count("*").alias("n"))
     best = F.min(F.struct((-F.col("n")).alias("m"), "app"))["app"]
-    mobile, web = C.category(F.col("app")) == "mobile", C.platform(F.col("app")) == "web"
-    return n.groupBy(e).agg(F.count("*").alias("apps"), F.array_join(F.array_sort(F.collect_list("app")), ",").alias("names"), best.alias("most_used"), count_of(mobile).alias("mobile"), count_of(web).alias("desktop"))
+    mobile, desktop = C.is_mobile(F.col("platform")), C.is_desktop(F.col("platform"))
+    return n.groupBy(e).agg(F.count("*").alias("apps"), F.array_join(F.array_sort(F.collect_set("app")), ",").alias("names"), best.alias("most_used"), count_of(mobile).alias("mobile"), count_of(desktop).alias("desktop"))
 
 
 def shares(f: DataFrame, e: str, what: list[str]) -> DataFrame:
@@ -216,6 +216,21 @@ def work_list(f: DataFrame, e: str) -> DataFrame:
     return f.groupBy(e).agg(F.max("action_at").alias("last_action"), F.count("*").alias("n"))
 
 
+def prioritised(f: DataFrame, modified: DataFrame, e: str, as_of: date, limit: int = 500) -> DataFrame:
+    """Modified entities by how recent their last action is, how active they are, their actions and their last action; the first `limit`."""
+    g = work_list(f.join(modified, e, "left_semi"), e)
+    at = F.lit(as_of).cast("timestamp_ntz")
+    since = lambda days: F.col("last_action") >= at - F.expr(f"INTERVAL {days} DAY")
+    recency = F.when(since(7), 1).when(since(30), 2).when(since(90), 3).otherwise(4)
+    g = g.withColumn("recency", recency).withColumn("activity", F.when(F.col("n") > 100, 1).when(F.col("n") > 10, 2).otherwise(3))
+    return g.orderBy("recency", "activity", F.desc("n"), F.desc_nulls_last("last_action"), e).limit(limit)
+
+
+def low_activity(f: DataFrame, most: int = 20, width: int = 100) -> DataFrame:
+    """Users with at most `most` actions, and the batch of ids that each is in."""
+    return work_list(f, "action_user").where(F.col("n") <= most).select("action_user", "n", F.floor(F.col("action_user") / width).alias("batch"))
+
+
 def modes(f: DataFrame, e: str) -> DataFrame:
     """Most common ISO week, quarter, month, hour of the week and period of the day; of equal ones the largest."""
     cols = {"week": F.weekofyear("action_date"), "quarter": F.quarter("action_date"), "month": F.month("action_date"), "how": F.col("action_how"), "period": C.period_of_day(F.col("action_how") % 100)}

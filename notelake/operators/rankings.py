@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from .marts import count_of, is_
 
 #: Places of a public ranking.
@@ -21,15 +22,17 @@ def users(f: DataFrame, action: str, cond: Column | None = None, top: int = PLAC
     return placed(rows.groupBy("action_user").agg(n.alias("n")), top)
 
 
-def countries(f: DataFrame, action: str, top: int = PLACES) -> DataFrame:
+def countries(f: DataFrame, action: str, top: int | None = None) -> DataFrame:
     return placed(f.where(is_(action)).groupBy("country").agg(F.countDistinct("note_id").alias("n")), top)
 
 
-def placed(counts: DataFrame, top: int = PLACES, value: str = "n") -> DataFrame:
-    """Rows whose RANK is within the top: the value at the last place bounds them, so that only the best are sorted."""
-    edge = counts.orderBy(F.desc(value)).limit(top).agg(F.min(value).alias("edge"))
-    best = counts.join(F.broadcast(edge), F.col(value) >= F.col("edge")).drop("edge")
-    return best.withColumn("rank", F.rank().over(Window.orderBy(F.desc(value)))).where(F.col("rank") <= top)
+def placed(counts: DataFrame, top: int | None = None, value: str = "n") -> DataFrame:
+    """Rows with their RANK, all or those within the top. Only the distinct values are ordered in one task, not the rows."""
+    values = counts.groupBy(value).agg(F.count("*").alias("_rows"))
+    above = F.sum("_rows").over(Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1))
+    ranks = values.select(value, (F.coalesce(above, F.lit(0)) + 1).cast("int").alias("rank"))
+    ranks = ranks if top is None else ranks.where(F.col("rank") <= top)
+    return counts.join(ranks, value)
 
 
 def period(name: str, as_of: date) -> Column | None:
@@ -81,16 +84,19 @@ def tag_pairs(t: DataFrame, least: int = 3, top: int = 50) -> DataFrame:
     return a.join(b, "note_id").where("a < b").groupBy("a", "b").agg(F.count("*").alias("notes")).where(F.col("notes") >= least).orderBy(F.desc("notes"), "a", "b").limit(top)
 
 
-#: Badges by measure and least value.
+#: Badges in their order, by measure and least value.
 BADGES = [
-    ("First Note", "opened", 1), ("10 Notes Opened", "opened", 10), ("50 Notes Opened", "opened", 50), ("100 Notes Opened", "opened", 100), ("500 Notes Opened", "opened", 500), ("1000 Notes Opened", "opened", 1000), ("Note Master", "opened", 5000),
-    ("First Close", "closed", 1), ("10 Notes Closed", "closed", 10), ("50 Notes Closed", "closed", 50), ("100 Notes Closed", "closed", 100), ("500 Notes Closed", "closed", 500), ("1000 Notes Closed", "closed", 1000), ("Resolution Legend", "closed", 5000),
-    ("First Comment", "commented", 1), ("100 Comments", "commented", 100), ("500 Comments", "commented", 500), ("1000 Comments", "commented", 1000), ("Comment Legend", "commented", 5000),
-    ("Problem Solver", "closed_with_comment", 10), ("Community Helper", "closed_with_comment", 50), ("Resolution Master", "closed_with_comment", 100),
-    ("Hashtag Enthusiast", "tagged", 50), ("Collaborative", "mentions", 20), ("Resourceful", "urls", 20), ("Mobile User", "mobile", 100), ("Desktop Power User", "desktop", 100),
-    ("Century Club", "year_opened", 100), ("Resolution Champion", "year_closed", 100), ("Comment King", "year_commented", 100),
-    ("Quality Contributor", "avg_length", 51), ("Detail Oriented", "avg_length", 201), ("Long Time Helper", "years", 5), ("Early Adopter", "early", 1), ("All Around Helper", "all_round", 1000),
-    ("Daily Contributor", "day_run", 7), ("Perfect Week", "day_run", 7), ("Perfect Month", "day_run", 30), ("Weekly Contributor", "week_run", 4), ("Monthly Contributor", "month_run", 3), ("Consistent Helper", "close_run", 30), ("Speed Demon", "speedy", 1),
+    ("First Note", "opened", 1), ("First Close", "closed", 1), ("First Comment", "commented", 1),
+    ("10 Notes Opened", "opened", 10), ("50 Notes Opened", "opened", 50), ("100 Notes Opened", "opened", 100), ("500 Notes Opened", "opened", 500), ("1000 Notes Opened", "opened", 1000),
+    ("10 Notes Closed", "closed", 10), ("50 Notes Closed", "closed", 50), ("100 Notes Closed", "closed", 100), ("500 Notes Closed", "closed", 500), ("1000 Notes Closed", "closed", 1000),
+    ("100 Comments", "commented", 100), ("500 Comments", "commented", 500), ("1000 Comments", "commented", 1000),
+    ("Daily Contributor", "day_run", 7), ("Weekly Contributor", "week_run", 4), ("Monthly Contributor", "month_run", 3), ("Consistent Helper", "close_run", 30),
+    ("Speed Demon", "speedy", 1), ("Problem Solver", "closed_with_comment", 10), ("Community Helper", "closed_with_comment", 50), ("Resolution Master", "closed_with_comment", 100),
+    ("Hashtag Enthusiast", "tagged", 50), ("Mobile User", "mobile", 100), ("Desktop Power User", "desktop", 100),
+    ("Early Adopter", "early", 1), ("Long Time Helper", "years", 5), ("Century Club", "year_opened", 100), ("Resolution Champion", "year_closed", 100), ("Comment King", "year_commented", 100),
+    ("Perfect Week", "day_run", 7), ("Perfect Month", "day_run", 30),
+    ("Quality Contributor", "avg_length", 50), ("Detail Oriented", "avg_length", 200), ("Collaborative", "mentions", 20), ("Resourceful", "urls", 20),
+    ("Note Master", "opened", 5000), ("Resolution Legend", "closed", 5000), ("Comment Legend", "commented", 5000), ("All Around Helper", "all_round", 1000),
 ]
 
 
@@ -101,22 +107,38 @@ def measures(f: DataFrame, as_of: date) -> DataFrame:
     g = f.groupBy("action_user").agg(
         count_of(is_("opened")).alias("opened"), count_of(is_("closed")).alias("closed"), count_of(is_("commented")).alias("commented"),
         count_of(is_("closed") & (F.col("comment_length") > 0)).alias("closed_with_comment"), count_of(F.size("hashtags") > 0).alias("tagged"), count_of(F.col("has_mention")).alias("mentions"), count_of(F.col("has_url")).alias("urls"),
-        count_of(F.col("app").isNotNull()).alias("mobile"), F.lit(0).cast("long").alias("desktop"),
+        count_of(C.is_mobile(F.col("platform"))).alias("mobile"), count_of(C.is_desktop(F.col("platform"))).alias("desktop"),
         count_of(is_("opened") & year).alias("year_opened"), count_of(is_("closed") & year).alias("year_closed"), count_of(is_("commented") & year).alias("year_commented"),
-        F.coalesce(F.ceil(F.avg("comment_length")), F.lit(0)).alias("avg_length"), F.coalesce(as_of.year - F.year(F.min(F.when(is_("opened"), F.col("action_date")))), F.lit(0)).cast("long").alias("years"),
+        F.coalesce(F.floor(F.avg("comment_length")), F.lit(0)).alias("avg_length"), F.coalesce(as_of.year - F.year(F.min(F.when(is_("opened"), F.col("action_date")))), F.lit(0)).cast("long").alias("years"),
         count_of(is_("opened") & (F.year("action_date") == 2013)).alias("early"), count_of(fast).alias("speedy"),
     ).withColumn("all_round", F.least("opened", "closed", "commented"))
-    for name, unit, only in (("day_run", "day", ("opened", "closed")), ("close_run", "day", ("closed",)), ("week_run", "week", ("opened", "closed")), ("month_run", "month", ("opened", "closed"))):
-        g = g.join(longest_run(f.where(F.col("action").isin(*only)), unit, name), "action_user", "left")
+    g = g.join(runs(f), "action_user", "left")
     names = [c for c in g.columns if c != "action_user"]
     return g.select("action_user", F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.coalesce(F.col(c).cast("long"), F.lit(0)).alias("value")) for c in names])).alias("m")).select("action_user", "m.*")
 
 
+#: Runs by name: unit of time and the actions that count.
+RUNS = {"day_run": ("day", ("opened", "closed")), "close_run": ("day", ("closed",)), "week_run": ("week", ("opened", "closed")), "month_run": ("month", ("opened", "closed"))}
+
+
+def _unit(unit: str) -> Column:
+    """The number of the day, week or month of the action."""
+    d = F.col("action_date")
+    return {"day": F.unix_date(d), "week": F.floor((F.unix_date(d) + 3) / 7), "month": F.year(d) * 12 + F.month(d)}[unit].cast("long")
+
+
+def runs(f: DataFrame) -> DataFrame:
+    """Longest runs of each user, a column for each of RUNS, from one pass: first the distinct units of every run, then its islands."""
+    kinds = [F.when(F.col("action").isin(*only), F.struct(F.lit(name).alias("run"), _unit(unit).alias("i"))) for name, (unit, only) in RUNS.items()]
+    on = f.where(F.col("action").isin("opened", "closed")).select("action_user", F.explode(F.array_compact(F.array(*kinds))).alias("k")).select("action_user", "k.*").distinct()
+    island = F.col("i") - F.row_number().over(Window.partitionBy("action_user", "run").orderBy("i"))
+    longest = on.withColumn("island", island).groupBy("action_user", "run", "island").agg(F.count("*").alias("n"))
+    return longest.groupBy("action_user").agg(*[F.max(F.when(F.col("run") == name, F.col("n"))).alias(name) for name in RUNS])
+
+
 def longest_run(f: DataFrame, unit: str, name: str) -> DataFrame:
     """Longest run of consecutive days, weeks or months with an action of each user."""
-    d = F.col("action_date")
-    index = {"day": F.unix_date(d), "week": F.floor((F.unix_date(d) + 3) / 7), "month": F.year(d) * 12 + F.month(d)}[unit]
-    on = f.select("action_user", index.cast("long").alias("i")).distinct()
+    on = f.select("action_user", _unit(unit).alias("i")).distinct()
     island = F.col("i") - F.row_number().over(Window.partitionBy("action_user").orderBy("i"))
     return on.withColumn("island", island).groupBy("action_user", "island").agg(F.count("*").alias("n")).groupBy("action_user").agg(F.max("n").alias(name))
 
@@ -127,6 +149,15 @@ def badges(f: DataFrame, as_of: date, spark: SparkSession) -> DataFrame:
     return measures(f, as_of).where("action_user <> -1").join(F.broadcast(rules), "measure").where("value >= least").select("action_user", "badge")
 
 
+def awards(f: DataFrame, days: list[date], spark: SparkSession) -> DataFrame:
+    """user, badge, awarded_on: badges as they are awarded on the days in turn, each once: on the first day by which it is reached."""
+    out = None
+    for day in days:
+        one = badges(f.where(F.col("action_date") <= F.lit(day)), day, spark).withColumn("awarded_on", F.lit(day))
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("action_user", "badge").agg(F.min("awarded_on").alias("awarded_on"))
+
+
 #: Levels by notes opened, notes closed and days from first to last action.
 LEVELS = [("newcomer", 0, 0, 0), ("beginner", 1, 0, 1), ("intermediate", 11, 5, 30), ("advanced", 51, 25, 90), ("expert", 201, 100, 180), ("master", 500, 300, 365), ("legend", 1000, 600, 730)]
 
@@ -164,7 +195,8 @@ def automation(f: DataFrame, as_of: date) -> DataFrame:
         out = out.join(part, "u", "left")
     score = sum((F.coalesce(x, F.lit(0.0)) for x in ("velocity", "geography", "temporal", "mix")), F.lit(0.0))
     level = lambda s: F.when(s >= 0.8, 5).when(s >= 0.6, 4).when(s >= 0.4, 3).when(s >= 0.2, 2).otherwise(1)
-    return out.select(F.col("u").alias("action_user"), F.round(score, 4).alias("score"), level(score).alias("level"))
+    parts = [F.coalesce(x, F.lit(0.0)).alias(x) for x in ("velocity", "geography", "temporal", "mix")]
+    return out.select(F.col("u").alias("action_user"), *parts, F.round(score, 4).alias("score"), level(score).alias("level"))
 
 
 def contributions(f: DataFrame) -> DataFrame:

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..operators import checks as K
 from ..operators import dimensions as D
 from ..operators import marts as M
 from ..operators import rankings as R
+from ..operators.status import current
 from .mart_queries import Plan
-from .oracle import AS_OF, sql
+from .oracle import AS_OF, LOCATED, REGIONS, sql
 
 _NOW = "TIMESTAMP '2024-01-31'"
+#: The last day of the log and of actions.
+_LAST = date(2024, 1, 30)
 
 _PERIODS = {"": "true", "_year": f"year(action_date) = year({AS_OF})", "_month": f"date_trunc('month', action_date) = date_trunc('month', {AS_OF})", "_today": f"action_date = {AS_OF}"}
 
 
 def _rank(key: str, where: str, n: str) -> str:
-    return sql(f"SELECT * FROM (SELECT *, rank() OVER (ORDER BY n DESC) AS rank FROM (SELECT {key}, {n} AS n FROM f WHERE {where} GROUP BY {key})) WHERE rank <= 100")
+    return sql(f"SELECT * FROM (SELECT *, CAST(rank() OVER (ORDER BY n DESC) AS INTEGER) AS rank FROM (SELECT {key}, {n} AS n FROM f WHERE {where} GROUP BY {key})) WHERE rank <= 100")
 
 
 RANKINGS: dict[str, Plan] = {
@@ -29,6 +34,7 @@ RANKINGS: dict[str, Plan] = {
     for suffix, cond in _PERIODS.items()
     if a == "opened" or not suffix
 } | {
+    "rank_users_opened_today": (lambda w: R.users(w.facts, "opened", R.period("today", _LAST)), _rank("action_user", "action = 'opened' AND action_user <> -1 AND action_date = DATE '2024-01-30'", "count(DISTINCT note_id)")),
     "rank_countries_opened": (lambda w: R.countries(w.facts, "opened"), _rank("country", "action = 'opened'", "count(DISTINCT note_id)")),
     "rank_countries_closed": (lambda w: R.countries(w.facts, "closed"), _rank("country", "action = 'closed'", "count(DISTINCT note_id)")),
     "rank_countries_open_now": (lambda w: R.placed(w.status.where("is_open").groupBy("country").agg(F.count("*").alias("n"))), sql("SELECT country, n, rank() OVER (ORDER BY n DESC) AS rank FROM (SELECT country, count(*) AS n FROM st WHERE is_open GROUP BY country)")),
@@ -36,8 +42,6 @@ RANKINGS: dict[str, Plan] = {
         lambda w: R.placed(M.resolution(w.facts, "country").select("country", F.round("rate", 6).alias("rate")), value="rate"),
         sql("SELECT country, rate, rank() OVER (ORDER BY rate DESC) AS rank FROM (SELECT country, round(100::DOUBLE * count(*) FILTER (c) / count(*) FILTER (c OR o), 6) AS rate FROM (SELECT country, note_id, bool_or(action = 'opened') AS o, bool_or(action = 'closed') AS c FROM f GROUP BY ALL) GROUP BY country)"),
     ),
-    "rank_users_global": (lambda w: R.users(w.facts, "opened").withColumn("kind", F.lit("opened")).unionByName(R.users(w.facts, "closed").withColumn("kind", F.lit("closed"))), None),
-    "rank_users_json": (lambda w: R.users_document(w.facts, "month", w.as_of), None),
 }
 _TAG = "SELECT tag, count(*) AS uses, count(DISTINCT country) AS countries, count(DISTINCT action_user) AS users, avg(days_to_resolution) AS avg_days, avg(comment_length) AS avg_length FROM tg {0} GROUP BY tag"
 _ACTS = ", ".join(f"count(*) FILTER (action = '{a}') AS {a}" for a in ("opened", "commented", "closed", "reopened"))
@@ -78,10 +82,6 @@ TAGS: dict[str, Plan] = {
         lambda w: w.tags.join(w.status.select("note_id", "is_open"), "note_id").groupBy("tag").agg(M.count_of(F.col("is_open")).alias("still_open"), M.count_of(~F.col("is_open")).alias("closed")),
         sql("SELECT tag, count(*) FILTER (is_open) AS still_open, count(*) FILTER (NOT is_open) AS closed FROM tg JOIN st USING (note_id) GROUP BY tag"),
     ),
-    "ml_hashtag_features": (
-        lambda w: w.tags.groupBy("note_id").agg(F.countDistinct("tag").alias("n"), F.array_join(F.array_sort(F.collect_set("tag")), ",").alias("tags"), F.bool_or(F.lower("tag").contains("topic")).alias("topical"), F.bool_or(F.lower("tag").rlike("osmand|organicmaps")).alias("app_tag")),
-        sql("SELECT note_id, count(DISTINCT tag) AS n, string_agg(DISTINCT tag, ',' ORDER BY tag) AS tags, bool_or(contains(lower(tag), 'topic')) AS topical, bool_or(regexp_matches(lower(tag), 'osmand|organicmaps')) AS app_tag FROM tg GROUP BY note_id"),
-    ),
     "ml_hashtag_by_app": (
         lambda w: w.facts.where("app IS NOT NULL").groupBy("app").agg(F.count("*").alias("notes"), M.count_of(F.array_size(F.array_remove("hashtags", "")) > 0).alias("tagged")).where("notes >= 5").select("app", "notes", (F.lit(100.0) * F.col("tagged") / F.col("notes")).alias("pct")),
         sql("SELECT app, count(*) AS notes, 100::DOUBLE * count(*) FILTER (len(list_filter(hashtags, lambda x: x <> '')) > 0) / count(*) AS pct FROM f WHERE app IS NOT NULL GROUP BY app HAVING count(*) >= 5"),
@@ -92,15 +92,24 @@ _LEVEL = "CASE " + " ".join(f"WHEN opened >= {o} AND closed >= {c} AND days >= {
 _RULES = ", ".join(f"('{b}', '{m}', {v})" for b, m, v in R.BADGES)
 _RUN = "(SELECT action_user, max(n) AS {0} FROM (SELECT action_user, i - rn AS isl, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY action_user ORDER BY i) AS rn FROM (SELECT DISTINCT action_user, {1} AS i FROM f WHERE action IN ({2}))) GROUP BY ALL) GROUP BY action_user)"
 _RUNS = [("day_run", "action_date - DATE '1970-01-01'", "'opened', 'closed'"), ("close_run", "action_date - DATE '1970-01-01'", "'closed'"), ("week_run", "(action_date - DATE '1970-01-01' + 3) // 7", "'opened', 'closed'"), ("month_run", "year(action_date) * 12 + month(action_date)", "'opened', 'closed'")]
-_MEASURES = f"""SELECT m.*, least(opened, closed, commented) AS all_round, {', '.join(f'coalesce({r[0]}, 0) AS {r[0]}' for r in _RUNS)} FROM (SELECT action_user, count(*) FILTER (action = 'opened') AS opened, count(*) FILTER (action = 'closed') AS closed, count(*) FILTER (action = 'commented') AS commented,
- count(*) FILTER (action = 'closed' AND comment_length > 0) AS closed_with_comment, count(*) FILTER (len(hashtags) > 0) AS tagged, count(*) FILTER (has_mention) AS mentions, count(*) FILTER (has_url) AS urls, count(app) AS mobile, 0 AS desktop,
+def _measures(f: str) -> str:
+    """The measures of badges over the facts `f`, in long form."""
+    wide = f"""SELECT m.*, least(opened, closed, commented) AS all_round, {', '.join(f'coalesce({r[0]}, 0) AS {r[0]}' for r in _RUNS)} FROM (SELECT action_user, count(*) FILTER (action = 'opened') AS opened, count(*) FILTER (action = 'closed') AS closed, count(*) FILTER (action = 'commented') AS commented,
+ count(*) FILTER (action = 'closed' AND comment_length > 0) AS closed_with_comment, count(*) FILTER (len(hashtags) > 0) AS tagged, count(*) FILTER (has_mention) AS mentions, count(*) FILTER (has_url) AS urls, count(*) FILTER (platform IN ('android', 'ios')) AS mobile, count(*) FILTER (platform = 'web') AS desktop,
  count(*) FILTER (action = 'opened' AND year(action_date) = 2024) AS year_opened, count(*) FILTER (action = 'closed' AND year(action_date) = 2024) AS year_closed, count(*) FILTER (action = 'commented' AND year(action_date) = 2024) AS year_commented,
- CAST(coalesce(ceil(avg(comment_length)), 0) AS BIGINT) AS avg_length, coalesce(2024 - year(min(action_date) FILTER (action = 'opened')), 0) AS years, count(*) FILTER (action = 'opened' AND year(action_date) = 2013) AS early,
- count(*) FILTER (action = 'closed' AND action_at <= opened_at + INTERVAL 1 HOUR) AS speedy FROM f GROUP BY action_user) m {' '.join(f'LEFT JOIN {_RUN.format(*r)} USING (action_user)' for r in _RUNS)}"""
-_LONG = f"SELECT action_user, measure, CAST(value AS BIGINT) AS value FROM (UNPIVOT (SELECT action_user, COLUMNS(* EXCLUDE action_user)::BIGINT FROM ({_MEASURES})) ON COLUMNS(* EXCLUDE action_user) INTO NAME measure VALUE value)"
+ CAST(coalesce(floor(avg(comment_length)), 0) AS BIGINT) AS avg_length, coalesce(2024 - year(min(action_date) FILTER (action = 'opened')), 0) AS years, count(*) FILTER (action = 'opened' AND year(action_date) = 2013) AS early,
+ count(*) FILTER (action = 'closed' AND action_at <= opened_at + INTERVAL 1 HOUR) AS speedy FROM {f} GROUP BY action_user) m {' '.join(f'LEFT JOIN {_RUN.format(*r).replace("FROM f ", f"FROM {f} ")} USING (action_user)' for r in _RUNS)}"""
+    return f"SELECT action_user, measure, CAST(value AS BIGINT) AS value FROM (UNPIVOT (SELECT action_user, COLUMNS(* EXCLUDE action_user)::BIGINT FROM ({wide})) ON COLUMNS(* EXCLUDE action_user) INTO NAME measure VALUE value)"
+
+
+_LONG = _measures("f")
+_AWARDS = " UNION ALL ".join(
+    f"SELECT action_user, badge, DATE '{day}' AS day FROM ({_measures(f'(SELECT * FROM f WHERE action_date <= DATE {chr(39)}{day}{chr(39)})')}) l JOIN (VALUES {_RULES}) r(badge, measure, least) ON r.measure = l.measure AND value >= r.least WHERE action_user <> -1" for day in ("2024-01-15", "2024-01-31")
+)
+_AWARDED = f"SELECT action_user, badge, min(day) AS awarded_on FROM ({_AWARDS}) GROUP BY ALL"
 _CRIT = f"""
-SELECT u AS action_user, round(s, 4) AS score, CASE WHEN s >= 0.8 THEN 5 WHEN s >= 0.6 THEN 4 WHEN s >= 0.4 THEN 3 WHEN s >= 0.2 THEN 2 ELSE 1 END AS level FROM (
-SELECT x.u, coalesce(v.p, 0) + coalesce(g.p, 0) + coalesce(t.p, 0) + coalesce(a.p, 0) AS s FROM (SELECT DISTINCT action_user AS u FROM f) x
+SELECT u AS action_user, velocity, geography, temporal, mix, round(s, 4) AS score, CASE WHEN s >= 0.8 THEN 5 WHEN s >= 0.6 THEN 4 WHEN s >= 0.4 THEN 3 WHEN s >= 0.2 THEN 2 ELSE 1 END AS level FROM (
+SELECT x.u, coalesce(v.p, 0) AS velocity, coalesce(g.p, 0) AS geography, coalesce(t.p, 0) AS temporal, coalesce(a.p, 0) AS mix, coalesce(v.p, 0) + coalesce(g.p, 0) + coalesce(t.p, 0) + coalesce(a.p, 0) AS s FROM (SELECT DISTINCT action_user AS u FROM f) x
 LEFT JOIN (SELECT u, 0.25::DOUBLE * CASE WHEN n / s > 10 THEN 0.8 WHEN n / s > 5 THEN 0.6 WHEN n / s > 2 THEN 0.3 ELSE 0 END AS p FROM (SELECT opened_user AS u, count(*) FILTER (action = 'opened') AS n, (epoch_us(max(action_at)) - epoch_us(min(action_at))) / 60e6 AS s FROM f WHERE action_at > {_NOW} - INTERVAL 24 HOUR GROUP BY opened_user) WHERE n > 5 AND s > 0) v ON v.u = x.u
 LEFT JOIN (SELECT u, 0.20::DOUBLE * CASE WHEN n > 5 AND s < 6 THEN 0.7 WHEN n > 3 AND s < 12 THEN 0.5 WHEN n > 2 AND s < 24 THEN 0.2 ELSE 0 END AS p FROM (SELECT opened_user AS u, count(DISTINCT country) AS n, (epoch_us(max(action_at)) - epoch_us(min(action_at))) / 3600e6 AS s FROM f WHERE action = 'opened' AND action_at > {_NOW} - INTERVAL 24 HOUR GROUP BY opened_user) WHERE n > 1 AND s > 0) g ON g.u = x.u
 LEFT JOIN (SELECT u, 0.20::DOUBLE * CASE WHEN h > 22 THEN 0.6 ELSE 0.4 END AS p FROM (SELECT u, avg(h) AS h, count(*) AS d FROM (SELECT action_user AS u, action_date, count(DISTINCT action_how) AS h FROM f WHERE action_at > {_NOW} - INTERVAL 7 DAY GROUP BY ALL) GROUP BY u) WHERE h > 20 AND d >= 5) t ON t.u = x.u
@@ -119,7 +128,7 @@ LEVELS: dict[str, Plan] = {
         sql(f"SELECT action_user, level FROM ({_CRIT}) WHERE action_user IN (SELECT action_user FROM f WHERE action_date >= DATE '2024-01-28')"),
     ),
     "badge_measures": (lambda w: R.measures(w.facts, w.as_of), sql(_LONG)),
-    "badges": (lambda w: R.badges(w.facts, w.as_of, w.spark), sql(f"SELECT action_user, badge FROM ({_LONG}) l JOIN (VALUES {_RULES}) r(badge, measure, least) ON r.measure = l.measure AND value >= r.least WHERE action_user <> -1")),
+    "badges": (lambda w: R.awards(w.facts, [date(2024, 1, 15), w.as_of], w.spark), sql(_AWARDED)),
     "badges_streaks": (lambda w: R.longest_run(w.facts.where(F.col("action").isin("opened", "closed")), "day", "day_run"), sql(f"SELECT * FROM {_RUN.format(*_RUNS[0])}")),
     "contrib_single": (lambda w: w.facts.groupBy("action_user").count().where("count = 1").agg(F.count("*").alias("users")), sql(f"SELECT count(*) AS users FROM ({_SINGLE}) WHERE n = 1")),
     "contrib_distribution": (
@@ -171,13 +180,26 @@ DIMENSIONS: dict[str, Plan] = {
         "SELECT n_nationkey AS country_id, n_name AS country_name, CASE WHEN n_nationkey % 2 = 0 THEN left(n_name, 3) WHEN n_nationkey % 4 <> 0 AND n_nationkey % 5 = 0 THEN left(n_name, 2) WHEN n_nationkey % 4 <> 0 THEN left(n_name, 2) END AS iso, n_nationkey % 4 = 0 OR n_nationkey % 5 = 0 AS modified FROM nation WHERE n_nationkey <> 24",
     ),
     "dim_countries_renamed": (lambda w: _upsert(w).where("modified AND country_id % 4 <> 0").select("country_id", "country_name"), "SELECT n_nationkey AS country_id, n_name AS country_name FROM nation WHERE n_nationkey <> 24 AND n_nationkey % 4 <> 0 AND n_nationkey % 5 = 0"),
-    "dim_country_region": (lambda w: w.base.countries.join(F.broadcast(w.table("region")), F.col("region_id") == F.col("r_regionkey"), "left").select("country_id", F.coalesce("r_name", F.lit("Undefined")).alias("region")), "SELECT n_nationkey AS country_id, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24"),
+    "dim_country_region": (lambda w: D.located(w.base.countries, w.spark).select("country_id", "region"), f"SELECT n_nationkey AS country_id, region FROM {LOCATED}"),
+    "dim_region_continent": (
+        lambda w: D.regions(w.spark).join(D.located(w.base.countries, w.spark).groupBy("region").agg(F.count("*").alias("countries")), "region", "left").select("region", "continent", F.coalesce("countries", F.lit(0)).alias("countries")),
+        f"SELECT rg.region, continent, count(n_nationkey) AS countries FROM {REGIONS} LEFT JOIN {LOCATED} l ON l.region = rg.region GROUP BY ALL",
+    ),
+    "dim_iso_codes": (lambda w: D.located(w.base.countries, w.spark).select("country_id", "alpha2", "alpha3"), f"SELECT n_nationkey AS country_id, alpha2, alpha3 FROM {LOCATED}"),
     "dim_country_fallback": (lambda w: w.facts.groupBy("country").agg(F.countDistinct("note_id").alias("notes")), sql("SELECT country, count(DISTINCT note_id) AS notes FROM f GROUP BY country")),
 }
 
 _KIND = "CASE WHEN user_id % 3 = 0 THEN 'countries' WHEN user_id % 3 = 1 THEN 'users' ELSE 'global' END"
 _LOG = f"(SELECT event_id AS log_id, {_KIND} AS kind, user_id AS entity_id, ts AS start_time, value AS duration, event_id % 50 + 1 AS records, event_id % 5000 AS facts, CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status FROM events)"
-_PERF = "count(*) AS n, round(avg(duration), 6) AS mean, min(duration) AS least, max(duration) AS most, round(quantile_cont(duration, 0.5), 6) AS median, round(quantile_cont(duration, 0.95), 6) AS p95, round(sum(records) / sum(duration), 6) AS per_second"
+_PERF = "count(*) AS n, CAST(sum(records) AS BIGINT) AS records, round(avg(duration), 6) AS mean, min(duration) AS least, max(duration) AS most, round(quantile_cont(duration, 0.5), 6) AS median, round(quantile_cont(duration, 0.95), 6) AS p95, round(sum(records) / nullif(sum(duration), 0), 6) AS per_second"
+
+
+_STALE = "(SELECT note_id, max(action_at) AS last_at, arg_max(action, action_at) <> 'closed' AS is_open FROM f WHERE action IN ('opened', 'closed', 'reopened') AND action_date < DATE '2024-01-20' GROUP BY note_id)"
+
+
+def _stale(w):
+    """The status as it was, in which the checks have something to find."""
+    return current(w.facts.where("action_date < DATE '2024-01-20'"))
 
 
 def _log(w):
@@ -185,25 +207,35 @@ def _log(w):
 
 
 CHECKS: dict[str, Plan] = {
-    "check_status_reopened": (lambda w: K.reopened_later(w.status, w.facts), sql("SELECT note_id FROM st WHERE NOT is_open AND EXISTS (SELECT 1 FROM f WHERE f.note_id = st.note_id AND f.action = 'reopened' AND f.action_at > st.last_at)")),
-    "check_status_open_closed": (lambda w: K.open_but_closed(w.status, w.facts), sql("SELECT note_id FROM st WHERE is_open AND last_action = 'closed'")),
+    "check_status_reopened": (lambda w: K.reopened_later(_stale(w), w.facts), sql(f"SELECT note_id FROM {_STALE} s WHERE NOT is_open AND EXISTS (SELECT 1 FROM f WHERE f.note_id = s.note_id AND f.action = 'reopened' AND f.action_at > s.last_at)")),
+    "check_status_open_closed": (lambda w: K.open_but_closed(_stale(w), w.facts), sql(f"SELECT note_id FROM {_STALE} WHERE is_open AND note_id IN (SELECT note_id FROM st WHERE NOT is_open)")),
     "check_status_matches": (lambda w: K.status_differs(w.status.where("note_id % 9 <> 0"), w.facts), sql("SELECT note_id FROM st WHERE note_id % 9 = 0")),
     "check_counts_total": (lambda w: w.base.note_comments.agg(F.count("*").alias("base")).crossJoin(w.facts.agg(F.count("*").alias("facts"))), sql("SELECT (SELECT count(*) FROM comments) AS base, (SELECT count(*) FROM f) AS facts")),
     "check_counts_per_note": (lambda w: K.counts_by(w.base.note_comments, w.facts, "note_id", "note_id"), sql("SELECT note_id AS value, coalesce(b, 0) AS base, coalesce(x, 0) AS facts, coalesce(b, 0) = coalesce(x, 0) AS same FROM (SELECT note_id, count(*) AS b FROM comments GROUP BY note_id) FULL JOIN (SELECT note_id, count(*) AS x FROM f GROUP BY note_id) USING (note_id)")),
     "check_counts_per_action": (lambda w: K.counts_by(w.base.note_comments, w.facts, "event", "action"), sql("SELECT action AS value, coalesce(b, 0) AS base, coalesce(x, 0) AS facts, coalesce(b, 0) = coalesce(x, 0) AS same FROM (SELECT action, count(*) AS b FROM comments GROUP BY action) FULL JOIN (SELECT action, count(*) AS x FROM f GROUP BY action) USING (action)")),
-    "check_summary": (lambda w: K.summary(w.status, w.base.note_comments, w.facts), None),
+    "check_summary": (
+        lambda w: K.summary(_stale(w), w.base.note_comments, w.facts),
+        sql(f"""SELECT check_name, failures, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM (
+        SELECT 'reopened_later' AS check_name, count(*) AS failures FROM {_STALE} s WHERE NOT is_open AND EXISTS (SELECT 1 FROM f WHERE f.note_id = s.note_id AND f.action = 'reopened' AND f.action_at > s.last_at)
+        UNION ALL SELECT 'open_but_closed', count(*) FROM {_STALE} WHERE is_open AND note_id IN (SELECT note_id FROM st WHERE NOT is_open)
+        UNION ALL SELECT 'status_differs', count(*) FROM {_STALE} s FULL JOIN st ON st.note_id = s.note_id WHERE s.is_open IS DISTINCT FROM st.is_open
+        UNION ALL SELECT 'per_action', count(*) FROM (SELECT action, count(*) AS b FROM comments GROUP BY action) FULL JOIN (SELECT action, count(*) AS x FROM f GROUP BY action) USING (action) WHERE coalesce(b, 0) <> coalesce(x, 0))"""),
+    ),
     "load_balance": (lambda w: w.base.note_comments.agg(F.lit("comments").alias("what"), F.count("*").alias("n")).unionByName(w.facts.agg(F.lit("facts").alias("what"), F.count("*").alias("n"))), sql("SELECT 'comments' AS what, count(*) AS n FROM comments UNION ALL SELECT 'facts', count(*) FROM f")),
-    "perf_summary": (lambda w: K.perf_summary(_log(w), ["kind"]), f"SELECT kind, {_PERF} FROM {_LOG} GROUP BY kind"),
+    "perf_summary": (lambda w: K.perf_summary(K.within(_log(w), str(_LAST), 24).where("status = 'success'"), ["kind"]), f"SELECT kind, {_PERF} FROM {_LOG} WHERE start_time >= TIMESTAMP '2024-01-30' AND status = 'success' GROUP BY kind"),
     "perf_by_hour": (lambda w: K.perf_summary(_log(w).withColumn("hour", F.hour("start_time")), ["kind", "hour"]), f"SELECT kind, CAST(hour(start_time) AS INTEGER) AS hour, {_PERF} FROM {_LOG} GROUP BY ALL"),
     "perf_by_day": (lambda w: K.perf_summary(_log(w).withColumn("day", F.to_date("start_time")), ["kind", "day"]), f"SELECT kind, CAST(start_time AS DATE) AS day, {_PERF} FROM {_LOG} GROUP BY ALL"),
-    "perf_slowest": (lambda w: K.perf_slowest(_log(w), "users"), f"SELECT log_id, entity_id, duration FROM {_LOG} WHERE kind = 'users' ORDER BY duration DESC, log_id LIMIT 20"),
-    "perf_slow_entities": (lambda w: K.perf_slow_entities(_log(w), "countries", 5.0), f"SELECT entity_id, count(*) AS n, round(avg(duration), 6) AS mean FROM {_LOG} WHERE kind = 'countries' GROUP BY entity_id HAVING round(avg(duration), 6) > 5"),
+    "perf_slowest": (
+        lambda w: K.perf_slowest(K.within(_log(w), str(_LAST), 168)),
+        f"SELECT kind, CAST(place AS INTEGER) AS place, log_id, entity_id, duration, facts, round(records / nullif(duration, 0), 2) AS per_second FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY duration DESC, log_id) AS place FROM {_LOG} WHERE kind IN ('countries', 'users') AND start_time >= TIMESTAMP '2024-01-24') WHERE place <= 20",
+    ),
+    "perf_slow_entities": (lambda w: K.perf_slow_entities(_log(w), {"countries": 5.0, "users": 2.0}), f"SELECT kind, entity_id, count(*) AS n, round(avg(duration), 6) AS mean FROM {_LOG} WHERE kind IN ('countries', 'users') GROUP BY ALL HAVING round(avg(duration), 6) > CASE kind WHEN 'countries' THEN 5 ELSE 2 END"),
     "perf_throughput": (lambda w: _log(w).groupBy("kind", F.date_trunc("hour", "start_time").cast("timestamp_ntz").alias("hour")).agg((F.sum("records") / 60.0).alias("per_minute")), f"SELECT kind, date_trunc('hour', start_time) AS hour, sum(records) / 60::DOUBLE AS per_minute FROM {_LOG} GROUP BY ALL"),
     "perf_errors": (lambda w: _log(w).where("status = 'error'").groupBy("kind").agg(F.count("*").alias("n")), f"SELECT kind, count(*) AS n FROM {_LOG} WHERE status = 'error' GROUP BY kind"),
     "perf_recent_errors": (lambda w: _log(w).where("status = 'error'").orderBy(F.desc("start_time"), F.desc("log_id")).limit(20).select("log_id", "kind", "start_time"), f"SELECT log_id, kind, start_time FROM {_LOG} WHERE status = 'error' ORDER BY start_time DESC, log_id DESC LIMIT 20"),
     "perf_week_compare": (lambda w: K.perf_week_compare(_log(w), "2024-01-31"), f"SELECT kind, CASE WHEN ago <= 6 THEN 'current' ELSE 'previous' END AS week, count(*) AS n, round(avg(duration), 6) AS mean, count(*) FILTER (status = 'error') AS errors FROM (SELECT *, {AS_OF} - CAST(start_time AS DATE) AS ago FROM {_LOG}) WHERE ago BETWEEN 0 AND 13 GROUP BY ALL"),
     "perf_facts_buckets": (lambda w: K.perf_facts_buckets(_log(w)), f"SELECT CASE WHEN facts < 100 THEN '0-99' WHEN facts < 1000 THEN '100-999' ELSE '1000+' END AS band, count(*) AS n, round(avg(duration), 6) AS mean, round(1000::DOUBLE * sum(duration) / sum(facts), 6) AS ms_per_fact FROM {_LOG} GROUP BY ALL"),
-    "profile_daily_achievements": (lambda w: K.daily_achievements(w.facts, 2), sql("SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY action_user ORDER BY action_date DESC) AS INTEGER) AS place FROM (SELECT action_user, action_date, count(*) AS n FROM f WHERE action IN ('opened', 'closed') GROUP BY ALL HAVING count(*) >= 2)) WHERE place <= 20")),
+    "profile_daily_achievements": (lambda w: K.daily_achievements(w.facts, 2), sql("SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY action_user ORDER BY action_date DESC) AS INTEGER) AS place FROM (SELECT action_user, action_date, count(*) FILTER (action = 'opened') AS opened, count(*) FILTER (action = 'closed') AS closed FROM f GROUP BY ALL HAVING count(*) FILTER (action = 'opened') >= 2 OR count(*) FILTER (action = 'closed') >= 2)) WHERE place <= 20")),
     "profile_close_quality": (
         lambda w: K.close_quality(M.history(w.facts, "country", w.as_of), "country"),
         sql("SELECT country, pct, CASE WHEN pct >= 80 THEN 'Excellent' WHEN pct >= 60 THEN 'Good' WHEN pct >= 40 THEN 'Fair' ELSE 'Needs improvement' END AS quality FROM (SELECT country, CAST(floor(100::DOUBLE * sum(texts) FILTER (action = 'closed') / count(*) FILTER (action = 'closed')) AS BIGINT) AS pct FROM f GROUP BY country HAVING count(*) FILTER (action = 'closed') > 0)"),
@@ -221,8 +253,8 @@ CHECKS: dict[str, Plan] = {
         for a in ("commented", "reopened")
     },
     "profile_user_badges": (
-        lambda w: R.badges(w.facts, w.as_of, w.spark).groupBy("action_user").agg(F.array_join(F.array_sort(F.collect_list("badge")), ",").alias("badges")),
-        sql(f"SELECT action_user, string_agg(badge, ',' ORDER BY badge) AS badges FROM ({_LONG}) l JOIN (VALUES {_RULES}) r(badge, measure, least) ON r.measure = l.measure AND value >= r.least WHERE action_user <> -1 GROUP BY action_user"),
+        lambda w: R.awards(w.facts, [date(2024, 1, 15), w.as_of], w.spark).groupBy("action_user").agg(F.array_sort(F.collect_list(F.struct((-F.unix_date("awarded_on")).alias("late"), "badge", "awarded_on"))).alias("b")).select("action_user", F.array_join(F.transform("b", lambda x: F.concat_ws(" ", x.awarded_on.cast("string"), x.badge)), ",").alias("badges")),
+        sql(f"SELECT action_user, string_agg(CAST(awarded_on AS VARCHAR) || ' ' || badge, ',' ORDER BY awarded_on DESC, badge) AS badges FROM ({_AWARDED}) GROUP BY action_user"),
     ),
 }
 

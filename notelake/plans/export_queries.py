@@ -11,41 +11,77 @@ from ..operators import marts as M
 from ..operators import triage as T
 from ..operators.status import current, merged
 from ..sources import notes
-from .mart_queries import MARTS, Plan
-from .oracle import sql
+from ..sources.store import folder
+from .mart_queries import MARTS, USERS, Plan
+from .oracle import AS_OF, sql
 
 _CLEAN = "left(trim(replace(regexp_replace({0}, '[\\r\\n\\t]+', ' ', 'g'), '\"', '''')), 2000)"
 _CLOSED = f"""SELECT country, CAST(row_number() OVER (PARTITION BY country ORDER BY closed_at DESC, note_id DESC) AS INTEGER) AS place, note_id, opened_at, closed_at, opened_user, closed_user, days, actions, comments, was_reopened, {_CLEAN.format('ob')} AS opening, {_CLEAN.format('cb')} AS closing
 FROM (SELECT note_id, any_value(country) AS country, any_value(opened_at) AS opened_at, max(action_at) FILTER (action = 'closed') AS closed_at, any_value(opened_user) AS opened_user, arg_max(action_user, action_at) FILTER (action = 'closed') AS closed_user,
  arg_max(days_to_resolution, action_at) FILTER (action = 'closed') AS days, count(*) AS actions, count(*) FILTER (action = 'commented') AS comments, bool_or(action = 'reopened') AS was_reopened,
  arg_min_null(body, action_at) FILTER (action = 'opened') AS ob, arg_max_null(body, action_at) FILTER (action = 'closed') AS cb FROM f GROUP BY note_id) WHERE closed_at IS NOT NULL"""
-_HISTORY = {k: MARTS[f"{k}_history"][1] for k in ("country", "user")}
+_KEYS = lambda c: ", ".join(f"CAST(coalesce(bool_or(contains(lower({c}), '{a}') OR contains(lower({c}), '{b}')), false) AS INTEGER) AS has_{k}_keyword" for k, (a, b) in T.KEYWORDS.items())
+_ASSISTED = ", ".join(f"'{a}'" for a in T.ASSISTED)
+_ROWS = f"""SELECT f.note_id, f.country, comment_length, CAST(has_url AS INTEGER) AS has_url_int, CAST(has_mention AS INTEGER) AS has_mention_int, CAST(len(list_filter(hashtags, lambda x: x <> '')) AS INTEGER) AS hashtag_number,
+ prior_commented AS total_comments_on_note, coalesce(hashtag_count, 0) AS hashtag_count, {', '.join(f'coalesce(has_{k}_keyword, 0) AS has_{k}_keyword' for k in T.KEYWORDS)}, CAST(coalesce(app IN ({_ASSISTED}), false) AS INTEGER) AS is_assisted_app,
+ CAST(coalesce(contains(app, 'mobile') OR contains(app, 'app'), false) AS INTEGER) AS is_mobile_app, coalesce(rate, 0) AS country_resolution_rate, coalesce(avg_days, 0) AS country_avg_resolution_days, coalesce(score, 0) AS country_notes_health_score,
+ coalesce(a.days, 0) AS user_response_time, coalesce(whole_open, 0) AS user_total_notes, coalesce(contributor_type, 0) AS user_experience_level, CAST(dayofweek(action_date) AS INTEGER) AS day_of_week, CAST(hour(action_at) AS INTEGER) AS hour_of_day, CAST(month(action_date) AS INTEGER) AS month,
+ CASE WHEN next_at IS NULL THEN CAST({AS_OF} - action_date AS INTEGER) END AS days_open, has_url, CAST(next_at AS DATE) AS shut_on, {AS_OF} - action_date AS age, (SELECT min(c.action_date) FROM f c WHERE c.note_id = f.note_id AND c.action = 'commented') AS said_on
+FROM f LEFT JOIN nc USING (note_id, seq) LEFT JOIN (SELECT note_id, count(DISTINCT tag) AS hashtag_count, {_KEYS('tag')} FROM tg WHERE action = 'opened' GROUP BY note_id) k ON k.note_id = f.note_id
+LEFT JOIN ({MARTS['country_resolution'][1]}) r ON r.country = f.country LEFT JOIN ({MARTS['country_health_score'][1]}) s ON s.country = f.country
+LEFT JOIN ({USERS['user_response_time'][1]}) a ON a.action_user = f.action_user LEFT JOIN ({MARTS['user_history'][1]}) u ON u.action_user = f.action_user LEFT JOIN ({USERS['user_contributor_type'][1]}) ct ON ct.action_user = f.action_user
+WHERE action = 'opened' AND comment_length > 0"""
+_FEATURES = ", ".join(T.FEATURES)
+_TARGETS = """CASE WHEN shut_on IS NULL THEN NULL WHEN said_on < shut_on THEN 'contributes_with_change' ELSE 'doesnt_contribute' END AS main_category,
+ CASE WHEN comment_length < 10 THEN 'empty' WHEN comment_length < 50 AND total_comments_on_note > 2 THEN 'lack_of_precision' WHEN comment_length > 200 AND has_url THEN 'advertising' WHEN shut_on IS NULL AND age > 180 THEN 'obsolete' WHEN is_assisted_app = 1 AND comment_length > 30 THEN 'adds_to_map' ELSE 'other' END AS specific_type,
+ CASE WHEN shut_on IS NOT NULL AND said_on < shut_on THEN 'process' WHEN shut_on IS NOT NULL THEN 'close' WHEN comment_length < 50 AND total_comments_on_note > 2 THEN 'needs_more_data' END AS recommended_action"""
+_TRAINING = f"SELECT note_id, country, {_FEATURES}, {_TARGETS} FROM ({_ROWS}) WHERE shut_on IS NOT NULL"
 
 
-def _history(kind: str):
-    return MARTS[f"{kind}_history"][0]
+def _features(w):
+    c = M.resolution(w.facts, "country").join(M.health_score(M.resolution(w.facts, "country"), M.health(w.facts, w.status, "country", w.as_of), "country"), "country")
+    c = c.select("country", F.col("rate").alias("resolution_rate"), "avg_days", F.round("score", 6).alias("score"))
+    u = M.history(w.facts, "action_user", w.as_of).select("action_user", F.col("whole_open").alias("opened")).join(M.contributor_type(w.facts, w.as_of), "action_user").join(M.response_time(w.facts).withColumnRenamed("days", "response_time"), "action_user", "left")
+    return T.features(w.facts, w.tags, c, u.withColumnRenamed("action_user", "user"), w.as_of)
 
 
-def _index(kind: str, e: str) -> Plan:
-    names = [f"{s}_{m}" for s in ("whole", "year") for m in M.MEASURES]
-    return lambda w: X.index(_history(kind)(w), e), f"SELECT {e}, {', '.join(names)} FROM ({_HISTORY[kind]})"
+def _labelled(w):
+    """Features and targets, written once, as three models read them."""
+    path = folder(w.spark, "features")
+    T.targets(_features(w), w.facts).write.parquet(path)
+    return w.spark.read.parquet(path)
 
 
-def _triage(w):
-    return T.features(w.facts, M.resolution(w.facts, "country")).join(T.targets(w.facts), "note_id")
+def _models(rows, within):
+    return {t: T.train(rows.where(F.col("resolved") & within), t) for t in T.MODELS}
 
 
 def _predictions(w):
-    rows = _triage(w)
-    model = T.train(rows.where(~T.held_out()), "speed")
-    return T.predict(model, T.features(w.facts, M.resolution(w.facts, "country")))
+    """Predictions for the notes that have no classification yet; every third has one."""
+    rows = _labelled(w)
+    return T.predict(_models(rows, ~T.held_out()), rows.where("note_id % 3 <> 0").drop(*T.MODELS))
 
 
-_FEATURES = """SELECT f.note_id, f.country, comment_length, CAST(has_url AS INTEGER) AS url, CAST(has_mention AS INTEGER) AS mention, CAST(len(list_filter(hashtags, lambda x: x <> '')) AS INTEGER) AS tags,
- CAST(action_how // 100 AS INTEGER) AS dow, CAST(action_how % 100 AS INTEGER) AS hour, CAST(month(action_date) AS INTEGER) AS month, user_opened, user_closed, coalesce(rate, 0) AS country_rate, CAST(app IS NOT NULL AS INTEGER) AS app_known, season
-FROM f JOIN (SELECT action_user AS u, count(*) FILTER (action = 'opened') AS user_opened, count(*) FILTER (action = 'closed') AS user_closed FROM f GROUP BY action_user) ON u = f.action_user
-JOIN (SELECT country, 100::DOUBLE * count(*) FILTER (c) / count(*) FILTER (c OR o) AS rate FROM (SELECT country, note_id, bool_or(action = 'opened') AS o, bool_or(action = 'closed') AS c FROM f GROUP BY ALL) GROUP BY country) r ON r.country = f.country
-WHERE action = 'opened' AND comment_length > 0"""
+def _metrics(w, rows, within, version):
+    models = _models(rows, within & ~T.held_out())
+    found = [(t, version, k, float(v)) for t, m in models.items() for k, v in T.evaluate(m, rows.where(F.col("resolved") & T.held_out())).items()]
+    return w.spark.createDataFrame(found, "target string, version int, metric string, value double")  # a row for each model and metric
+
+
+def _trained(w):
+    """The classes and samples that each model has learnt from."""
+    rows = _labelled(w)
+    models = _models(rows, F.lit(True))
+    out = None
+    for t, m in models.items():
+        one = rows.where("resolved").groupBy(F.col(t).alias("class")).agg(F.count("*").alias("samples")).select(F.lit(t).alias("target"), "class", "samples", F.lit(len(T.FEATURES)).alias("features"), F.col("class").isin(*m.stages[0].labels).alias("known"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _priority(w):
+    """The newest 50 open notes that change something and are to be processed, as predicted."""
+    return _predictions(w).where("priority = 9").join(w.status.where("is_open"), "note_id").orderBy(F.desc("last_at"), "note_id").limit(50).select("note_id", "main_category", "recommended_action", "last_at")
 
 
 def _published(w):
@@ -55,22 +91,10 @@ def _published(w):
 
 
 PLANS: dict[str, Plan] = {
-    "sink_user_index": _index("user", "action_user"),
-    "sink_country_index": _index("country", "country"),
-    "sink_user_json": (
-        lambda w: w.facts.select("action_user").distinct().select("action_user", *X.hex_path(F.col("action_user"))),
-        sql("SELECT DISTINCT action_user, substring(h, 1, 1) AS d1, substring(h, 2, 1) AS d2, substring(h, 3, 1) AS d3 FROM (SELECT action_user, lpad(lower(to_hex((action_user % 4096 + 4096) % 4096)), 3, '0') AS h FROM f)"),
-    ),
-    "sink_country_json": (lambda w: X.documents(_history("country")(w), "country").select("country", F.get_json_object("document", "$.whole_open").cast("long").alias("whole_open")), f"SELECT country, whole_open FROM ({_HISTORY['country']})"),
-    "sink_export_metadata": (lambda w: X.metadata({k: _history(k)(w) for k in ("country", "user")}).select("name", "rows"), f"SELECT 'country' AS name, count(*) AS rows FROM ({_HISTORY['country']}) UNION ALL SELECT 'user', count(*) FROM ({_HISTORY['user']})"),
     "export_incremental_select": (
         lambda w: X.unexported(w.facts.select("country").distinct(), w.facts.where("country % 2 = 0").select("country").distinct(), w.facts.where("country % 5 = 0").select("country").distinct(), "country", 10),
         sql("SELECT country FROM (SELECT DISTINCT country FROM f WHERE country % 2 <> 0 OR country % 5 = 0) ORDER BY country LIMIT 10"),
     ),
-    "export_schema_validate": (
-        lambda w: X.valid(X.documents(_history("country")(w), "country"), "country int, whole_open long, whole_closed long", ["country", "whole_open"]).select("country", "ok"),
-        sql("SELECT DISTINCT country, true AS ok FROM f"),
-    ),
     "export_country_stale": (
         lambda w: X.stale(w.base.countries.select(F.col("country_id").alias("country"), (F.col("country_id") % 11 == 0).alias("flagged")), _published(w), "country", w.as_of, 7),
         "SELECT n_nationkey AS country, 'export' AS act FROM nation WHERE n_nationkey <> 24 AND (n_nationkey % 3 = 0 OR n_nationkey % 2 = 0 OR n_nationkey % 11 = 0) UNION ALL SELECT 999, 'drop'",
@@ -89,14 +113,25 @@ PLANS: dict[str, Plan] = {
         lambda w: merged(current(w.facts.where("action_date < DATE '2024-01-20'")), current(w.facts.where("action_date >= DATE '2024-01-20'"))).select("note_id", "last_action", "is_open"),
         sql("SELECT note_id, last_action, is_open FROM st"),
     ),
-    "ml_training_features": (_triage, sql(f"SELECT x.*, CASE WHEN days = 0 THEN 'same_day' WHEN days <= 7 THEN 'week' ELSE 'later' END AS speed, CAST(days <= 7 AS INTEGER) AS quick FROM ({_FEATURES}) x JOIN (SELECT f.note_id, CAST(next_at AS DATE) - action_date AS days FROM f JOIN nc USING (note_id, seq)) d ON d.note_id = x.note_id")),
-    "ml_prediction_features": (lambda w: T.features(w.facts, M.resolution(w.facts, "country")), sql(_FEATURES)),
+    "ml_training_features": (lambda w: T.targets(_features(w), w.facts).where("resolved").drop("resolved"), sql(_TRAINING)),
+    "ml_prediction_features": (lambda w: _features(w).select("note_id", "country", *T.FEATURES), sql(f"SELECT note_id, country, {_FEATURES} FROM ({_ROWS})")),
+    "ml_train": (_trained, sql("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS target, {t} AS class, count(*) AS samples, {len(T.FEATURES)} AS features, true AS known FROM ({_TRAINING}) GROUP BY {t}" for t in T.MODELS) + ")")),
+    "ml_evaluate": (lambda w: _metrics(w, _labelled(w), F.lit(True), 1), None),
+    "ml_compare": (lambda w: (lambda rows: T.compare(_metrics(w, rows, F.col("note_id") % 2 == 0, 1).unionByName(_metrics(w, rows, F.lit(True), 2))))(_labelled(w)), None),
     "ml_predict": (_predictions, None),
-    "ml_high_confidence": (lambda w: _predictions(w).agg(F.count("*").alias("processed"), F.count_if(F.col("confidence") >= 0.8).alias("confident")), None),
+    "ml_high_confidence": (lambda w: _predictions(w).agg(F.count("*").alias("processed"), F.count_if(F.col("main_category_confidence") >= 0.8).alias("confident")), None),
+    "ml_priority_notes": (_priority, None),
     "ml_readiness": (lambda w: T.readiness(w.facts), sql("SELECT count(*) AS openings, count(next_at) AS resolved, count(next_at) >= 100 AS ready FROM f LEFT JOIN nc USING (note_id, seq) WHERE action = 'opened' AND comment_length > 0")),
     "ml_retrain_decision": (
         lambda w: T.retrain(w.facts, date(2024, 1, 15), w.as_of),
         sql("SELECT closes, fresh, 100::DOUBLE * fresh / closes AS pct, 100::DOUBLE * fresh / closes >= 10 AS retrain FROM (SELECT count(*) AS closes, count(*) FILTER (action_date > DATE '2024-01-15') AS fresh FROM f WHERE action = 'closed')"),
     ),
-    "ml_hashtag_category": (lambda w: T.category(w.tags), sql("SELECT CASE WHEN regexp_matches(lower(tag), 'osmand|organicmaps|mapsme') THEN 'application' WHEN regexp_matches(lower(tag), '^topic') THEN 'topic' ELSE 'other' END AS category, count(*) AS n, count(DISTINCT tag) AS tags FROM tg GROUP BY ALL")),
+    "ml_hashtag_category": (
+        lambda w: T.category(w.tags),
+        sql("SELECT CASE " + " ".join(f"WHEN contains(lower(tag), '{a}') OR contains(lower(tag), '{b}') THEN '{k}'" for k, (a, b) in T.KEYWORDS.items()) + " ELSE 'other' END AS category, count(*) AS n, count(DISTINCT tag) AS tags FROM tg GROUP BY ALL"),
+    ),
+    "ml_hashtag_features": (
+        lambda w: T.tag_features(w.tags).withColumn("hashtag_names", F.array_join("hashtag_names", ",")),
+        sql("SELECT note_id, count(DISTINCT tag) AS hashtag_count, string_agg(DISTINCT tag, ',' ORDER BY tag) AS hashtag_names, " + ", ".join(f"bool_or(contains(lower(tag), '{a}') OR contains(lower(tag), '{b}')) AS has_{k}_keyword" for k, (a, b) in T.KEYWORDS.items()) + " FROM tg WHERE action = 'opened' GROUP BY note_id"),
+    ),
 }

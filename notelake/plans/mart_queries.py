@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import facts as X
+from ..operators import dimensions as D
 from ..operators import marts as M
-from .oracle import AS_OF, five, sql, top
+from ..sources import notes
+from .oracle import AS_OF, LOCATED, REGIONS, five, sql, top
 from .warehouse import Warehouse
 
 Plan = tuple[Callable[[Warehouse], DataFrame], str | None]
@@ -26,9 +28,15 @@ def _sql(*cols: str) -> str:
     return sql(f"SELECT {', '.join([*_FACT, *cols])} FROM f")
 
 
+def _unopened(w: Warehouse) -> notes.Base:
+    """The base tables without the openings of every 17th note."""
+    b = w.base
+    return notes.Base(b.notes, b.note_comments.where("note_id % 17 <> 0 OR event <> 'opened'"), b.note_comments_text, b.users, b.countries)
+
+
 FACTS: dict[str, Plan] = {
     "src_base_tables": (
-        lambda w: w.base.note_comments.groupBy("event").agg(F.count("*").alias("n"), F.count("id_user").alias("named"), F.min("created_at").alias("first_at")),
+        lambda w: notes.snapshot(w.base).note_comments.groupBy("event").agg(F.count("*").alias("n"), F.count("id_user").alias("named"), F.min("created_at").alias("first_at")),
         sql("SELECT action AS event, count(*) AS n, count(id_user) AS named, min(created_at) AS first_at FROM comments GROUP BY action"),
     ),
     "facts_base_join": (lambda w: X.joined(w.base).select(*_FACT, "action", "action_at", "action_user", "country", "latitude", "longitude"), sql("SELECT c.note_id, c.seq, c.action, c.created_at AS action_at, coalesce(c.id_user, -1) AS action_user, n.country, n.latitude, n.longitude FROM comments c JOIN notes n USING (note_id)")),
@@ -36,7 +44,7 @@ FACTS: dict[str, Plan] = {
     "facts_close_keys": (_fact("closed_date", "closed_user"), _sql("closed_date", "closed_user")),
     "facts_next_close": (_fact("next_close_date", "next_close_user"), sql("SELECT f.note_id, f.seq, CAST(next_at AS DATE) AS next_close_date, next_user AS next_close_user FROM f LEFT JOIN nc USING (note_id, seq)")),
     "facts_recent_open": (_fact("recent_open_date"), _sql("recent_open_date")),
-    "facts_orphans": (lambda w: X.orphans(w.facts).select(*_FACT), sql("SELECT note_id, seq FROM f WHERE recent_open_date IS NULL")),
+    "facts_orphans": (lambda w: X.orphans(_unopened(w)).select(*_FACT), sql("SELECT note_id, seq FROM f WHERE note_id % 17 = 0 AND action <> 'opened'")),
     "facts_dedup": (lambda w: w.facts.groupBy("note_id").agg(F.count("*").alias("n"), F.countDistinct("action_at").alias("times")), sql("SELECT note_id, count(*) AS n, count(DISTINCT action_at) AS times FROM f GROUP BY note_id")),
     "facts_local_time": (_fact("zone", "local_date", "local_how"), _sql("zone", "local_date", "local_how")),
     "facts_season": (_fact("season"), _sql("season")),
@@ -58,7 +66,7 @@ FACTS: dict[str, Plan] = {
         lambda w: w.facts.where("action_date >= DATE '2024-01-25'").select(F.explode(F.array(F.struct(F.lit("user").alias("kind"), F.col("action_user").alias("id")), F.struct(F.lit("country").alias("kind"), F.col("country").cast("long").alias("id")))).alias("x")).select("x.*").distinct(),
         sql("SELECT DISTINCT 'user' AS kind, action_user AS id FROM f WHERE action_date >= DATE '2024-01-25' UNION SELECT DISTINCT 'country', CAST(country AS BIGINT) FROM f WHERE action_date >= DATE '2024-01-25'"),
     ),
-    "dim_application_match": (lambda w: w.facts.where("app IS NOT NULL").groupBy("app").agg(F.count("*").alias("n")), sql("SELECT app, count(*) AS n FROM f WHERE app IS NOT NULL GROUP BY app")),
+    "dim_application_match": (lambda w: w.facts.where("app IS NOT NULL").groupBy("app", "platform").agg(F.count("*").alias("n")), sql("SELECT app, platform, count(*) AS n FROM f WHERE app IS NOT NULL GROUP BY ALL")),
     "dim_application_version": (lambda w: w.facts.where("app_version IS NOT NULL").select("app", "app_version").distinct(), sql("SELECT DISTINCT app, app_version FROM f WHERE app_version IS NOT NULL")),
     "dim_hashtags": (lambda w: w.tags.select("tag").distinct(), sql("SELECT DISTINCT tag FROM tg")),
     "dim_timezone": (lambda w: w.facts.select("zone").distinct().select("zone", C.zone_name(F.col("zone")).alias("name")), sql("SELECT DISTINCT zone, CASE WHEN zone = 0 THEN 'UTC' WHEN zone > 0 THEN 'UTC+' || zone ELSE 'UTC' || zone END AS name FROM f")),
@@ -110,7 +118,7 @@ def _mart(kind: str, e: str, other: str) -> dict[str, Plan]:
         "resolution_by_month": (lambda w: M.resolution_by(w.facts, e, "month"), sql(by("month"))),
         "applications": (
             lambda w: M.applications(w.facts, e),
-            sql(f"SELECT {e}, count(*) AS apps, string_agg(app, ',' ORDER BY app) AS names, arg_min(app, {{'m': -n, 'a': app}}) AS most_used, count(*) FILTER (app IN ('StreetComplete', 'OsmAnd', 'OrganicMaps android')) AS mobile, CAST(0 AS BIGINT) AS desktop FROM (SELECT {e}, app, count(*) AS n FROM f WHERE app IS NOT NULL GROUP BY ALL) GROUP BY {e}"),
+            sql(f"SELECT {e}, count(*) AS apps, string_agg(DISTINCT app, ',' ORDER BY app) AS names, arg_min(app, {{'m': -n, 'a': app}}) AS most_used, count(*) FILTER (platform IN ('android', 'ios')) AS mobile, count(*) FILTER (platform = 'web') AS desktop FROM (SELECT {e}, app, platform, count(*) AS n FROM f WHERE app IS NOT NULL GROUP BY ALL) GROUP BY {e}"),
         ),
         "app_trends": (lambda w: M.shares(w.facts, e, ["app"]), sql(share(["app"]))),
         "version_adoption": (lambda w: M.shares(w.facts, e, ["app", "app_version"]), sql(share(["app", "app_version"]))),
@@ -161,10 +169,15 @@ USERS: dict[str, Plan] = {
         lambda w: M.collaboration(w.facts),
         sql("SELECT a.action_user, given, coalesce(received, 0) AS received, replies, given + coalesce(received, 0) + replies AS score FROM (SELECT action_user, count(*) FILTER (has_mention) AS given, count(*) FILTER (action = 'commented' AND prior_commented > 0) AS replies FROM f GROUP BY action_user) a LEFT JOIN (SELECT opened_user, count(*) AS received FROM f WHERE has_mention AND action_user <> opened_user GROUP BY opened_user) b ON b.opened_user = a.action_user"),
     ),
-    "user_low_activity_batches": (lambda w: M.work_list(w.facts, "action_user").where("n <= 20").select("action_user", "n"), sql("SELECT action_user, count(*) AS n FROM f GROUP BY action_user HAVING count(*) <= 20")),
+    "user_low_activity_batches": (lambda w: M.low_activity(w.facts.where("action_date < DATE '2024-01-06'")), sql("SELECT action_user, count(*) AS n, CAST(floor(action_user / 100::DOUBLE) AS BIGINT) AS batch FROM f WHERE action_date < DATE '2024-01-06' GROUP BY action_user HAVING count(*) <= 20")),
+    "user_work_list": (
+        lambda w: M.prioritised(w.facts, w.facts.where("action_date >= DATE '2024-01-20'").select("action_user").distinct(), "action_user", w.as_of),
+        sql(f"""SELECT action_user, max(action_at) AS last_action, count(*) AS n, CASE WHEN max(action_at) >= {AS_OF} - INTERVAL 7 DAY THEN 1 WHEN max(action_at) >= {AS_OF} - INTERVAL 30 DAY THEN 2 WHEN max(action_at) >= {AS_OF} - INTERVAL 90 DAY THEN 3 ELSE 4 END AS recency,
+        CASE WHEN count(*) > 100 THEN 1 WHEN count(*) > 10 THEN 2 ELSE 3 END AS activity FROM f GROUP BY action_user HAVING max(action_date) >= DATE '2024-01-20' ORDER BY recency, activity, n DESC, last_action DESC, action_user LIMIT 500"""),
+    ),
     "country_profile": (
-        lambda w: w.base.countries.join(w.table("region"), F.col("region_id") == F.col("r_regionkey")).select("country_id", "country_name", "country_name_es", "country_name_en", F.col("r_name").alias("region")),
-        "SELECT n_nationkey AS country_id, n_name AS country_name, lower(n_name) AS country_name_es, array_to_string(list_transform(string_split(lower(n_name), ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS country_name_en, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24",
+        lambda w: D.located(w.base.countries, w.spark).join(F.broadcast(D.regions(w.spark)), "region").select("country_id", "country_name", "country_name_es", "country_name_en", "alpha2", "alpha3", "region", "continent"),
+        f"SELECT n_nationkey AS country_id, n_name AS country_name, lower(n_name) AS country_name_es, array_to_string(list_transform(string_split(lower(n_name), ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS country_name_en, alpha2, alpha3, region, continent FROM {LOCATED} JOIN {REGIONS} USING (region)",
     ),
 }
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,6 @@ from ..operators import facts as A
 from ..operators import global_mart as G
 from ..operators import marts as M
 from ..operators import rankings as R
-from ..operators import triage as T
 from ..sources.store import folder
 from .global_queries import PLANS as GLOBAL
 from .mart_queries import MARTS, USERS, Plan
@@ -26,19 +23,24 @@ def _partitioned(w: Warehouse) -> DataFrame:
     return w.spark.read.parquet(path).groupBy("action_year").agg(F.count("*").alias("n"))
 
 
-def _mode(facts_last: date | None, base_last: date | None) -> str:
-    """What a load has to do."""
-    if facts_last is None:
-        return "initial"
-    if base_last is None or facts_last > base_last:
-        return "error"
-    return "up_to_date" if facts_last == base_last else "incremental"
+def _load_mode(w: Warehouse) -> DataFrame:
+    """What a load has to do, for facts that are absent, of a part of the actions, complete, or ahead of the base tables."""
+    base = w.base.note_comments.agg(F.max("created_at").alias("base"))
+    mine = w.facts.agg(F.max("action_at").alias("whole"), F.max(F.when(F.col("action_date") < "2024-01-20", F.col("action_at"))).alias("part"))
+    ahead = F.col("whole") + F.expr("INTERVAL 1 DAY")
+    cases = F.array(*[F.struct(F.lit(n).alias("facts"), c.alias("last")) for n, c in (("none", F.lit(None).cast("timestamp_ntz")), ("part", F.col("part")), ("whole", F.col("whole")), ("ahead", ahead))])
+    mode = F.when(F.col("c.last").isNull(), "initial").when(F.col("base").isNull() | (F.col("c.last") > F.col("base")), "error").when(F.col("c.last") == F.col("base"), "up_to_date").otherwise("incremental")
+    return base.crossJoin(mine).select("base", F.explode(cases).alias("c")).select("c.facts", mode.alias("mode"))  # one row each
 
 
-def _load_mode(w: Warehouse) -> DataFrame:
-    last = w.base.note_comments.agg(F.max("created_at").alias("b")).first()["b"]
-    mine = w.facts.where("action_date < DATE '2024-01-20'").agg(F.max("action_at").alias("f")).first()["f"]
-    return w.table("region").limit(1).select(F.lit(_mode(mine, last)).alias("mode"))
+def _incremental(w: Warehouse) -> DataFrame:
+    """The facts of a first load up to a day and two loads after it."""
+    path, marks = folder(w.spark, "facts"), ["2024-01-12", "2024-01-20"]
+    mark = lambda d: F.lit(d).cast("timestamp_ntz")
+    A.write(A.facts(A.until(w.base, mark(marks[0]))), path)
+    A.load(A.until(w.base, mark(marks[1])), path, folder(w.spark, "staging"))
+    A.load(w.base, path, folder(w.spark, "staging"))
+    return w.spark.read.parquet(path).select("note_id", "seq", "action", "days_active", "prior_actions", "recent_open_date", "next_close_date")
 
 
 def _score_days(w: Warehouse) -> DataFrame:
@@ -46,44 +48,6 @@ def _score_days(w: Warehouse) -> DataFrame:
     return n.select("country", "action_date", C.activity_score(F.col("n")).alias("score"))
 
 
-def _rows(w: Warehouse) -> DataFrame:
-    return T.features(w.facts, M.resolution(w.facts, "country")).join(T.targets(w.facts), "note_id")
-
-
-def _metrics(w: Warehouse, trees: int, depth: int) -> dict[str, float]:
-    rows = _rows(w).persist()
-    found = T.evaluate(T.train(rows.where(~T.held_out()), "speed", trees, depth), rows.where(T.held_out()))
-    rows.unpersist()
-    return found
-
-
-def _table(w: Warehouse, rows: list[tuple]) -> DataFrame:
-    return w.spark.createDataFrame(rows, "model string, metric string, value double")
-
-
-def _profile(kind: str, e: str) -> Plan:
-    def run(w: Warehouse) -> DataFrame:
-        h, r = M.history(w.facts, e, w.as_of), M.resolution(w.facts, e)
-        fl = M.first_last(w.facts, e).select(e, F.datediff(F.lit(w.as_of), F.col("date_first_opened")).alias("days_since_open"), F.datediff(F.lit(w.as_of), F.col("date_first_closed")).alias("days_since_close"))
-        app = M.applications(w.facts, e).select(e, "most_used")
-        j = h.join(r, e).join(fl, e).join(app, e, "left")
-        return j.select(e, "whole_open", "whole_closed", "resolved", "still_open", (F.col("whole_closed") - F.col("still_open")).alias("closed_minus_backlog"), "days_since_open", "days_since_close", "most_used")
-
-    text = f"""SELECT h.{e}, whole_open, whole_closed, resolved, still_open, whole_closed - still_open AS closed_minus_backlog, CAST({AS_OF} - date_first_opened AS INTEGER) AS days_since_open, CAST({AS_OF} - date_first_closed AS INTEGER) AS days_since_close, most_used
-      FROM ({MARTS[f'{kind}_history'][1]}) h JOIN ({MARTS[f'{kind}_resolution'][1]}) r ON r.{e} = h.{e} JOIN ({MARTS[f'{kind}_first_last'][1]}) l ON l.{e} = h.{e} LEFT JOIN ({MARTS[f'{kind}_applications'][1]}) a ON a.{e} = h.{e}"""
-    return run, text
-
-
-def _tag_metrics(e: str) -> Plan:
-    def run(w: Warehouse) -> DataFrame:
-        n = w.tags.groupBy(e, "tag").agg(F.count("*").alias("n"))
-        best = n.groupBy(e).agg(F.min(F.struct((-F.col("n")).alias("m"), "tag"))["tag"].alias("top_tag"))
-        return R.tag_actions(w.tags, [e]).drop("notes").join(best, e)
-
-    acts = ", ".join(f"count(*) FILTER (action = '{a}') AS {a}" for a in ("opened", "commented", "closed", "reopened"))
-    return run, sql(f"SELECT * FROM (SELECT {e}, {acts} FROM tg GROUP BY {e}) JOIN (SELECT {e}, arg_min(tag, {{'m': -n, 't': tag}}) AS top_tag FROM (SELECT {e}, tag, count(*) AS n FROM tg GROUP BY ALL) GROUP BY {e}) USING ({e})")
-
-
 def _peak(kind: str, e: str, name: str) -> Plan:
     return lambda w: M.peaks(w.facts, e).select(e, name), f"SELECT {e}, {name} FROM ({MARTS[f'{kind}_peaks'][1]})"
 
@@ -98,11 +62,6 @@ _RANKED = "(SELECT country, {0}_n, rank() OVER (ORDER BY {0}_n DESC) AS {0}_rank
 
 PLANS: dict[str, Plan] = {
     "sink_facts_partitioned": (_partitioned, sql("SELECT CAST(year(action_at) AS INTEGER) AS action_year, count(*) AS n FROM f GROUP BY ALL")),
-    "sink_global_json": (lambda w: G.counts(w.facts, w.as_of).select(F.to_json(F.struct("*")).alias("document")).select(*[F.get_json_object("document", f"$.whole_{a}").cast("long").alias(a) for a in G.ACTIONS]), sql("SELECT " + ", ".join(f"count(*) FILTER (action = '{a}') AS {a}" for a in G.ACTIONS) + " FROM f")),
-    "sink_global_summary": (lambda w: G.counts(w.facts, w.as_of).crossJoin(G.resolution(w.facts, w.as_of)).select("whole_opened", "whole_closed", "year_opened", "avg_days", "rate"), f"SELECT whole_opened, whole_closed, year_opened, avg_days, rate FROM ({GLOBAL['global_counts'][1]}), ({GLOBAL['global_resolution'][1]})"),
-    "dim_region_continent": (lambda w: w.base.countries.groupBy("region_id").agg(F.count("*").alias("countries")).join(F.broadcast(w.table("region")), F.col("region_id") == F.col("r_regionkey")).select("region_id", F.initcap("r_name").alias("continent"), "countries"), "SELECT n_regionkey AS region_id, array_to_string(list_transform(string_split(lower(r_name), ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS continent, count(*) AS countries FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24 GROUP BY ALL"),
-    "dim_iso_codes": (lambda w: w.facts.select("country").distinct().join(w.base.countries, F.col("country") == F.col("country_id"), "left").select("country", F.substring("country_name", 1, 2).alias("alpha2"), F.substring("country_name", 1, 3).alias("alpha3")), sql("SELECT country, left(n_name, 2) AS alpha2, left(n_name, 3) AS alpha3 FROM (SELECT DISTINCT country FROM f) LEFT JOIN nation ON n_nationkey = country AND n_nationkey <> 24")),
-    "load_mode": (_load_mode, "SELECT 'incremental' AS mode"),
     "activity_score": (_score_days, sql(f"SELECT country, action_date, CAST({_SCORE} AS INTEGER) AS score FROM (SELECT country, action_date, count(*) AS n FROM f GROUP BY ALL)")),
     "activity_roll": (lambda w: M.activity(w.facts, "country", w.as_of).select("country", M.rolled(F.col("activity"), F.lit(0)).alias("activity")), f"SELECT country, substring(activity, 2, 370) || '0' AS activity FROM ({MARTS['country_last_year_activity'][1]})"),
     "country_user_rankings": MARTS["country_rankings"],
@@ -113,24 +72,14 @@ PLANS: dict[str, Plan] = {
     "user_peak_hour": _peak("user", "action_user", "peak_hour"),
     "country_years_to_process": (lambda w: M.years_with_changes(w.facts, "country").where(F.col("year") >= w.as_of.year), sql("SELECT DISTINCT country, CAST(year(action_date) AS INTEGER) AS year FROM f WHERE year(action_date) >= 2024")),
     "user_last_action": (lambda w: M.work_list(w.facts, "action_user").select("action_user", "last_action"), sql("SELECT action_user, max(action_at) AS last_action FROM f GROUP BY action_user")),
-    "user_export_view": (
-        lambda w: M.history(w.facts, "action_user", w.as_of).select("action_user", *[f"whole_{m}" for m in M.MEASURES]).join(M.contributor_type(w.facts, w.as_of), "action_user"),
-        f"SELECT h.action_user, {', '.join(f'whole_{m}' for m in M.MEASURES)}, contributor_type FROM ({MARTS['user_history'][1]}) h JOIN ({USERS['user_contributor_type'][1]}) c ON c.action_user = h.action_user",
-    ),
     "global_last_timestamp": (lambda w: w.facts.agg(F.max("action_at").alias("last_at")), sql("SELECT max(action_at) AS last_at FROM f")),
     "rank_countries_json": (_countries_document, sql(f"SELECT * FROM {_RANKED.format('opened')} FULL JOIN {_RANKED.format('closed')} USING (country)")),
-    "hashtag_metrics_country": _tag_metrics("country"),
-    "hashtag_metrics_user": _tag_metrics("action_user"),
-    "profile_user": _profile("user", "action_user"),
-    "profile_country": _profile("country", "country"),
     "profile_top_commented": GLOBAL["profile_global_top_commented"],
     "profile_top_reopened": GLOBAL["profile_global_top_reopened"],
     "csv_clean_text": (lambda w: w.facts.where("body IS NOT NULL").select("note_id", "seq", F.md5(C.clean_text(F.col("body"))).alias("clean")), sql("SELECT note_id, seq, md5(left(trim(replace(regexp_replace(body, '[\\r\\n\\t]+', ' ', 'g'), '\"', '''')), 2000)) AS clean FROM f WHERE body IS NOT NULL")),
-    "ml_train": (lambda w: _table(w, [("forest", k, v) for k, v in _metrics(w, 30, 5).items()]), None),
-    "ml_evaluate": (lambda w: _table(w, [("forest", k, v) for k, v in _metrics(w, 20, 4).items()]), None),
-    "ml_compare": (lambda w: _table(w, [(n, "accuracy", _metrics(w, t, d)["accuracy"]) for n, t, d in (("previous", 10, 3), ("newest", 30, 5))]), None),
-    "ml_priority_notes": (
-        lambda w: T.predict(T.train(_rows(w), "speed"), T.features(w.facts, M.resolution(w.facts, "country"))).join(w.status.where("is_open"), "note_id").orderBy(F.desc("confidence"), F.desc("last_at"), "note_id").limit(50).select("note_id", "prediction", "confidence"),
-        None,
+    "load_mode": (
+        _load_mode,
+        sql("SELECT facts, CASE WHEN x IS NULL THEN 'initial' WHEN b IS NULL OR x > b THEN 'error' WHEN x = b THEN 'up_to_date' ELSE 'incremental' END AS mode FROM (SELECT max(created_at) AS b FROM comments), (SELECT 'none' AS facts, NULL::TIMESTAMP AS x UNION ALL SELECT 'part', max(action_at) FROM f WHERE action_date < DATE '2024-01-20' UNION ALL SELECT 'whole', max(action_at) FROM f UNION ALL SELECT 'ahead', max(action_at) + INTERVAL 1 DAY FROM f)"),
     ),
+    "facts_incremental": (_incremental, sql("SELECT f.note_id, f.seq, action, days_active, prior_actions, recent_open_date, CAST(next_at AS DATE) AS next_close_date FROM f LEFT JOIN nc USING (note_id, seq)")),
 }

@@ -1,11 +1,24 @@
 """The SQL of the base tables and facts, shared by the queries' SQL. Written by hand, for DuckDB."""
 
+from ..functions.places import COUNTRIES
+from ..functions.places import REGIONS as _REGIONS
+
 AS_OF = "DATE '2024-01-31'"
 
+
+def values(rows: list[tuple]) -> str:
+    """A VALUES list of texts and nulls."""
+    return "(VALUES " + ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" for v in r) + ")" for r in rows) + ")"
+
+
+REGIONS = values(_REGIONS) + " rg(region, continent)"
+#: The known nations with their codes and region.
+LOCATED = f"(SELECT nation.*, alpha2, alpha3, coalesce(region, 'Undefined') AS region FROM nation LEFT JOIN {values(COUNTRIES)} c(name, alpha2, alpha3, region) ON lower(n_name) = lower(name) WHERE n_nationkey <> 24)"
+
 BASE = """
 WITH cnt AS (SELECT greatest(count(*) // 4, 1) AS n FROM events), dc AS (SELECT greatest(count(*), 1) AS m FROM documents),
 e AS (SELECT event_id AS k, event_id % n AS note_id, ts, user_id, event_type, row_number() OVER (PARTITION BY event_id % n ORDER BY ts, event_id) AS seq FROM events, cnt),
-d AS (SELECT doc_id, translate(left(text, 300), '#@', '') AS t FROM documents),
+d AS (SELECT doc_id, text AS t FROM documents),
 comments AS (SELECT note_id, seq, k, ts AS created_at, CASE WHEN user_id % 10 <> 0 THEN user_id END AS id_user,
   CASE WHEN seq = 1 THEN 'opened' WHEN k % 97 = 0 THEN 'hidden' WHEN event_type = 'error' THEN 'reopened' WHEN event_type IN ('purchase', 'signup') THEN 'closed' ELSE 'commented' END AS action FROM e),
 texts AS (SELECT note_id, seq, CASE WHEN k % 19 <> 0 THEN coalesce(d.t, '')
@@ -14,7 +27,7 @@ texts AS (SELECT note_id, seq, CASE WHEN k % 19 <> 0 THEN coalesce(d.t, '')
   || CASE WHEN k % 7 = 0 THEN ' @user' || (k % 13) ELSE '' END
   || CASE WHEN k % 11 = 0 THEN ' https://x.example/' || k ELSE '' END
   || CASE WHEN k % 29 = 0 THEN ' # alone #late' ELSE '' END
-  || CASE WHEN k % 4 = 1 THEN ' via StreetComplete ' || (k % 60) || '.2' WHEN k % 4 = 2 THEN ' #OsmAnd' WHEN k % 8 = 3 THEN ' #organicmaps android' ELSE '' END END AS body
+  || CASE WHEN k % 4 = 1 THEN ' via StreetComplete ' || (k % 60) || '.2' WHEN k % 4 = 2 THEN ' #OsmAnd' WHEN k % 8 = 3 THEN ' #organicmaps android' WHEN k % 8 = 7 THEN ' #MapComplete #notes' ELSE '' END END AS body
   FROM comments, dc LEFT JOIN d ON d.doc_id = k % m),
 notes AS (SELECT note_id, CASE WHEN note_id % 101 <> 0 THEN CAST(note_id * 37 % 179 - 89 AS DOUBLE) END AS latitude, CASE WHEN note_id % 101 <> 0 THEN CAST(note_id * 73 % 359 - 179 AS DOUBLE) END AS longitude,
   CASE WHEN note_id % 25 <> 24 THEN CAST(note_id % 25 AS INTEGER) ELSE -1 END AS country FROM (SELECT DISTINCT note_id FROM comments)),
@@ -31,10 +44,10 @@ g AS (SELECT *, CAST(action_at AS DATE) AS action_date, CAST(isodow(action_at) *
   CASE WHEN latitude IS NULL OR latitude BETWEEN -10 AND 10 THEN 0
        WHEN latitude > 10 THEN CASE WHEN month(action_at) BETWEEN 3 AND 5 THEN 1 WHEN month(action_at) BETWEEN 6 AND 8 THEN 2 WHEN month(action_at) BETWEEN 9 AND 11 THEN 3 ELSE 4 END
        ELSE CASE WHEN month(action_at) BETWEEN 3 AND 5 THEN 4 WHEN month(action_at) BETWEEN 6 AND 8 THEN 3 WHEN month(action_at) BETWEEN 9 AND 11 THEN 2 ELSE 1 END END AS season,
-  CAST(length(body) AS INTEGER) AS comment_length, coalesce(regexp_matches(body, 'https?://'), false) AS has_url, coalesce(regexp_matches(body, '@\\w+'), false) AS has_mention,
-  regexp_extract_all(coalesce(body, ''), '#(\\w*)(?:[\\s\\S]|$)', 1) AS found,
-  CASE WHEN action = 'opened' THEN CASE WHEN contains(body, 'via StreetComplete') THEN 'StreetComplete' WHEN body LIKE '%#OsmAnd' THEN 'OsmAnd' WHEN body LIKE '%#organicmaps android' THEN 'OrganicMaps android' END END AS app FROM j),
-h AS (SELECT *, CASE WHEN list_contains(found, '') THEN found[1:list_position(found, '')] ELSE found END AS hashtags,
+  CAST(length(body) AS INTEGER) AS comment_length, coalesce(regexp_matches(body, 'https?://'), false) AS has_url, coalesce(regexp_matches(body, '@[\\p{L}\\p{M}\\p{N}_]'), false) AS has_mention,
+  regexp_extract_all(coalesce(body, ''), '#([\\p{L}\\p{M}\\p{N}_]*)(?:[\\s\\S]|$)', 1) AS found,
+  CASE WHEN action = 'opened' THEN CASE WHEN contains(body, 'via StreetComplete') THEN 'StreetComplete' WHEN body LIKE '%#OsmAnd' THEN 'OsmAnd' WHEN body LIKE '%#organicmaps android' THEN 'OrganicMaps' WHEN body LIKE '%#MapComplete #notes' THEN 'MapComplete' END END AS app FROM j),
+h AS (SELECT *, CASE app WHEN 'OrganicMaps' THEN 'android' WHEN 'MapComplete' THEN 'web' END AS platform, CASE WHEN list_contains(found, '') THEN found[1:list_position(found, '')] ELSE found END AS hashtags,
   CASE WHEN app IS NOT NULL THEN nullif(regexp_extract(body, '(\\d+\\.\\d+(\\.\\d+)?)', 1), '') END AS app_version,
   action_at + to_hours(zone) AS local_at,
   max(CASE WHEN action = 'opened' THEN action_at END) OVER w AS opened_at, max(CASE WHEN action = 'opened' THEN action_user END) OVER w AS opened_user,

@@ -8,21 +8,21 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import facts, status
-from ..sources import notes
+from ..sources import notes, store
 
 #: The day that "today" stands for: results depend on it, not on the clock.
 AS_OF = date(2024, 1, 31)
 
 
-#: Facts that are kept for the session's other queries, by application, folder and day.
-_KEPT: dict[tuple[str, str, date], DataFrame] = {}
+#: Where the facts of an application, a day and tables of a state are written.
+_WRITTEN: dict[tuple, str] = {}
 
 
 class Warehouse:
-    """Base tables, facts, tags and status of a folder. Frames are plans; nothing runs before an action.
+    """Base tables, facts, tags and status of a folder.
 
-    Facts are built once for a session and folder and kept by Spark in memory, then on disk, as the marts all read them;
-    lost parts are built again. A load that is to outlive the session writes them with operators.facts.write.
+    The first use of the facts writes them to the shared folder, by year of the action; all marts read those files, each only its
+    columns. Tables that were written anew since are another state, and their facts are written again.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: date = AS_OF):
@@ -37,10 +37,13 @@ class Warehouse:
 
     @cached_property
     def facts(self) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.as_of)
-        if key not in _KEPT:
-            _KEPT[key] = facts.facts(self.base).persist()
-        return _KEPT[key]
+        state = [store.state(self.spark, f"{self.sf_dir}/{t}.parquet") for t in ("events", "documents", "nation")]
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, *state)
+        if key not in _WRITTEN:
+            path = store.folder(self.spark, "facts")
+            facts.write(facts.facts(notes.snapshot(self.base)), path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(_WRITTEN[key]).drop("action_year")
 
     @cached_property
     def tags(self) -> DataFrame:

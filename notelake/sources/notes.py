@@ -1,7 +1,7 @@
 """Base tables of notes, derived from the given tables by arithmetic that any engine shares.
 
-A note is a set of events with equal remainder; its first event opens it. Bodies come from documents, with hashtags,
-mentions, addresses and application signatures put in at fixed remainders of the event id.
+A note is a set of events with equal remainder; its first event opens it. Bodies are the whole texts of documents, with hashtags,
+mentions, addresses and application signatures put after them at fixed remainders of the event id.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Events of a note, on average, and characters of a document that a body takes.
-PER_NOTE, BODY = 4, 300
+#: Events of a note, on average.
+PER_NOTE = 4
 #: The nation whose notes have no known country.
 OMITTED = 24
 
@@ -33,10 +33,11 @@ def tables(spark: SparkSession, sf_dir: str) -> Base:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    n, texts = max(events.count() // PER_NOTE, 1), max(documents.count(), 1)
+    counted = lambda df, c, per: df.agg(F.greatest(F.floor(F.count("*") / per), F.lit(1)).cast("long").alias(c))
+    n, texts = counted(events, "_n", PER_NOTE), counted(documents, "_texts", 1)  # one row each
 
     order = Window.partitionBy("note_id").orderBy("ts", "event_id")
-    e = events.withColumn("note_id", F.col("event_id") % n).withColumn("seq", F.row_number().over(order))
+    e = events.crossJoin(F.broadcast(n)).withColumn("note_id", F.col("event_id") % F.col("_n")).withColumn("seq", F.row_number().over(order))
     later = (
         F.when(F.col("event_id") % 97 == 0, "hidden")
         .when(F.col("event_type") == "error", "reopened")
@@ -58,10 +59,10 @@ def tables(spark: SparkSession, sf_dir: str) -> Base:
         F.when(k % 7 == 0, F.concat(F.lit(" @user"), (k % 13).cast("string"))).otherwise(F.lit("")),
         F.when(k % 11 == 0, F.concat(F.lit(" https://x.example/"), k.cast("string"))).otherwise(F.lit("")),
         F.when(k % 29 == 0, F.lit(" # alone #late")).otherwise(F.lit("")),
-        F.when(k % 4 == 1, F.concat(F.lit(" via StreetComplete "), (k % 60).cast("string"), F.lit(".2"))).when(k % 4 == 2, F.lit(" #OsmAnd")).when(k % 8 == 3, F.lit(" #organicmaps android")).otherwise(F.lit("")),
+        F.when(k % 4 == 1, F.concat(F.lit(" via StreetComplete "), (k % 60).cast("string"), F.lit(".2"))).when(k % 4 == 2, F.lit(" #OsmAnd")).when(k % 8 == 3, F.lit(" #organicmaps android")).when(k % 8 == 7, F.lit(" #MapComplete #notes")).otherwise(F.lit("")),
     )
-    d = documents.select(F.col("doc_id").alias("_doc"), F.translate(F.substring("text", 1, BODY), "#@", "").alias("_text"))
-    joined = comments.withColumn("_key", k % texts).join(d, F.col("_key") == F.col("_doc"), "left")
+    d = documents.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
+    joined = comments.crossJoin(F.broadcast(texts)).withColumn("_key", k % F.col("_texts")).join(d, F.col("_key") == F.col("_doc"), "left")
     text = joined.select("note_id", "sequence_action", F.when(k % 19 != 0, F.concat(F.coalesce("_text", F.lit("")), tail)).alias("body"))
 
     state = comments.groupBy("note_id").agg(

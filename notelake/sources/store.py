@@ -31,3 +31,11 @@ def folder(spark: SparkSession, name: str) -> str:
         files.deleteOnExit(path)
         _MARKED.add(own)
     return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+def state(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Names, sizes and times of the files of a table: another state of it has others."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))

@@ -24,8 +24,8 @@ def test_upsert_late_and_dead(spark, tmp_path):
         [event(1, 1, "opened", "2023-01-01 10:00:00"), "{broken", event(2, 1, "opened", "2023-01-01 12:00:00"), event(9, 1, "danced", "2023-01-01 12:00:00")],
         [event(1, 2, "closed", "2023-01-01 11:00:00"), event(2, 1, "opened", "2023-01-01 12:30:00", u=7), event(1, 3, "reopened", "2023-01-02 11:00:00")],
     )
-    out = {k: str(tmp_path / k) for k in ("target", "dead", "late", "check")}
-    q = load.source(spark, src, 1).writeStream.foreachBatch(load.upsert(out["target"], out["dead"], out["late"])).option("checkpointLocation", out["check"]).trigger(availableNow=True).start()
+    out = {k: str(tmp_path / k) for k in ("target", "dead", "late", "staging", "check")}
+    q = load.source(spark, src, 1).writeStream.foreachBatch(load.upsert(out["target"], out["dead"], out["late"], out["staging"])).option("checkpointLocation", out["check"]).trigger(availableNow=True).start()
     q.awaitTermination(120)
     got = {(r.note_id, r.sequence_action): r.id_user for r in load.facts(spark, out["target"]).collect()}
     assert got == {(1, 1): 1, (2, 1): 7, (1, 2): 1, (1, 3): 1}
