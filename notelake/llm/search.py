@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +15,13 @@ from .common import WORD_GAP, ascii_lower, stored, words
 
 K1, B = 1.2, 0.75
 #: Bytes of text and rows of a shard, about (a word has a byte and a gap), and documents of a block of it.
-SHARD, SHARD_ROWS, BLOCK = 16 << 20, 50_000, 128
+SHARD, SHARD_ROWS, BLOCK = 10 << 20, 50_000, 128
 #: Cells of the sketches by which documents of like words are put into the same blocks.
 SKETCH = 128
 #: Terms in more than this share of a shard's documents are added up as dense rows, block by block.
 DENSE = 1 / 16
 #: Most terms of the queries that meet a shard at once, about, and queries scored together.
-TERMS_AT_ONCE, QUERIES_AT_ONCE = 1_000_000, 64
+TERMS_AT_ONCE, QUERIES_AT_ONCE = 400_000, 32
 #: Blocks of a query, by falling bound, that are scored in the first wave, and how much longer each next one is.
 WAVE, GROWTH = 2, 3
 #: Slack for sums in single precision; what is found is scored anew in double precision.
@@ -30,6 +32,7 @@ LATER = 8
 _FOUND = "key long, doc_id long, score double"
 _INDEX = "shard int, n long, words long, ids binary, lengths binary, terms binary, starts binary, docs binary, tfs binary, same binary"
 _SEALED = f"{_INDEX}, average double, entries binary, blocks binary, firsts binary, most binary"
+_BUFFERS = ("ids", "lengths", "terms", "starts", "docs", "tfs", "same", "entries", "blocks", "firsts", "most")
 _BLOCKS = "keys binary, ends binary, terms binary, weights binary, floors binary"
 
 
@@ -301,21 +304,25 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _searcher(k: int):
-    """A mapInPandas body over rows of a shard and a block of queries."""
+    """A mapInArrow body over rows of a shard and a block of queries; the batch's own memory is read, not copied."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = shard = None
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                if row.shard != number:
-                    number, shard = row.shard, Shard(row)
-                keys, ends = np.frombuffer(row.keys, np.int64).tolist(), np.frombuffer(row.ends, np.int64)[:-1]
-                asked = list(zip(keys, np.split(np.frombuffer(row.q_terms, np.int64), ends), np.split(np.frombuffer(row.weights, float), ends), strict=True))
-                floors = np.frombuffer(row.floors, float)
-                for i in range(0, len(asked) if shard.n else 0, QUERIES_AT_ONCE):
-                    part = slice(i, i + QUERIES_AT_ONCE)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                value = lambda name, batch=batch, i=i: batch.column(name)[i]
+                if value("shard").as_py() != number:
+                    number = value("shard").as_py()
+                    row = {name: value(name).as_buffer() for name in _BUFFERS}
+                    shard = Shard(SimpleNamespace(average=value("average").as_py(), **row))
+                array = lambda name, kind: np.frombuffer(value(name).as_buffer(), kind)  # noqa: B023, E731
+                keys, ends, floors = array("keys", np.int64).tolist(), array("ends", np.int64)[:-1], array("floors", float)
+                asked = list(zip(keys, np.split(array("q_terms", np.int64), ends), np.split(array("weights", float), ends), strict=True))
+                for at in range(0, len(asked) if shard.n else 0, QUERIES_AT_ONCE):
+                    part = slice(at, at + QUERIES_AT_ONCE)
                     got = [(key, d, -s) for key, rows in shard.search(asked[part], k, floors[part]) for s, d in rows]
-                    yield pd.DataFrame(got, columns=["key", "doc_id", "score"])
+                    columns = zip(*got, strict=True) if got else ((), (), ())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["key", "doc_id", "score"])
 
     return run
 
@@ -323,7 +330,7 @@ def _searcher(k: int):
 def _searched(index: DataFrame, queries: DataFrame, k: int, parts: int) -> DataFrame:
     """Every shard meets every block of the query set; neither is shuffled or sent to the driver: tasks read both from the shared folder."""
     blocks = stored(queries.coalesce(parts).mapInPandas(_packed, _BLOCKS), "blocks").withColumnRenamed("terms", "q_terms")
-    return index.crossJoin(blocks.hint("shuffle_replicate_nl")).mapInPandas(_searcher(k), _FOUND)
+    return index.crossJoin(blocks.hint("shuffle_replicate_nl")).mapInArrow(_searcher(k), _FOUND)
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, text: str = "text", query_id: str = "query_id", query: str = "query", shard: int = SHARD) -> DataFrame:
