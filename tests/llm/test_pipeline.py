@@ -23,7 +23,7 @@ def sentence(rnd, n=12):
 @pytest.fixture(scope="module")
 def corpus(tmp_path_factory, spark):
     rnd = random.Random(21)
-    clean = [(i, "\n".join(sentence(rnd) for _ in range(rnd.randrange(4, 12)))) for i in range(260)]
+    clean = [(i, "\n "[i % 2].join(sentence(rnd) for _ in range(rnd.randrange(4, 32)))) for i in range(260)]
     junk = [(1000 + i, " ".join(rnd.choice(["$$", "buy!!", "%%%", "#1", "|||"]) for _ in range(rnd.randrange(30, 90)))) for i in range(60)]
     shared = "This very line of shared boilerplate stands in many documents of the corpus."
     repeated = [(2000 + i, f"{sentence(rnd)}\n{shared}\n{sentence(rnd)}\n{sentence(rnd)}") for i in range(20)]
@@ -34,7 +34,7 @@ def corpus(tmp_path_factory, spark):
     rows = [(d, t, "en", ["a", "b", None][k % 3], len(t or ""), *["clash"] * len(CLASHES)) for k, (d, t) in enumerate(clean + junk + repeated + copies + near + odd)]
     folder = str(tmp_path_factory.mktemp("sf"))
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")
-    marks = [(d, int(d < 1000), 0) for d, _ in clean[::2] + junk[::2]]
+    marks = [(d, int(d < 1000), 0) for k, (d, _) in enumerate(clean + junk) if k % 3]
     spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder
 
@@ -84,10 +84,12 @@ def test_stages(spark, corpus, tmp_path):
     assert sum(4000 <= (r.doc_id or 0) < 5000 for r in stay) == 1
 
     # mix: whole documents as often as the mix takes their words, rounded
-    share = {}
-    for r in mixing.mix(docs[3]).collect():
-        share[r.doc_id, r.size] = max(share.get((r.doc_id, r.size), 0), int(r.taken / max(r.size, 1) + 0.5))
-    want = Counter({(r.doc_id, r.text): share[r.doc_id, len((r.text or "").split())] for r in got[3]})
+    cols = [F.col(c) for c in docs[3].columns]
+    keyed = docs[3].select(F.xxhash64(*cols, *[c.isNull() for c in cols]).alias("hash"), "doc_id", "text", "source")
+    times = {r.doc_id: int(r.taken / max(r.size, 1) + 0.5) for r in mixing.mix(keyed.select(F.col("hash").alias("doc_id"), "text", "source")).collect()}
+    want = Counter()
+    for r in keyed.collect():
+        want[r.doc_id, r.text] += times[r.hash]
     assert text(got[4]) == +want
 
     # tokens: those of the library
