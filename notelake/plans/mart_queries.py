@@ -59,7 +59,7 @@ FACTS: dict[str, Plan] = {
         sql("SELECT note_id, seq, days_active, prior_actions FROM f WHERE note_id IN (SELECT note_id FROM f WHERE action_at > TIMESTAMP '2024-01-20')"),
     ),
     "facts_initial": (
-        lambda w: w.facts.groupBy("action").agg(F.count("*").alias("n"), F.sum("days_to_resolution").alias("days"), F.sum("prior_actions").alias("prior")),
+        lambda w: X.facts(w.base).groupBy("action").agg(F.count("*").alias("n"), F.sum("days_to_resolution").alias("days"), F.sum("prior_actions").alias("prior")),
         sql("SELECT action, count(*) AS n, CAST(sum(days_to_resolution) AS BIGINT) AS days, CAST(sum(prior_actions) AS BIGINT) AS prior FROM f GROUP BY action"),
     ),
     "facts_modified_entities": (

@@ -1,12 +1,15 @@
 """Hand-made notes: edge cases of the fact pipeline."""
 
+import random
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from notelake.functions import columns as C
-from notelake.operators import facts, marts, rankings, status
+from notelake.operators import checks, exports, facts, marts, rankings, status
+from notelake.plans.warehouse import Warehouse
 from notelake.sources.notes import Base
 
 T = lambda d, h=0: datetime(2023, 1, d, h)
@@ -80,3 +83,86 @@ def test_ratios_without_closes(f):
 def test_unknown_period():
     with pytest.raises(ValueError):
         rankings.period("decade", None)
+
+
+@pytest.fixture(scope="module")
+def base(spark):
+    rows = [(n, s, a, 10 + (n + s) % 3, T(1 + (7 * n + 5 * s) % 25, s)) for n in range(40) for s, a in enumerate(("opened", "closed", "reopened", "commented", "closed")[: 1 + n % 5], 1)]
+    rows = [(n, s, a, u, t.replace(year=2022 + n % 2)) for n, s, a, u, t in rows]
+    c = spark.createDataFrame(rows, "note_id long, sequence_action int, event string, id_user long, created_at timestamp_ntz")
+    b = c.select("note_id", "sequence_action", F.lit("text #tag").alias("body"))
+    notes = c.select("note_id").distinct().select("note_id", F.lit(20.0).alias("latitude"), F.lit(30.0).alias("longitude"), F.lit(1).alias("id_country"))
+    return Base(notes, c, b, None, spark.createDataFrame([(1, "One")], "country_id int, country_name string"))
+
+
+def test_loads_in_steps_end_at_one_load(base, spark, tmp_path):
+    path = str(tmp_path / "facts")
+    mark = lambda d: F.lit(d).cast("timestamp_ntz")
+    facts.write(facts.facts(facts.until(base, mark("2022-01-15"))), path)
+    for k, d in enumerate(("2022-12-31", "2023-01-10", "2023-12-31", "2023-12-31")):
+        facts.load(facts.until(base, mark(d)), path, str(tmp_path / f"staging{k}"))
+    whole = facts.facts(base)
+    assert rows(spark.read.parquet(path).select(*whole.columns)) == rows(whole)
+
+
+def test_orphans_and_facts_are_all_actions(base):
+    spoilt = Base(base.notes, base.note_comments.where("note_id % 7 <> 0 OR event <> 'opened'"), base.note_comments_text, base.users, base.countries)
+    lost, kept = facts.orphans(spoilt), facts.facts(spoilt)
+    unopened = spoilt.note_comments.where("note_id % 7 = 0")
+    assert unopened.count() > 0 and rows(unopened.select("note_id", F.col("sequence_action").alias("seq"))) == rows(lost.where("note_id % 7 = 0").select("note_id", "seq"))
+    assert lost.count() + kept.count() == spoilt.note_comments.count()
+
+
+def test_percentiles_by_a_plain_version(spark):
+    rnd = random.Random(2)
+    data = [(k, v) for k, n in (("a", 1), ("b", 2), ("c", 997), ("d", 400)) for v in ([rnd.random() * 10 ** rnd.randrange(4) for _ in range(n)] if k != "d" else [5.0] * 390 + [1.0, 9.5] * 5)]
+    got = {r.k: r for r in checks.percentiles(spark.createDataFrame(data, "k string, v double"), ["k"], "v", {"half": 0.5, "high": 0.95, "low": 0.0, "top": 1.0}, cells=16).collect()}
+    for k in "abcd":
+        own = np.array([v for x, v in data if x == k])
+        for name, q in (("half", 50), ("high", 95), ("low", 0), ("top", 100)):
+            assert got[k][name] == pytest.approx(np.percentile(own, q))
+
+
+def test_ranks_by_a_plain_version(spark):
+    rnd = random.Random(3)
+    data = [(k, rnd.randrange(12)) for k in range(200)]
+    want = {k: 1 + sum(m > n for _, m in data) for k, n in data}
+    df = spark.createDataFrame(data, "k long, n long")
+    assert {r.k: r["rank"] for r in rankings.placed(df).collect()} == want
+    assert {r.k: r["rank"] for r in rankings.placed(df, 20).collect()} == {k: r for k, r in want.items() if r <= 20}
+
+
+def test_runs_in_one_pass(spark):
+    days = [datetime(2023, 1, d) for d in (1, 2, 3, 10, 17, 30)] + [datetime(2023, 2, 1)]
+    df = spark.createDataFrame([(1, "opened" if k % 2 else "closed", d) for k, d in enumerate(days)], "action_user long, action string, action_date timestamp").withColumn("action_date", F.to_date("action_date"))
+    got = rankings.runs(df).first()
+    for name, (unit, only) in rankings.RUNS.items():
+        assert got[name] == rankings.longest_run(df.where(F.col("action").isin(*only)), unit, "n").first().n
+
+
+def test_publication_is_all_or_nothing(spark, tmp_path):
+    docs = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": '), (3, '{"b": 1}')], "k long, document string")
+    checked = exports.valid(docs, "a long", ["a"])
+    assert {r.k: r.ok for r in checked.collect()} == {1: True, 2: False, 3: False}
+    assert not exports.publish(checked, str(tmp_path / "out")) and not (tmp_path / "out").exists()
+    assert exports.publish(checked.where("ok"), str(tmp_path / "out")) and spark.read.text(str(tmp_path / "out")).count() == 1
+
+
+def test_tables_written_anew_give_new_facts(spark, tmp_path):
+    for t in ("events", "documents", "nation"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    before = Warehouse(spark, str(tmp_path)).facts.count()
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("event_id < 500").write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+    assert Warehouse(spark, str(tmp_path)).facts.count() < before
+
+
+def test_bodies_are_whole(spark):
+    f = Warehouse(spark, "/root/testdata/sf0.001").facts
+    longest = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").agg(F.max(F.length("text")).alias("n")).first().n
+    assert f.agg(F.max("comment_length").alias("n")).first().n >= min(longest, 2001)
+
+
+def test_applications(spark):
+    bodies = {"x via StreetComplete 5.1": ("StreetComplete", None), "y #organicmaps": ("OrganicMaps", None), "y #organicmaps android": ("OrganicMaps", "android"), "z #organicmaps ios": ("OrganicMaps", "ios"), "q #MapComplete #notes": ("MapComplete", "web"), "none": None}
+    got = {r.b: r.a and tuple(r.a) for r in spark.createDataFrame([(b,) for b in bodies], "b string").select("b", C.application(F.col("b")).alias("a")).collect()}
+    assert got == bodies

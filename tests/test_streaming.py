@@ -40,3 +40,25 @@ def test_status_and_duplicates(spark, tmp_path):
     assert {(r.note_id, r.is_open) for r in spark.table("st").collect()} == {(1, False), (3, True)}
     load.deduplicated(events).writeStream.format("memory").queryName("dd").outputMode("append").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start().awaitTermination(120)
     assert sorted((r.note_id, r.sequence_action) for r in spark.table("dd").collect()) == [(1, 1), (1, 2), (3, 1)]
+
+
+def test_merge_rewrites_touched_parts_and_repeats(spark, tmp_path):
+    path = str(tmp_path / "table")
+    df = lambda rows: spark.createDataFrame(rows, "note_id long, batch int, value string")
+    first, second = df([(k, 0, "old") for k in range(50)]), df([(3, 1, "new"), (99, 1, "more")])
+    load.merge(first, path, ["note_id"], ["batch"], str(tmp_path / "s0"))
+    times = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").glob("part=*/*.parquet")}
+    for k in (1, 2):
+        load.merge(second, path, ["note_id"], ["batch"], str(tmp_path / f"s{k}"))
+    assert {r.note_id: r.value for r in spark.read.parquet(path).collect()} == {k: "old" for k in range(50)} | {3: "new", 99: "more"}
+    assert sum(p.exists() and p.stat().st_mtime_ns == t for p, t in times.items()) >= len(times) - 2
+
+
+def test_reasons_and_retries(spark, tmp_path):
+    bad = ["{broken", event(1, None, "opened", "2023-01-01 10:00:00"), event(1, 1, "opened", "never"), event(1, 1, "danced", "2023-01-01 10:00:00")]
+    src = files(tmp_path / "in", bad)
+    out = {k: str(tmp_path / k) for k in ("target", "dead", "late", "staging", "check", "again")}
+    load.source(spark, src, 1).writeStream.foreachBatch(load.upsert(out["target"], out["dead"], out["late"], out["staging"])).option("checkpointLocation", out["check"]).trigger(availableNow=True).start().awaitTermination(120)
+    got = load.resent(spark, out["dead"], out["again"])
+    assert {r.error for r in got.collect()} == {"unreadable", "no note or sequence", "no time", "unknown action"}
+    assert sorted(r.value for r in spark.read.text(out["again"]).collect()) == sorted(bad)
