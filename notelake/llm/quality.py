@@ -77,12 +77,11 @@ def figures(text: str | None) -> list[float]:
 
 @dataclass
 class Model:
-    """A linear margin over standardised figures, with the margin at which the score is CUT. No weights: every score is 1."""
+    """A linear margin over standardised figures; a text of margin 0, as likely good as not, scores CUT. No weights: every score is 1."""
 
     centre: np.ndarray
     scale: np.ndarray
     weights: np.ndarray | None = None
-    at: float = 0.0
     prior: float = 1.0
 
     def inputs(self, x: np.ndarray) -> np.ndarray:
@@ -95,7 +94,7 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.ones(len(x))
-        return 1 / (1 + np.exp(-np.clip(self.margin(x) - self.at + np.log(CUT / (1 - CUT)), -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(self.margin(x) + np.log(CUT / (1 - CUT)), -50, 50)))
 
 
 #: The sum of a function of figures (rows to a vector) over all unlabelled texts.
@@ -159,7 +158,7 @@ def learn(positive: np.ndarray, sums: Sums) -> Model:
 
     First half of the positives are told from unlabelled texts; by that margin of the other half the prior is estimated. Then
     prior * R+(positive) + R-(unlabelled) - prior * R-(positive) is minimised with the logistic loss, its last two parts being
-    kept from falling below zero. Texts of the upper `prior` share of the unlabelled margins score CUT or more.
+    kept from falling below zero. Its margin is above 0 where, under that prior, a text is likelier good than not.
     """
     width = len(FIGURES)
     total = sums(lambda x: np.array([float(len(x))]))[0]
@@ -185,10 +184,6 @@ def learn(positive: np.ndarray, sums: Sums) -> Model:
     mean, none = p.mean(axis=0), np.zeros((p.shape[1],) * 2)
     # with the logistic loss, R+(positive) - R-(positive) is the mean margin
     model.weights = _minimum(model, sums, 1.0, lambda w: (-prior * mean @ w, -prior * mean, none), lambda w, u: u - prior * np.logaddexp(0, p @ w).mean())
-    edges = np.quantile(p @ model.weights, np.linspace(0, 1, BINS))
-    edges = np.unique(np.concatenate([edges, edges[0] - np.geomspace(1e-3, 100, BINS)]))
-    share = above(edges) / total
-    model.at = float(np.interp(prior, share[::-1], edges[::-1]))
     return model
 
 
