@@ -510,7 +510,7 @@ def test_risk_by_a_plain_version():
             w = w - 0.05 * (g + quality.RIDGE * w)
         assert risk(model.weights) <= risk(w) + 1e-2
         found = model.score(u) >= quality.CUT
-        assert abs(found.mean() - prior) < 0.02 and found[: int(6000 * true)].mean() > 0.9
+        assert abs(found.mean() - true) < 0.02 and found[: int(6000 * true)].mean() > 0.9
 
 
 def test_figures_of_other_scripts():
