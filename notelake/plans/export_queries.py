@@ -13,7 +13,7 @@ from ..operators.status import current, merged
 from ..sources import notes
 from ..sources.store import folder
 from .mart_queries import MARTS, USERS, Plan
-from .oracle import AS_OF, sql
+from .oracle import AS_OF, sql, values
 
 _CLEAN = "left(trim(replace(regexp_replace({0}, '[\\r\\n\\t]+', ' ', 'g'), '\"', '''')), 2000)"
 _CLOSED = f"""SELECT country, CAST(row_number() OVER (PARTITION BY country ORDER BY closed_at DESC, note_id DESC) AS INTEGER) AS place, note_id, opened_at, closed_at, opened_user, closed_user, days, actions, comments, was_reopened, {_CLEAN.format('ob')} AS opening, {_CLEAN.format('cb')} AS closing
@@ -32,6 +32,7 @@ LEFT JOIN ({MARTS['country_resolution'][1]}) r ON r.country = f.country LEFT JOI
 LEFT JOIN ({USERS['user_response_time'][1]}) a ON a.action_user = f.action_user LEFT JOIN ({MARTS['user_history'][1]}) u ON u.action_user = f.action_user LEFT JOIN ({USERS['user_contributor_type'][1]}) ct ON ct.action_user = f.action_user
 WHERE action = 'opened' AND comment_length > 0"""
 _FEATURES = ", ".join(T.FEATURES)
+_METRICS = ("accuracy", "f1", "precision", "recall")
 _TARGETS = """CASE WHEN shut_on IS NULL THEN NULL WHEN said_on < shut_on THEN 'contributes_with_change' ELSE 'doesnt_contribute' END AS main_category,
  CASE WHEN comment_length < 10 THEN 'empty' WHEN comment_length < 50 AND total_comments_on_note > 2 THEN 'lack_of_precision' WHEN comment_length > 200 AND has_url THEN 'advertising' WHEN shut_on IS NULL AND age > 180 THEN 'obsolete' WHEN is_assisted_app = 1 AND comment_length > 30 THEN 'adds_to_map' ELSE 'other' END AS specific_type,
  CASE WHEN shut_on IS NOT NULL AND said_on < shut_on THEN 'process' WHEN shut_on IS NOT NULL THEN 'close' WHEN comment_length < 50 AND total_comments_on_note > 2 THEN 'needs_more_data' END AS recommended_action"""
@@ -79,6 +80,23 @@ def _trained(w):
     return out
 
 
+def _compared(w):
+    """The metrics of models of all samples beside those of models of half of them."""
+    rows = _labelled(w)
+    return T.compare(_metrics(w, rows, F.col("note_id") % 2 == 0, 1).unionByName(_metrics(w, rows, F.lit(True), 2)))
+
+
+def _predicted(w):
+    """Of every prediction what must hold: classes that targets have, confidences within range, the priority that follows."""
+    p, act = _predictions(w), F.col("recommended_action")
+    follows = F.when((F.col("main_category") == "contributes_with_change") & (act == "process"), 9).when(act == "needs_more_data", 6).when(act == "close", 3).otherwise(5)
+    known = F.col("main_category").isin("contributes_with_change", "doesnt_contribute") & F.col("specific_type").isin("empty", "lack_of_precision", "advertising", "obsolete", "adds_to_map", "other") & act.isin("process", "close", "needs_more_data")
+    sure = F.lit(True)
+    for t in T.MODELS:
+        sure = sure & F.col(f"{t}_confidence").between(0.0, 1.0)
+    return p.select("note_id", known.alias("known"), sure.alias("in_range"), (F.col("priority") == follows).alias("priority_follows"))
+
+
 def _priority(w):
     """The newest 50 open notes that change something and are to be processed, as predicted."""
     return _predictions(w).where("priority = 9").join(w.status.where("is_open"), "note_id").orderBy(F.desc("last_at"), "note_id").limit(50).select("note_id", "main_category", "recommended_action", "last_at")
@@ -116,11 +134,25 @@ PLANS: dict[str, Plan] = {
     "ml_training_features": (lambda w: T.targets(_features(w), w.facts).where("resolved").drop("resolved"), sql(_TRAINING)),
     "ml_prediction_features": (lambda w: _features(w).select("note_id", "country", *T.FEATURES), sql(f"SELECT note_id, country, {_FEATURES} FROM ({_ROWS})")),
     "ml_train": (_trained, sql("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS target, {t} AS class, count(*) AS samples, {len(T.FEATURES)} AS features, true AS known FROM ({_TRAINING}) GROUP BY {t}" for t in T.MODELS) + ")")),
-    "ml_evaluate": (lambda w: _metrics(w, _labelled(w), F.lit(True), 1), None),
-    "ml_compare": (lambda w: (lambda rows: T.compare(_metrics(w, rows, F.col("note_id") % 2 == 0, 1).unionByName(_metrics(w, rows, F.lit(True), 2))))(_labelled(w)), None),
-    "ml_predict": (_predictions, None),
-    "ml_high_confidence": (lambda w: _predictions(w).agg(F.count("*").alias("processed"), F.count_if(F.col("main_category_confidence") >= 0.8).alias("confident")), None),
-    "ml_priority_notes": (_priority, None),
+    "ml_metrics": (lambda w: _metrics(w, _labelled(w), F.lit(True), 1), None),
+    "ml_predictions": (_predictions, None),
+    "ml_evaluate": (
+        lambda w: _metrics(w, _labelled(w), F.lit(True), 1).select("target", "metric", F.col("value").between(0.0, 1.0).alias("in_range")),
+        f"SELECT target, metric, true AS in_range FROM {values([(t,) for t in T.MODELS])} t(target), {values([(m,) for m in _METRICS])} m(metric)",
+    ),
+    "ml_compare": (
+        lambda w: _compared(w).select("target", "metric", (F.col("newest").between(0.0, 1.0) & F.col("previous").between(0.0, 1.0)).alias("both"), (F.abs(F.col("newest") - F.col("previous") - F.col("gain")) < 1e-9).alias("gain_follows")),
+        f"SELECT target, metric, true AS both, true AS gain_follows FROM {values([(t,) for t in T.MODELS])} t(target), {values([(m,) for m in _METRICS])} m(metric)",
+    ),
+    "ml_predict": (_predicted, sql(f"SELECT note_id, true AS known, true AS in_range, true AS priority_follows FROM ({_ROWS}) WHERE note_id % 3 <> 0")),
+    "ml_high_confidence": (
+        lambda w: _predictions(w).agg(F.count("*").alias("processed"), F.count_if(F.col("main_category_confidence") >= 0.8).alias("confident")).select("processed", F.col("confident").between(0, F.col("processed")).alias("within")),
+        sql(f"SELECT count(*) AS processed, true AS within FROM ({_ROWS}) WHERE note_id % 3 <> 0"),
+    ),
+    "ml_priority_notes": (
+        lambda w: _priority(w).join(w.status.select("note_id", "is_open"), "note_id").agg((F.count("*") <= 50).alias("at_most_50"), F.coalesce(F.bool_and("is_open"), F.lit(True)).alias("all_open"), F.coalesce(F.bool_and(F.col("recommended_action") == "process"), F.lit(True)).alias("all_to_process")),
+        "SELECT true AS at_most_50, true AS all_open, true AS all_to_process",
+    ),
     "ml_readiness": (lambda w: T.readiness(w.facts), sql("SELECT count(*) AS openings, count(next_at) AS resolved, count(next_at) >= 100 AS ready FROM f LEFT JOIN nc USING (note_id, seq) WHERE action = 'opened' AND comment_length > 0")),
     "ml_retrain_decision": (
         lambda w: T.retrain(w.facts, date(2024, 1, 15), w.as_of),
