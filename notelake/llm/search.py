@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -15,15 +17,15 @@ from .common import WORD_GAP, ascii_lower, stored, words
 
 K1, B = 1.2, 0.75
 #: Bytes of text and rows of a shard, about (a word has a byte and a gap), and documents of a block of it.
-SHARD, SHARD_ROWS, BLOCK = 10 << 20, 50_000, 128
+SHARD, SHARD_ROWS, BLOCK = 18 << 20, 50_000, 128
 #: Cells of the sketches by which documents of like words are put into the same blocks.
 SKETCH = 128
 #: Terms in more than this share of a shard's documents are added up as dense rows, block by block.
 DENSE = 1 / 16
 #: Most terms of the queries that meet a shard at once, about, and queries scored together.
-TERMS_AT_ONCE, QUERIES_AT_ONCE = 400_000, 32
+TERMS_AT_ONCE, QUERIES_AT_ONCE = 400_000, 128
 #: Blocks of a query, by falling bound, that are scored in the first wave, and how much longer each next one is.
-WAVE, GROWTH = 2, 3
+WAVE, GROWTH = 8, 4
 #: Slack for sums in single precision; what is found is scored anew in double precision.
 SLACK = 1e-4
 #: One of LATER shards is searched first, for floors.
@@ -94,7 +96,7 @@ def _built(rows: pd.DataFrame) -> pd.DataFrame:
     ordered[place] = lengths
     return pd.DataFrame([{
         "shard": int(rows["shard"].iloc[0]), "n": len(ids), "words": int(lengths[same].sum()), "ids": ids.tobytes(), "lengths": ordered.tobytes(), "terms": terms.tobytes(),
-        "starts": starts.astype(np.int64).tobytes(), "docs": docs.astype(_small(len(lengths))).tobytes(), "tfs": tf.astype(_small(tf.max(initial=0) + 1)).tobytes(), "same": place[same].astype(np.int32).tobytes(),
+        "starts": starts.astype(np.int32).tobytes(), "docs": docs.astype(_small(len(lengths))).tobytes(), "tfs": tf.astype(_small(tf.max(initial=0) + 1)).tobytes(), "same": place[same].astype(np.int32).tobytes(),
     }])
 
 
@@ -117,36 +119,40 @@ def _kinds(doc: np.ndarray, own: np.ndarray, terms: np.ndarray, count: int) -> n
 
 
 def _small(count: int) -> type:
-    return np.uint16 if count <= 2**16 else np.int32
+    return np.uint8 if count <= 2**8 else np.uint16 if count <= 2**16 else np.int32
 
 
 def _postings(row) -> tuple[np.ndarray, np.ndarray]:
     """Documents and counts of a shard's postings, of whichever width they were written in."""
-    n = int(np.frombuffer(row.starts, np.int64)[-1])
-    return tuple(np.frombuffer(x, np.uint16 if len(x) == 2 * n else np.int32).astype(np.int32) for x in (row.docs, row.tfs))
+    n = max(int(np.frombuffer(row.starts, np.int32)[-1]), 1)
+    return tuple(np.frombuffer(x, {1: np.uint8, 2: np.uint16}.get(len(x) // n, np.int32)).astype(np.int32) for x in (row.docs, row.tfs))
 
 
-def _impact(row) -> tuple[np.ndarray, np.ndarray]:
-    """Documents of a shard's postings, and what each adds to a score for a weight of one."""
-    docs, tf = _postings(row)
-    norm = K1 * (1 - B + B * np.frombuffer(row.lengths, np.int64) / row.average)
-    return docs, tf * (K1 + 1) / (tf + norm[docs])
+def _norms(row) -> np.ndarray:
+    """What the length of each of a shard's documents puts into the divisor of its scores."""
+    return K1 * (1 - B + B * np.frombuffer(row.lengths, np.int64) / row.average)
+
+
+def _impact(tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """What postings add to a score for a weight of one."""
+    return tf * (K1 + 1) / (tf + norm)
 
 
 def _sealed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Adds the entries: the runs of a term's postings in one block, with the greatest impact of each, rounded up."""
     for frame in frames:
         for row in frame.itertuples(index=False):
-            docs, impact = _impact(row)
-            starts, blocks = np.frombuffer(row.starts, np.int64), docs // BLOCK
+            docs, tf = _postings(row)
+            impact = _impact(tf, _norms(row)[docs])
+            starts, blocks = np.frombuffer(row.starts, np.int32), docs // BLOCK
             edge = np.ones(len(docs), bool)
             edge[1:] = blocks[1:] != blocks[:-1]
             edge[starts[:-1]] = True
             entries = np.flatnonzero(edge)
             most = np.maximum.reduceat(impact, entries) if len(entries) else impact
             yield pd.DataFrame([row._asdict() | {
-                "entries": np.append(entries, len(docs)).astype(np.int64).tobytes(), "blocks": blocks[entries].astype(np.int32).tobytes(),
-                "firsts": np.searchsorted(entries, starts).astype(np.int64).tobytes(), "most": np.nextafter(most.astype(np.float32), np.float32(np.inf)).tobytes(),
+                "entries": np.diff(np.append(entries, len(docs))).astype(np.uint8).tobytes(), "blocks": blocks[entries].astype(np.uint16).tobytes(),
+                "firsts": np.searchsorted(entries, starts).astype(np.int32).tobytes(), "most": np.nextafter(most.astype(np.float32), np.float32(np.inf)).tobytes(),
             }])
 
 
@@ -155,7 +161,7 @@ def _frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for row in frame.itertuples():
             copies = np.bincount(np.frombuffer(row.same, np.int32), minlength=len(row.lengths) // 8)
-            terms, starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int64)
+            terms, starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int32)
             sums = np.concatenate([[0], np.cumsum(copies[_postings(row)[0]])])
             df = sums[starts[1:]] - sums[starts[:-1]]
             for i in range(0, len(terms), 50_000):
@@ -167,10 +173,12 @@ class Shard:
 
     def __init__(self, row):
         self.ids, self.same = np.frombuffer(row.ids, np.int64), np.frombuffer(row.same, np.int32)
-        self.terms, self.starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int64)
-        self.docs, self.impact = _impact(row)
-        self.entries, self.firsts = np.frombuffer(row.entries, np.int64), np.frombuffer(row.firsts, np.int64)
-        self.of, self.most = np.frombuffer(row.blocks, np.int32), np.frombuffer(row.most, np.float32)
+        self.terms, self.starts = np.frombuffer(row.terms, np.int64), np.frombuffer(row.starts, np.int32).astype(np.int64)
+        self.docs, tf = _postings(row)
+        self.norm = _norms(row)
+        self.impact = _impact(tf, self.norm[self.docs]).astype(np.float32)
+        self.entries, self.firsts = np.concatenate([[0], np.cumsum(np.frombuffer(row.entries, np.uint8), dtype=np.int64)]), np.frombuffer(row.firsts, np.int32).astype(np.int64)
+        self.of, self.most = np.frombuffer(row.blocks, np.uint16).astype(np.int32), np.frombuffer(row.most, np.float32)
         self.n = len(row.lengths) // 8
         self.blocks = -(-self.n // BLOCK)
         self.met = self.scored = 0
@@ -187,7 +195,7 @@ class Shard:
             self.peaks[self.of[a:b], k] = self.most[a:b]
         order = np.argsort(self.docs.astype(np.uint16), kind="stable") if self.n <= 2**16 else np.argsort(self.docs, kind="stable")
         self.doc_starts = np.concatenate([[0], np.cumsum(np.bincount(self.docs, minlength=self.n))])
-        self.own_terms, self.own_impact = np.repeat(np.arange(len(self.terms), dtype=np.int32), df)[order], self.impact[order]
+        self.own_terms, self.own_tf = np.repeat(np.arange(len(self.terms), dtype=np.int32), df)[order], tf[order]
         self.rows = np.argsort(self.same, kind="stable")
         self.row_starts = np.searchsorted(self.same[self.rows], np.arange(self.n + 1))
 
@@ -212,7 +220,7 @@ class Shard:
         weight[of[often >= 0], often[often >= 0]] = ws[often >= 0]
         rare = often < 0
         entry, size = _ranges(self.firsts[at[rare]], self.firsts[at[rare] + 1])
-        query, load = np.repeat(of[rare], size), np.repeat(ws[rare], size)
+        query, load = np.repeat(of[rare].astype(np.int32), size), np.repeat(ws[rare].astype(np.float32), size)
         cell = query * self.blocks + self.of[entry]
         frequent = weight @ self.peaks.T
         bound = np.bincount(cell, weights=self.most[entry] * load, minlength=count * self.blocks).reshape(count, self.blocks) + frequent
@@ -233,8 +241,8 @@ class Shard:
                 break
             qs, bs = np.nonzero(good)[0], wave[good]
             self.scored += len(qs)
-            pair = np.full(count * self.blocks, -1)
-            pair[qs * self.blocks + bs] = np.arange(len(qs))
+            pair = np.full(count * self.blocks, -1, np.int32)
+            pair[qs * self.blocks + bs] = np.arange(len(qs), dtype=np.int32)
             mine = pair[cell]
             live = np.flatnonzero(mine >= 0)
             place, width = _ranges(self.entries[entry[live]], self.entries[entry[live] + 1])
@@ -269,7 +277,7 @@ class Shard:
             whole[own_at] = ws[edges[q] : edges[q + 1]]
             own, size = _ranges(self.doc_starts[good], self.doc_starts[good + 1])
             ahead = np.cumsum(size) - size
-            exact = np.add.reduceat(whole[self.own_terms[own]] * self.own_impact[own], ahead)  # in the order of the terms: equal texts get equal sums
+            exact = np.add.reduceat(whole[self.own_terms[own]] * _impact(self.own_tf[own], np.repeat(self.norm[good], size)), ahead)  # in the order of the terms: equal texts get equal sums
             found = [(-float(s), int(self.ids[r])) for s, d in zip(exact, good, strict=True) for r in self.rows[self.row_starts[d] : self.row_starts[d + 1]][:k]]
             whole[own_at] = 0
             yield key, sorted(found)[:k]
@@ -278,7 +286,7 @@ class Shard:
 def _ranges(first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all ranges one after the other, and the size of each."""
     size = after - first
-    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size), size
+    return np.arange(size.sum(), dtype=np.int32) + np.repeat((first - (np.cumsum(size) - size)).astype(np.int32), size), size
 
 
 def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -303,11 +311,21 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield row()
 
 
+def _one_thread() -> None:
+    """Spark's tasks are the parallelism: threads of matrix products beside them would only wait for each other."""
+    for path in Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+
+
 def _searcher(k: int):
     """A mapInArrow body over rows of a shard and a block of queries; the batch's own memory is read, not copied."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = shard = None
+        _one_thread()
         for batch in batches:
             for i in range(batch.num_rows):
                 value = lambda name, batch=batch, i=i: batch.column(name)[i]
