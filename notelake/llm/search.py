@@ -17,13 +17,13 @@ from .common import WORD_GAP, ascii_lower, stored, words
 
 K1, B = 1.2, 0.75
 #: Bytes of text and rows of a shard, about (a word has a byte and a gap), and documents of a block of it.
-SHARD, SHARD_ROWS, BLOCK = 18 << 20, 50_000, 128
+SHARD, SHARD_ROWS, BLOCK = 16 << 20, 50_000, 128
 #: Cells of the sketches by which documents of like words are put into the same blocks.
 SKETCH = 128
 #: Terms in more than this share of a shard's documents are added up as dense rows, block by block.
 DENSE = 1 / 16
 #: Most terms of the queries that meet a shard at once, about, and queries scored together.
-TERMS_AT_ONCE, QUERIES_AT_ONCE = 400_000, 128
+TERMS_AT_ONCE, QUERIES_AT_ONCE = 250_000, 64
 #: Blocks of a query, by falling bound, that are scored in the first wave, and how much longer each next one is.
 WAVE, GROWTH = 8, 4
 #: Slack for sums in single precision; what is found is scored anew in double precision.
