@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, licenses, lines, minhash, mixing, periods, pieces, quality, resampling, search, simhash, warc
+from . import chat, licenses, lines, minhash, mixing, ngrams, periods, pieces, quality, resampling, search, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": _on(minhash.digest, "documents"),
     "op9_quality": _on(quality.digest, "documents", "labels"),
     "op10_source_mix": _on(mixing.mix, "documents"),
+    "op11_lm_score": _on(ngrams.scored, "documents"),
     "op12_importance_resample": _on(resampling.resampled, "documents", "benchmark"),
     "op13_periodic_runs": _on(periods.digest, "documents"),
 }
