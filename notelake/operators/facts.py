@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.layers import Layers
 from ..sources.notes import Base
 
 #: Action names; others are no actions.
@@ -107,16 +108,15 @@ def tags(f: DataFrame) -> DataFrame:
     return f.select("note_id", "seq", "action", "action_user", "opened_user", "country", "days_to_resolution", "comment_length", F.posexplode("hashtags").alias("position", "tag")).where("tag <> ''").withColumn("position", F.col("position") + 1)
 
 
-def until(base: Base, mark: Column) -> Base:
-    """The base tables as they were at the mark."""
-    seen = base.note_comments.where(F.col("created_at") <= mark)
+def arrived(base: Base, condition: Column) -> Base:
+    """The base tables with those actions only that meet a condition on note_comments."""
+    seen = base.note_comments.where(condition)
     key = seen.select("note_id", "sequence_action")
     return Base(base.notes, seen, base.note_comments_text.join(key, ["note_id", "sequence_action"], "left_semi"), base.users, base.countries)
 
 
-def touched(base: Base, mark: Column) -> Base:
-    """The base tables of the notes that have an action after the mark: only these are built anew."""
-    ids = base.note_comments.where(F.col("created_at") > mark).select("note_id").distinct()
+def of_notes(base: Base, ids: DataFrame) -> Base:
+    """The base tables of these notes."""
     own = lambda t: t.join(ids, "note_id", "left_semi")
     return Base(own(base.notes), own(base.note_comments), own(base.note_comments_text), base.users, base.countries)
 
@@ -126,21 +126,28 @@ def write(f: DataFrame, path: str) -> None:
     f.withColumn("action_year", F.year("action_at")).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("action_year").parquet(path)
 
 
-def load(base: Base, path: str, staging: str) -> None:
-    """Load what came after the last fact under `path`, which may be empty or absent only at the first load.
+def table(spark: SparkSession, path: str) -> Layers:
+    """Facts that are loaded in steps: all facts of a note are in the layer that built it last, by year of the action."""
+    return Layers(spark, path, ["note_id"], by="action_year")
 
-    The notes with new actions are built anew, and the years in which they have facts are rewritten by way of `staging`; other years
-    are neither read nor written. Loads in several steps end at the facts of one load; a load that is run again changes nothing.
+
+def load(base: Base, into: Layers) -> int | None:
+    """Load the actions that no load before took; returns the version of the new snapshot, or None if there are none.
+
+    New actions are those whose (note, sequence) isn't among the loaded ones, however old, so late ones and those of the mark's instant are
+    taken. Their notes are built anew from all their actions and replace what was there, in a layer of their own; no other
+    note is read but for its keys, and no file is rewritten. Loads in several steps end at the facts of one load. A load that
+    dies leaves files that nothing names, and is run again; one that is run again after its end finds nothing to do. The manifest keeps the
+    high-water mark (the last time of a fact) and the numbers of actions and notes that the load took.
     """
-    spark = base.notes.sparkSession
-    old = spark.read.parquet(path)
-    mark = F.lit(old.agg(F.max("action_at")).first()[0])  # one value
-    part = touched(base, mark)
-    fresh = facts(part).withColumn("action_year", F.year("action_at"))
-    ids = part.note_comments.select("note_id").distinct()
-    years = [r[0] for r in fresh.select("action_year").distinct().collect()]  # a row for each year
-    before = old.where(F.col("action_year").isin(years))
-    rest = before.join(ids, "note_id", "left_anti")
-    rest.select(*fresh.columns).unionByName(fresh).write.mode("overwrite").partitionBy("action_year").parquet(staging)
-    if years:
-        spark.read.parquet(staging).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("action_year").parquet(path)
+    layer = into.begin()
+    actions = base.note_comments.select("note_id", F.col("sequence_action").alias("seq"))
+    loaded = into.beside("seen", layer.seen)
+    fresh = layer.write(actions if loaded is None else actions.join(loaded, ["note_id", "seq"], "left_anti"), "seen")
+    took = fresh.agg(F.count("*").alias("actions"), F.count_distinct("note_id").alias("notes")).first()
+    if not took["actions"]:
+        return None
+    ids = layer.write(fresh.select("note_id").distinct(), "keys")
+    rows = layer.write(facts(of_notes(base, ids) if loaded is not None else base).withColumn("action_year", F.year("action_at")))
+    last = rows.agg(F.max("action_at").cast("string").alias("mark")).first()["mark"]
+    return layer.commit(mark=max(filter(None, (last, layer.seen["told"].get("mark"))), default=None), actions=took["actions"], notes=took["notes"])

@@ -25,6 +25,5 @@ PLANS: dict[str, Plan] = {
     "global_top_countries": (lambda w: G.top_countries(w.facts), sql("SELECT country, count(*) AS n FROM f GROUP BY country ORDER BY n DESC, country LIMIT 10")),
     "global_age_distribution": (lambda w: G.ages(w.facts, w.as_of), sql(f"SELECT CASE WHEN a <= 7 THEN '0_7' WHEN a <= 30 THEN '8_30' WHEN a <= 90 THEN '31_90' ELSE '90_plus' END AS band, count(*) AS n FROM (SELECT note_id, {AS_OF} - min(opened_date) AS a FROM f GROUP BY note_id HAVING arg_max(action, action_at) <> 'closed') GROUP BY ALL")),
     "global_first_dates": (lambda w: G.first_dates(w.facts), sql("SELECT min(action_date) FILTER (action = 'opened') AS first_opened, min(action_date) FILTER (action = 'closed') AS first_closed, max(action_at) AS last_at FROM f")),
-    "profile_global": (lambda w: G.per_year(w.facts), sql(f"SELECT CAST(year(action_date) AS INTEGER) AS year, {_ACTS}, count(DISTINCT action_user) AS users FROM f GROUP BY ALL")),
     **{f"profile_global_top_{a}": (lambda w, a=a: G.top_notes(w.facts, a), sql(f"SELECT note_id, count(*) AS n FROM f WHERE action = '{a}' GROUP BY note_id ORDER BY n DESC, note_id LIMIT 10")) for a in ("commented", "reopened")},
 }

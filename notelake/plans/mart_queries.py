@@ -54,10 +54,6 @@ FACTS: dict[str, Plan] = {
     "facts_days_from_reopen": (_fact("days_from_reopen"), _sql("days_from_reopen")),
     "facts_days_active": (_fact("days_active"), _sql("days_active")),
     "facts_activity_counts": (_fact("prior_commented", "prior_reopened", "prior_actions"), _sql("prior_commented", "prior_reopened", "prior_actions")),
-    "facts_incremental": (
-        lambda w: X.since(w.facts, F.lit("2024-01-20").cast("timestamp_ntz")).select(*_FACT, "days_active", "prior_actions"),
-        sql("SELECT note_id, seq, days_active, prior_actions FROM f WHERE note_id IN (SELECT note_id FROM f WHERE action_at > TIMESTAMP '2024-01-20')"),
-    ),
     "facts_initial": (
         lambda w: X.facts(w.base).groupBy("action").agg(F.count("*").alias("n"), F.sum("days_to_resolution").alias("days"), F.sum("prior_actions").alias("prior")),
         sql("SELECT action, count(*) AS n, CAST(sum(days_to_resolution) AS BIGINT) AS days, CAST(sum(prior_actions) AS BIGINT) AS prior FROM f GROUP BY action"),

@@ -32,14 +32,16 @@ def _load_mode(w: Warehouse) -> DataFrame:
     return base.crossJoin(mine).select("base", F.explode(cases).alias("c")).select("c.facts", mode.alias("mode"))  # one row each
 
 
+#: Which actions arrive after the first load whenever they were done, and the times from which the others are in the second and third.
+_LATE, _STEPS = "(note_id * 7 + sequence_action) % 53 = 0", ("2024-01-29", "2024-01-30 12:00:00")
+
+
 def _incremental(w: Warehouse) -> DataFrame:
-    """The facts of a first load up to a day and two loads after it."""
-    path, marks = folder(w.spark, "facts"), ["2024-01-12", "2024-01-20"]
-    mark = lambda d: F.lit(d).cast("timestamp_ntz")
-    A.write(A.facts(A.until(w.base, mark(marks[0]))), path)
-    A.load(A.until(w.base, mark(marks[1])), path, folder(w.spark, "staging"))
-    A.load(w.base, path, folder(w.spark, "staging"))
-    return w.spark.read.parquet(path).select("note_id", "seq", "action", "days_active", "prior_actions", "recent_open_date", "next_close_date")
+    """The facts of a first load and of two after it, which bring later actions and late ones."""
+    into = A.table(w.spark, folder(w.spark, "facts"))
+    for step in (f"created_at < '{_STEPS[0]}' AND NOT {_LATE}", f"created_at < '{_STEPS[1]}' AND (note_id % 2 = 0 OR NOT {_LATE})", "true"):
+        A.load(A.arrived(w.base, F.expr(step)), into)
+    return into.read().select("note_id", "seq", "action", "days_active", "prior_actions", "recent_open_date", "next_close_date")
 
 
 def _score_days(w: Warehouse) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from notelake.functions import columns as C
 from notelake.operators import checks, exports, facts, marts, rankings, status
 from notelake.plans.warehouse import Warehouse
+from notelake.sources import layers
 from notelake.sources.notes import Base
 
 T = lambda d, h=0: datetime(2023, 1, d, h)
@@ -95,14 +96,81 @@ def base(spark):
     return Base(notes, c, b, None, spark.createDataFrame([(1, "One")], "country_id int, country_name string"))
 
 
+STEPS = ("created_at < '2022-12-31' AND note_id % 9 <> 4", "created_at < '2023-01-10' OR note_id = 4", "true")
+
+
 def test_loads_in_steps_end_at_one_load(base, spark, tmp_path):
-    path = str(tmp_path / "facts")
-    mark = lambda d: F.lit(d).cast("timestamp_ntz")
-    facts.write(facts.facts(facts.until(base, mark("2022-01-15"))), path)
-    for k, d in enumerate(("2022-12-31", "2023-01-10", "2023-12-31", "2023-12-31")):
-        facts.load(facts.until(base, mark(d)), path, str(tmp_path / f"staging{k}"))
+    """Late actions, and those of the mark's instant, are loaded too; a load without new actions changes nothing."""
+    into, whole = facts.table(spark, str(tmp_path / "facts")), facts.facts(base)
+    one = spark.createDataFrame([(0, 9, "commented", 1, T(1, 1).replace(year=2022))], base.note_comments.schema)
+    with_tie = Base(base.notes, base.note_comments.unionByName(one), base.note_comments_text, base.users, base.countries)  # older than all marks
+    for step in STEPS:
+        assert facts.load(facts.arrived(base, F.expr(step)), into) is not None
+    assert facts.load(base, into) is None
+    assert rows(into.read().select(*whole.columns)) == rows(whole)
+    mark, told = into.told("mark"), into.snapshot()["told"]
+    assert mark == str(whole.agg(F.max("action_at")).first()[0]) and 0 < told["notes"] < 40
+    same = spark.createDataFrame([(1, 8, "commented", 1, datetime.fromisoformat(mark))], base.note_comments.schema)
+    late = Base(base.notes, with_tie.note_comments.unionByName(same), base.note_comments_text, base.users, base.countries)
+    assert facts.load(late, into) and into.told("actions") == 2 and into.told("notes") == 2
+    assert rows(into.read().select(*whole.columns)) == rows(facts.facts(late))
+
+
+@pytest.mark.parametrize("writes", range(5))
+def test_a_load_that_dies_is_run_again(base, spark, tmp_path, monkeypatch, writes):
+    """After each of its writes, and before the manifest: readers see the earlier snapshot, the next try ends at one load's facts."""
+    into = facts.table(spark, str(tmp_path / "facts"))
+    facts.load(facts.arrived(base, F.expr(STEPS[0])), into)
+    before, left = rows(into.read()), [writes]
+
+    def dying(f):
+        def run(*args):
+            if not left[0]:
+                raise OSError("lost")
+            left[0] -= 1
+            return f(*args)
+
+        return run
+
+    with monkeypatch.context() as m:
+        m.setattr(layers.Layer, "write", dying(layers.Layer.write))
+        m.setattr(layers, "put_text", dying(layers.put_text))
+        if writes < 4:
+            with pytest.raises(OSError):
+                facts.load(base, into)
+            assert rows(into.read()) == before
+    facts.load(base, into)
     whole = facts.facts(base)
-    assert rows(spark.read.parquet(path).select(*whole.columns)) == rows(whole)
+    assert rows(into.read().select(*whole.columns)) == rows(whole)
+
+
+def test_layers_replace_merge_and_refuse(spark, tmp_path, monkeypatch):
+    table = layers.Layers(spark, str(tmp_path / "t"), ["k"])
+    df = lambda rows: spark.createDataFrame(rows, "k long, v string")
+    want = {}
+    for n in range(11):
+        new = {k: f"{n}" for k in range(n, 40, n + 1)}
+        table.append(df(list(new.items())), batch=n)
+        want |= new
+        assert {r.k: r.v for r in table.read().collect()} == want
+        table.compact()
+    snap = table.snapshot()
+    assert {r.k: r.v for r in table.read().collect()} == want and snap["told"] == {"batch": 10}
+    assert [x["level"] for x in snap["layers"]] == [layers.BASE_LEVEL, 1, 1, 0, 0]
+    assert sorted(r.k for r in table.changed(snap["layers"][-2]["version"]).collect()) == list(range(10, 40, 11))
+    gone = table.begin()
+    gone.write(df([]))
+    gone.write(spark.createDataFrame([(3,)], "k long"), "keys")  # a key without rows any more
+    late = table.begin()
+    gone.commit()
+    assert {r.k for r in table.read().collect()} == set(want) - {3}
+    late.write(df([(1, "x")]))
+    with pytest.raises(layers.Conflict):
+        late.commit()
+    monkeypatch.setattr(layers, "BROADCAST_KEYS", 0)
+    assert {r.k for r in table.read().collect()} == set(want) - {3}
+    table.vacuum()
+    assert {r.k for r in table.read().collect()} == set(want) - {3} and len(list((tmp_path / "t" / "layers").iterdir())) == 6
 
 
 def test_orphans_and_facts_are_all_actions(base):
