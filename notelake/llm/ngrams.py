@@ -18,18 +18,18 @@ ORDER = 2
 #: Of every FOLDS remainders of the id's CRC-32, HELD is never learnt from; DELETED gives the held-out counts that the weights are learnt from.
 FOLDS, HELD, DELETED = 5, 1, 4
 #: Characters, about, of a block of documents, and n-grams, about, of a bucket of counts.
-BLOCK, KEYS = 12_000_000, 1_000_000
+BLOCK, KEYS = 10_000_000, 1_000_000
+#: Tokens that are scored at a time.
+CHUNK = 200_000
 #: Steps of an octave in which ratios of estimates are told apart while weights are learnt, most rounds of that, and when it ends.
 STEPS, ROUNDS, ENOUGH = 4, 500, 1e-7
-#: Hash of the mark of an end, and key of the context ahead of a text (even, so no token's).
-_END, _BEGIN = 0x2545F4914F6CDD1D, 0xD1342543DE82EF94
 _ANSWER = "block int, bucket int, kept binary, deleted binary, n_kept long, n_all long, v_kept long, v_all long"
 _SCORES = "doc_id {}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-class _Hashes(dict):
+class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
-        got = self[word] = xxhash.xxh64_intdigest(word)
+        got = self[word] = len(self)
         return got
 
 
@@ -52,36 +52,41 @@ class Block:
     """The n-grams of some documents.
 
     Tokens are the words `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased, and one end of each text. `keys` holds the 64-bit hash of each n-gram and
-    context once, in order; `grams[j - 1]` the place there of the n-gram of length j of each token, `contexts[j - 1]` that of the words ahead.
+    context once, in order, odd for single tokens; `grams[j - 1]` the place there of the n-gram of length j of each token, `contexts[j - 1]` that of the words ahead.
     """
 
     def __init__(self, texts: Iterable[str | None], order: int = ORDER):
-        hashes, parts, pad = _Hashes(), [], np.full(order - 1, _BEGIN, np.uint64)
+        numbers, parts = _Numbers({b"": 0, b" ": 1}), []  # an end and a beginning; no words
+        pad, end = np.ones(order - 1, np.int32), np.zeros(1, np.int32)
         for text in texts:
             ws = (text or "").encode().lower().split()  # of bytes: exactly A-Z, and exactly at space and \t to \r
-            parts += [pad, np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws)), np.array([_END], np.uint64)]
+            parts += [pad, np.fromiter(map(numbers.__getitem__, ws), np.int32, len(ws)), end]
         sizes = np.array([len(p) for p in parts], np.int64).reshape(-1, 3)
         self.tokens = sizes[:, 1] + 1
-        del hashes
-        token = np.concatenate([*parts, np.empty(0, np.uint64)])
-        real = np.repeat(np.tile([False, True, True], len(sizes)), sizes.ravel())
-        del parts
         self.doc = np.repeat(np.arange(len(self.tokens)), self.tokens)
-        key = np.where(real, token | np.uint64(1), token)
-        keys, ahead = [key[real]], []
+        self.first, self.order = np.cumsum(self.tokens) - self.tokens, order
+        word = np.concatenate([*parts, end[:0]]).astype(np.int64)
+        del parts
+        real, n = word != 1, len(numbers)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, n)
+        key = hashes | np.uint64(1)
+        key[1] = hashes[1] & ~np.uint64(1)  # no token's
+        keys, grams = [key], [word]
         for j in range(2, order + 1):
-            before = np.concatenate([key[:1] * np.uint64(0), key[:-1]])
-            ahead.append(before[real])
-            mixed = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + token * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(j)) & ~np.uint64(1)
-            begin = _mixed(np.full(1, _BEGIN, np.uint64) * np.uint64(j))[0] & ~np.uint64(1)
-            key = np.where(real, mixed, begin)  # whatever is ahead of the text, a context of nothing but that is one
-            keys.append(key[real])
-        n = len(keys[0])
-        self.keys, place = np.unique(np.concatenate([*keys, *ahead]), return_inverse=True)
-        self.grams = [place[k * n : (k + 1) * n] for k in range(order)]
-        self.contexts = [place[(order + k) * n : (order + k + 1) * n] for k in range(order - 1)]
-        self.order = order
-        self.first = np.cumsum(self.tokens) - self.tokens
+            pair = np.where(real, np.concatenate([[0], grams[-1][:-1]]) * n + word, -1)  # whatever is ahead of the text, a context of nothing but that is one
+            pair, gram = np.unique(pair, return_inverse=True)
+            mixed = _mixed(keys[-1][pair // n] * np.uint64(0x9E3779B97F4A7C15) + hashes[pair % n] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(j))
+            begin = _mixed(hashes[1:2] * np.uint64(j))
+            keys.append(np.where(pair < 0, begin, mixed) & ~np.uint64(1))
+            grams.append(gram)
+        every = np.concatenate(keys)
+        by = np.argsort(every)
+        self.keys, place = every[by], np.empty(len(every), np.int64)
+        place[by] = np.arange(len(by))
+        starts = np.cumsum([0, *map(len, keys)])
+        placed = [place[a + g] for a, g in zip(starts[:-1], grams, strict=True)]
+        self.grams = [p[real] for p in placed]
+        self.contexts = [np.concatenate([p[:1], p[:-1]])[real] for p in placed[:-1]]
 
     def counts(self, learnt: np.ndarray) -> np.ndarray:
         """How often each key is in the documents that `learnt` marks; contexts of nothing but a beginning once for each document."""
@@ -103,19 +108,19 @@ class Mixture:
     v: int
     weights: dict[int, np.ndarray]
 
-    def estimates(self, block: Block, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bucket, probabilities by length from 0) of each token, from counts of the block's keys.
+    def estimates(self, block: Block, counts: np.ndarray, part: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket, probabilities by length from 0) of each token of a part, from counts of the block's keys.
 
         Length 0 gives all known tokens and one unknown the same; longer n-grams their maximum likelihood. The bucket tells the
         longest context that was met, and in octaves how often.
         """
-        c = counts.astype(np.float64)
-        p = np.zeros((self.order + 1, len(block.doc)))
+        n = len(block.doc[part])
+        p = np.zeros((self.order + 1, n))
         p[0] = 1 / (self.v + 1)
-        bucket = np.zeros(len(block.doc), np.int64)
+        bucket = np.zeros(n, np.int64)
         for j in range(1, self.order + 1):
-            met = c[block.contexts[j - 2]] if j > 1 else np.full(len(block.doc), float(self.n))
-            p[j] = np.divide(c[block.grams[j - 1]], met, out=np.zeros(len(met)), where=met > 0)
+            met = counts[block.contexts[j - 2][part]].astype(np.float64) if j > 1 else np.full(n, float(self.n))
+            p[j] = np.divide(counts[block.grams[j - 1][part]], met, out=np.zeros(n), where=met > 0)
             bucket = np.where(met > 0, 64 * j + np.frexp(met)[1], bucket)
         return bucket, p
 
@@ -128,10 +133,14 @@ class Mixture:
 
     def log10(self, block: Block, counts: np.ndarray) -> np.ndarray:
         """log10 of the probability of each token."""
-        bucket, p = self.estimates(block, counts)
-        told, at = np.unique(bucket, return_inverse=True)
-        w = np.array([self.of(int(b)) for b in told]).reshape(-1, self.order + 1)
-        return np.log10(sum(w[at, j] * p[j] for j in range(self.order + 1)))
+        out = np.empty(len(block.doc))
+        for start in range(0, len(out), CHUNK):
+            part = slice(start, start + CHUNK)
+            bucket, p = self.estimates(block, counts, part)
+            told, at = np.unique(bucket, return_inverse=True)
+            w = np.array([self.of(int(b)) for b in told])
+            out[part] = np.log10(sum(w[at, j] * p[j] for j in range(self.order + 1)))
+        return out
 
 
 def em(events: np.ndarray, ratios: np.ndarray, rounds: int = ROUNDS, enough: float = ENOUGH) -> np.ndarray:
@@ -240,7 +249,7 @@ def scored(docs: DataFrame, order: int = ORDER, size: int = BLOCK, keys: int = K
     def score(frame: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         block = Block(frame["text"], order)
         counts = _counts(own, "kept") + _counts(own, "deleted")
-        c = counts[block.grams[0]].astype(np.float64)
+        c = counts[block.grams[0]]
         by_doc = lambda v: np.bincount(block.doc, v, len(frame))
         base = np.log10((c + 0.5) / (model.n + 0.5 * (model.v + 1)))
         return pd.DataFrame({"doc_id": frame["doc_id"], "held_out": frame["fold"] == HELD, "n_tokens": block.tokens, "n_known": by_doc(c > 0).astype(np.int64), "train_tokens": model.n, "base_score": by_doc(base), "score": by_doc(model.log10(block, counts))})
