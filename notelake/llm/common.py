@@ -27,6 +27,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are stored and dropped: it does so when the driver's garbage is collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Has the stored frame at most `rows` rows?"""
     return df.limit(rows + 1).count() <= rows

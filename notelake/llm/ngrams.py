@@ -11,14 +11,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import release, stored
 
 #: Longest n-gram.
 ORDER = 2
 #: Of every FOLDS remainders of the id's CRC-32, HELD is never learnt from; DELETED gives the held-out counts that the weights are learnt from.
 FOLDS, HELD, DELETED = 5, 1, 4
 #: Characters, about, of a block of documents, and n-grams, about, of a bucket of counts.
-BLOCK, KEYS = 10_000_000, 1_000_000
+BLOCK, KEYS = 6_000_000, 1_000_000
 #: Tokens that are scored at a time.
 CHUNK = 200_000
 #: Steps of an octave in which ratios of estimates are told apart while weights are learnt, most rounds of that, and when it ends.
@@ -242,6 +242,7 @@ def scored(docs: DataFrame, order: int = ORDER, size: int = BLOCK, keys: int = K
     told = _told(docs, max(1, -(-total // size)), max(1, -(-total // (size * FOLDS))))
     bits = max(0, (total * order // 8 // keys).bit_length())
     answers = _answers(told, order, bits)
+    release(docs.sparkSession)  # what was asked, over half of all that is shuffled
     sums = answers.where("block IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_kept", "n_all", "v_kept", "v_all")]).first()
     weights = _learnt(told, answers, Mixture(order, sums["n_kept"], sums["v_kept"], {}))
     model = Mixture(order, sums["n_all"], sums["v_all"], weights)
