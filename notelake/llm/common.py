@@ -11,6 +11,8 @@ from ..sources.store import folder
 
 #: Most rows of a side that is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+#: Setting that deletes a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Parts that the rows of one key are dealt to in a shuffled join.
 SALTS = 8
 
@@ -27,9 +29,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are stored and dropped: it does so when the driver's garbage is collected."""
-    spark.sparkContext._jvm.System.gc()
+def released(df: DataFrame, name: str) -> DataFrame:
+    """`stored`, and the shuffle files that this took are deleted at once, where Spark can (by a setting of the session, put back after)."""
+    conf = df.sparkSession.conf
+    was = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(CLEANUP, was)
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, stored
+from .common import released
 
 #: Longest n-gram.
 ORDER = 2
@@ -192,7 +192,7 @@ def _answers(told: DataFrame, order: int, bits: int) -> DataFrame:
         return out[[c.split()[0] for c in _ANSWER.split(", ")]]
 
     asked = told.groupBy("block").applyInPandas(ask, "block int, bucket int, keys binary, kept binary, deleted binary")
-    return stored(asked.groupBy("bucket").applyInPandas(answer, _ANSWER), "ngram-counts")
+    return released(asked.groupBy("bucket").applyInPandas(answer, _ANSWER), "ngram-counts")
 
 
 def _counts(answers: pd.DataFrame, name: str) -> np.ndarray:
@@ -242,7 +242,6 @@ def scored(docs: DataFrame, order: int = ORDER, size: int = BLOCK, keys: int = K
     told = _told(docs, max(1, -(-total // size)), max(1, -(-total // (size * FOLDS))))
     bits = max(0, (total * order // 8 // keys).bit_length())
     answers = _answers(told, order, bits)
-    release(docs.sparkSession)  # what was asked, over half of all that is shuffled
     sums = answers.where("block IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_kept", "n_all", "v_kept", "v_all")]).first()
     weights = _learnt(told, answers, Mixture(order, sums["n_kept"], sums["v_kept"], {}))
     model = Mixture(order, sums["n_all"], sums["v_all"], weights)
