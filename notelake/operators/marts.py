@@ -217,13 +217,15 @@ def work_list(f: DataFrame, e: str) -> DataFrame:
 
 
 def prioritised(f: DataFrame, modified: DataFrame, e: str, as_of: date, limit: int = 500) -> DataFrame:
-    """Modified entities by how recent their last action is, how active they are, their actions and their last action; the first `limit`."""
+    """Modified entities in the order of work, with their place: by how recent their last action is, how active they are, their actions and their
+    last action; the first `limit`."""
     g = work_list(f.join(modified, e, "left_semi"), e)
     at = F.lit(as_of).cast("timestamp_ntz")
     since = lambda days: F.col("last_action") >= at - F.expr(f"INTERVAL {days} DAY")
     recency = F.when(since(7), 1).when(since(30), 2).when(since(90), 3).otherwise(4)
     g = g.withColumn("recency", recency).withColumn("activity", F.when(F.col("n") > 100, 1).when(F.col("n") > 10, 2).otherwise(3))
-    return g.orderBy("recency", "activity", F.desc("n"), F.desc_nulls_last("last_action"), e).limit(limit)
+    order = ["recency", "activity", F.desc("n"), F.desc_nulls_last("last_action"), e]
+    return g.orderBy(*order).limit(limit).withColumn("place", F.row_number().over(Window.orderBy(*order)))  # `limit` rows
 
 
 def low_activity(f: DataFrame, most: int = 20, width: int = 100) -> DataFrame:

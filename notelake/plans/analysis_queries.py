@@ -62,10 +62,6 @@ TAGS: dict[str, Plan] = {
         lambda w: M.ranked(w.tags.where(F.col("action").isin("opened", "closed")).groupBy("action", F.col("tag").alias("key")).agg(F.count("*").alias("n")), ["action"], top=10),
         sql("SELECT * EXCLUDE (rw) FROM (SELECT *, rank() OVER (PARTITION BY action ORDER BY n DESC) AS rank, row_number() OVER (PARTITION BY action ORDER BY n DESC, key) AS rw FROM (SELECT action, tag AS key, count(*) AS n FROM tg WHERE action IN ('opened', 'closed') GROUP BY ALL)) WHERE rw <= 10"),
     ),
-    "hashtag_refresh_modified": (
-        lambda w: M.tag_lists(w.tags.join(w.facts.where("action_date >= DATE '2024-01-29'").select("country").distinct(), "country", "left_semi"), "country"),
-        sql("SELECT * EXCLUDE (rw) FROM (SELECT *, rank() OVER (PARTITION BY country ORDER BY n DESC) AS rank, row_number() OVER (PARTITION BY country ORDER BY n DESC, key) AS rw FROM (SELECT country, tag AS key, count(*) AS n FROM tg WHERE country IN (SELECT country FROM f WHERE action_date >= DATE '2024-01-29') GROUP BY ALL)) WHERE rw <= 50"),
-    ),
     **{
         f"hashtag_notes_{kind}": (
             lambda w, e=e: R.tag_notes(w.facts, w.tags, e, "topic1"),

@@ -166,11 +166,6 @@ USERS: dict[str, Plan] = {
         sql("SELECT a.action_user, given, coalesce(received, 0) AS received, replies, given + coalesce(received, 0) + replies AS score FROM (SELECT action_user, count(*) FILTER (has_mention) AS given, count(*) FILTER (action = 'commented' AND prior_commented > 0) AS replies FROM f GROUP BY action_user) a LEFT JOIN (SELECT opened_user, count(*) AS received FROM f WHERE has_mention AND action_user <> opened_user GROUP BY opened_user) b ON b.opened_user = a.action_user"),
     ),
     "user_low_activity_batches": (lambda w: M.low_activity(w.facts.where("action_date < DATE '2024-01-06'")), sql("SELECT action_user, count(*) AS n, CAST(floor(action_user / 100::DOUBLE) AS BIGINT) AS batch FROM f WHERE action_date < DATE '2024-01-06' GROUP BY action_user HAVING count(*) <= 20")),
-    "user_work_list": (
-        lambda w: M.prioritised(w.facts, w.facts.where("action_date >= DATE '2024-01-20'").select("action_user").distinct(), "action_user", w.as_of),
-        sql(f"""SELECT action_user, max(action_at) AS last_action, count(*) AS n, CASE WHEN max(action_at) >= {AS_OF} - INTERVAL 7 DAY THEN 1 WHEN max(action_at) >= {AS_OF} - INTERVAL 30 DAY THEN 2 WHEN max(action_at) >= {AS_OF} - INTERVAL 90 DAY THEN 3 ELSE 4 END AS recency,
-        CASE WHEN count(*) > 100 THEN 1 WHEN count(*) > 10 THEN 2 ELSE 3 END AS activity FROM f GROUP BY action_user HAVING max(action_date) >= DATE '2024-01-20' ORDER BY recency, activity, n DESC, last_action DESC, action_user LIMIT 500"""),
-    ),
     "country_profile": (
         lambda w: D.located(w.base.countries, w.spark).join(F.broadcast(D.regions(w.spark)), "region").select("country_id", "country_name", "country_name_es", "country_name_en", "alpha2", "alpha3", "region", "continent"),
         f"SELECT n_nationkey AS country_id, n_name AS country_name, lower(n_name) AS country_name_es, array_to_string(list_transform(string_split(lower(n_name), ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS country_name_en, alpha2, alpha3, region, continent FROM {LOCATED} JOIN {REGIONS} USING (region)",

@@ -32,18 +32,6 @@ def _load_mode(w: Warehouse) -> DataFrame:
     return base.crossJoin(mine).select("base", F.explode(cases).alias("c")).select("c.facts", mode.alias("mode"))  # one row each
 
 
-#: Which actions arrive after the first load whenever they were done, and the times from which the others are in the second and third.
-_LATE, _STEPS = "(note_id * 7 + sequence_action) % 53 = 0", ("2024-01-29", "2024-01-30 12:00:00")
-
-
-def _incremental(w: Warehouse) -> DataFrame:
-    """The facts of a first load and of two after it, which bring later actions and late ones."""
-    into = A.table(w.spark, folder(w.spark, "facts"))
-    for step in (f"created_at < '{_STEPS[0]}' AND NOT {_LATE}", f"created_at < '{_STEPS[1]}' AND (note_id % 2 = 0 OR NOT {_LATE})", "true"):
-        A.load(A.arrived(w.base, F.expr(step)), into)
-    return into.read().select("note_id", "seq", "action", "days_active", "prior_actions", "recent_open_date", "next_close_date")
-
-
 def _score_days(w: Warehouse) -> DataFrame:
     n = w.facts.groupBy("country", "action_date").agg(F.count("*").alias("n"))
     return n.select("country", "action_date", C.activity_score(F.col("n")).alias("score"))
@@ -71,7 +59,6 @@ PLANS: dict[str, Plan] = {
     "country_peak_hour": _peak("country", "country", "peak_hour"),
     "user_peak_day": _peak("user", "action_user", "peak_day"),
     "user_peak_hour": _peak("user", "action_user", "peak_hour"),
-    "country_years_to_process": (lambda w: M.years_with_changes(w.facts, "country").where(F.col("year") >= w.as_of.year), sql("SELECT DISTINCT country, CAST(year(action_date) AS INTEGER) AS year FROM f WHERE year(action_date) >= 2024")),
     "user_last_action": (lambda w: M.work_list(w.facts, "action_user").select("action_user", "last_action"), sql("SELECT action_user, max(action_at) AS last_action FROM f GROUP BY action_user")),
     "global_last_timestamp": (lambda w: w.facts.agg(F.max("action_at").alias("last_at")), sql("SELECT max(action_at) AS last_at FROM f")),
     "rank_countries_json": (_countries_document, sql(f"SELECT * FROM {_RANKED.format('opened')} FULL JOIN {_RANKED.format('closed')} USING (country)")),
@@ -82,5 +69,4 @@ PLANS: dict[str, Plan] = {
         _load_mode,
         sql("SELECT facts, CASE WHEN x IS NULL THEN 'initial' WHEN b IS NULL OR x > b THEN 'error' WHEN x = b THEN 'up_to_date' ELSE 'incremental' END AS mode FROM (SELECT max(created_at) AS b FROM comments), (SELECT 'none' AS facts, NULL::TIMESTAMP AS x UNION ALL SELECT 'part', max(action_at) FROM f WHERE action_date < DATE '2024-01-20' UNION ALL SELECT 'whole', max(action_at) FROM f UNION ALL SELECT 'ahead', max(action_at) + INTERVAL 1 DAY FROM f)"),
     ),
-    "facts_incremental": (_incremental, sql("SELECT f.note_id, f.seq, action, days_active, prior_actions, recent_open_date, CAST(next_at AS DATE) AS next_close_date FROM f LEFT JOIN nc USING (note_id, seq)")),
 }

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analysis_queries, document_queries, export_queries, global_queries, mart_queries, more_queries, stream_queries
+from . import analysis_queries, document_queries, export_queries, global_queries, mart_queries, more_queries, refresh_queries, stream_queries
 from .warehouse import Warehouse
 
-PLANS = mart_queries.PLANS | analysis_queries.PLANS | global_queries.PLANS | export_queries.PLANS | more_queries.PLANS | stream_queries.PLANS | document_queries.PLANS
+PLANS = mart_queries.PLANS | analysis_queries.PLANS | global_queries.PLANS | export_queries.PLANS | more_queries.PLANS | stream_queries.PLANS | document_queries.PLANS | refresh_queries.PLANS
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

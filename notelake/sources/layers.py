@@ -101,8 +101,10 @@ class Layers:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], by: str | None = None):
         self.spark, self.path, self.keys, self.by = spark, path.rstrip("/"), keys, by
 
-    def snapshot(self) -> dict:
-        """The newest manifest; of a table that isn't there yet, version 0 without layers."""
+    def snapshot(self, version: int | None = None) -> dict:
+        """The newest manifest, or that of a version; of a table that isn't there yet, version 0 without layers."""
+        if version is not None:
+            return json.loads(get_text(self.spark, f"{self.path}/manifests/{version:010d}.json"))
         fs, at = files(self.spark, f"{self.path}/manifests")
         names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
         whole = sorted(n for n in names if n.endswith(".json"))
