@@ -18,7 +18,9 @@ ORDER = 2
 #: Of every FOLDS remainders of the id's CRC-32, HELD is never learnt from; DELETED gives the held-out counts that the weights are learnt from.
 FOLDS, HELD, DELETED = 5, 1, 4
 #: Characters, about, of a block of documents, and n-grams, about, of a bucket of counts.
-BLOCK, KEYS = 6_000_000, 1_000_000
+BLOCK, KEYS = 4_000_000, 1_000_000
+#: Characters, about, whose blocks or buckets are one task's work.
+TASK = 8_000_000
 #: Tokens that are scored at a time.
 CHUNK = 200_000
 #: Steps of an octave in which ratios of estimates are told apart while weights are learnt, most rounds of that, and when it ends.
@@ -163,7 +165,7 @@ def _told(docs: DataFrame, blocks: int, apart: int) -> DataFrame:
     return docs.select("doc_id", "text", fold.alias("fold"), block.cast("int").alias("block"))
 
 
-def _answers(told: DataFrame, order: int, bits: int) -> DataFrame:
+def _answers(told: DataFrame, order: int, bits: int, tasks: int) -> DataFrame:
     """For each block and bucket of keys how often all kept and all deleted documents hold each of the block's keys, in their order.
 
     Blocks send each of their keys once, with their own counts; a bucket holds the keys of one stretch of hashes, adds up what the
@@ -191,8 +193,8 @@ def _answers(told: DataFrame, order: int, bits: int) -> DataFrame:
         out["bucket"] = int(frame["bucket"].iloc[0])
         return out[[c.split()[0] for c in _ANSWER.split(", ")]]
 
-    asked = told.groupBy("block").applyInPandas(ask, "block int, bucket int, keys binary, kept binary, deleted binary")
-    return released(asked.groupBy("bucket").applyInPandas(answer, _ANSWER), "ngram-counts")
+    asked = told.repartition(tasks, "block").groupBy("block").applyInPandas(ask, "block int, bucket int, keys binary, kept binary, deleted binary")
+    return released(asked.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(answer, _ANSWER), "ngram-counts")
 
 
 def _counts(answers: pd.DataFrame, name: str) -> np.ndarray:
@@ -241,7 +243,8 @@ def scored(docs: DataFrame, order: int = ORDER, size: int = BLOCK, keys: int = K
     total = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     told = _told(docs, max(1, -(-total // size)), max(1, -(-total // (size * FOLDS))))
     bits = max(0, (total * order // 8 // keys).bit_length())
-    answers = _answers(told, order, bits)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK))
+    answers = _answers(told, order, bits, tasks)
     sums = answers.where("block IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_kept", "n_all", "v_kept", "v_all")]).first()
     weights = _learnt(told, answers, Mixture(order, sums["n_kept"], sums["v_kept"], {}))
     model = Mixture(order, sums["n_all"], sums["v_all"], weights)
@@ -256,4 +259,4 @@ def scored(docs: DataFrame, order: int = ORDER, size: int = BLOCK, keys: int = K
 
     own = answers.where("block IS NOT NULL").select("block", "bucket", "kept", "deleted")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return told.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(score, _SCORES.format(kind))
+    return told.repartition(tasks, "block").groupBy("block").cogroup(own.repartition(tasks, "block").groupBy("block")).applyInPandas(score, _SCORES.format(kind))
