@@ -77,11 +77,23 @@ def tag_notes(f: DataFrame, t: DataFrame, e: str, tag: str, limit: int = 50) ->
     return f.join(hit, ["note_id", "seq"]).withColumn("place", F.row_number().over(w)).where(F.col("place") <= limit).select(e, "place", "note_id", "seq", "action", "action_at")
 
 
+def frequent_pairs(t: DataFrame, least: int = 3) -> DataFrame:
+    """rare, common: the pairs of tags of each note, of tags that are in `least` notes or more, dealt by the rarer of the two.
+
+    A pair is in no more notes than its rarer tag, so tags of fewer notes go before any pair is made, and with them what one note's own
+    tags would make; those of equal numbers go by name.
+    """
+    own = t.select("note_id", "tag").distinct()
+    often = own.groupBy("tag").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    kept = own.join(often, "tag")
+    rare = kept.select("note_id", F.struct("n", "tag").alias("rare"))
+    return rare.join(kept.select("note_id", F.struct("n", "tag").alias("common")), "note_id").where("rare < common").select(F.col("rare.tag").alias("rare"), F.col("common.tag").alias("common"))
+
+
 def tag_pairs(t: DataFrame, least: int = 3, top: int = 50) -> DataFrame:
-    """Unordered pairs of tags of one note, by number of notes."""
-    a = t.select("note_id", F.col("tag").alias("a")).distinct()
-    b = a.withColumnRenamed("a", "b")
-    return a.join(b, "note_id").where("a < b").groupBy("a", "b").agg(F.count("*").alias("notes")).where(F.col("notes") >= least).orderBy(F.desc("notes"), "a", "b").limit(top)
+    """Unordered pairs of tags of one note, by number of notes; those of `least` and more."""
+    n = frequent_pairs(t, least).groupBy("rare", "common").agg(F.count("*").alias("notes")).where(F.col("notes") >= least)
+    return n.select(F.least("rare", "common").alias("a"), F.greatest("rare", "common").alias("b"), "notes").orderBy(F.desc("notes"), "a", "b").limit(top)
 
 
 #: Badges in their order, by measure and least value.
@@ -149,13 +161,38 @@ def badges(f: DataFrame, as_of: date, spark: SparkSession) -> DataFrame:
     return measures(f, as_of).where("action_user <> -1").join(F.broadcast(rules), "measure").where("value >= least").select("action_user", "badge")
 
 
-def awards(f: DataFrame, days: list[date], spark: SparkSession) -> DataFrame:
-    """user, badge, awarded_on: badges as they are awarded on the days in turn, each once: on the first day by which it is reached."""
-    out = None
-    for day in days:
-        one = badges(f.where(F.col("action_date") <= F.lit(day)), day, spark).withColumn("awarded_on", F.lit(day))
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("action_user", "badge").agg(F.min("awarded_on").alias("awarded_on"))
+def awards(f: DataFrame, as_of: date, spark: SparkSession) -> DataFrame:
+    """user, badge, awarded_on: the first day up to as_of at whose end the user's facts so far reach the badge.
+
+    One pass over the facts, whatever the number of days: first the counts of each measure by user and day (of runs by unit of time), then running values in
+    that order: counts so far, counts so far in the year, the mean so far, and places within islands of consecutive units. A badge's day is
+    the first whose value is enough; all three actions' for the one that asks for them; the New Year after so many years for the one of years.
+    """
+    opened, closed, commented, day = is_("opened"), is_("closed"), is_("commented"), F.unix_date("action_date").cast("long")
+    fast = closed & (F.col("action_at") <= F.col("opened_at") + F.expr("INTERVAL 1 HOUR"))
+    year = F.year("action_date").cast("long")
+    counted = {
+        "opened": opened, "closed": closed, "commented": commented, "closed_with_comment": closed & (F.col("comment_length") > 0), "tagged": F.size("hashtags") > 0, "mentions": F.col("has_mention"), "urls": F.col("has_url"),
+        "mobile": C.is_mobile(F.col("platform")), "desktop": C.is_desktop(F.col("platform")), "early": opened & (year == 2013), "speedy": fast, "avg_length": F.col("comment_length").isNotNull(),
+    }
+    entry = lambda cond, name, span, unit: F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(name).alias("measure"), span.cast("long").alias("span"), unit.cast("long").alias("unit")))
+    entries = [entry(cond, name, F.lit(0), day) for name, cond in counted.items()]
+    entries += [entry(cond, f"year_{name}", year, day) for name, cond in (("opened", opened), ("closed", closed), ("commented", commented))]
+    entries += [entry(F.col("action").isin(*only), name, F.lit(0), _unit(unit)) for name, (unit, only) in RUNS.items()]
+    rows = f.where((F.col("action_date") <= F.lit(as_of)) & (F.col("action_user") != -1)).select("action_user", "action_date", "comment_length", F.explode(F.array_compact(F.array(*entries))).alias("m"))
+    by = ["action_user", "measure", "span"]
+    units = rows.select("action_user", "m.*", "action_date", "comment_length").groupBy(*by, "unit").agg(F.min("action_date").alias("on"), F.count("*").alias("n"), F.sum("comment_length").alias("length"))
+    so_far = Window.partitionBy(*by).orderBy("unit").rowsBetween(Window.unboundedPreceding, 0)
+    told = units.withColumns({"n": F.sum("n").over(so_far), "length": F.sum("length").over(so_far), "island": F.col("unit") - F.row_number().over(Window.partitionBy(*by).orderBy("unit"))})
+    told = told.withColumn("place", F.row_number().over(Window.partitionBy(*by, "island").orderBy("unit")))
+    value = F.when(F.col("measure").isin(*RUNS), F.col("place")).when(F.col("measure") == "avg_length", F.floor(F.col("length") / F.col("n"))).otherwise(F.col("n"))
+    rules = [(b, m, least, 1, 0) for b, m, least in BADGES if m not in ("all_round", "years")]
+    rules += [(b, each, least, 3, 0) for b, m, least in BADGES if m == "all_round" for each in ("opened", "closed", "commented")]
+    rules += [(b, "opened", 1, 1, least) for b, m, least in BADGES if m == "years"]
+    fixed = F.broadcast(spark.createDataFrame(rules, "badge string, measure string, least long, needs int, years int"))
+    on = F.when(F.col("years") > 0, F.make_date(F.year("on") + F.col("years"), F.lit(1), F.lit(1))).otherwise(F.col("on"))
+    crossed = told.withColumn("value", value).join(fixed, "measure").where("value >= least").groupBy("action_user", "badge", "needs", "measure").agg(F.min(on).alias("on"))
+    return crossed.groupBy("action_user", "badge", "needs").agg(F.max("on").alias("awarded_on"), F.count("*").alias("met")).where((F.col("met") == F.col("needs")) & (F.col("awarded_on") <= F.lit(as_of))).select("action_user", "badge", "awarded_on")
 
 
 #: Levels by notes opened, notes closed and days from first to last action.

@@ -99,10 +99,38 @@ def _measures(f: str) -> str:
 
 
 _LONG = _measures("f")
-_AWARDS = " UNION ALL ".join(
-    f"SELECT action_user, badge, DATE '{day}' AS day FROM ({_measures(f'(SELECT * FROM f WHERE action_date <= DATE {chr(39)}{day}{chr(39)})')}) l JOIN (VALUES {_RULES}) r(badge, measure, least) ON r.measure = l.measure AND value >= r.least WHERE action_user <> -1" for day in ("2024-01-15", "2024-01-31")
-)
-_AWARDED = f"SELECT action_user, badge, min(day) AS awarded_on FROM ({_AWARDS}) GROUP BY ALL"
+#: Badges as published, written out here once more: name, measure, least value.
+_PUBLISHED = """('First Note', 'opened', 1), ('First Close', 'closed', 1), ('First Comment', 'commented', 1),
+ ('10 Notes Opened', 'opened', 10), ('50 Notes Opened', 'opened', 50), ('100 Notes Opened', 'opened', 100), ('500 Notes Opened', 'opened', 500), ('1000 Notes Opened', 'opened', 1000),
+ ('10 Notes Closed', 'closed', 10), ('50 Notes Closed', 'closed', 50), ('100 Notes Closed', 'closed', 100), ('500 Notes Closed', 'closed', 500), ('1000 Notes Closed', 'closed', 1000),
+ ('100 Comments', 'commented', 100), ('500 Comments', 'commented', 500), ('1000 Comments', 'commented', 1000),
+ ('Daily Contributor', 'day_run', 7), ('Weekly Contributor', 'week_run', 4), ('Monthly Contributor', 'month_run', 3), ('Consistent Helper', 'close_run', 30),
+ ('Speed Demon', 'speedy', 1), ('Problem Solver', 'closed_with_comment', 10), ('Community Helper', 'closed_with_comment', 50), ('Resolution Master', 'closed_with_comment', 100),
+ ('Hashtag Enthusiast', 'tagged', 50), ('Mobile User', 'mobile', 100), ('Desktop Power User', 'desktop', 100),
+ ('Early Adopter', 'early', 1), ('Long Time Helper', 'years', 5), ('Century Club', 'year_opened', 100), ('Resolution Champion', 'year_closed', 100), ('Comment King', 'year_commented', 100),
+ ('Perfect Week', 'day_run', 7), ('Perfect Month', 'day_run', 30),
+ ('Quality Contributor', 'avg_length', 50), ('Detail Oriented', 'avg_length', 200), ('Collaborative', 'mentions', 20), ('Resourceful', 'urls', 20),
+ ('Note Master', 'opened', 5000), ('Resolution Legend', 'closed', 5000), ('Comment Legend', 'commented', 5000), ('All Around Helper', 'all_round', 1000)"""
+
+
+def _replayed() -> str:
+    """Awards by replaying each day: all measures of all users over the facts up to the day's end, and the first day that is enough."""
+    count = lambda cond: f"count(*) FILTER ({cond})"
+    kinds = {name: f"action = '{name}'" for name in ("opened", "closed", "commented")}
+    plain = kinds | {"closed_with_comment": "action = 'closed' AND comment_length > 0", "tagged": "len(hashtags) > 0", "mentions": "has_mention", "urls": "has_url", "mobile": "platform IN ('android', 'ios')", "desktop": "platform = 'web'"}
+    plain |= {"early": "action = 'opened' AND year(action_date) = 2013", "speedy": "action = 'closed' AND action_at <= opened_at + INTERVAL 1 HOUR"} | {f"year_{k}": f"{c} AND year(action_date) = year(day)" for k, c in kinds.items()}
+    own = ", ".join(f"{count(c)} AS {k}" for k, c in plain.items()) + ", floor(avg(comment_length)) AS avg_length, year(day) - year(min(action_date) FILTER (action = 'opened')) AS years"
+    runs = " ".join(
+        f"LEFT JOIN (SELECT day, action_user, max(n) AS {name} FROM (SELECT day, action_user, i - rn AS island, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY day, action_user ORDER BY i) AS rn FROM (SELECT DISTINCT day, action_user, {unit} AS i FROM fd WHERE action IN ({only}))) GROUP BY ALL) GROUP BY ALL) USING (day, action_user)"
+        for name, unit, only in _RUNS
+    )
+    wide = f"SELECT *, least(opened, closed, commented) AS all_round FROM (SELECT day, action_user, {own} FROM fd GROUP BY day, action_user) {runs}"
+    long = f"UNPIVOT (SELECT day, action_user, COLUMNS(* EXCLUDE (day, action_user))::BIGINT FROM ({wide})) ON COLUMNS(* EXCLUDE (day, action_user)) INTO NAME measure VALUE value"
+    days = f"SELECT CAST(range AS DATE) AS day FROM range((SELECT min(action_date) FROM f), {AS_OF} + INTERVAL 1 DAY, INTERVAL 1 DAY)"
+    return f"SELECT * FROM (WITH fd AS (SELECT day, f.* FROM f, ({days}) WHERE action_date <= day AND action_user <> -1) SELECT action_user, badge, min(day) AS awarded_on FROM ({long}) l JOIN (VALUES {_PUBLISHED}) r(badge, measure, least) ON r.measure = l.measure AND value >= r.least GROUP BY ALL)"
+
+
+_AWARDED = _replayed()
 _CRIT = f"""
 SELECT u AS action_user, velocity, geography, temporal, mix, round(s, 4) AS score, CASE WHEN s >= 0.8 THEN 5 WHEN s >= 0.6 THEN 4 WHEN s >= 0.4 THEN 3 WHEN s >= 0.2 THEN 2 ELSE 1 END AS level FROM (
 SELECT x.u, coalesce(v.p, 0) AS velocity, coalesce(g.p, 0) AS geography, coalesce(t.p, 0) AS temporal, coalesce(a.p, 0) AS mix, coalesce(v.p, 0) + coalesce(g.p, 0) + coalesce(t.p, 0) + coalesce(a.p, 0) AS s FROM (SELECT DISTINCT action_user AS u FROM f) x
@@ -124,7 +152,7 @@ LEVELS: dict[str, Plan] = {
         sql(f"SELECT action_user, level FROM ({_CRIT}) WHERE action_user IN (SELECT action_user FROM f WHERE action_date >= DATE '2024-01-28')"),
     ),
     "badge_measures": (lambda w: R.measures(w.facts, w.as_of), sql(_LONG)),
-    "badges": (lambda w: R.awards(w.facts, [date(2024, 1, 15), w.as_of], w.spark), sql(_AWARDED)),
+    "badges": (lambda w: R.awards(w.facts, w.as_of, w.spark), sql(_AWARDED)),
     "badges_streaks": (lambda w: R.longest_run(w.facts.where(F.col("action").isin("opened", "closed")), "day", "day_run"), sql(f"SELECT * FROM {_RUN.format(*_RUNS[0])}")),
     "contrib_single": (lambda w: w.facts.groupBy("action_user").count().where("count = 1").agg(F.count("*").alias("users")), sql(f"SELECT count(*) AS users FROM ({_SINGLE}) WHERE n = 1")),
     "contrib_distribution": (
@@ -249,7 +277,7 @@ CHECKS: dict[str, Plan] = {
         for a in ("commented", "reopened")
     },
     "profile_user_badges": (
-        lambda w: R.awards(w.facts, [date(2024, 1, 15), w.as_of], w.spark).groupBy("action_user").agg(F.array_sort(F.collect_list(F.struct((-F.unix_date("awarded_on")).alias("late"), "badge", "awarded_on"))).alias("b")).select("action_user", F.array_join(F.transform("b", lambda x: F.concat_ws(" ", x.awarded_on.cast("string"), x.badge)), ",").alias("badges")),
+        lambda w: R.awards(w.facts, w.as_of, w.spark).groupBy("action_user").agg(F.array_sort(F.collect_list(F.struct((-F.unix_date("awarded_on")).alias("late"), "badge", "awarded_on"))).alias("b")).select("action_user", F.array_join(F.transform("b", lambda x: F.concat_ws(" ", x.awarded_on.cast("string"), x.badge)), ",").alias("badges")),
         sql(f"SELECT action_user, string_agg(CAST(awarded_on AS VARCHAR) || ' ' || badge, ',' ORDER BY awarded_on DESC, badge) AS badges FROM ({_AWARDED}) GROUP BY action_user"),
     ),
 }
