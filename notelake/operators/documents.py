@@ -104,10 +104,9 @@ def tag_metrics(t: DataFrame, e: str) -> DataFrame:
     return own.select("*", F.get("hashtags_opening", 0)["key"].alias("favorite_opening_hashtag"), F.get("hashtags_resolution", 0)["key"].alias("favorite_resolution_hashtag"), total("hashtags_opening").alias("opening_hashtag_count"), total("hashtags_resolution").alias("resolution_hashtag_count"))
 
 
-def index(mart: DataFrame, fields: list[str]) -> DataFrame:
-    """place and the summary fields: most opened first, then most closed."""
-    order = [F.desc_nulls_last("history_whole_open"), F.desc_nulls_last("history_whole_closed"), F.col(fields[0])]
-    return mart.select(*fields).orderBy(*order)
+def index_order(mart: DataFrame, key: str) -> list[Column]:
+    """Most opened first, then most closed."""
+    return [F.desc_nulls_last("history_whole_open"), F.desc_nulls_last("history_whole_closed"), F.col(key).asc()]
 
 
 def overall(f: DataFrame, st: DataFrame, as_of: date) -> DataFrame:

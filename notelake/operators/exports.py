@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Callable
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ..functions import columns as C
+from ..sources.publish import Publication
 from .marts import is_
 
 #: How times are written in documents, to the microsecond.
 JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: Version of the documents' format.
+VERSION = "1.0.0"
 #: Rows of a country's CSV file.
 CSV_ROWS = 400_000
 
@@ -27,21 +32,30 @@ def documents(mart: DataFrame, key: str) -> DataFrame:
     return mart.select(key, F.to_json(F.struct(*mart.columns), JSON).alias("document"))
 
 
-def write_user_documents(mart: DataFrame, path: str, key: str = "user_id") -> None:
-    """One line per user, in folders by the hexadecimal digits of the id."""
-    rows = documents(mart, key).select(*hex_path(F.col(key)), "document")
-    rows.write.mode("overwrite").partitionBy("d1", "d2", "d3").text(path)
+def user_path(user: Column) -> Column:
+    """Where a user's document is: in folders by the hexadecimal digits of the id."""
+    return F.concat_ws("/", F.lit("users"), *hex_path(user), F.concat(user.cast("string"), F.lit(".json")))
 
 
-def write_country_documents(mart: DataFrame, path: str, key: str = "country_id") -> None:
-    """A folder for each country."""
-    documents(mart, key).write.mode("overwrite").partitionBy(key).text(path)
+def country_path(country: Column) -> Column:
+    return F.concat(F.lit("countries/"), country.cast("string"), F.lit(".json"))
 
 
-def read_documents(mart: DataFrame, path: str, *folders: str) -> DataFrame:
-    """What the documents under `path` say, with the fields of the mart and the folders that they are in."""
-    text = mart.sparkSession.read.schema(", ".join(["value string", *[f"`{c}` string" for c in folders]])).text(path)
-    return text.select(F.from_json("value", mart.schema, JSON).alias("d"), *[F.col(c).alias(f"in_{c}") for c in folders]).select("d.*", *[f"in_{c}" for c in folders])
+def placed(docs: DataFrame, key: str, path: Callable[[Column], Column]) -> DataFrame:
+    """path and document of each row, to be published."""
+    return documents(docs, key).select(path(F.col(key)).alias("path"), "document")
+
+
+def read_documents(schema: StructType, spark: SparkSession, files: str) -> DataFrame:
+    """What the documents in these files say, a file a document, and `file`: the path that each is at."""
+    text = spark.read.text(files, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    return text.select(F.from_json("value", schema, JSON).alias("d"), "file").select("d.*", "file")
+
+
+def read_array(schema: StructType, spark: SparkSession, file: str) -> DataFrame:
+    """The entries of an array file, with their place from 1. The file is read as one row."""
+    whole = spark.read.text(file, wholetext=True)
+    return whole.select(F.posexplode(F.from_json("value", ArrayType(schema), JSON)).alias("place", "d")).select((F.col("place") + 1).alias("place"), "d.*")
 
 
 def schema_text(df: DataFrame) -> str:
@@ -49,11 +63,11 @@ def schema_text(df: DataFrame) -> str:
     return "|".join(f"{c}:{t}:{i}" for i, (c, t) in enumerate(df.dtypes, 1))
 
 
-def metadata(marts: dict[str, DataFrame]) -> DataFrame:
-    """name, rows, schema_hash of each mart; the hash is that of its columns' names, types and places."""
+def metadata(marts: dict[str, DataFrame], exported_at: datetime) -> DataFrame:
+    """name, rows, schema_hash of each mart, when it was exported, and the version of the format; the hash is that of its columns' names, types and places."""
     out = None
     for name, df in marts.items():
-        one = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"), F.sha2(F.lit(schema_text(df)), 256).alias("schema_hash"))
+        one = df.agg(F.lit(name).alias("name"), F.count("*").alias("rows"), F.sha2(F.lit(schema_text(df)), 256).alias("schema_hash"), F.lit(exported_at).cast("timestamp_ntz").alias("exported_at"), F.lit(VERSION).alias("version"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -73,11 +87,12 @@ def valid(docs: DataFrame, schema: str, required: list[str]) -> DataFrame:
     return docs.withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
-def publish(docs: DataFrame, path: str) -> bool:
-    """Write documents with `ok` to `path` if every one is valid, else nothing."""
+def publish(docs: DataFrame, target: str) -> bool:
+    """Publish documents (path, document, ok) as files under `target` if every one is valid; else what is there stays."""
     if not docs.where("NOT ok").isEmpty():
         return False
-    docs.select("document").write.mode("overwrite").text(path)
+    with Publication(docs.sparkSession, target) as p:
+        p.documents(docs)
     return True
 
 
@@ -89,28 +104,51 @@ def stale(entities: DataFrame, published: DataFrame, key: str, as_of: date, days
     return j.select(key, act.alias("act")).where("act IS NOT NULL")
 
 
+def latest_closes(f: DataFrame, top: int = CSV_ROWS) -> DataFrame:
+    """country, place, note_id, closed_at, close_seq: the latest close of every note, the newest `top` of each country.
+
+    A histogram of the days of closes tells the last day of each country that can hold one of its `top`; older closes go before
+    anything is sorted. What is sorted by country is these narrow rows, `top` and the rest of one day at most.
+    """
+    closes = f.where(is_("closed")).groupBy("note_id", "country").agg(F.max(F.struct("action_at", "seq")).alias("c")).select("note_id", "country", F.col("c.action_at").alias("closed_at"), F.col("c.seq").alias("close_seq"))
+    day = F.to_date("closed_at")
+    days = closes.groupBy("country", day.alias("day")).agg(F.count("*").alias("n"))
+    newest = Window.partitionBy("country").orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
+    admitted = days.withColumn("newer", F.coalesce(F.sum("n").over(newest), F.lit(0))).where(F.col("newer") < top).groupBy("country").agg(F.min("day").alias("from"))
+    left = closes.join(F.broadcast(admitted), "country").where(day >= F.col("from")).drop("from")  # a row for each country
+    w = Window.partitionBy("country").orderBy(F.desc("closed_at"), F.desc("note_id"))
+    return left.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top)
+
+
 def closed_notes(f: DataFrame, top: int = CSV_ROWS) -> DataFrame:
-    """The latest close of every note, the newest `top` of each country, with its texts and counts."""
-    at = F.struct("action_at", "seq")
-    last = f.groupBy("note_id", "country").agg(
-        F.max(F.when(is_("closed"), F.struct("action_at", "seq", "action_user", "days_to_resolution", "body"))).alias("c"),
-        F.min(F.when(is_("opened"), F.struct("action_at", "seq", "action_user", "body"))).alias("o"),
-        F.count("*").alias("actions"),
-        F.count_if(is_("commented")).alias("comments"),
-        F.bool_or(is_("reopened")).alias("was_reopened"),
-        F.max(at).alias("last"),
-    ).where("c IS NOT NULL")
-    w = Window.partitionBy("country").orderBy(F.desc("c.action_at"), F.desc("note_id"))
-    rows = last.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top)
-    return rows.select(
-        "country", "place", "note_id", F.col("o.action_at").alias("opened_at"), F.col("c.action_at").alias("closed_at"), F.col("o.action_user").alias("opened_user"), F.col("c.action_user").alias("closed_user"),
-        F.col("c.days_to_resolution").alias("days"), "actions", "comments", "was_reopened", C.clean_text(F.col("o.body")).alias("opening"), C.clean_text(F.col("c.body")).alias("closing"),
+    """The latest close of every note, the newest `top` of each country, with its whole cleaned texts and counts.
+
+    Notes are chosen without their texts (latest_closes); counts and then the two texts are joined to the chosen ones only.
+    """
+    chosen = latest_closes(f, top)
+    own = f.join(chosen.select("note_id", "country"), ["note_id", "country"], "left_semi").groupBy("note_id", "country").agg(
+        F.min(F.when(is_("opened"), F.struct("action_at", "seq", "action_user"))).alias("o"), F.count("*").alias("actions"), F.count_if(is_("commented")).alias("comments"), F.bool_or(is_("reopened")).alias("was_reopened")
+    )
+    rows = chosen.join(own, ["note_id", "country"]).select("*", F.col("o.seq").alias("open_seq"))
+    close = f.where(is_("closed")).select("note_id", F.col("seq").alias("close_seq"), F.col("action_user").alias("closed_user"), F.col("days_to_resolution").alias("days"), C.clean_text(F.col("body")).alias("closing"))
+    opening = f.where(is_("opened")).select("note_id", F.col("seq").alias("open_seq"), C.clean_text(F.col("body")).alias("opening"))
+    return rows.join(close, ["note_id", "close_seq"]).join(opening, ["note_id", "open_seq"], "left").select(
+        "country", "place", "note_id", F.col("o.action_at").alias("opened_at"), "closed_at", F.col("o.action_user").alias("opened_user"), "closed_user", "days", "actions", "comments", "was_reopened", "opening", "closing"
     )
 
 
+#: How CSV files are written: quotes doubled, nulls empty, empty texts quoted.
+CSV = {"header": True, "escape": '"', "quote": '"', "nullValue": "", "emptyValue": '""', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
-    """A CSV file with header for each country."""
-    rows.write.mode("overwrite").option("header", True).partitionBy("country").csv(path)
+    """CSV files with header in a folder for each country; `place` is the order of its rows."""
+    rows.write.mode("overwrite").options(**CSV).partitionBy("country").csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows that write_csv wrote; an empty field is null, a quoted empty one an empty text (no field is \\N)."""
+    return spark.read.schema(schema).options(**CSV | {"emptyValue": "", "nullValue": "\\N"}).csv(path)
 
 
 def country_list(f: DataFrame) -> DataFrame:

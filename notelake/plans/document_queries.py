@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from ..operators import exports as X
 from ..operators import global_mart as G
 from ..operators import marts as M
 from ..operators import rankings as R
+from ..sources.publish import Publication
 from ..sources.store import folder
 from .global_queries import PLANS as GLOBAL
 from .mart_queries import MARTS, USERS, Plan
@@ -51,17 +55,24 @@ def _flat(docs: DataFrame, kind: str) -> DataFrame:
     return docs.select(*[_text(c, items[c]) if c in items else F.col(c) for c in docs.columns])
 
 
+def _published(w: Warehouse, kind: str, path: Callable[[Column], Column]) -> DataFrame:
+    """The documents of a kind, a file each, published and read back, with the file that each is at."""
+    target, docs = folder(w.spark, "published"), _document(w, kind)
+    with Publication(w.spark, target) as p:
+        p.documents(X.placed(docs, f"{kind}_id", path))
+    return X.read_documents(docs.schema, w.spark, f"{target}/{'users/*/*/*' if kind == 'user' else 'countries'}/*.json")
+
+
 def _user_json(w: Warehouse) -> DataFrame:
-    path, docs = folder(w.spark, "users"), _document(w, "user")
-    X.write_user_documents(docs, path)
-    return _flat(X.read_documents(docs, path, "d1", "d2", "d3"), "user")
+    back = _published(w, "user", X.user_path)
+    parts = F.split("file", "/")
+    folders = [F.element_at(parts, k - 5).alias(f"in_d{k}") for k in (1, 2, 3)]
+    return _flat(back.drop("file"), "user").join(back.select("user_id", *folders, F.element_at(parts, -1).alias("file_name")), "user_id")
 
 
 def _country_json(w: Warehouse) -> DataFrame:
-    path, docs = folder(w.spark, "countries"), _document(w, "country")
-    X.write_country_documents(docs, path)
-    back = X.read_documents(docs, path, "country_id")
-    return _flat(back.where(F.col("in_country_id") == F.col("country_id")).drop("in_country_id"), "country")
+    back = _published(w, "country", X.country_path)
+    return _flat(back.drop("file"), "country").join(back.select("country_id", F.element_at(F.split("file", "/"), -1).alias("file_name")), "country_id")
 
 
 def _scalars(kind: str) -> tuple[list[str], str, str]:
@@ -119,7 +130,17 @@ def _document_sql(kind: str) -> str:
 
 
 def _index(kind: str, fields: list[str]) -> Plan:
-    return lambda w: D.index(_mart(w, kind), fields), f"SELECT {', '.join(fields)} FROM ({_scalars_sql(kind)})"
+    """The index as a published array, read back with the places in the file."""
+
+    def run(w: Warehouse) -> DataFrame:
+        target, mart = folder(w.spark, "published"), _mart(w, kind)
+        rows = mart.select(*fields)
+        with Publication(w.spark, target) as p:
+            p.array(rows.withColumn("document", F.to_json(F.struct(*fields), X.JSON)), D.index_order(rows, fields[0]), f"indexes/{kind}.json")
+        return X.read_array(rows.schema, w.spark, f"{target}/indexes/{kind}.json")
+
+    place = f"CAST(row_number() OVER (ORDER BY history_whole_open DESC NULLS LAST, history_whole_closed DESC NULLS LAST, {fields[0]}) AS INTEGER) AS place"
+    return run, f"SELECT {', '.join(fields)}, {place} FROM ({_scalars_sql(kind)})"
 
 
 def _scalars_sql(kind: str) -> str:
@@ -136,9 +157,10 @@ _OVERALL = f"""SELECT {', '.join(f'c.{span}_{a} AS history_{span}_{n}' for span
 
 
 def _global_json(w: Warehouse) -> DataFrame:
-    row, path = D.overall(w.facts, w.status, w.as_of), folder(w.spark, "global")
-    row.select(F.to_json(F.struct("*"), X.JSON).alias("value")).write.text(path)
-    return X.read_documents(row, path)
+    row, target = D.overall(w.facts, w.status, w.as_of), folder(w.spark, "published")
+    with Publication(w.spark, target) as p:
+        p.documents(row.select(F.lit("global.json").alias("path"), F.to_json(F.struct("*"), X.JSON).alias("document")))
+    return X.read_documents(row.schema, w.spark, f"{target}/global.json").drop("file")
 
 
 def _history_schema(kind: str, e: str, key: str) -> str:
@@ -148,12 +170,12 @@ def _history_schema(kind: str, e: str, key: str) -> str:
 
 def _validated(w: Warehouse) -> DataFrame:
     """Documents of which some are cut off and some lack a field; no publication comes of them, one of the good ones does."""
-    docs = X.documents(M.history(w.facts, "country", w.as_of), "country")
+    docs = X.documents(M.history(w.facts, "country", w.as_of), "country").withColumn("path", X.country_path(F.col("country")))
     spoilt = F.when(F.col("country") % 7 == 0, F.substring("document", 1, 30)).when(F.col("country") % 5 == 0, F.replace(F.col("document"), F.lit("whole_open"), F.lit("other"))).otherwise(F.col("document"))
     checked = X.valid(docs.withColumn("document", spoilt), "country int, whole_open long, whole_closed long", ["country", "whole_open"])
     path = folder(w.spark, "published")
     whole, part = X.publish(checked, path), X.publish(checked.where("ok"), path)
-    count = w.spark.read.text(path).agg(F.count("*").alias("lines"))
+    count = w.spark.read.text(f"{path}/countries/*.json", wholetext=True).agg(F.count("*").alias("files"))
     return checked.select("country", "ok").crossJoin(F.broadcast(count)).select("*", F.lit(whole).alias("all_published"), F.lit(part).alias("good_published"))  # one row
 
 
@@ -195,20 +217,23 @@ def _tag_metrics(kind: str) -> Plan:
     return run, _TAGS(e)
 
 
+#: When the query's export is said to be made.
+_EXPORTED = datetime(2024, 1, 31, 6, 30)
+
 PLANS: dict[str, Plan] = {
-    "sink_user_json": (_user_json, f"SELECT * EXCLUDE (hx){_PATH} FROM (SELECT *, lpad(lower(to_hex((user_id % 4096 + 4096) % 4096)), 3, '0') AS hx FROM ({_document_sql('user')}))"),
-    "sink_country_json": (_country_json, _document_sql("country")),
+    "sink_user_json": (_user_json, f"SELECT * EXCLUDE (hx){_PATH}, user_id || '.json' AS file_name FROM (SELECT *, lpad(lower(to_hex((user_id % 4096 + 4096) % 4096)), 3, '0') AS hx FROM ({_document_sql('user')}))"),
+    "sink_country_json": (_country_json, f"SELECT *, country_id || '.json' AS file_name FROM ({_document_sql('country')})"),
     "sink_user_index": _index("user", D.USER_INDEX),
     "sink_country_index": _index("country", D.COUNTRY_INDEX),
     "sink_global_json": (_global_json, _OVERALL),
     "sink_global_summary": (lambda w: D.overall(w.facts, w.status, w.as_of).select(*D.SUMMARY), f"SELECT {', '.join(D.SUMMARY)} FROM ({_OVERALL})"),
     "sink_export_metadata": (
-        lambda w: X.metadata({"country": M.history(w.facts, "country", w.as_of), "user": M.history(w.facts, "action_user", w.as_of)}),
-        f"SELECT 'country' AS name, count(*) AS rows, sha256('{_history_schema('country', 'country', 'int')}') AS schema_hash FROM ({MARTS['country_history'][1]}) UNION ALL SELECT 'user', count(*), sha256('{_history_schema('user', 'action_user', 'bigint')}') FROM ({MARTS['user_history'][1]})",
+        lambda w: X.metadata({"country": M.history(w.facts, "country", w.as_of), "user": M.history(w.facts, "action_user", w.as_of)}, _EXPORTED),
+        f"SELECT 'country' AS name, count(*) AS rows, sha256('{_history_schema('country', 'country', 'int')}') AS schema_hash, TIMESTAMP '2024-01-31 06:30:00' AS exported_at, '1.0.0' AS version FROM ({MARTS['country_history'][1]}) UNION ALL SELECT 'user', count(*), sha256('{_history_schema('user', 'action_user', 'bigint')}'), TIMESTAMP '2024-01-31 06:30:00', '1.0.0' FROM ({MARTS['user_history'][1]})",
     ),
     "export_schema_validate": (
         _validated,
-        sql("SELECT country, country % 7 <> 0 AND country % 5 <> 0 AS ok, (SELECT count(DISTINCT country) FROM f WHERE country % 7 <> 0 AND country % 5 <> 0) AS lines, false AS all_published, true AS good_published FROM (SELECT DISTINCT country FROM f)"),
+        sql("SELECT country, country % 7 <> 0 AND country % 5 <> 0 AS ok, (SELECT count(DISTINCT country) FROM f WHERE country % 7 <> 0 AND country % 5 <> 0) AS files, false AS all_published, true AS good_published FROM (SELECT DISTINCT country FROM f)"),
     ),
     "user_export_view": (lambda w: _mart(w, "user").drop("contributor_type_name"), f"SELECT * EXCLUDE (contributor_type_name) FROM ({_scalars_sql('user')})"),
     "hashtag_metrics_country": _tag_metrics("country"),

@@ -102,6 +102,13 @@ def _priority(w):
     return _predictions(w).where("priority = 9").join(w.status.where("is_open"), "note_id").orderBy(F.desc("last_at"), "note_id").limit(50).select("note_id", "main_category", "recommended_action", "last_at")
 
 
+def _closed_csv(w):
+    """The CSV files of all countries, read back."""
+    path, rows = folder(w.spark, "csv"), X.closed_notes(w.facts)
+    X.write_csv(rows, path)
+    return X.read_csv(w.spark, path, rows.schema)
+
+
 def _published(w):
     return w.base.countries.where("country_id % 3 <> 0").select(F.col("country_id").alias("country"), F.when(F.col("country_id") % 2 == 0, F.lit("2023-12-01")).otherwise(F.lit("2024-01-30")).cast("date").alias("published_on")).unionByName(
         w.base.countries.limit(1).select(F.lit(999).alias("country"), F.lit("2024-01-30").cast("date").alias("published_on"))
@@ -117,10 +124,10 @@ PLANS: dict[str, Plan] = {
         lambda w: X.stale(w.base.countries.select(F.col("country_id").alias("country"), (F.col("country_id") % 11 == 0).alias("flagged")), _published(w), "country", w.as_of, 7),
         "SELECT n_nationkey AS country, 'export' AS act FROM nation WHERE n_nationkey <> 24 AND (n_nationkey % 3 = 0 OR n_nationkey % 2 = 0 OR n_nationkey % 11 = 0) UNION ALL SELECT 999, 'drop'",
     ),
-    "export_closed_notes_csv": (lambda w: X.closed_notes(w.facts), sql(_CLOSED)),
-    "csv_latest_close": (lambda w: X.closed_notes(w.facts, 5).select("country", "place", "note_id", "closed_at"), sql(f"SELECT country, place, note_id, closed_at FROM ({_CLOSED}) WHERE place <= 5")),
+    "export_closed_notes_csv": (_closed_csv, sql(_CLOSED)),
+    "csv_latest_close": (lambda w: X.latest_closes(w.facts, 5).select("country", "place", "note_id", "closed_at"), sql(f"SELECT country, place, note_id, closed_at FROM ({_CLOSED}) WHERE place <= 5")),
     "csv_note_metrics": (lambda w: w.facts.groupBy("note_id").agg(F.count("*").alias("actions"), F.bool_or(F.col("action") == "reopened").alias("was_reopened")), sql("SELECT note_id, count(*) AS actions, bool_or(action = 'reopened') AS was_reopened FROM f GROUP BY note_id")),
-    "csv_open_close_bodies": (lambda w: X.closed_notes(w.facts).select("note_id", F.length("opening").alias("opening"), F.length("closing").alias("closing")), sql(f"SELECT note_id, CAST(length(opening) AS INTEGER) AS opening, CAST(length(closing) AS INTEGER) AS closing FROM ({_CLOSED})")),
+    "csv_open_close_bodies": (lambda w: X.closed_notes(w.facts).select("note_id", "opening", "closing"), sql(f"SELECT note_id, opening, closing FROM ({_CLOSED})")),
     "csv_country_list": (lambda w: X.country_list(w.facts), sql("SELECT country, max(action_at) AS last_close, count(*) AS closes FROM f WHERE action = 'closed' GROUP BY country")),
     "report_load": (
         lambda w: X.report(w.facts, w.tags, w.status),

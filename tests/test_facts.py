@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from notelake.functions import columns as C
-from notelake.operators import checks, exports, facts, marts, rankings, status
+from notelake.operators import checks, facts, marts, rankings, status
 from notelake.plans.warehouse import Warehouse
 from notelake.sources import layers
 from notelake.sources.notes import Base
@@ -208,14 +208,6 @@ def test_runs_in_one_pass(spark):
         assert got[name] == rankings.longest_run(df.where(F.col("action").isin(*only)), unit, "n").first().n
 
 
-def test_publication_is_all_or_nothing(spark, tmp_path):
-    docs = spark.createDataFrame([(1, '{"a": 1}'), (2, '{"a": '), (3, '{"b": 1}')], "k long, document string")
-    checked = exports.valid(docs, "a long", ["a"])
-    assert {r.k: r.ok for r in checked.collect()} == {1: True, 2: False, 3: False}
-    assert not exports.publish(checked, str(tmp_path / "out")) and not (tmp_path / "out").exists()
-    assert exports.publish(checked.where("ok"), str(tmp_path / "out")) and spark.read.text(str(tmp_path / "out")).count() == 1
-
-
 def test_tables_written_anew_give_new_facts(spark, tmp_path):
     for t in ("events", "documents", "nation"):
         spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
