@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -55,8 +55,12 @@ def status(st: DataFrame, f: DataFrame, as_of: date) -> DataFrame:
 
 
 def applications(f: DataFrame, top: int = 10) -> DataFrame:
-    n = f.where("app IS NOT NULL").groupBy("app").agg(F.count("*").alias("n"))
-    return n.orderBy(F.desc("n"), "app").limit(top)
+    """The `top` applications of openings, with whether each is the most used, and on every row how many distinct ones are mobile and for desktops or the web."""
+    n = f.where("app IS NOT NULL AND action = 'opened'").groupBy("app", "platform").agg(F.count("*").alias("n"))
+    kinds = n.agg(F.countDistinct(F.when(C.is_mobile(F.col("platform")), F.col("app"))).alias("mobile_apps"), F.countDistinct(F.when(C.is_desktop(F.col("platform")), F.col("app"))).alias("desktop_apps"))
+    first = n.groupBy("app").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "app").limit(top)
+    best = F.row_number().over(Window.orderBy(F.desc("n"), "app")) == 1  # `top` rows
+    return first.withColumn("most_used", best).crossJoin(kinds)  # one row
 
 
 def top_countries(f: DataFrame, top: int = 10) -> DataFrame:

@@ -84,7 +84,7 @@ def train(rows: DataFrame, target: str) -> PipelineModel:
 
 
 def held_out() -> Column:
-    """A fifth of the notes by hash, for evaluation."""
+    """A fifth of the notes by hash, for evaluation; never learnt from."""
     return F.pmod(F.xxhash64("note_id"), F.lit(5)) == 0
 
 
@@ -103,6 +103,14 @@ def predict(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
     return out.select("note_id", *[c for t in models for c in (t, f"{t}_confidence")], priority.alias("priority"))
 
 
+def confident(predictions: DataFrame, least: float = 0.8) -> DataFrame:
+    """target, class: predictions, those of at least that confidence, and their share."""
+    targets = [c.removesuffix("_confidence") for c in predictions.columns if c.endswith("_confidence")]
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).alias("class"), F.col(f"{t}_confidence").alias("c")) for t in targets]))
+    n = predictions.select(each.alias("p")).select("p.*").groupBy("target", "class").agg(F.count("*").alias("predicted"), F.count_if(F.col("c") >= least).alias("confident"))
+    return n.withColumn("pct", F.lit(100.0) * F.col("confident") / F.col("predicted"))
+
+
 def evaluate(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
     """accuracy, f1, precision and recall."""
     out = model.transform(rows.na.fill(0, FEATURES)).cache()
@@ -133,10 +141,18 @@ def retrain(f: DataFrame, trained_on: date, as_of: date, days: int = 30, share:
     return n.select("closes", "fresh", pct.alias("pct"), ((F.datediff(F.lit(as_of), F.lit(trained_on)) >= days) | (pct >= share)).alias("retrain"))
 
 
+#: What tags are about, by parts of them; the first that fits counts.
+CATEGORIES = {
+    "firefighter": ("fire", "bomber", "emergency"),
+    "airplane": ("air", "plane", "avion"),
+    "wheelchair": ("wheel", "access", "silla"),
+    "campaign": ("missing", "map", "campaign"),
+    "correction": ("fix", "correc", "error"),
+}
+
+
 def category(t: DataFrame) -> DataFrame:
-    """Tags by keyword."""
-    low, k = F.lower("tag"), None
-    for name, (a, b) in KEYWORDS.items():
-        hit = low.contains(a) | low.contains(b)
-        k = F.when(hit, name) if k is None else k.when(hit, name)
-    return t.groupBy(k.otherwise("other").alias("category")).agg(F.count("*").alias("n"), F.countDistinct("tag").alias("tags"))
+    """tag, category, notes: what each tag may be about, and on how many notes it is."""
+    low = F.lower("tag")
+    hits = [F.when(F.exists(F.array(*[F.lit(p) for p in parts]), lambda p: F.contains(low, p)), name) for name, parts in CATEGORIES.items()]
+    return t.groupBy("tag", F.coalesce(*hits, F.lit("other")).alias("category")).agg(F.countDistinct("note_id").alias("notes"))

@@ -15,8 +15,8 @@ from .mart_queries import Plan
 from .oracle import AS_OF, LOCATED, REGIONS, sql
 
 _NOW = "TIMESTAMP '2024-01-31'"
-#: The last day of the log and of actions.
-_LAST = date(2024, 1, 30)
+#: The last day of the log, and a day with openings.
+_LAST, _BUSY = date(2024, 1, 30), date(2024, 1, 2)
 
 _PERIODS = {"": "true", "_year": f"year(action_date) = year({AS_OF})", "_month": f"date_trunc('month', action_date) = date_trunc('month', {AS_OF})", "_today": f"action_date = {AS_OF}"}
 
@@ -34,7 +34,7 @@ RANKINGS: dict[str, Plan] = {
     for suffix, cond in _PERIODS.items()
     if a == "opened" or not suffix
 } | {
-    "rank_users_opened_today": (lambda w: R.users(w.facts, "opened", R.period("today", _LAST)), _rank("action_user", "action = 'opened' AND action_user <> -1 AND action_date = DATE '2024-01-30'", "count(DISTINCT note_id)")),
+    "rank_users_opened_today": (lambda w: R.users(w.facts, "opened", R.period("today", _BUSY)), _rank("action_user", "action = 'opened' AND action_user <> -1 AND action_date = DATE '2024-01-02'", "count(DISTINCT note_id)")),
     "rank_countries_opened": (lambda w: R.countries(w.facts, "opened"), _rank("country", "action = 'opened'", "count(DISTINCT note_id)")),
     "rank_countries_closed": (lambda w: R.countries(w.facts, "closed"), _rank("country", "action = 'closed'", "count(DISTINCT note_id)")),
     "rank_countries_open_now": (lambda w: R.placed(w.status.where("is_open").groupBy("country").agg(F.count("*").alias("n"))), sql("SELECT country, n, rank() OVER (ORDER BY n DESC) AS rank FROM (SELECT country, count(*) AS n FROM st WHERE is_open GROUP BY country)")),

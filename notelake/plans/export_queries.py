@@ -86,15 +86,10 @@ def _compared(w):
     return T.compare(_metrics(w, rows, F.col("note_id") % 2 == 0, 1).unionByName(_metrics(w, rows, F.lit(True), 2)))
 
 
-def _predicted(w):
-    """Of every prediction what must hold: classes that targets have, confidences within range, the priority that follows."""
-    p, act = _predictions(w), F.col("recommended_action")
-    follows = F.when((F.col("main_category") == "contributes_with_change") & (act == "process"), 9).when(act == "needs_more_data", 6).when(act == "close", 3).otherwise(5)
-    known = F.col("main_category").isin("contributes_with_change", "doesnt_contribute") & F.col("specific_type").isin("empty", "lack_of_precision", "advertising", "obsolete", "adds_to_map", "other") & act.isin("process", "close", "needs_more_data")
-    sure = F.lit(True)
-    for t in T.MODELS:
-        sure = sure & F.col(f"{t}_confidence").between(0.0, 1.0)
-    return p.select("note_id", known.alias("known"), sure.alias("in_range"), (F.col("priority") == follows).alias("priority_follows"))
+def _spelt(w):
+    """Tags with the parts that categories go by, in the tags' place."""
+    parts = F.array(*[F.lit(x) for x in ("Fire", "bomberos", "emergency", "Airport", "seaplane", "avion", "wheels", "access", "silla", "missing", "mapping", "campaign", "fixme", "correccion", "error", "mapfix")])
+    return w.tags.where("tag LIKE 'tag%'").withColumn("tag", F.concat("tag", F.get(parts, (F.col("note_id") % 16).cast("int"))))
 
 
 def _priority(w):
@@ -143,31 +138,22 @@ PLANS: dict[str, Plan] = {
     "ml_train": (_trained, sql("SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS target, {t} AS class, count(*) AS samples, {len(T.FEATURES)} AS features, true AS known FROM ({_TRAINING}) GROUP BY {t}" for t in T.MODELS) + ")")),
     "ml_metrics": (lambda w: _metrics(w, _labelled(w), F.lit(True), 1), None),
     "ml_predictions": (_predictions, None),
-    "ml_evaluate": (
-        lambda w: _metrics(w, _labelled(w), F.lit(True), 1).select("target", "metric", F.col("value").between(0.0, 1.0).alias("in_range")),
-        f"SELECT target, metric, true AS in_range FROM {values([(t,) for t in T.MODELS])} t(target), {values([(m,) for m in _METRICS])} m(metric)",
-    ),
-    "ml_compare": (
-        lambda w: _compared(w).select("target", "metric", (F.col("newest").between(0.0, 1.0) & F.col("previous").between(0.0, 1.0)).alias("both"), (F.abs(F.col("newest") - F.col("previous") - F.col("gain")) < 1e-9).alias("gain_follows")),
-        f"SELECT target, metric, true AS both, true AS gain_follows FROM {values([(t,) for t in T.MODELS])} t(target), {values([(m,) for m in _METRICS])} m(metric)",
-    ),
-    "ml_predict": (_predicted, sql(f"SELECT note_id, true AS known, true AS in_range, true AS priority_follows FROM ({_ROWS}) WHERE note_id % 3 <> 0")),
-    "ml_high_confidence": (
-        lambda w: _predictions(w).agg(F.count("*").alias("processed"), F.count_if(F.col("main_category_confidence") >= 0.8).alias("confident")).select("processed", F.col("confident").between(0, F.col("processed")).alias("within")),
-        sql(f"SELECT count(*) AS processed, true AS within FROM ({_ROWS}) WHERE note_id % 3 <> 0"),
-    ),
-    "ml_priority_notes": (
-        lambda w: _priority(w).join(w.status.select("note_id", "is_open"), "note_id").agg((F.count("*") <= 50).alias("at_most_50"), F.coalesce(F.bool_and("is_open"), F.lit(True)).alias("all_open"), F.coalesce(F.bool_and(F.col("recommended_action") == "process"), F.lit(True)).alias("all_to_process")),
-        "SELECT true AS at_most_50, true AS all_open, true AS all_to_process",
-    ),
+    "ml_evaluate": (lambda w: _metrics(w, _labelled(w), F.lit(True), 1).drop("version"), None),
+    "ml_compare": (_compared, None),
+    "ml_predict": (_predictions, None),
+    "ml_high_confidence": (lambda w: T.confident(_predictions(w)), None),
+    "ml_priority_notes": (_priority, None),
     "ml_readiness": (lambda w: T.readiness(w.facts), sql("SELECT count(*) AS openings, count(next_at) AS resolved, count(next_at) >= 100 AS ready FROM f LEFT JOIN nc USING (note_id, seq) WHERE action = 'opened' AND comment_length > 0")),
     "ml_retrain_decision": (
         lambda w: T.retrain(w.facts, date(2024, 1, 15), w.as_of),
         sql("SELECT closes, fresh, 100::DOUBLE * fresh / closes AS pct, 100::DOUBLE * fresh / closes >= 10 AS retrain FROM (SELECT count(*) AS closes, count(*) FILTER (action_date > DATE '2024-01-15') AS fresh FROM f WHERE action = 'closed')"),
     ),
     "ml_hashtag_category": (
-        lambda w: T.category(w.tags),
-        sql("SELECT CASE " + " ".join(f"WHEN contains(lower(tag), '{a}') OR contains(lower(tag), '{b}') THEN '{k}'" for k, (a, b) in T.KEYWORDS.items()) + " ELSE 'other' END AS category, count(*) AS n, count(DISTINCT tag) AS tags FROM tg GROUP BY ALL"),
+        lambda w: T.category(w.tags.unionByName(_spelt(w))),
+        sql("""SELECT tag, CASE WHEN lower(tag) LIKE '%fire%' OR lower(tag) LIKE '%bomber%' OR lower(tag) LIKE '%emergency%' THEN 'firefighter' WHEN lower(tag) LIKE '%air%' OR lower(tag) LIKE '%plane%' OR lower(tag) LIKE '%avion%' THEN 'airplane'
+        WHEN lower(tag) LIKE '%wheel%' OR lower(tag) LIKE '%access%' OR lower(tag) LIKE '%silla%' THEN 'wheelchair' WHEN lower(tag) LIKE '%missing%' OR lower(tag) LIKE '%map%' OR lower(tag) LIKE '%campaign%' THEN 'campaign'
+        WHEN lower(tag) LIKE '%fix%' OR lower(tag) LIKE '%correc%' OR lower(tag) LIKE '%error%' THEN 'correction' ELSE 'other' END AS category, count(DISTINCT note_id) AS notes
+        FROM (SELECT note_id, tag FROM tg UNION ALL SELECT note_id, tag || ['Fire', 'bomberos', 'emergency', 'Airport', 'seaplane', 'avion', 'wheels', 'access', 'silla', 'missing', 'mapping', 'campaign', 'fixme', 'correccion', 'error', 'mapfix'][CAST(note_id % 16 AS INTEGER) + 1] FROM tg WHERE tag LIKE 'tag%') GROUP BY ALL"""),
     ),
     "ml_hashtag_features": (
         lambda w: T.tag_features(w.tags).withColumn("hashtag_names", F.array_join("hashtag_names", ",")),

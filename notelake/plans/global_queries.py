@@ -20,7 +20,11 @@ PLANS: dict[str, Plan] = {
     "global_comment_metrics": (lambda w: G.comment_metrics(w.facts), sql("SELECT avg(comment_length) AS avg_length, 100::DOUBLE * count(*) FILTER (has_url) / count(*) AS url_pct, 100::DOUBLE * count(*) FILTER (has_mention) / count(*) AS mention_pct FROM f WHERE comment_length > 0")),
     "global_30_days": (lambda w: G.last_days(w.facts, w.as_of), sql(f"SELECT count(*) FILTER (action = 'opened') AS created, count(*) FILTER (action = 'closed') AS resolved, count(DISTINCT action_user) FILTER (action_user <> -1) AS active_users FROM f WHERE action_date >= {AS_OF} - 30")),
     "global_status": (lambda w: G.status(w.status, w.facts, w.as_of), sql(f"SELECT count(*) FILTER (is_open) AS open_notes, count(*) FILTER (NOT is_open) AS closed_notes, count(*) FILTER (is_open AND {AS_OF} - f.opened_date > 7) AS backlog FROM st JOIN f ON f.note_id = st.note_id AND f.action = 'opened'")),
-    "global_applications": (lambda w: G.applications(w.facts), sql("SELECT app, count(*) AS n FROM f WHERE app IS NOT NULL GROUP BY app ORDER BY n DESC, app LIMIT 10")),
+    "global_applications": (
+        lambda w: G.applications(w.facts),
+        sql("""SELECT app, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, app) = 1 AS most_used, (SELECT count(DISTINCT app) FROM f WHERE action = 'opened' AND platform IN ('android', 'ios')) AS mobile_apps,
+        (SELECT count(DISTINCT app) FROM f WHERE action = 'opened' AND platform = 'web') AS desktop_apps FROM f WHERE app IS NOT NULL AND action = 'opened' GROUP BY app ORDER BY n DESC, app LIMIT 10"""),
+    ),
     "global_avg_comments_per_note": (lambda w: G.comments_per_note(w.facts), sql("SELECT avg(m) AS mean FROM (SELECT max(prior_commented) AS m FROM f GROUP BY note_id)")),
     "global_top_countries": (lambda w: G.top_countries(w.facts), sql("SELECT country, count(*) AS n FROM f GROUP BY country ORDER BY n DESC, country LIMIT 10")),
     "global_age_distribution": (lambda w: G.ages(w.facts, w.as_of), sql(f"SELECT CASE WHEN a <= 7 THEN '0_7' WHEN a <= 30 THEN '8_30' WHEN a <= 90 THEN '31_90' ELSE '90_plus' END AS band, count(*) AS n FROM (SELECT note_id, {AS_OF} - min(opened_date) AS a FROM f GROUP BY note_id HAVING arg_max(action, action_at) <> 'closed') GROUP BY ALL")),
