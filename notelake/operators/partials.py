@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.layers import Layers
-from .marts import TOP, is_, ranked, with_closing_texts
+from .marts import TOP, ranked, with_closing_texts
+from .update_log import UpdateLog
 
 #: Parts of the sums, by hash of the entity; a refresh reads those of modified entities.
 PARTS = 64
@@ -87,6 +88,7 @@ class Marts:
     MADE = {"yearly": yearly, "tops": tops, "hours": hours, "apps": apps}
 
     def __init__(self, spark: SparkSession, path: str):
+        self.log = UpdateLog(spark, f"{path}/log")
         self.sums = Sums(spark, f"{path}/sums", ENTITY, by="part")
         self.marts = {name: Layers(spark, f"{path}/{name}", ENTITY) for name in self.MADE}
 
@@ -95,18 +97,19 @@ class Marts:
 
         The sums get the new counts of the notes that loads have changed since, less their old ones. Entities of those notes are modified: their sums alone are
         read, by parts, and their mart rows replaced. Each step is one commit that tells how far it is, so a refresh that dies is run again
-        and goes on; it ends at the rows of a full build.
+        and goes on; it ends at the rows of a full build. Each step leaves a row in the log.
         """
         now, done = facts.snapshot(), self.sums.told("facts", 0)
         ids = facts.changed(done, now)
         if now["version"] != done and ids is not None:
-            new = cells(facts.read(now).join(ids, "note_id", "left_semi"))
-            layer = self.sums.begin()
-            if done:
-                old = cells(facts.read(facts.snapshot(done)).join(ids, "note_id", "left_semi"))
-                new = new.unionByName(old.withColumn("n", -F.col("n"))).groupBy(*CELL).agg(F.sum("n").alias("n"))
-            layer.write(new)
-            layer.commit(facts=now["version"])
+            with self.log.update("sums") as update:
+                new = cells(update.facts(facts.read(now).join(ids, "note_id", "left_semi")))
+                layer = self.sums.begin()
+                if done:
+                    old = cells(facts.read(facts.snapshot(done)).join(ids, "note_id", "left_semi"))
+                    new = new.unionByName(old.withColumn("n", -F.col("n"))).groupBy(*CELL).agg(F.sum("n").alias("n"))
+                layer.write(update.rows(new))
+                layer.commit(facts=now["version"])
         sums, stale = self.sums.snapshot(), False
         for name, mart in self.marts.items():
             since = mart.told("sums", 0)
@@ -114,10 +117,11 @@ class Marts:
                 modified = self.modified(since, sums)
                 if modified is not None:
                     stale = True
-                    layer = mart.begin()
-                    own = layer.write(modified, "keys")
-                    layer.write(self.MADE[name](self.of(own, sums)))
-                    layer.commit(sums=sums["version"])
+                    with self.log.update(name) as update:
+                        layer = mart.begin()
+                        own = layer.write(modified, "keys")
+                        layer.write(update.rows(self.MADE[name](self.of(own, sums))))
+                        layer.commit(sums=sums["version"])
                     mart.compact()
         self.sums.compact()
         return stale

@@ -4,9 +4,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from notelake.operators import facts, marts, partials
+from notelake.operators import checks, facts, marts, partials
+from notelake.operators.update_log import UpdateLog
 from notelake.sources import layers
 from notelake.sources.notes import Base
 
@@ -76,6 +78,10 @@ def test_marts_after_loads_equal_a_full_build(base, spark, tmp_path, monkeypatch
                     m.refresh(into)
         assert m.refresh(into) and not m.refresh(into)
         assert made(m) == whole(facts.facts(facts.arrived(base, F.expr(came))))
+    log = m.log.read()
+    assert {(r.kind, r.status): r.n for r in log.groupBy("kind", "status").agg(F.count("*").alias("n")).collect()} == {("sums", "success"): 3, ("yearly", "success"): 3, ("tops", "success"): 3, ("tops", "error"): 1, ("hours", "success"): 3, ("apps", "success"): 3}
+    first = log.where("kind = 'sums'").orderBy("start_time").first()
+    assert first.facts == facts.facts(facts.arrived(base, F.expr(LOADS[0]))).count() and first.records > first.facts and first.duration > 0
     users = {r.entity for r in m.modified(before).where("kind = 'user'").collect()}
     assert users == {n % 40 for n in range(110, 120)}
     assert {(r.entity, r.year) for r in m.years(before).where("kind = 'user'").collect()} == {(r.action_user, r.y) for r in into.read().where("note_id >= 110").select("action_user", F.year("action_date").alias("y")).distinct().collect()}
@@ -91,3 +97,16 @@ def test_sums_of_other_entities_are_not_read(base, spark, tmp_path):
     plan = read._jdf.queryExecution().executedPlan().toString()
     part = m.sums.read().where("kind = 'user' AND entity = 7").select("part").first().part
     assert f"PartitionFilters: [part" in plan and f"IN ({part})" in plan or f"(part#" in plan and f"= {part})" in plan  # noqa: F541
+
+
+def test_updates_are_logged(spark, tmp_path):
+    """One that succeeds and one that fails: both are found, with what they did."""
+    log = UpdateLog(spark, str(tmp_path / "log"))
+    with log.update("countries") as u:
+        u.rows(u.facts(spark.range(30)).where("id < 7")).write.parquet(str(tmp_path / "a"))
+    with pytest.raises(PySparkException), log.update("users", 5) as u:
+        u.rows(spark.range(3).select(F.raise_error(F.lit("lost")))).write.parquet(str(tmp_path / "b"))
+    rows = {r.kind: r for r in log.read().collect()}
+    assert (rows["countries"].facts, rows["countries"].records, rows["countries"].status, rows["countries"].error) == (30, 7, "success", None)
+    assert rows["users"].status == "error" and rows["users"].entity_id == 5 and rows["users"].error and rows["users"].duration > 0
+    assert {r.kind: (r.n, r.records) for r in checks.perf_summary(log.read(), ["kind"]).collect()} == {"countries": (1, 7), "users": (1, 0)}
