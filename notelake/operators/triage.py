@@ -80,7 +80,10 @@ def train(rows: DataFrame, target: str) -> PipelineModel:
     """A forest over FEATURES (an absent one counts as 0); the index of the target's classes is part of the model."""
     trees, depth = MODELS[target]
     steps = [StringIndexer(inputCol=target, outputCol="label", handleInvalid="skip"), VectorAssembler(inputCols=FEATURES, outputCol="features"), RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7)]
-    return Pipeline(stages=steps).fit(rows.na.fill(0, FEATURES))
+    model = Pipeline(stages=steps).fit(rows.na.fill(0, FEATURES))
+    # the summary of the training holds the session, which can't be sent to executors any more once it has observed metrics
+    model.stages[-1]._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def held_out() -> Column:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from notelake.operators import triage
@@ -30,6 +31,9 @@ def rows(spark):
 
 
 def test_held_out_accuracy_and_metrics_by_hand(spark, rows):
+    """Also in a session that has observed metrics."""
+    spark.range(3).observe(seen := Observation("seen"), F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
     model = triage.train(rows.where(~triage.held_out()), "main_category")
     held = rows.where(triage.held_out())
     found = triage.evaluate(model, held)
