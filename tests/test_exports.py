@@ -1,6 +1,7 @@
 """Publications and CSV files: names, order, what fails, and what is read back."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from notelake.operators import exports
+from notelake.plans.warehouse import Warehouse
 from notelake.sources.publish import Publication
 
 
@@ -103,3 +105,22 @@ def test_closed_notes_by_a_plain_version(closes, spark, top, tmp_path):
     exports.write_csv(rows, str(tmp_path / "csv"))
     back = exports.read_csv(spark, str(tmp_path / "csv"), rows.schema)
     assert sorted(map(tuple, rows.collect()), key=str) == sorted(want, key=str) == sorted(map(tuple, back.select(rows.columns).collect()), key=str)
+
+
+def test_csv_files_of_the_query_are_compressed(closes, spark, monkeypatch):
+    """Plain CSV of all closed notes took more of the shared folder than all that the build of the facts takes."""
+    from notelake.plans import export_queries
+
+    sizes = {}
+    real = exports.write_csv
+
+    def both(rows, path, *how):
+        real(rows, path, *how)
+        real(rows, path + "-plain")
+        for k in (path, path + "-plain"):
+            at = k.removeprefix("file:")
+            sizes[k == path] = sum(os.path.getsize(f"{a}/{f}") for a, _, fs in os.walk(at) for f in fs)
+
+    monkeypatch.setattr(export_queries.X, "write_csv", both)
+    assert export_queries._closed_csv(Warehouse(spark, "/root/testdata/sf0.001")).count() > 0
+    assert 0 < sizes[True] < sizes[False] / 2
