@@ -59,3 +59,14 @@ def test_confident(spark):
 def test_comparison_of_versions(spark):
     m = spark.createDataFrame([("t", v, k, x) for v, k, x in ((1, "f1", 0.5), (2, "f1", 0.75), (1, "accuracy", 0.9), (2, "accuracy", 0.8))], "target string, version int, metric string, value double")
     assert {(r.metric, r.newest, r.previous, round(r.gain, 6)) for r in triage.compare(m).collect()} == {("f1", 0.75, 0.5, 0.25), ("accuracy", 0.8, 0.9, -0.1)}
+
+
+def test_high_confidence_is_over_all_notes(spark):
+    """Each target's classes count a prediction of every opened note with text; a third was left out."""
+    from notelake.plans import export_queries
+    from notelake.plans.warehouse import Warehouse
+
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    notes = w.facts.where("action = 'opened' AND comment_length > 0").count()
+    got = export_queries.PLANS["ml_high_confidence"][0](w).groupBy("target").agg({"predicted": "sum"}).collect()
+    assert notes > 0 and {r[0]: r[1] for r in got} == dict.fromkeys(triage.MODELS, notes)
