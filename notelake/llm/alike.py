@@ -82,7 +82,8 @@ def links(nodes: DataFrame, texts: DataFrame, width: int = WIDTH, least: float =
     A first pass over FIRST bands compares every node with the leader of its bucket, the node of the smallest hash. Its links
     make groups, and nodes of one group aren't compared again. Then all pairs of a small bucket are compared. In a larger one
     every node is compared with the leaders, and those that match none go on to a round of more leaders. So a large group
-    takes pairs in proportion to it.
+    takes pairs in proportion to it. Nodes that matched different leaders may be alike, too: at last all pairs of a bucket whose
+    nodes the links so far leave in different groups are compared, so that no link between groups is lost.
     """
     bands = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     alone = bands.withColumn("group", F.col("node"))
@@ -94,7 +95,21 @@ def links(nodes: DataFrame, texts: DataFrame, width: int = WIDTH, least: float =
         good, rest = _round(rest, nodes, texts, width, least, leaders, PAIRWISE)
         found = found.unionByName(good)
         leaders *= GROWTH
-    return found
+    groups = components(found).withColumnRenamed("root", "group")
+    apart = _several(bands.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node")))
+    return found.unionByName(_across(apart.where(F.col("many") > PAIRWISE), nodes, texts, width, least))
+
+
+def _across(rest: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """The links of nodes of different groups: each node that isn't of its bucket's largest group with all of other groups."""
+    sizes = rest.groupBy("key", "group").agg(F.count("*").alias("size"))
+    main = stored(sizes.groupBy("key").agg(F.max(F.struct("size", "group")).alias("m")).select("key", F.col("m.group").alias("main")), "main")
+    rows = stored(looked_up(rest.select("key", "node", "n", "group"), main, ["key"]), "apart")
+    x = rows.where("group != main").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("group").alias("gx"))
+    near = F.least("n", "nx") >= (least - 1e-9) * F.greatest("n", "nx")
+    met = rows.join(x, "key").where((F.col("group") != F.col("gx")) & ((F.col("group") == F.col("main")) | (F.col("node") < F.col("x"))) & near)
+    pairs = stored(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct(), "across")
+    return stored(verified(pairs, nodes, texts, width, least), "alike")
 
 
 def _several(rest: DataFrame) -> DataFrame:

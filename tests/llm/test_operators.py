@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from notelake.llm import chat, licenses, lines, minhash, mixing, pieces, quality, search, simhash, warc
+from notelake.llm import alike, chat, licenses, lines, minhash, mixing, pieces, quality, search, simhash, warc
 from notelake.llm.components import components
 from notelake.llm.queries import model_path
 
@@ -243,6 +243,35 @@ def test_simhash_keeps_one_row_of_each_component(spark):
     assert simhash.kept(docs).columns == docs.columns
 
 
+def test_similar_texts_of_large_buckets_lose_no_link(spark):
+    """Variants near the least similarity, of which many match some leader of a bucket and not each other's."""
+    rnd, rows = random.Random(5), []
+    for k in range(6):
+        base = [f"f{k}w{j}" for j in range(200)]
+        for _ in range(60):
+            ws = list(base)
+            for at in rnd.sample(range(200), rnd.choice((2, 2, 3, 3))):
+                ws[at] = f"x{rnd.randrange(10**9)}"
+            rows.append((len(rows), " ".join(ws)))
+    sets = [{tuple(ws[i : i + 5]) for i in range(len(ws) - 4)} for ws in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a in range(len(rows)):
+        for b in range(a // 60 * 60, a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    want = {find(a) for a in range(len(rows))}
+    docs = alike.sketched(frame(spark, rows).withColumn("_row", F.col("doc_id"))).select("doc_id", "_row", "text", "sketch.*").localCheckpoint()
+    of = {r.node: r.doc_id for r in docs.collect()}
+    links = alike.links(docs.select("node", "n", "bands", "_row"), docs.select("_row", "text")).collect()
+    root = list(range(len(rows)))
+    for r in links:
+        x, y = sorted((find(of[r.a]), find(of[r.b])))
+        root[y] = x
+    assert {find(a) for a in range(len(rows))} == want and 6 <= len(want) < 300
+
+
 def test_simhash_stage_drops_similar_texts(spark):
     rnd, rows, want = random.Random(11), [], set()
     sets = lambda ws: {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
