@@ -164,7 +164,8 @@ def badges(f: DataFrame, as_of: date, spark: SparkSession) -> DataFrame:
 def awards(f: DataFrame, as_of: date, spark: SparkSession) -> DataFrame:
     """user, badge, awarded_on: the first day up to as_of at whose end the user's facts so far reach the badge.
 
-    One pass over the facts, whatever the number of days: first the counts of each measure by user and day (of runs by unit of time), then running values in
+    One pass over the facts, whatever the number of days: first the counts of each user and day, a column for each measure. These narrow rows are
+    dealt by user, and only there they become a row for each measure (of runs for each unit of time), so no later step shuffles. Then running values in
     that order: counts so far, counts so far in the year, the mean so far, and places within islands of consecutive units. A badge's day is
     the first whose value is enough; all three actions' for the one that asks for them; the New Year after so many years for the one of years.
     """
@@ -175,13 +176,17 @@ def awards(f: DataFrame, as_of: date, spark: SparkSession) -> DataFrame:
         "opened": opened, "closed": closed, "commented": commented, "closed_with_comment": closed & (F.col("comment_length") > 0), "tagged": F.size("hashtags") > 0, "mentions": F.col("has_mention"), "urls": F.col("has_url"),
         "mobile": C.is_mobile(F.col("platform")), "desktop": C.is_desktop(F.col("platform")), "early": opened & (year == 2013), "speedy": fast, "avg_length": F.col("comment_length").isNotNull(),
     }
-    entry = lambda cond, name, span, unit: F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(name).alias("measure"), span.cast("long").alias("span"), unit.cast("long").alias("unit")))
-    entries = [entry(cond, name, F.lit(0), day) for name, cond in counted.items()]
-    entries += [entry(cond, f"year_{name}", year, day) for name, cond in (("opened", opened), ("closed", closed), ("commented", commented))]
-    entries += [entry(F.col("action").isin(*only), name, F.lit(0), _unit(unit)) for name, (unit, only) in RUNS.items()]
-    rows = f.where((F.col("action_date") <= F.lit(as_of)) & (F.col("action_user") != -1)).select("action_user", "action_date", "comment_length", F.explode(F.array_compact(F.array(*entries))).alias("m"))
+    known = f.where((F.col("action_date") <= F.lit(as_of)) & (F.col("action_user") != -1))
+    days = known.groupBy("action_user", "action_date").agg(*[count_of(cond).alias(name) for name, cond in counted.items()], F.sum("comment_length").alias("length"))
+    # as many parts as it says: by the bytes of these rows Spark would make too few for what comes of them
+    days = days.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "action_user")
+    entry = lambda n, name, span, unit: F.when(n > 0, F.struct(F.lit(name).alias("measure"), span.cast("long").alias("span"), unit.cast("long").alias("unit"), n.alias("n")))
+    entries = [entry(F.col(name), name, F.lit(0), day) for name in counted]
+    entries += [entry(F.col(name), f"year_{name}", year, day) for name in ("opened", "closed", "commented")]
+    entries += [entry(sum((F.col(a) for a in only), F.lit(0).cast("long")), name, F.lit(0), _unit(unit)) for name, (unit, only) in RUNS.items()]
+    rows = days.select("action_user", "action_date", "length", F.explode(F.array_compact(F.array(*entries))).alias("m"))
     by = ["action_user", "measure", "span"]
-    units = rows.select("action_user", "m.*", "action_date", "comment_length").groupBy(*by, "unit").agg(F.min("action_date").alias("on"), F.count("*").alias("n"), F.sum("comment_length").alias("length"))
+    units = rows.select("action_user", "m.*", "action_date", "length").groupBy(*by, "unit").agg(F.min("action_date").alias("on"), F.sum("n").alias("n"), F.sum("length").alias("length"))
     so_far = Window.partitionBy(*by).orderBy("unit").rowsBetween(Window.unboundedPreceding, 0)
     told = units.withColumns({"n": F.sum("n").over(so_far), "length": F.sum("length").over(so_far), "island": F.col("unit") - F.row_number().over(Window.partitionBy(*by).orderBy("unit"))})
     told = told.withColumn("place", F.row_number().over(Window.partitionBy(*by, "island").orderBy("unit")))

@@ -1,6 +1,7 @@
 """Badges over a history, and frequent pairs of tags, against plain versions."""
 
 import random
+import re
 from collections import Counter
 from datetime import date, datetime, timedelta
 from itertools import combinations
@@ -43,6 +44,17 @@ def test_award_dates_by_replaying_days(spark, history, monkeypatch):
     assert got == want and {b for _, b in got} == {b for b, _, _ in SMALL}
 
 
+def test_awards_shuffle_days_only(spark, history):
+    """What is dealt is a row for each user and day, not one for each measure, which is many times the facts."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = rankings.awards(history, date(2023, 6, 30), spark)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    keys = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+    assert sorted(keys) == ["action_user", "action_user, action_date"]
+
+
 def test_award_dates_take_one_scan(spark, history, tmp_path):
     history.write.parquet(str(tmp_path / "f"))
     df = rankings.awards(spark.read.parquet(str(tmp_path / "f")), date(2023, 6, 30), spark)
