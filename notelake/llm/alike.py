@@ -1,4 +1,4 @@
-"""Pairs of texts by the Jaccard similarity of their word shingles: MinHash bands propose, the shingles decide."""
+"""Pairs of texts by the Jaccard similarity of their word shingles: MinHash bands and rare shingles propose, the shingles decide."""
 
 from __future__ import annotations
 
@@ -16,11 +16,12 @@ from .simhash import fingerprint, shingles
 WIDTH, LEAST = 5, 0.8
 #: Bands and minima of a band: of pairs at 0.8, 1 - (1 - 0.8**4)**20 = 0.99997 meet in a band.
 BANDS, ROWS = 20, 4
-#: Nodes of a bucket that are compared pair by pair; in larger buckets each is compared with leaders, one in the first round and
-#: in each further one as many times more.
-PAIRWISE = GROWTH = 8
+#: Nodes of a bucket that are compared pair by pair; of larger buckets, those that have rare shingles in common.
+PAIRWISE = 8
 #: Bands of the first pass, in which each node is compared with one leader of each bucket; what it links isn't compared again.
 FIRST = 4
+#: Nodes whose shingles tell which are frequent, and the most shingles that are taken as such. Others count as rare; links don't depend on it.
+SAMPLE, FREQUENT = 500, 50_000
 
 _SEED = np.random.default_rng(42).integers(0, 2**64, (2, BANDS * ROWS), dtype=np.uint64)
 _TIMES, _PLUS = _SEED[0] | np.uint64(1), _SEED[1]
@@ -59,18 +60,22 @@ def sketched(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFra
     return docs.withColumn("sketch", run(F.col(text)))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:
-    """Of pairs (a, b), those whose sets are at least so similar. Texts (_row, text) are read only of the nodes in pairs."""
+def _sets(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Stored nodes (node, _row) -> each with its set of shingles (s), ascending."""
 
     @F.pandas_udf("array<long>")
     def sets(column: pd.Series) -> pd.Series:
         return pd.Series([_set(t, width).view(np.int64) for t in column])
 
-    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = small(stored(met.join(nodes.select("node", "_row"), "node"), "met"))
     # equal rows of the input have one _row
-    got = texts.join(rows, "_row").select("node", sets(F.col("text")).alias("s"))
-    of = stored(got.groupBy("node").agg(F.first("s").alias("s")), "sets")
+    got = texts.join(small(nodes), "_row").select("node", sets(F.col("text")).alias("s"))
+    return stored(got.groupBy("node").agg(F.first("s").alias("s")), "sets")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int = WIDTH, least: float = LEAST) -> DataFrame:
+    """Of pairs (a, b), those whose sets are at least so similar. Texts (_row, text) are read only of the nodes in pairs."""
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    of = _sets(stored(met.join(nodes.select("node", "_row"), "node"), "met"), texts, width)
     both = pairs.join(of.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(of.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), shared.alias("i")).where(F.col("i") / (F.col("na") + F.col("nb") - F.col("i")) >= least).select("a", "b")
@@ -80,36 +85,23 @@ def links(nodes: DataFrame, texts: DataFrame, width: int = WIDTH, least: float =
     """Distinct nodes (node, n, bands, and the _row of one of their texts) -> links (a, b) of nodes at least so similar.
 
     A first pass over FIRST bands compares every node with the leader of its bucket, the node of the smallest hash. Its links
-    make groups, and nodes of one group aren't compared again. Then all pairs of a small bucket are compared. In a larger one
-    every node is compared with the leaders, and those that match none go on to a round of more leaders. So a large group
-    takes pairs in proportion to it. Nodes that matched different leaders may be alike, too: at last all pairs of a bucket whose
-    nodes the links so far leave in different groups are compared, so that no link between groups is lost.
+    make groups, and nodes of one group aren't compared again. Then all pairs of a small bucket are compared; in a larger one
+    every node is compared with the leader. So a large group takes pairs in proportion to it. At last, nodes of large buckets
+    whose nodes the links so far leave in different groups are compared if they have a rare shingle in common (_rarely), which all
+    alike ones have, so that no link between groups is lost.
     """
     bands = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     alone = bands.withColumn("group", F.col("node"))
-    found = _round(_several(alone.where(F.col("band") < FIRST)), nodes, texts, width, least, 1, 0)[0]
-    groups = components(found).withColumnRenamed("root", "group")
-    rest = bands.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node")).select("node", "n", "key", "group")
-    leaders = 1
-    while not (rest := _several(rest)).isEmpty():
-        good, rest = _round(rest, nodes, texts, width, least, leaders, PAIRWISE)
-        found = found.unionByName(good)
-        leaders *= GROWTH
+    found = _led(_several(alone.where(F.col("band") < FIRST)), nodes, texts, width, least, 0)
+    found = found.unionByName(_led(_several(_grouped(bands, found)), nodes, texts, width, least, PAIRWISE))
+    apart = _several(_grouped(bands, found)).where(F.col("many") > PAIRWISE)
+    return found.unionByName(_rarely(apart.select("node", "n", "group").distinct(), nodes, texts, width, least))
+
+
+def _grouped(bands: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows with the group of their node by the links so far."""
     groups = components(found).withColumnRenamed("root", "group")
-    apart = _several(bands.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node")))
-    return found.unionByName(_across(apart.where(F.col("many") > PAIRWISE), nodes, texts, width, least))
-
-
-def _across(rest: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """The links of nodes of different groups: each node that isn't of its bucket's largest group with all of other groups."""
-    sizes = rest.groupBy("key", "group").agg(F.count("*").alias("size"))
-    main = stored(sizes.groupBy("key").agg(F.max(F.struct("size", "group")).alias("m")).select("key", F.col("m.group").alias("main")), "main")
-    rows = stored(looked_up(rest.select("key", "node", "n", "group"), main, ["key"]), "apart")
-    x = rows.where("group != main").select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("group").alias("gx"))
-    near = F.least("n", "nx") >= (least - 1e-9) * F.greatest("n", "nx")
-    met = rows.join(x, "key").where((F.col("group") != F.col("gx")) & ((F.col("group") == F.col("main")) | (F.col("node") < F.col("x"))) & near)
-    pairs = stored(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct(), "across")
-    return stored(verified(pairs, nodes, texts, width, least), "alike")
+    return bands.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
 
 def _several(rest: DataFrame) -> DataFrame:
@@ -118,18 +110,53 @@ def _several(rest: DataFrame) -> DataFrame:
     return stored(looked_up(rest.select("node", "n", "key", "group"), stored(several.select("key", "many"), "keys"), ["key"]), "buckets")
 
 
-def _round(rest: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, least: float, leaders: int, pairwise: int) -> tuple[DataFrame, DataFrame]:
-    """The links of the nodes with the leaders of their buckets, and the rows that have none and are of no leader's group."""
+def _led(rest: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, least: float, pairwise: int) -> DataFrame:
+    """The links of the nodes with the leaders of their buckets: of those up to `pairwise` all nodes, of others one."""
     # the first of each key are taken before the shuffle
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node"), "node"))
-    first = rest.withColumn("place", place).where(F.col("place") <= max(leaders, pairwise)).where((F.col("many") <= pairwise) | (F.col("place") <= leaders))
+    first = rest.withColumn("place", place).where(F.col("place") <= max(1, pairwise)).where((F.col("many") <= pairwise) | (F.col("place") == 1))
     led = stored(first.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "node", "n", "group"))).alias("leaders")), "leaders")
     met = looked_up(rest, led, ["key"]).withColumn("own", F.array_position(F.col("leaders.node"), F.col("node")).cast("int"))
     ahead = F.when(F.col("own") > 0, F.slice("leaders", F.lit(1), F.col("own") - 1)).otherwise(F.col("leaders"))
     # sets of too different sizes can't be so similar; a hair's breadth is left for rounding
     close = F.filter(ahead, lambda x: (x.group != F.col("group")) & (F.least(x.n, F.col("n")) >= (least - 1e-9) * F.greatest(x.n, F.col("n"))))
-    late = (F.col("own") == 0) & ~F.array_contains(F.col("leaders.group"), F.col("group"))
-    pairs = stored(met.select("key", F.explode(close).alias("x"), "node", late.alias("late")).select("key", F.col("x.node").alias("a"), F.col("node").alias("b"), "late"), "pairs")
-    good = stored(verified(pairs.select("a", "b").distinct(), nodes, texts, width, least), "alike")
-    done = pairs.where("late").join(good, ["a", "b"], "left_semi").select("key", F.col("b").alias("node")).distinct()
-    return good, stored(met.where(late).select("node", "n", "key", "group").join(done, ["key", "node"], "left_anti"), "rest")
+    pairs = stored(met.select(F.explode(close).alias("x"), "node").select(F.col("x.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    return stored(verified(pairs, nodes, texts, width, least), "alike")
+
+
+def _rarely(rest: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """The links of nodes (node, n, group) of different groups, by a prefix join: every pair that is so similar is compared.
+
+    Shingles are put in one order for all, rare ones first. Sets of n and m shingles that are so similar share
+    least / (1 + least) * (n + m) at least, so the first one that they share stands so near the beginning of both that as many
+    can follow. Further ones may make a pair meet again, never another pair.
+    """
+    own = stored(rest.join(nodes.select("node", "_row"), "node"), "apart")
+    of = _sets(own.select("node", "_row"), texts, width)
+    known = of.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select(F.explode("s").alias("token")).groupBy("token").count().where("count > 1")
+    top = known.orderBy(F.desc("count"), "token").limit(FREQUENT).toPandas().sort_values("token")
+    tokens, counts = top["token"].to_numpy(np.int64), top["count"].to_numpy(np.int64)
+
+    @F.pandas_udf("array<long>")
+    def prefix(column: pd.Series) -> pd.Series:
+        return pd.Series([_prefix(s, tokens, counts, least) for s in column])
+
+    rows = stored(of.select("node", prefix(F.col("s")).alias("prefix")).join(own, "node").select("node", "n", "group", F.posexplode("prefix").alias("pos", "token")), "prefixes")
+    # of two, `a` is that of fewer shingles; it can follow with none too many
+    part = least / (1 + least)
+    a = rows.where(F.col("n") - F.col("pos") >= 2 * part * F.col("n") - 1e-6).alias("a")
+    b = rows.alias("b")
+    x, y = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    ordered = (x("n") < y("n")) | ((x("n") == y("n")) & (x("node") < y("node")))
+    enough = F.least(x("n") - x("pos"), y("n") - y("pos")) >= part * (x("n") + y("n")) - 1e-6
+    met = a.join(b, (x("token") == y("token")) & ordered & (x("n") >= (least - 1e-9) * y("n")) & enough & (x("group") != y("group")))
+    pairs = stored(met.select(x("node").alias("a"), y("node").alias("b")).distinct(), "rare")
+    return stored(verified(pairs, nodes, texts, width, least), "alike")
+
+
+def _prefix(s: np.ndarray, tokens: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """The first shingles of a set in the order of all, as many as decide: two sets at least so similar share one of them."""
+    if len(tokens):
+        at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+        s = s[np.lexsort((s, np.where(tokens[at] == s, counts[at], 0)))]
+    return s[: len(s) - int(np.ceil(least * len(s) - 1e-6)) + 1]

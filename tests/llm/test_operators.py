@@ -272,6 +272,36 @@ def test_similar_texts_of_large_buckets_lose_no_link(spark):
     assert {find(a) for a in range(len(rows))} == want and 6 <= len(want) < 300
 
 
+def test_few_pairs_of_a_large_group_are_compared(spark, monkeypatch):
+    """Variants of one text at half the least similarity and more: most meet in some band, few are so similar."""
+    rnd, n = random.Random(8), 240
+    base = [f"w{j}" for j in range(120)]
+    rows = []
+    for k in range(n):
+        ws = list(base)
+        for at in rnd.sample(range(120), rnd.choice((1, 4, 8, 8, 8, 12, 12, 16))):
+            ws[at] = f"x{rnd.randrange(10**9)}"
+        rows.append((k, " ".join(ws)))
+    rows += [(n + k // 10, f"{t} y") for k, t in rows[::10]]
+    sets = [{tuple(ws[i : i + 5]) for i in range(len(ws) - 4)} for ws in (t.split() for _, t in rows)]
+    near = {(a, b) for b in range(len(rows)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    find = lambda root, x: x if root[x] == x else find(root, root[x])
+
+    def joined(pairs):
+        root = list(range(len(rows)))
+        for a, b in pairs:
+            x, y = sorted((find(root, a), find(root, b)))
+            root[y] = x
+        return [find(root, a) for a in range(len(rows))]
+
+    docs = alike.sketched(frame(spark, rows).withColumn("_row", F.col("doc_id"))).select("doc_id", "_row", "text", "sketch.*").localCheckpoint()
+    of, compared, verified = {r.node: r.doc_id for r in docs.collect()}, [], alike.verified
+    monkeypatch.setattr(alike, "verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    links = alike.links(docs.select("node", "n", "bands", "_row"), docs.select("_row", "text")).collect()
+    assert len(of) == len(rows) and joined((of[r.a], of[r.b]) for r in links) == joined(near) and len(set(joined(near))) > 150
+    assert sum(compared) < 12 * len(rows)
+
+
 def test_simhash_stage_drops_similar_texts(spark):
     rnd, rows, want = random.Random(11), [], set()
     sets = lambda ws: {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
