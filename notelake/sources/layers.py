@@ -76,7 +76,7 @@ class Layer:
         """Write the rows, the `keys` whose rows they replace, or another frame beside them, and read it back."""
         path = f"{self.table.path}/layers/{self.id}/{kind}"
         by = [self.table.by] if self.table.by and kind == "rows" else []
-        df.write.partitionBy(*by).parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
         self.kinds[kind] = json.loads(df.schema.json())
         return self.table.spark.read.schema(df.schema).parquet(path)
 

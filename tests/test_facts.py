@@ -5,6 +5,7 @@ import re
 from datetime import datetime
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -285,6 +286,15 @@ def test_actions_are_dealt_by_note_only(spark, tmp_path, monkeypatch):
     assert all(set(p) == {"note_id"} and len(p) <= 3 for p in plans), plans
 
 
+def test_facts_are_written_small(base, spark, tmp_path):
+    into = facts.table(spark, str(tmp_path / "layers"))
+    facts.load(base, into)
+    facts.write(facts.facts(base), str(tmp_path / "facts"))
+    files = [p for p in tmp_path.rglob("*.parquet") if p.stat().st_size and pq.ParquetFile(p).metadata.num_row_groups]
+    assert len(files) > 3 and {pq.ParquetFile(p).metadata.row_group(0).column(0).compression for p in files} == {"ZSTD"}
+    assert rows(into.read()) == rows(spark.read.parquet(str(tmp_path / "facts"))) and into.read().count()
+
+
 @pytest.mark.parametrize("most", [0, 64_000_000])
 def test_bodies_on_demand(spark, monkeypatch, most):
     """Bodies that are joined to some actions are those of the base table, whether documents are broadcast or shuffled."""
