@@ -78,6 +78,26 @@ def test_pruning_over_shards(spark):
     assert found(1 << 30) == found(8_000)
 
 
+def test_shards_go_to_python_singly(spark, corpus, monkeypatch):
+    """A batch of several shards, or of a shard with several blocks of queries, is held whole by Spark and by Python."""
+    seen = spark.sparkContext.accumulator(0)
+    searcher, sealed = search._searcher, search._sealed
+
+    def counted(batches):
+        for b in batches:
+            if len(b) > 1:
+                seen.add(1)
+            yield b
+
+    monkeypatch.setattr(search, "_searcher", lambda k: lambda batches: searcher(k)(counted(batches)))
+    monkeypatch.setattr(search, "_sealed", lambda frames: sealed(counted(frames)))
+    monkeypatch.setattr(search, "TERMS_AT_ONCE", 60)
+    docs = frame(spark, corpus).coalesce(1)
+    asked = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
+    was = spark.conf.get(search.AT_ONCE, None)
+    assert search.top_k(docs, asked, shard=4000).count() and not seen.value and spark.conf.get(search.AT_ONCE, None) == was
+
+
 def test_blocks_are_skipped(spark):
     rnd = random.Random(6)
     vocabulary = [f"w{k}" for k in range(3000)]
