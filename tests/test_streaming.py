@@ -158,3 +158,24 @@ def test_reasons(spark):
     bad = ["{broken", event(1, None, "opened", "2023-01-01 10:00:00"), event(1, 1, "opened", "never"), event(1, 1, "danced", "2023-01-01 10:00:00")]
     e = spark.createDataFrame([(x,) for x in bad], "line string").select(F.from_json("line", load.SCHEMA).alias("e")).select("e.*")
     assert [r.x for r in e.select(load.reason().alias("x")).collect()] == ["unreadable", "no note or sequence", "no time", "unknown action"]
+
+
+def test_sent_lines_are_small_and_go(spark, tmp_path):
+    """Lines hold whole bodies, but their files hold a text's copies in one place; shuffles carry no bodies, and what was read is deleted."""
+    from notelake.plans import stream_queries
+    from notelake.plans.warehouse import Warehouse
+
+    w, path = Warehouse(spark, "/root/testdata/sf0.001"), str(tmp_path / "sent")
+    stream_queries._sent(w, path, *stream_queries.SENDINGS)
+    lines = spark.read.text(path)
+    own = w.base.actions.join(spark.createDataFrame([(k,) for k in (1, 2)], "time int")).where("time = 1 OR note_id % 5 = 0").agg(F.count("*").alias("n"), F.sum(F.octet_length("body")).alias("b")).first()
+    raw = lines.agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("b")).first()
+    assert raw.n == own.n and raw.b > own.b
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
+    size = sum(p.stat().st_size for p in (tmp_path / "sent").rglob("part-*"))
+    assert size < raw.b / 3 and size < texts * stream_queries.SLICES
+    plan = stream_queries._lines(w, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and plan.index("_text#") < plan.index("RepartitionByExpression")  # dealt beneath the join with texts
+    for folder in stream_queries._sendings(w):
+        assert spark.read.text(folder).count() > 0
+    assert not os.path.exists(folder)
