@@ -192,9 +192,16 @@ class Layers:
         rows = [self._frame(x, "rows") for x in layers]
         if len(layers) == 1:
             return rows[0]
-        union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [r.withColumn("_layer", F.lit(k)) for k, r in enumerate(rows)])
-        keys = reduce(DataFrame.unionByName, [self._keys(x).withColumn("_newest", F.lit(k)) for k, x in enumerate(layers) if k])
-        newest = keys.groupBy(*self.keys).agg(F.max("_newest").alias("_newest"))
-        few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-        met = union.join(F.broadcast(newest) if few else newest, self.keys, "left")
-        return met.where(F.coalesce("_newest", "_layer") == F.col("_layer")).drop("_layer", "_newest")
+        *older, last = [r.withColumn("_layer", F.lit(k)) for k, r in enumerate(rows)]  # the last layer's rows are all newest
+        union = lambda frames: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        named = [self._keys(x).withColumn("_layer", F.lit(k)) for k, x in enumerate(layers)]
+        keys = union(named[1:])
+        newest = keys.groupBy(*self.keys).agg(F.max("_layer").alias("_newest"))
+        stays = F.coalesce("_newest", "_layer") == F.col("_layer")
+        few = lambda df: df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+        if few(keys):
+            met = union(older).join(F.broadcast(newest), self.keys, "left").where(stays).drop("_newest")
+        else:  # most keys came again: those that didn't may be few, and rows go where they lie
+            left = union(named[:-1]).join(newest, self.keys, "left").where(stays).drop("_newest")
+            met = union(older).join(F.broadcast(left) if few(left) else left, [*self.keys, "_layer"], "left_semi")
+        return union([met, last]).drop("_layer")

@@ -179,3 +179,17 @@ def test_sent_lines_are_small_and_go(spark, tmp_path):
     for folder in stream_queries._sendings(w):
         assert spark.read.text(folder).count() > 0
     assert not os.path.exists(folder)
+
+
+def test_state_and_facts_hold_no_bodies_but_find_them(spark, tmp_path):
+    """A body that is corrected counts as a change though all that facts tell of it stays; bodies are kept whole, beside."""
+    src = files(tmp_path / "in", [event(1, 1, "opened", "2023-01-01 10:00:00", body="ab"), event(2, 1, "opened", "2023-01-01 10:00:00", body=None)], [event(1, 1, "opened", "2023-01-01 10:00:00", body="ba")])
+    into, kept = facts.table(spark, str(tmp_path / "facts")), str(tmp_path / "bodies")
+    events = load.source(spark, src, 1).where(load.is_valid()).drop("line")
+    told = state.notes(events)
+    assert "body" not in told.columns
+    run(told, load.kept_facts(into, *places(spark, 3)), tmp_path / "c1")
+    events.writeStream.foreachBatch(load.kept_bodies(kept)).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start().awaitTermination(120)
+    got = load.with_bodies(into.read(), kept, lambda b: b)
+    assert rows(got.select("note_id", "body", "comment_length")) == [(1, "ba", 2), (2, None, None)]
+    assert rows(spark.read.parquet(kept).select("body")) == [("ab",), ("ba",)]
