@@ -108,24 +108,41 @@ class Marts:
                 if done:
                     old = cells(facts.read(facts.snapshot(done)).join(ids, "note_id", "left_semi"))
                     new = new.unionByName(old.withColumn("n", -F.col("n"))).groupBy(*CELL).agg(F.sum("n").alias("n"))
-                layer.write(update.rows(new))
+                layer.write(update.rows(new).repartition("part"))  # a file for each part, not for each part and task
                 layer.commit(facts=now["version"])
-        sums, stale = self.sums.snapshot(), False
-        for name, mart in self.marts.items():
-            since = mart.told("sums", 0)
-            if since < sums["version"]:
-                modified = self.modified(since, sums)
-                if modified is not None:
-                    stale = True
-                    with self.log.update(name) as update:
-                        layer = mart.begin()
-                        own = layer.write(modified, "keys")
-                        layer.write(update.rows(self.MADE[name](self.of(own, sums))))
-                        layer.commit(sums=sums["version"])
-                    mart.compact()
+        sums, stale, read = self.sums.snapshot(), False, {}
+        try:
+            for name, mart in self.marts.items():
+                since = mart.told("sums", 0)
+                if since < sums["version"]:
+                    if since not in read:
+                        read[since] = self._since(since, sums)
+                    modified, own = read[since]
+                    if modified is not None:
+                        stale = True
+                        with self.log.update(name) as update:
+                            layer = mart.begin()
+                            if since:
+                                layer.write(modified, "keys")
+                            layer.write(update.rows(self.MADE[name](own)))
+                            layer.commit(sums=sums["version"])
+                        mart.compact()
+        finally:
+            for since, frames in read.items():
+                for df in frames if since else ():
+                    if df is not None:
+                        df.unpersist()
         self.sums.compact()
         return stale
 
+    def _since(self, since: int, sums: dict) -> tuple[DataFrame | None, DataFrame | None]:
+        """Entities modified after a version of the sums, and their sums, kept for the marts that are made of them; before any version all, as they lie."""
+        modified = self.modified(since, sums)
+        if modified is None or not since:
+            return modified, self.sums.read(sums) if modified is not None else None
+        modified = modified.persist()
+        return modified, self.of(modified, sums).persist()
+
     def modified(self, since: int, sums: dict | None = None) -> DataFrame | None:
         """Entities of the notes that changed after a version of the sums."""
         return self.sums.changed(since, sums)

@@ -110,3 +110,16 @@ def test_updates_are_logged(spark, tmp_path):
     assert (rows["countries"].facts, rows["countries"].records, rows["countries"].status, rows["countries"].error) == (30, 7, "success", None)
     assert rows["users"].status == "error" and rows["users"].entity_id == 5 and rows["users"].error and rows["users"].duration > 0
     assert {r.kind: (r.n, r.records) for r in checks.perf_summary(log.read(), ["kind"]).collect()} == {"countries": (1, 7), "users": (1, 0)}
+
+
+def test_sums_have_a_file_for_each_part_and_are_read_once(base, spark, tmp_path, monkeypatch):
+    into, m, read = facts.table(spark, str(tmp_path / "facts")), partials.Marts(spark, str(tmp_path / "marts")), []
+    of = partials.Marts.of
+    monkeypatch.setattr(partials.Marts, "of", lambda self, *a: (read.append(1), of(self, *a))[1])
+    for k, came in enumerate(LOADS[1:]):
+        facts.load(facts.arrived(base, F.expr(came)), into)
+        m.refresh(into)
+        layer = m.sums.snapshot()["layers"][-1]["id"]
+        parts = [list(p.glob("*.parquet")) for p in (tmp_path / "marts" / "sums" / "layers" / layer / "rows").glob("part=*")]
+        assert parts and all(len(p) == 1 for p in parts)
+        assert len(read) == k  # the first load's marts are made of all sums, as they lie
