@@ -193,3 +193,10 @@ def test_state_and_facts_hold_no_bodies_but_find_them(spark, tmp_path):
     got = load.with_bodies(into.read(), kept, lambda b: b)
     assert rows(got.select("note_id", "body", "comment_length")) == [(1, "ba", 2), (2, None, None)]
     assert rows(spark.read.parquet(kept).select("body")) == [("ab",), ("ba",)]
+
+
+def test_queue_files_are_compressed(spark, tmp_path):
+    line = event(1, 1, "opened", "2023-01-01 10:00:00", body="long " * 20_000)
+    load.enqueue(spark.createDataFrame([(line,)], "line string"), str(tmp_path / "queue"), datetime(2024, 1, 1))
+    assert sum(p.stat().st_size for p in (tmp_path / "queue").glob("part-*")) < len(line) / 50
+    assert [r.line for r in spark.read.json(str(tmp_path / "queue")).collect()] == [line]
